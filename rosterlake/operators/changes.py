@@ -5,7 +5,7 @@ What triggers and one-row procedures do per row is one set-based job per batch h
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -323,12 +323,16 @@ def status_changes(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def decide_leave(current: DataFrame, decisions: DataFrame) -> Outcome:
-    """Approve or reject leaves by (leave_id, status, approved_by), unique by leave_id."""
-    allowed = F.col("status").isin("APPROVED", "REJECTED")
-    code = F.when(allowed, F.lit(None)).otherwise(STATUS_INVALID)
-    valid = decisions.where(allowed)
+    """Approve or reject leaves by (leave_id, status, approved_by), unique by leave_id.
+
+    A NULL status passes the check, as it is not outside the list, and becomes PENDING.
+    """
+    allowed = F.coalesce(F.col("status").isin("APPROVED", "REJECTED"), F.lit(True))
+    valid = decisions.where(allowed).withColumn(
+        "status", F.coalesce(F.col("status"), F.lit("PENDING"))
+    )
     snapshot = apply_updates(current, valid, "leave_id", ["status", "approved_by"])
-    invalid = decisions.where(~F.coalesce(allowed, F.lit(False))).withColumn("reject_code", code)
+    invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(STATUS_INVALID))
     unknown = unknown_keys(current, valid, "leave_id").withColumn(
         "reject_code", F.lit(LEAVE_UNKNOWN)
     )
@@ -355,10 +359,3 @@ def request_leave(batch: DataFrame) -> Outcome:
     )
     failed = failed.drop("failed_rules").withColumn("result", F.lit("ERROR: leave_dates"))
     return Outcome(valid.withColumn("result", text), None, rejected.unionByName(failed))
-
-
-def batch_balance(outcome: Mapping[str, DataFrame]) -> DataFrame:
-    """Row counts by outcome, for the accepted + rejected = input check."""
-    from ..sources.loading import row_count_inventory
-
-    return row_count_inventory(dict(outcome), label="outcome")

@@ -142,12 +142,10 @@ def over_order(
     )
     blocks = [*keys, "_block"]
     running = {n: f for n, f in frames.items() if f.kind in ("running_sum", "largest_before")}
-    local = {n: f for n, f in frames.items() if f.kind not in running and f.kind != "position"}
-    local = {n: f for n, f in local.items() if n not in running}
 
     rows = numbered
-    before = max((f.before for f in local.values()), default=0)
-    after = max((f.after for f in local.values()), default=0)
+    before = max(f.before for f in frames.values())
+    after = max(f.after for f in frames.values())
     if before or after:
         # copy the edge rows of each block into its neighbours
         place = (F.col("_n") - 1) % block_rows

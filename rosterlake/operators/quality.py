@@ -13,33 +13,28 @@ from .joins import flag_existing, matching, without
 
 c = F.col
 
-# The CHECK rules of the declared tables.
-CHECKS: dict[str, dict[str, Column]] = {}
-
-
 def checks_of(table: str) -> dict[str, Column]:
-    """CHECK rules of a declared table; built on first use, as columns need a session."""
-    if not CHECKS:
-        CHECKS.update(
-            salary_bonus={
-                "salary_positive": c("amount") > 0,
-                "bonus_non_negative": c("bonus_amount") >= 0,
-            },
-            employee={
-                "gender": c("gender").isin("M", "F"),
-                "age": (c("age") >= 18) & (c("age") <= 75),
-            },
-            leave={
-                "leave_status": c("status").isin("PENDING", "APPROVED", "REJECTED"),
-                "leave_dates": (c("leave_end") >= c("leave_start")) | c("leave_end").isNull(),
-            },
-            payroll={
-                "payroll_gross": c("gross_amount") > 0,
-                "payroll_deductions": c("deductions") >= 0,
-                "payroll_status": c("payment_status").isin("PENDING", "PROCESSED", "PAID"),
-            },
-        )
-    return CHECKS.get(table, {})
+    """CHECK rules of a declared table."""
+    # The CHECK rules of the declared tables.
+    if table == "salary_bonus":
+        return {"salary_positive": c("amount") > 0, "bonus_non_negative": c("bonus_amount") >= 0}
+    if table == "employee":
+        return {
+            "gender": c("gender").isin("M", "F"),
+            "age": (c("age") >= 18) & (c("age") <= 75),
+        }
+    if table == "leave":
+        return {
+            "leave_status": c("status").isin("PENDING", "APPROVED", "REJECTED"),
+            "leave_dates": (c("leave_end") >= c("leave_start")) | c("leave_end").isNull(),
+        }
+    if table == "payroll":
+        return {
+            "payroll_gross": c("gross_amount") > 0,
+            "payroll_deductions": c("deductions") >= 0,
+            "payroll_status": c("payment_status").isin("PENDING", "PROCESSED", "PAID"),
+        }
+    return {}
 
 
 # --- normal forms -----------------------------------------------------------------------
