@@ -71,4 +71,4 @@ def started_years(start: ColumnLike, as_of: AsOf) -> Column:
 
 def elapsed_seconds(start: ColumnLike, end: ColumnLike) -> Column:
     """Seconds between two timestamps, not wrapped at the minute."""
-    return F.unix_micros(_col(end)) / F.lit(1_000_000) - F.unix_micros(_col(start)) / F.lit(1_000_000)
+    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(1_000_000)

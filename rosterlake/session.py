@@ -70,7 +70,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; for a Parquet scan this is the size of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_one_task(bound: DataFrame | None, limit: int | None = None) -> bool:

@@ -153,7 +153,7 @@ def departments(nation: DataFrame) -> DataFrame:
     return nation.select(
         key.alias("department_id"),
         F.col("n_name").alias("department_name"),
-        _when_not(key % 9 == 8, key * 7).alias("manager_id"),
+        _when_not(key % 9 == 8, key * 5).alias("manager_id"),
         key.alias("location_id"),
     )
 
@@ -266,4 +266,6 @@ def star_tables(spark: SparkSession, folder: str) -> Tables:
         name: (lambda src=src, view=view: view(raw[f"raw_{src}"]))
         for name, (src, view) in _VIEWS.items()
     }
-    return Tables(**frames, **views)
+    tables = Tables(**frames, **views)
+    tables.folder = folder
+    return tables
