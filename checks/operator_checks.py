@@ -103,7 +103,10 @@ def _rollup2(t: Tables) -> DataFrame:
 
 def _running(t: Tables, frames) -> DataFrame:
     rows = t.payroll.select("payroll_id", "job_id", "payroll_date", "gross_amount")
-    return over_order(rows, ORDERED, frames, ["job_id"]).drop("payroll_date", "gross_amount")
+    # plain_rows=0: the form for groups of any size
+    return over_order(rows, ORDERED, frames, ["job_id"], plain_rows=0).drop(
+        "payroll_date", "gross_amount"
+    )
 
 
 def _chain(t: Tables) -> DataFrame:
@@ -361,7 +364,7 @@ CHECKS = {
     ),
     "w02_rank": (
         lambda t: rank_rows(
-            t.works_on, "hours", {"rank": "rank_no"}, ["pno"]
+            t.works_on, "hours", {"rank": "rank_no"}, ["pno"], plain_rows=0
         ),
         q("""SELECT essn, pno, hours::DOUBLE AS hours, rank() OVER (PARTITION BY pno ORDER BY works_on.hours DESC) AS rank_no
             FROM works_on"""),

@@ -3,8 +3,8 @@
 A plain window moves each group, or the whole table when there is none, into one task.
 Here the rows are range-partitioned by group, order and a unique last key, so that a
 large group covers many partitions, and numbered from partition counts. All frames then
-work on blocks of consecutive numbers. A plain window is used only for inputs that are
-bounded by a small table.
+work on blocks of consecutive numbers. A plain window is used only where its groups are
+known to be small: the input is bounded by a small table, or the largest group was counted.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import ratio
+from ..functions.money import percent, ratio
 from ..session import fits_one_task, materialize
+from .grouping import with_total
 from .joins import null_safe
 from .sorting import sort_keys
 
 BLOCK_ROWS = 1 << 18
+# largest group that a plain window may sort in one task
+PLAIN_ROWS = 1 << 20
 _ALL_BEFORE = (Window.unboundedPreceding, -1)
 _TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
 
@@ -120,20 +123,34 @@ def number_rows(
     )
 
 
+def _groups_are_small(
+    df: DataFrame, keys: Sequence[str], bound: DataFrame | None, limit: int
+) -> bool:
+    """May a plain window be used? Counting groups reads the key columns only."""
+    if fits_one_task(bound):
+        return True
+    if not keys or limit <= 0:
+        return False
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return (largest or 0) <= limit
+
+
 def over_order(
     df: DataFrame,
     order_by: Sequence[str],
     frames: Mapping[str, Frame],
     partition_by: Sequence[str] = (),
     bound: DataFrame | None = None,
+    plain_rows: int = PLAIN_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add calculations over the ordered rows (per group).
 
-    ``bound`` is a table that has at least as many rows as ``df``; when it is small, plain
-    windows are used. ``order_by`` must end with a unique key.
+    ``order_by`` must end with a unique key. ``bound`` is a table that has at least as many
+    rows as ``df``. Plain windows are used when it is small or when no group has more than
+    ``plain_rows`` rows.
     """
-    if fits_one_task(bound):
+    if _groups_are_small(df, partition_by, bound, plain_rows):
         return _plain(df, order_by, partition_by, frames)
 
     keys = list(partition_by)
@@ -211,21 +228,34 @@ def rank_rows(
     names: Mapping[str, str],
     partition_by: Sequence[str] = (),
     bound: DataFrame | None = None,
+    plain_rows: int = PLAIN_ROWS,
+    share: str | None = None,
 ) -> DataFrame:
     """Add ranks by a value, largest first; ``names`` maps rank / dense_rank to a column.
 
     Ranks depend on the value only, so the values are counted first (a hot value becomes one
-    row), ranked, and joined back.
+    row), ranked, and joined back. ``share`` adds 100 * value / sum of the group from the
+    same counts.
     """
     keys = list(partition_by)
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
+    if not fits_one_task(bound):
+        counted = materialize(counted, "values")
     ranked = over_order(
-        counted, [f"-{value}"], {"_dense": position(), "_upto": running_sum("_ties")}, keys, bound
-    )
-    formula = {"dense_rank": F.col("_dense"), "rank": F.col("_upto") - F.col("_ties") + 1}
-    ranked = ranked.select(
-        *keys, value, *[formula[kind].cast("bigint").alias(n) for kind, n in names.items()]
+        counted,
+        [f"-{value}"],
+        {"_dense": position(), "_upto": running_sum("_ties")},
+        keys,
+        bound,
+        plain_rows,
     )
+    made = {"dense_rank": F.col("_dense"), "rank": F.col("_upto") - F.col("_ties") + 1}
+    columns = {n: made[kind].cast("bigint") for kind, n in names.items()}
+    if share is not None:
+        weighted = ranked.withColumn("_sum", F.col(value) * F.col("_ties"))
+        ranked = with_total(weighted, "_sum", "_total", keys, bound)
+        columns[share] = percent(value, "_total")
+    ranked = ranked.select(*keys, value, *[c.alias(n) for n, c in columns.items()])
     return null_safe(df, ranked, [*keys, value])
 
 

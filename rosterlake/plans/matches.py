@@ -127,7 +127,7 @@ def department_payroll(t: Tables, per_payroll_row: bool = True) -> DataFrame:
         F.sum("total_net").alias("net"),
     )
     kept = departments(t, "salary_range").join(per, "job_id", "left")
-    totalled = with_total(kept, "net", "dept_net_payroll", ["dept_name"])
+    totalled = with_total(kept, "net", "dept_net_payroll", ["dept_name"], t.job_department)
     return sort_by(totalled, "-dept_net_payroll", "job_id").select(
         "dept_name",
         "salary_range",

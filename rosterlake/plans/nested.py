@@ -105,7 +105,7 @@ def pay_ranks_with_department(t: Tables) -> DataFrame:
         "job_id", F.col("headcount").alias("dept_size"), ratio("total", "paid").alias("avg_salary")
     )
     rows = paid_staff(t).select("emp_id", "job_id", "employee_name", "dept_name", "amount")
-    ranked = rank_rows(rows, "amount", {"rank": "salary_rank"}, ["dept_name"], t.employee)
+    ranked = rank_rows(rows, "amount", {"rank": "salary_rank"}, ["dept_name"], bound=t.employee)
     joined_rows = ranked.join(stats, "job_id")
     return sort_by(joined_rows, "dept_name", "salary_rank", "emp_id").select(
         "employee_name",

@@ -86,9 +86,15 @@ def pay_by_department_and_gender(t: Tables) -> DataFrame:
 
 def department_pay_ranks(t: Tables) -> DataFrame:
     rows = paid_staff(t).select("emp_id", "dept_name", "employee_name", "amount")
-    ranked = rank_rows(rows, "amount", {"dense_rank": "salary_rank"}, ["dept_name"], t.employee)
-    shared = with_share(ranked, "amount", "pct_of_dept_salary", ["dept_name"])
-    return sort_by(shared, "dept_name", "salary_rank", "emp_id").select(
+    ranked = rank_rows(
+        rows,
+        "amount",
+        {"dense_rank": "salary_rank"},
+        ["dept_name"],
+        bound=t.employee,
+        share="pct_of_dept_salary",
+    )
+    return sort_by(ranked, "dept_name", "salary_rank", "emp_id").select(
         "dept_name", "employee_name", "amount", "salary_rank", "pct_of_dept_salary"
     )
 
@@ -152,7 +158,8 @@ def payroll_expense(t: Tables) -> DataFrame:
         F.sum("net_amount").alias("total_net"),
         mean("net_amount").alias("avg_net_payment"),
     )
-    shared = with_share(per.join(departments(t), "job_id"), "total_gross", "pct_of_total_payroll")
+    named = per.join(departments(t), "job_id")
+    shared = with_share(named, "total_gross", "pct_of_total_payroll", bound=t.job_department)
     return sort_by(shared, "-total_gross", "job_id").select(
         "dept_name",
         "employees_paid",

@@ -36,9 +36,12 @@ class Tables:
         return Tables(**{**self._frames, **frames})
 
 
-def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def load_table(
+    spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None
+) -> DataFrame:
     """Scan one Parquet table; Catalyst prunes its columns and pushes filters into it."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def load_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> Tables:
