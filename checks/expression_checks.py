@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterlake import labels
 from rosterlake.functions import dates, money, text
+from rosterlake.operators.joins import matching
 from rosterlake.operators.ordered import over_order, position
 from rosterlake.operators.sorting import sort_by, top
 from rosterlake.sources.loading import Tables
@@ -41,13 +43,13 @@ def _compound(t: Tables) -> DataFrame:
 
 
 def _money_functions(t: Tables) -> DataFrame:
-    deductions, net = money.deduct("gross_amount", money.PROCESS_RATE)
+    deductions, net = money.deduct("gross_amount", labels.PROCESS_RATE)
     return t.payroll.select(
         "payroll_id",
         (F.col("gross_amount") * F.lit("0.85").cast("decimal(3,2)")).alias("reduced"),
         deductions.alias("deductions"),
         net.alias("net"),
-        F.round((F.col("gross_amount") - F.col("deductions")) / money.PERIODS, 2).alias("per_period"),
+        F.round((F.col("gross_amount") - F.col("deductions")) / labels.PERIODS, 2).alias("per_period"),
     )
 
 
@@ -121,8 +123,8 @@ CHECKS = {
             leave_start <= DATE '{DAY}' AS past_or_today, leave_start >= DATE '2023-01-15' AS last_year,
             year(leave_start) = 2024 AND month(leave_start) = 1 AS same_month FROM leave""")),
     "p08_select_all": (
-        lambda t: t.departments.select("*"),
-        q("SELECT * FROM departments"),
+        lambda t: matching(t.works_on.select("*"), t.dependent, "essn").select(*t.works_on.columns),
+        q("SELECT * REPLACE (hours::DOUBLE AS hours) FROM works_on WHERE essn IN (SELECT essn FROM dependent)"),
     ),
     "p09_masked_view": (
         lambda t: t.employee.select(

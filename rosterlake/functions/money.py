@@ -5,16 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..labels import PROCESS_RATE
 from .text import ColumnLike, _col
 
-# Deduction rates of the three pay calculations.
-BULK_RATE = "0.20"
-INSERT_RATE = "0.15"
-PROCESS_RATE = "0.30"
-
-# Fixed value: pay periods per year used by the period amount of the payroll view.
-PERIODS = 26
-
 
 def rate(text: str) -> Column:
     return F.lit(text).cast("decimal(5,4)")

@@ -11,25 +11,17 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.dates import AsOf, day, days_between
-from ..functions.money import BULK_RATE, PROCESS_RATE, deduct, ratio
+from ..functions.money import deduct, ratio
 from ..functions.text import full_name, joined, number_text
 from .joins import matching, without
 from .ordered import assign_keys, largest_before, over_order
 from .quality import check_rows, checks_of
 
-# Texts, codes and limits of the audited jobs.
-RAISE_REASON = "Salary increase approved"
-ARCHIVE_REASON = "Automatically archived on deletion"
-VARIANCE_WARNING = "VARIANCE_WARNING"
-VARIANCE_LIMIT = 20
-NAMES_REQUIRED = "-20001"
-GENDER_INVALID = "-20002"
-AGE_INVALID = "-20003"
+# names of our own for refusals that have no code
 EMAIL_EXISTS = "EMAIL_EXISTS"
-STATUS_INVALID = "-20020"
 LEAVE_UNKNOWN = "LEAVE_NOT_FOUND"
-DATES_INVALID = "-20200"
 DIRECTORY_COLUMNS = ("first_name", "last_name", "email", "phone")
 
 
@@ -113,17 +105,17 @@ def guard_no_decrease(
         "change_amount",
         _user(changed_by).alias("changed_by"),
         day(as_of).alias("changed_date"),
-        F.lit(RAISE_REASON).alias("reason"),
+        F.lit(labels.RAISE_REASON).alias("reason"),
     )
     refused = steps.where("change_amount < 0")
     message = joined(
-        F.lit("SALARY CUT BLOCKED! Current: $"),
+        F.lit(labels.CUT_BLOCKED),
         number_text("old_amount"),
-        F.lit(" Attempted: $"),
+        F.lit(labels.CUT_ATTEMPTED),
         number_text("new_amount"),
-        F.lit(" Decrease of $"),
+        F.lit(labels.CUT_DECREASE),
         number_text(F.abs("change_amount")),
-        F.lit(". Contact HR Department for override."),
+        F.lit(labels.CUT_ADVICE),
     )
     rejected = refused.select("salary_id", "old_amount", "new_amount", message.alias("message"))
     return Outcome(snapshot, audit, rejected)
@@ -165,24 +157,24 @@ def validate_payroll(
     employee: DataFrame,
     salary_bonus: DataFrame,
     as_of: AsOf = None,
-    limit: int = VARIANCE_LIMIT,
+    limit: int = labels.VARIANCE_LIMIT,
 ) -> Outcome:
     """Fill missing net amounts and warn about unusual gross amounts; the payment is kept."""
     checked = check_variance(batch, expected_pay(employee, salary_bonus))
     variance = ratio(F.abs(F.col("gross_amount") - F.col("expected")) * 100, "expected")
     message = joined(
-        F.lit("Payroll variance: "),
+        F.lit(labels.VARIANCE_TEXT),
         number_text(variance),
-        F.lit("% (Expected: $"),
+        F.lit(labels.VARIANCE_EXPECTED),
         number_text("expected"),
-        F.lit(", Actual: $"),
+        F.lit(labels.VARIANCE_ACTUAL),
         number_text("gross_amount"),
         F.lit(")"),
     )
     audit = checked.where(variance_above(limit)).select(
         "payroll_id",
         "emp_id",
-        F.lit(VARIANCE_WARNING).alias("audit_type"),
+        F.lit(labels.VARIANCE_WARNING).alias("audit_type"),
         message.alias("message"),
         day(as_of).alias("audit_date"),
     )
@@ -193,9 +185,9 @@ def payroll_notices(batch: DataFrame, employee: DataFrame) -> DataFrame:
     """A notice per payroll row; rows of unknown employees give none."""
     names = employee.select("emp_id", full_name().alias("_name"))
     text = joined(
-        F.lit("Notification: Payroll processed for "),
+        F.lit(labels.NOTICE_TEXT),
         F.col("_name"),
-        F.lit(" - Net: $"),
+        F.lit(labels.NOTICE_NET),
         number_text("net_amount"),
     )
     return batch.join(names, "emp_id").select("payroll_id", "emp_id", text.alias("notice"))
@@ -203,19 +195,19 @@ def payroll_notices(batch: DataFrame, employee: DataFrame) -> DataFrame:
 
 def process_payroll(batch: DataFrame) -> DataFrame:
     """Payroll rows from (emp_id, payroll_date, gross_amount, ...) at the processing rate."""
-    deductions, net = deduct("gross_amount", PROCESS_RATE)
+    deductions, net = deduct("gross_amount", labels.PROCESS_RATE)
     return batch.withColumns(
         {
             "deductions": deductions.cast("decimal(12,2)"),
             "net_amount": net.cast("decimal(12,2)"),
-            "payment_status": F.lit("PROCESSED"),
+            "payment_status": F.lit(labels.PROCESSED),
         }
     )
 
 
 def bulk_payroll(pay_rows: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Payroll rows for all (emp_id, job_id, salary_id, gross) in one insert."""
-    deductions, net = deduct("gross", BULK_RATE)
+    deductions, net = deduct("gross", labels.BULK_RATE)
     return pay_rows.select(
         day(as_of).alias("payroll_date"),
         F.col("gross").alias("gross_amount"),
@@ -224,7 +216,7 @@ def bulk_payroll(pay_rows: DataFrame, as_of: AsOf = None) -> DataFrame:
         "emp_id",
         "job_id",
         "salary_id",
-        F.lit("PROCESSED").alias("payment_status"),
+        F.lit(labels.PROCESSED).alias("payment_status"),
     )
 
 
@@ -239,7 +231,7 @@ def archive_deleted(
         {
             "archived_date": day(as_of),
             "archived_by": _user(archived_by),
-            "archive_reason": F.lit(ARCHIVE_REASON),
+            "archive_reason": F.lit(labels.ARCHIVE_REASON),
         }
     )
     return Outcome(without(current, keys, "emp_id"), archive, None)
@@ -256,9 +248,9 @@ def hire_verdicts(current: DataFrame, batch: DataFrame, order: str) -> DataFrame
     ``order`` is a unique column; of rows with the same new e-mail the first valid one wins.
     """
     code = (
-        F.when(F.col("first_name").isNull() | F.col("last_name").isNull(), NAMES_REQUIRED)
-        .when(~F.col("gender").isin("M", "F"), GENDER_INVALID)
-        .when((F.col("age") < 18) | (F.col("age") > 75), AGE_INVALID)
+        F.when(F.col("first_name").isNull() | F.col("last_name").isNull(), labels.NAMES_REQUIRED)
+        .when(~F.col("gender").isin("M", "F"), labels.GENDER_INVALID)
+        .when((F.col("age") < 18) | (F.col("age") > 75), labels.AGE_INVALID)
     )
     coded = batch.withColumn("_code", code)
     valid = coded.where("_code IS NULL AND email IS NOT NULL")
@@ -304,10 +296,10 @@ def add_qualifications(
 
 def validate_leave(batch: DataFrame) -> Outcome:
     """Reject leaves that end before they start; a missing status becomes PENDING."""
-    status = F.coalesce(F.col("status"), F.lit("PENDING"))
+    status = F.coalesce(F.col("status"), F.lit(labels.PENDING))
     valid, rejected = check_rows(
         batch.withColumn("status", status),
-        {DATES_INVALID: F.col("leave_start") <= F.col("leave_end")},
+        {labels.DATES_INVALID: F.col("leave_start") <= F.col("leave_end")},
     )
     return Outcome(valid, None, rejected)
 
@@ -327,12 +319,12 @@ def decide_leave(current: DataFrame, decisions: DataFrame) -> Outcome:
 
     A NULL status passes the check, as it is not outside the list, and becomes PENDING.
     """
-    allowed = F.coalesce(F.col("status").isin("APPROVED", "REJECTED"), F.lit(True))
+    allowed = F.coalesce(F.col("status").isin(labels.APPROVED, labels.REJECTED), F.lit(True))
     valid = decisions.where(allowed).withColumn(
-        "status", F.coalesce(F.col("status"), F.lit("PENDING"))
+        "status", F.coalesce(F.col("status"), F.lit(labels.PENDING))
     )
     snapshot = apply_updates(current, valid, "leave_id", ["status", "approved_by"])
-    invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(STATUS_INVALID))
+    invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(labels.STATUS_INVALID))
     unknown = unknown_keys(current, valid, "leave_id").withColumn(
         "reject_code", F.lit(LEAVE_UNKNOWN)
     )
@@ -348,14 +340,14 @@ def request_leave(batch: DataFrame) -> Outcome:
     asked = batch.withColumns(
         {
             "days": days_between("leave_start", "leave_end") + 1,
-            "status": F.lit("PENDING"),
+            "status": F.lit(labels.PENDING),
         }
     )
     refused = F.coalesce(F.col("days") < 0, F.lit(False))
-    text = joined(F.lit("SUCCESS: Leave request submitted ("), F.col("days"), F.lit(" days)"))
-    valid, failed = check_rows(asked.where(~refused), checks_of("leave"))
-    rejected = asked.where(refused).withColumn(
-        "result", F.lit("ERROR: End date must be after start date")
+    text = joined(
+        F.lit(labels.LEAVE_SUBMITTED), F.col("days"), F.lit(labels.LEAVE_SUBMITTED_DAYS)
     )
+    valid, failed = check_rows(asked.where(~refused), checks_of("leave"))
+    rejected = asked.where(refused).withColumn("result", F.lit(labels.LEAVE_END_ERROR))
     failed = failed.drop("failed_rules").withColumn("result", F.lit("ERROR: leave_dates"))
     return Outcome(valid.withColumn("result", text), None, rejected.unionByName(failed))

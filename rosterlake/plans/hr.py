@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.text import full_name, money_text, name_or
 from ..operators.joins import outer_to_many, without
 from ..operators.sorting import sort_by
@@ -65,7 +66,7 @@ def employee_regions(t: Tables) -> DataFrame:
     )
 
 
-def employees_or_no_department(t: Tables, default: str = "No Department Assigned") -> DataFrame:
+def employees_or_no_department(t: Tables, default: str = labels.NO_DEPARTMENT_ASSIGNED) -> DataFrame:
     joined = _staff(t).join(
         t.departments.select("department_id", "department_name"), "department_id", "left"
     )
@@ -109,7 +110,7 @@ def top_of_hierarchy(t: Tables) -> DataFrame:
             "employee_id",
             "full_name",
             "job_id",
-            F.lit("Top of organizational hierarchy").alias("reason"),
+            F.lit(labels.TOP_REASON).alias("reason"),
         )
     )
 
@@ -148,7 +149,7 @@ def employee_profiles(t: Tables) -> DataFrame:
     )
 
 
-def department_managers(t: Tables, default: str = "No Manager") -> DataFrame:
+def department_managers(t: Tables, default: str = labels.NO_MANAGER) -> DataFrame:
     heads = t.employees.select(F.col("employee_id").alias("head_id"), "first_name", "last_name")
     sites = t.departments.join(t.locations, "location_id").join(t.countries, "country_id")
     joined = sites.join(heads, F.col("manager_id") == F.col("head_id"), "left")
@@ -233,7 +234,7 @@ def review_jobs(t: Tables) -> DataFrame:
     )
 
 
-def review_all_departments(t: Tables, default: str = "No Department") -> DataFrame:
+def review_all_departments(t: Tables, default: str = labels.NO_DEPARTMENT) -> DataFrame:
     joined = t.employees.join(
         t.departments.select("department_id", "department_name"), "department_id", "left"
     )
@@ -242,7 +243,7 @@ def review_all_departments(t: Tables, default: str = "No Department") -> DataFra
     )
 
 
-def review_one_department(t: Tables, name: str = "Sales") -> DataFrame:
+def review_one_department(t: Tables, name: str = labels.SALES) -> DataFrame:
     one = t.departments.where(F.col("department_name") == name)
     joined = t.employees.join(one.select("department_id", "department_name"), "department_id")
     return sort_by(joined, "last_name", "employee_id").select(
@@ -251,7 +252,7 @@ def review_one_department(t: Tables, name: str = "Sales") -> DataFrame:
 
 
 def review_marked_department(
-    t: Tables, name: str = "Sales", default: str = "No Department"
+    t: Tables, name: str = labels.SALES, default: str = labels.NO_DEPARTMENT
 ) -> DataFrame:
     """All employees, with the department in question marked by its name."""
     joined = t.employees.join(
@@ -301,8 +302,8 @@ def employee_dependents(t: Tables) -> DataFrame:
         "employee",
         "ssn",
         "dname",
-        F.coalesce("dependent_name", F.lit("None")).alias("dependent_name"),
-        F.coalesce("relationship", F.lit("N/A")).alias("relationship"),
+        F.coalesce("dependent_name", F.lit(labels.NO_DEPENDENT)).alias("dependent_name"),
+        F.coalesce("relationship", F.lit(labels.NO_RELATIONSHIP)).alias("relationship"),
     )
 
 
@@ -321,7 +322,7 @@ def projects_with_workers(t: Tables) -> DataFrame:
     joined = outer_to_many(owned, work, "pnumber", "pno")
     return sort_by(joined, "pname", "lname", "pnumber", "essn").select(
         F.coalesce("employee", F.lit(" ")).alias("employee"),
-        F.coalesce(F.col("ssn").cast("string"), F.lit("No Employee")).alias("ssn"),
+        F.coalesce(F.col("ssn").cast("string"), F.lit(labels.NO_EMPLOYEE)).alias("ssn"),
         "dname",
         "pname",
         "pnumber",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.dates import AsOf, day, month_boundaries
 from ..functions.money import ratio
 from ..functions.text import full_name, joined, name_or
@@ -22,7 +23,7 @@ def staff_with_department(t: Tables) -> DataFrame:
     )
 
 
-def departments_with_example(t: Tables, default: str = "No employees") -> DataFrame:
+def departments_with_example(t: Tables, default: str = labels.NO_STAFF) -> DataFrame:
     """Employees per department and name; a department without staff has one row with 0."""
     per = t.employee.groupBy(
         F.col("job_id").alias("emp_job_id"), "first_name", "last_name"
@@ -37,7 +38,7 @@ def departments_with_example(t: Tables, default: str = "No employees") -> DataFr
     )
 
 
-def pay_rows_of_staff(t: Tables, default: str = "No employees assigned") -> DataFrame:
+def pay_rows_of_staff(t: Tables, default: str = labels.NO_STAFF_ASSIGNED) -> DataFrame:
     """All employees with their pay row, if any, counted per pay row, department and name.
 
     The employee is the kept side, so the rows are those of a left join from it.
@@ -72,13 +73,13 @@ def staff_and_leave(t: Tables) -> DataFrame:
     )
     full = full_outer_to_many(people, leaves, "emp_id", "leave_emp_id").select(
         F.coalesce("emp_id", "leave_emp_id").alias("emp_id"),
-        F.when(F.col("emp_id").isNull(), F.lit("ORPHANED LEAVE"))
+        F.when(F.col("emp_id").isNull(), F.lit(labels.ORPHANED_LEAVE))
         .otherwise(F.col("employee_name"))
         .alias("employee_name"),
-        F.coalesce("dept_name", F.lit("UNASSIGNED")).alias("department"),
+        F.coalesce("dept_name", F.lit(labels.UNASSIGNED)).alias("department"),
         F.coalesce("leave_id", F.lit(0)).alias("recent_leave_count"),
-        F.coalesce("leave_type", F.lit("N/A")).alias("leave_type"),
-        F.coalesce(F.date_format("leave_start", "yyyy-MM-dd"), F.lit("Never")).alias(
+        F.coalesce("leave_type", F.lit(labels.NO_LEAVE_TYPE)).alias("leave_type"),
+        F.coalesce(F.date_format("leave_start", "yyyy-MM-dd"), F.lit(labels.NEVER)).alias(
             "last_leave_start"
         ),
     )
@@ -190,7 +191,7 @@ def department_pay_pairs(t: Tables) -> DataFrame:
         t.salary_bonus.select("salary_id", "amount", "bonus_amount", "job_id"), "job_id"
     )
     label = joined(
-        F.lit("Dept-Salary Combination "), F.col("job_id"), F.lit("-"), F.col("salary_id")
+        F.lit(labels.PAIR_PREFIX), F.col("job_id"), F.lit("-"), F.col("salary_id")
     )
     return sort_by(pairs, "dept_name", "-amount", "salary_id").select(
         "dept_name", F.col("amount").alias("monthly_salary"), "bonus_amount", label.alias("combination_id")
@@ -204,14 +205,14 @@ def staff_without_leave(t: Tables) -> DataFrame:
         "employee_name",
         "dept_name",
         "hire_date",
-        F.lit("No leaves on record").alias("status"),
+        F.lit(labels.NO_LEAVE).alias("status"),
     )
 
 
 def staff_without_qualification(t: Tables) -> DataFrame:
     plain = without(staff(t).join(departments(t), "job_id"), t.qualification, "emp_id")
     return sort_by(plain, "first_name", "emp_id").select(
-        "emp_id", "employee_name", "dept_name", F.lit("No certifications").alias("qual_status")
+        "emp_id", "employee_name", "dept_name", F.lit(labels.NO_QUALIFICATION).alias("qual_status")
     )
 
 

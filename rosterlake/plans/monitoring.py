@@ -7,10 +7,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.dates import AsOf, add_months, day, month_start
 from ..functions.money import percent, ratio
 from ..operators.changes import (
-    VARIANCE_WARNING,
     expected_pay,
     process_payroll,
     validate_payroll,
@@ -22,10 +22,6 @@ from ..operators.sorting import top
 from ..sources.loading import Tables, row_count_inventory
 from .views import monthly_payroll, refresh
 
-# Fixed value: percent above which the daily audit warns.
-AUDIT_LIMIT = 50
-
-
 def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count("*").alias(name))
 
@@ -41,7 +37,7 @@ def missing_payroll(t: Tables, as_of: AsOf = None) -> DataFrame:
     )
 
 
-def unusual_payroll(t: Tables, as_of: AsOf = None, limit: int = AUDIT_LIMIT) -> DataFrame:
+def unusual_payroll(t: Tables, as_of: AsOf = None, limit: int = labels.AUDIT_LIMIT) -> DataFrame:
     """Payroll rows of the day that differ from the assigned pay by more than the limit."""
     today = t.payroll.where(F.col("payroll_date") == day(as_of))
     checked = today.join(expected_pay(t.employee, t.salary_bonus), "emp_id")
@@ -52,7 +48,7 @@ def upcoming_leave(t: Tables, as_of: AsOf = None, days: int = 7) -> DataFrame:
     start = F.col("leave_start")
     return _count(
         t.leave.where(
-            (F.col("status") == "APPROVED")
+            (F.col("status") == labels.APPROVED)
             & (start >= day(as_of))
             & (start < F.date_add(day(as_of), days))
         ),
@@ -62,7 +58,7 @@ def upcoming_leave(t: Tables, as_of: AsOf = None, days: int = 7) -> DataFrame:
 
 def overdue_leave(t: Tables, as_of: AsOf = None) -> DataFrame:
     return _count(
-        t.leave.where((F.col("status") == "PENDING") & (F.col("leave_start") <= day(as_of))),
+        t.leave.where((F.col("status") == labels.PENDING) & (F.col("leave_start") <= day(as_of))),
         "pending_leaves",
     )
 
@@ -70,7 +66,7 @@ def overdue_leave(t: Tables, as_of: AsOf = None) -> DataFrame:
 def old_rejected_leave(t: Tables, as_of: AsOf = None, months: int = 6) -> DataFrame:
     limit = add_months(day(as_of), -months)
     return _count(
-        t.leave.where((F.col("status") == "REJECTED") & (F.col("leave_start") < limit)),
+        t.leave.where((F.col("status") == labels.REJECTED) & (F.col("leave_start") < limit)),
         "rejected_leaves",
     )
 
@@ -78,7 +74,7 @@ def old_rejected_leave(t: Tables, as_of: AsOf = None, months: int = 6) -> DataFr
 def variance_warnings(payroll_audit: DataFrame, as_of: AsOf = None) -> DataFrame:
     return _count(
         payroll_audit.where(
-            (F.col("audit_date") == day(as_of)) & (F.col("audit_type") == VARIANCE_WARNING)
+            (F.col("audit_date") == day(as_of)) & (F.col("audit_type") == labels.VARIANCE_WARNING)
         ),
         "validation_errors",
     )
@@ -86,7 +82,7 @@ def variance_warnings(payroll_audit: DataFrame, as_of: AsOf = None) -> DataFrame
 
 def approved_from(t: Tables, as_of: AsOf = None) -> DataFrame:
     return _count(
-        t.leave.where((F.col("status") == "APPROVED") & (F.col("leave_start") >= day(as_of))),
+        t.leave.where((F.col("status") == labels.APPROVED) & (F.col("leave_start") >= day(as_of))),
         "upcoming_approved",
     )
 
@@ -96,9 +92,9 @@ def daily_audit(t: Tables, as_of: AsOf = None) -> DataFrame:
     missing = missing_payroll(t, as_of).scalar()
     warnings = unusual_payroll(t, as_of).scalar()
     status = (
-        F.when((F.col("missing") == 0) & (F.col("warnings") == 0), "SUCCESS")
-        .when(F.col("missing") > 0, "FAILED")
-        .otherwise("WARNING")
+        F.when((F.col("missing") == 0) & (F.col("warnings") == 0), labels.SUCCESS)
+        .when(F.col("missing") > 0, labels.FAILED)
+        .otherwise(labels.WARNING)
     )
     return (
         t.employee.sparkSession.range(1)
@@ -124,15 +120,15 @@ def execution_summary(log: DataFrame) -> DataFrame:
     seconds = F.col("execution_time_sec")
     return log.agg(
         F.count("*").alias("total_executions"),
-        _hits("SUCCESS").alias("successful"),
-        _hits("FAILED").alias("failed"),
-        _hits("WARNING").alias("warnings"),
+        _hits(labels.SUCCESS).alias("successful"),
+        _hits(labels.FAILED).alias("failed"),
+        _hits(labels.WARNING).alias("warnings"),
         ratio(F.sum(seconds), F.count(seconds)).alias("avg_execution_time"),
     )
 
 
 def success_rate(log: DataFrame) -> DataFrame:
-    return log.agg(percent(_hits("SUCCESS"), F.count("*")).alias("success_rate"))
+    return log.agg(percent(_hits(labels.SUCCESS), F.count("*")).alias("success_rate"))
 
 
 def audit_counts(
@@ -140,9 +136,9 @@ def audit_counts(
 ) -> DataFrame:
     return row_count_inventory(
         {
-            "Salary Changes": salary_audit,
-            "Payroll Issues": payroll_audit,
-            "Archived Employees": archive,
+            labels.SALARY_CHANGES: salary_audit,
+            labels.PAYROLL_ISSUES: payroll_audit,
+            labels.ARCHIVED_EMPLOYEES: archive,
         },
         label="audit_type",
     )

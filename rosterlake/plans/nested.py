@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.dates import AsOf, day
-from ..functions.money import INSERT_RATE, deduct, percent, ratio
+from ..functions.money import deduct, percent, ratio
 from ..functions.text import indent, joined
 from ..operators.grouping import with_total
 from ..operators.hierarchy import approval_levels
@@ -55,8 +56,8 @@ def leave_counts(t: Tables) -> DataFrame:
     """Three correlated counts per employee from one conditional aggregate; 0 without leave."""
     per = t.leave.groupBy("emp_id").agg(
         F.count("*").alias("total_leaves"),
-        F.count_if(F.col("status") == "APPROVED").alias("approved_leaves"),
-        F.count_if(F.col("status") == "PENDING").alias("pending_leaves"),
+        F.count_if(F.col("status") == labels.APPROVED).alias("approved_leaves"),
+        F.count_if(F.col("status") == labels.PENDING).alias("pending_leaves"),
     )
     counts = ("total_leaves", "approved_leaves", "pending_leaves")
     counted = (
@@ -72,12 +73,12 @@ def leave_counts(t: Tables) -> DataFrame:
 
 def existence_flags(t: Tables) -> DataFrame:
     people = staff(t).join(departments(t), "job_id")
-    approved = t.leave.where(F.col("status") == "APPROVED")
+    approved = t.leave.where(F.col("status") == labels.APPROVED)
     flagged = flag_existing(people, t.qualification, "emp_id", "_qualified")
     flagged = flag_existing(flagged, approved, "emp_id", "_approved")
     yes_no = {
-        "has_qualifications": F.when(F.col("_qualified"), "Yes").otherwise("No"),
-        "has_approved_leave": F.when(F.col("_approved"), "Yes").otherwise("No"),
+        "has_qualifications": F.when(F.col("_qualified"), labels.YES).otherwise(labels.NO),
+        "has_approved_leave": F.when(F.col("_approved"), labels.YES).otherwise(labels.NO),
     }
     return sort_by(flagged.withColumns(yes_no), "first_name", "emp_id").select(
         "emp_id", "employee_name", "dept_name", *yes_no
@@ -146,7 +147,7 @@ def approval_chain(t: Tables, depth: int = 5) -> DataFrame:
     )
     names = staff(t).select(F.col("emp_id").alias("node"), "employee_name")
     walked = approval_levels(seeds, links, depth).join(names, "node")
-    role = F.when(F.col("lvl") == 1, "Individual Contributor").otherwise("Approver")
+    role = F.when(F.col("lvl") == 1, labels.CONTRIBUTOR).otherwise(labels.APPROVER)
     return sort_by(walked, "lvl", "employee_name", "node").select(
         joined(indent("lvl"), F.col("employee_name")).alias("hierarchy"),
         role.alias("role"),
@@ -157,7 +158,7 @@ def approval_chain(t: Tables, depth: int = 5) -> DataFrame:
 
 def payroll_of_high_pay(t: Tables, as_of: AsOf = None) -> DataFrame:
     """New payroll rows for employees above the average amount of all pay rows."""
-    deductions, net = deduct("amount", INSERT_RATE)
+    deductions, net = deduct("amount", labels.INSERT_RATE)
     high = t.employee.select("emp_id", "job_id", "salary_id").join(pay_rows(t), "salary_id").where(
         F.col("amount") > average_of(t.salary_bonus, "amount")
     )
@@ -169,7 +170,7 @@ def payroll_of_high_pay(t: Tables, as_of: AsOf = None) -> DataFrame:
         "emp_id",
         "job_id",
         "salary_id",
-        F.lit("PROCESSED").alias("payment_status"),
+        F.lit(labels.PROCESSED).alias("payment_status"),
     )
 
 

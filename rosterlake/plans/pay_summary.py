@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.dates import leave_days
 from ..functions.money import mean, ratio
 from ..operators.grouping import margin, with_share
@@ -46,9 +47,9 @@ def budget_with_total(t: Tables) -> DataFrame:
             F.sum("headcount").alias("headcount"),
             F.sum("total").alias("salary_budget"),
             ratio(F.sum("total"), F.sum("paid")).alias("avg_salary"),
-            margin("dept_name", "GRAND TOTAL").alias("department"),
-            F.when(F.grouping("dept_name") == 1, "COMPANY WIDE")
-            .otherwise("Department")
+            margin("dept_name", labels.GRAND_TOTAL).alias("department"),
+            F.when(F.grouping("dept_name") == 1, labels.COMPANY_LEVEL)
+            .otherwise(labels.DEPARTMENT_LEVEL)
             .alias("level_type"),
         )
         .select("department", "headcount", "salary_budget", "avg_salary", "level_type"),
@@ -72,8 +73,8 @@ def pay_by_department_and_gender(t: Tables) -> DataFrame:
         .join(detail, "job_id", "left")
         .cube("dept_name", "gender")
         .agg(
-            margin("dept_name", "TOTAL").alias("department"),
-            margin("gender", "BOTH").alias("gender_label"),
+            margin("dept_name", labels.ALL_DEPARTMENTS).alias("department"),
+            margin("gender", labels.ALL_GENDERS).alias("gender_label"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("employee_count"),
             F.sum("total").alias("total_salary"),
             ratio(F.sum("total"), F.sum("paid")).alias("avg_salary"),

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions.dates import AsOf, add_months, day, days_between, leave_days, month_start, started_years
-from ..functions.money import PERIODS, mean, percent, ratio
+from ..functions.money import mean, percent, ratio
 from ..operators.sorting import sort_by, top
 from ..sources.loading import Tables
 from .base import all_departments_pay, departments, pay_rows, payroll_per_employee, staff
@@ -16,10 +17,8 @@ from .matches import approver_names
 
 
 def _label(column: str, texts: dict[str, str]) -> Column:
-    label = F
-    for value, text in texts.items():
-        label = label.when(F.col(column) == value, text)
-    return label.otherwise("Unknown")
+    known = [F.when(F.col(column) == value, text) for value, text in texts.items()]
+    return F.coalesce(*known, F.lit(labels.UNKNOWN))
 
 
 def employee_directory(t: Tables) -> DataFrame:
@@ -100,19 +99,6 @@ def matching_department(profile: DataFrame) -> DataFrame:
     return profile.withColumn("job_id", F.when(F.col("dept_name").isNotNull(), F.col("job_id")))
 
 
-# Display texts of the status codes.
-PAYMENT_TEXT = {
-    "PENDING": "Awaiting Processing",
-    "PROCESSED": "Ready to Pay",
-    "PAID": "Paid Out",
-}
-LEAVE_TEXT = {
-    "APPROVED": "Approved by Manager",
-    "PENDING": "Awaiting Approval",
-    "REJECTED": "Not Approved",
-}
-
-
 def payroll_analysis(t: Tables, as_of: AsOf = None) -> DataFrame:
     people = staff(t).select("emp_id", "employee_name")
     joined = t.payroll.join(people, "emp_id").join(departments(t), "job_id")
@@ -126,8 +112,8 @@ def payroll_analysis(t: Tables, as_of: AsOf = None) -> DataFrame:
         "deductions",
         "net_amount",
         percent("deductions", "gross_amount").alias("deduction_pct"),
-        _label("payment_status", PAYMENT_TEXT).alias("payment_status_desc"),
-        F.round((F.col("gross_amount") - F.col("deductions")) / PERIODS, 2).alias("weekly_net"),
+        _label("payment_status", labels.PAYMENT_TEXT).alias("payment_status_desc"),
+        F.round((F.col("gross_amount") - F.col("deductions")) / labels.PERIODS, 2).alias("weekly_net"),
         days_between("payroll_date", day(as_of)).alias("days_since_payroll"),
     )
 
@@ -148,7 +134,7 @@ def leave_management(t: Tables, as_of: AsOf = None) -> DataFrame:
         leave_days("leave_start", "leave_end", inclusive=True, when_open=1).alias("days_requested"),
         "reason",
         "status",
-        _label("status", LEAVE_TEXT).alias("status_description"),
+        _label("status", labels.LEAVE_TEXT).alias("status_description"),
         F.coalesce("approver", F.lit(" ")).alias("approved_by_manager"),
         days_between("leave_start", day(as_of)).alias("days_until_leave"),
     )
@@ -159,9 +145,9 @@ def employee_qualifications(t: Tables, as_of: AsOf = None) -> DataFrame:
     years = started_years("grant_date", as_of)
     joined = t.qualification.join(people, "emp_id").withColumn("years_since_certification", years)
     status = (
-        F.when(F.col("years_since_certification") >= 3, "Renewal Recommended")
-        .when(F.col("years_since_certification") >= 2, "Current")
-        .otherwise("Recent")
+        F.when(F.col("years_since_certification") >= labels.RENEWAL_YEARS, labels.RENEWAL)
+        .when(F.col("years_since_certification") >= labels.CURRENT_YEARS, labels.CURRENT)
+        .otherwise(labels.RECENT)
     )
     return joined.select(
         "qual_id",

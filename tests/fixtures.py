@@ -75,7 +75,7 @@ def company_tables(spark) -> Tables:
     departments = [(i + 1, n) for i, n in enumerate(DEPARTMENTS)]
     pay = [(s, Decimal(a), Decimal(b), Decimal(r), j) for s, a, b, r, j in PAY]
     staff = [
-        (i, f, l, g, a, f"{f}.{l}@ems.com".lower(), f"555-01{n:02d}", date(2020, 1, 1), j, s)
+        (i, f, l, g, a, f"{f}.{l}@example.com".lower(), f"555-01{n:02d}", date(2020, 1, 1), j, s)
         for n, (i, f, l, g, a, j, s) in enumerate(STAFF, 1)
     ]
     quals = [(i, f"Course {i}", k, d, e) for i, k, d, e in QUALIFICATIONS]

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from rosterlake import labels
 from rosterlake.operators import changes as ch
 
 from .fixtures import AS_OF
@@ -21,7 +22,7 @@ def test_raise_passes_and_is_logged(spark, company):
     assert out.rows.where("salary_id = 100").first()["amount"] == Decimal("99750.00")
     log = out.audit.first()
     assert tuple(log) == (
-        100, Decimal("95000.00"), Decimal("99750.00"), Decimal("4750.00"), "hr", AS_OF, ch.RAISE_REASON,
+        100, Decimal("95000.00"), Decimal("99750.00"), Decimal("4750.00"), "hr", AS_OF, labels.RAISE_REASON,
     )
     assert out.rejected.count() == 0 and out.rows.count() == 8
 
@@ -72,7 +73,7 @@ def test_leave_batch(spark, company):
     batch = spark.createDataFrame(rows, "leave_id bigint, leave_start date, leave_end date, status string")
     out = ch.validate_leave(batch)
     assert {r["leave_id"]: r["status"] for r in out.rows.collect()} == {1: "PENDING", 3: "PENDING"}
-    assert [(r["leave_id"], r["failed_rules"]) for r in out.rejected.collect()] == [(2, [ch.DATES_INVALID])]
+    assert [(r["leave_id"], r["failed_rules"]) for r in out.rejected.collect()] == [(2, [labels.DATES_INVALID])]
 
 
 def payroll_batch(spark, rows):
@@ -110,7 +111,7 @@ def test_archive(spark, company):
     out = ch.archive_deleted(company.employee, keys, AS_OF, "hr")
     assert {r["emp_id"] for r in out.audit.collect()} == {1003, 1004}
     assert {(r["archived_date"], r["archived_by"], r["archive_reason"]) for r in out.audit.collect()} == {
-        (AS_OF, "hr", ch.ARCHIVE_REASON)
+        (AS_OF, "hr", labels.ARCHIVE_REASON)
     }
     assert out.rows.count() + out.audit.count() == 12
 
@@ -143,15 +144,15 @@ def test_hires(spark, company):
     batch = hire(
         spark,
         [
-            (1, "Ann", "One", "F", 30, "ann@ems.com", None, 1, 100),
-            (2, None, "Two", "F", 30, "two@ems.com", None, 1, 100),
-            (3, "Cy", "Three", "X", 30, "cy@ems.com", None, 1, 100),
-            (4, "Di", "Four", "F", 17, "di@ems.com", None, 1, 100),
-            (5, "Ed", "Five", "M", 40, "john.doe@ems.com", None, 1, 100),
-            (6, "Fay", "Six", "F", 40, "ann@ems.com", None, 1, 100),
+            (1, "Ann", "One", "F", 30, "ann@example.com", None, 1, 100),
+            (2, None, "Two", "F", 30, "two@example.com", None, 1, 100),
+            (3, "Cy", "Three", "X", 30, "cy@example.com", None, 1, 100),
+            (4, "Di", "Four", "F", 17, "di@example.com", None, 1, 100),
+            (5, "Ed", "Five", "M", 40, "john.doe@example.com", None, 1, 100),
+            (6, "Fay", "Six", "F", 40, "ann@example.com", None, 1, 100),
             (7, "Gus", "Seven", None, None, None, None, 2, None),
-            (8, "Hal", "Eight", "X", 1, "hal@ems.com", None, 2, None),
-            (9, "Hal", "Nine", "M", 50, "hal@ems.com", None, 2, None),
+            (8, "Hal", "Eight", "X", 1, "hal@example.com", None, 2, None),
+            (9, "Hal", "Nine", "M", 50, "hal@example.com", None, 2, None),
         ],
     )
     out = ch.add_employees(company.employee, batch, "no", AS_OF)
@@ -160,8 +161,8 @@ def test_hires(spark, company):
         1012: ("Ann", "One", AS_OF), 1013: ("Gus", "Seven", AS_OF), 1014: ("Hal", "Nine", AS_OF),
     }
     assert {r["no"]: r["reject_code"] for r in out.rejected.collect()} == {
-        2: ch.NAMES_REQUIRED, 3: ch.GENDER_INVALID, 4: ch.AGE_INVALID, 5: ch.EMAIL_EXISTS,
-        6: ch.EMAIL_EXISTS, 8: ch.GENDER_INVALID,
+        2: labels.NAMES_REQUIRED, 3: labels.GENDER_INVALID, 4: labels.AGE_INVALID, 5: ch.EMAIL_EXISTS,
+        6: ch.EMAIL_EXISTS, 8: labels.GENDER_INVALID,
     }
     assert out.rows.count() == 15 and out.audit.count() + out.rejected.count() == 9
 
@@ -189,7 +190,7 @@ def test_leave_decisions(spark, company):
         3000: ("REJECTED", 1004), 3001: ("APPROVED", 1003), 3002: ("APPROVED", 1003), 3003: ("PENDING", 7),
     }
     assert {r["leave_id"]: r["reject_code"] for r in out.rejected.collect()} == {
-        3001: ch.STATUS_INVALID, 9: ch.LEAVE_UNKNOWN,
+        3001: labels.STATUS_INVALID, 9: ch.LEAVE_UNKNOWN,
     }
     changed = ch.status_changes(company.leave, out.rows).collect()
     assert {r["leave_id"] for r in changed} == {3000, 3002, 3003}

@@ -3,7 +3,7 @@
 from datetime import date
 from decimal import Decimal
 
-from rosterlake.operators.changes import VARIANCE_LIMIT
+from rosterlake import labels
 from rosterlake.plans import matches, monitoring, nested, pay_summary, views
 from rosterlake.session import new_path
 from rosterlake.streaming.validation import stream_validate_leave, stream_validate_payroll
@@ -135,7 +135,7 @@ def test_leave_monitoring(company):
     assert monitoring.upcoming_leave(company, date(2024, 2, 4)).first()[0] == 1
     assert monitoring.overdue_leave(company, date(2024, 3, 5)).first()[0] == 1
     assert monitoring.approved_from(company, date(2024, 2, 10)).first()[0] == 2
-    assert VARIANCE_LIMIT == 20 and monitoring.AUDIT_LIMIT == 50
+    assert labels.VARIANCE_LIMIT == 20 and labels.AUDIT_LIMIT == 50
 
 
 def test_refresh_keeps_the_former_copy(spark, company):
