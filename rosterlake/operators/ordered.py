@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import percent, ratio
-from ..session import fits_one_task, materialize
+from ..session import fits_one_task, materialize, small_side
 from .grouping import with_total
 from .joins import null_safe
 from .sorting import sort_keys
@@ -118,7 +118,7 @@ def number_rows(
         "_slice",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
     )
-    return null_safe(stored, starts, [*keys, "_slice"]).select(
+    return null_safe(stored, small_side(starts), [*keys, "_slice"]).select(
         *df.columns, (F.col("_place") + F.col("_offset")).alias(name)
     )
 
@@ -211,7 +211,7 @@ def over_order(
                 for n, f in running.items()
             ],
         )
-        result = null_safe(result, carried, blocks)
+        result = null_safe(result, small_side(carried), blocks)
         for name, frame in running.items():
             here, carry = F.col(name), F.col(f"_in_{name}")
             if frame.kind == "running_sum":
@@ -222,6 +222,10 @@ def over_order(
     return result.select(*df.columns, *frames)
 
 
+def _if_small(bound: DataFrame | None) -> DataFrame | None:
+    return bound if fits_one_task(bound) else None
+
+
 def rank_rows(
     df: DataFrame,
     value: str,
@@ -256,7 +260,7 @@ def rank_rows(
         ranked = with_total(weighted, "_sum", "_total", keys, bound)
         columns[share] = percent(value, "_total")
     ranked = ranked.select(*keys, value, *[c.alias(n) for n, c in columns.items()])
-    return null_safe(df, ranked, [*keys, value])
+    return null_safe(df, small_side(ranked, _if_small(bound)), [*keys, value])
 
 
 def top_ranked(
@@ -270,7 +274,8 @@ def top_ranked(
     """Rows whose rank by ``value`` (largest first) is at most ``k``, with their ranks.
 
     At most k distinct values per group can qualify, so only those are ranked: Catalyst cuts
-    each task to k values per group before the shuffle. All tied rows are kept.
+    each task to k values per group before the shuffle. All tied rows are kept. Without
+    groups the ranked values are k rows, so they can be broadcast as they are.
     """
     keys = list(partition_by)
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
@@ -291,7 +296,7 @@ def top_ranked(
     best = best.select(
         *keys, value, *[F.col(formula[kind]).cast("bigint").alias(n) for kind, n in names.items()]
     )
-    return null_safe(df, best, [*keys, value])
+    return null_safe(df, small_side(best) if keys else F.broadcast(best), [*keys, value])
 
 
 def assign_keys(

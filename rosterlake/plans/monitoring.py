@@ -11,7 +11,6 @@ from .. import labels
 from ..functions.dates import AsOf, add_months, day, month_start
 from ..functions.money import percent, ratio
 from ..operators.changes import (
-    expected_pay,
     process_payroll,
     validate_payroll,
     variance_above,
@@ -39,8 +38,11 @@ def missing_payroll(t: Tables, as_of: AsOf = None) -> DataFrame:
 
 def unusual_payroll(t: Tables, as_of: AsOf = None, limit: int = labels.AUDIT_LIMIT) -> DataFrame:
     """Payroll rows of the day that differ from the assigned pay by more than the limit."""
-    today = t.payroll.where(F.col("payroll_date") == day(as_of))
-    checked = today.join(expected_pay(t.employee, t.salary_bonus), "emp_id")
+    # the rows of one day are joined step by step: they are few against the joined tables
+    today = t.payroll.where(F.col("payroll_date") == day(as_of)).select("emp_id", "gross_amount")
+    checked = today.join(t.employee.select("emp_id", "salary_id"), "emp_id").join(
+        t.salary_bonus.select("salary_id", F.col("amount").alias("expected")), "salary_id"
+    )
     return _count(checked.where(variance_above(limit)), "variance_warnings")
 
 

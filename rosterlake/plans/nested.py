@@ -15,10 +15,10 @@ from ..operators.joins import flag_existing, matching, without
 from ..operators.ordered import rank_rows
 from ..operators.sorting import sort_by
 from ..operators.subqueries import average_of
+from ..session import small_side
 from ..sources.loading import Tables
 from .base import (
     all_departments_pay,
-    department_pay,
     departments,
     paid_staff,
     pay_rows,
@@ -29,11 +29,13 @@ from .base import (
 
 def pay_against_department(t: Tables) -> DataFrame:
     """Pay, department average and difference: the correlated average is one group join."""
-    averages = department_pay(t).select(
-        "job_id", (F.col("total") / F.nullif("paid", F.lit(0))).alias("mean_pay")
-    )
-    compared = paid_staff(t).join(averages, "job_id").withColumn(
-        "difference_from_avg", F.round(F.col("amount") - F.col("mean_pay"), 2)
+    mean_pay = F.col("total") / F.nullif("paid", F.lit(0))
+    places = all_departments_pay(t).select("job_id", "dept_name", mean_pay.alias("mean_pay"))
+    compared = (
+        staff(t)
+        .join(small_side(places, t.job_department), "job_id")
+        .join(pay_rows(t), "salary_id")
+        .withColumn("difference_from_avg", F.round(F.col("amount") - F.col("mean_pay"), 2))
     )
     return sort_by(compared, "dept_name", "-difference_from_avg", "emp_id").select(
         "employee_name",
@@ -102,12 +104,12 @@ def department_share_of_pay(t: Tables) -> DataFrame:
 
 
 def pay_ranks_with_department(t: Tables) -> DataFrame:
-    stats = department_pay(t).select(
+    stats = all_departments_pay(t).select(
         "job_id", F.col("headcount").alias("dept_size"), ratio("total", "paid").alias("avg_salary")
     )
     rows = paid_staff(t).select("emp_id", "job_id", "employee_name", "dept_name", "amount")
     ranked = rank_rows(rows, "amount", {"rank": "salary_rank"}, ["dept_name"], bound=t.employee)
-    joined_rows = ranked.join(stats, "job_id")
+    joined_rows = ranked.join(small_side(stats, t.job_department), "job_id")
     return sort_by(joined_rows, "dept_name", "salary_rank", "emp_id").select(
         "employee_name",
         "dept_name",

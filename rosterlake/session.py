@@ -7,9 +7,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Largest estimated input (bytes) that may be handled by one task.
 SINGLE_TASK_BYTES = 32 * 1024 * 1024
+# Largest size (bytes of Parquet files) of a join side that is sent to all executors.
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 _scratch_by_app: dict[str, str] = {}
 
@@ -78,3 +81,15 @@ def fits_one_task(bound: DataFrame | None, limit: int | None = None) -> bool:
     """True when ``bound``, a table whose rows bound the work, is small enough for one task."""
     limit = SINGLE_TASK_BYTES if limit is None else limit
     return bound is not None and estimated_bytes(bound) <= limit
+
+
+def small_side(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    """A join side, marked for broadcast only if it is known to be small.
+
+    Known from the size of ``bound``, a table with at least as many rows, or else from the
+    files of the written side. A larger side is returned unmarked, for a shuffled join. This
+    keeps a large other side from being shuffled by a key that few values make up.
+    """
+    if bound is None:
+        df = bound = materialize(df, "side")
+    return F.broadcast(df) if estimated_bytes(bound) <= BROADCAST_BYTES else df
