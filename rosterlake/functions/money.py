@@ -13,6 +13,15 @@ def rate(text: str) -> Column:
     return F.lit(text).cast("decimal(5,4)")
 
 
+def wide(total: ColumnLike) -> Column:
+    """A total of amounts, typed so that its quotients keep 12 or more decimals.
+
+    Sums of sums have the full 38 digits, which leaves a quotient only six decimals: too few
+    to round it a second time.
+    """
+    return _col(total).cast("decimal(28,2)")
+
+
 def ratio(numerator: ColumnLike, denominator: ColumnLike, digits: int = 2) -> Column:
     """Rounded quotient, NULL when the denominator is zero."""
     return F.round(_col(numerator) / F.nullif(_col(denominator), F.lit(0)), digits)

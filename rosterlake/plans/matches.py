@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions.dates import AsOf, day, month_boundaries
-from ..functions.money import ratio
+from ..functions.money import ratio, wide
 from ..functions.text import full_name, joined, name_or
 from ..operators.grouping import with_total
 from ..operators.joins import full_outer_to_many, outer_to_many, without
@@ -134,7 +134,7 @@ def department_payroll(t: Tables, per_payroll_row: bool = True) -> DataFrame:
         "salary_range",
         F.coalesce("headcount", F.lit(0)).alias("headcount"),
         F.coalesce("distinct_salary_levels", F.lit(0)).alias("distinct_salary_levels"),
-        ratio("weighted", "weights").alias("avg_salary"),
+        ratio(wide("weighted"), "weights").alias("avg_salary"),
         "min_salary",
         "max_salary",
         "dept_net_payroll",

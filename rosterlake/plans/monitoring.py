@@ -167,5 +167,5 @@ def payroll_run(t: Tables, batch: DataFrame, as_of: AsOf, base: str) -> PayrollR
     audit = assign_keys(validated.audit, ["payroll_id"], "audit_id")
     after = t.replacing(payroll=t.payroll.unionByName(processed.select(*t.payroll.columns)))
     checks = daily_audit(after, as_of)
-    report = refresh(monthly_payroll(after, as_of), base)
+    report = refresh(monthly_payroll(after, as_of), base, ("payroll_month",))
     return PayrollRun(processed, audit, checks, report)

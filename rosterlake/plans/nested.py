@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions.dates import AsOf, day
-from ..functions.money import deduct, percent, ratio
+from ..functions.money import deduct, percent, ratio, wide
 from ..functions.text import indent, joined
 from ..operators.grouping import with_total
 from ..operators.hierarchy import approval_levels
@@ -95,7 +95,7 @@ def department_share_of_pay(t: Tables) -> DataFrame:
         .agg(
             F.sum("headcount").alias("emp_count"),
             F.sum("total").alias("total_salary"),
-            ratio(F.sum("total"), F.sum("paid")).alias("avg_salary"),
+            ratio(wide(F.sum("total")), F.sum("paid")).alias("avg_salary"),
         )
     )
     all_pay = t.salary_bonus.agg(F.sum("amount").alias("s")).scalar()

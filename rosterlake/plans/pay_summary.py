@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions.dates import leave_days
-from ..functions.money import mean, ratio
+from ..functions.money import mean, ratio, wide
 from ..operators.grouping import margin, with_share
 from ..operators.joins import matching
 from ..operators.ordered import (
@@ -46,7 +46,7 @@ def budget_with_total(t: Tables) -> DataFrame:
         .agg(
             F.sum("headcount").alias("headcount"),
             F.sum("total").alias("salary_budget"),
-            ratio(F.sum("total"), F.sum("paid")).alias("avg_salary"),
+            ratio(wide(F.sum("total")), F.sum("paid")).alias("avg_salary"),
             margin("dept_name", labels.GRAND_TOTAL).alias("department"),
             F.when(F.grouping("dept_name") == 1, labels.COMPANY_LEVEL)
             .otherwise(labels.DEPARTMENT_LEVEL)
@@ -77,7 +77,7 @@ def pay_by_department_and_gender(t: Tables) -> DataFrame:
             margin("gender", labels.ALL_GENDERS).alias("gender_label"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("employee_count"),
             F.sum("total").alias("total_salary"),
-            ratio(F.sum("total"), F.sum("paid")).alias("avg_salary"),
+            ratio(wide(F.sum("total")), F.sum("paid")).alias("avg_salary"),
         )
     )
     return sort_by(cubed, "department", "gender_label").select(

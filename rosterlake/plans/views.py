@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions.dates import AsOf, add_months, day, days_between, leave_days, month_start, started_years
-from ..functions.money import mean, percent, ratio
+from ..functions.money import mean, percent, ratio, wide
 from ..operators.sorting import sort_by, top
 from ..sources.loading import Tables
 from .base import all_departments_pay, departments, pay_rows, payroll_per_employee, staff
@@ -194,7 +194,7 @@ def department_summary(t: Tables, as_of: AsOf = None, per_payroll_row: bool = Tr
         "dept_name",
         "dept_description",
         F.coalesce("headcount", F.lit(0)).alias("headcount"),
-        ratio("budget", "weights").alias("avg_salary"),
+        ratio(wide("budget"), "weights").alias("avg_salary"),
         "min_salary",
         "max_salary",
         F.col("budget").alias("total_salary_budget"),
@@ -312,23 +312,24 @@ def refresh(df: DataFrame, base: str, partition_by: tuple[str, ...] = ()) -> Dat
     """Full refresh: write the next numbered copy below ``base`` and return it.
 
     Readers of the former copy keep their files; `current_summary` opens the newest one.
+    The number of a copy that was never finished is not used again.
     """
-    number = latest_refresh(df.sparkSession, base) + 1
+    number = max(_copies(df.sparkSession, base), default=0) + 1
     df.write.partitionBy(*partition_by).parquet(f"{base}/refresh_no={number}")
     return current_summary(df.sparkSession, base)
 
 
-def _finished(spark: SparkSession, base: str) -> list[int]:
-    """Numbers of the copies whose write has been committed."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{base}/refresh_no=*/_SUCCESS")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    return [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
+def _copies(spark: SparkSession, base: str, inside: str = "") -> list[int]:
+    """Numbers of the copies below ``base`` that hold a file ``inside``."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/refresh_no=*{inside}")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    paths = [str(status.getPath().toString()) for status in files.globStatus(pattern) or []]
+    return [int(path.rsplit("refresh_no=", 1)[1].split("/")[0]) for path in paths]
 
 
 def latest_refresh(spark: SparkSession, base: str) -> int:
-    return max(_finished(spark, base), default=0)
+    """Number of the newest copy whose write has been committed, 0 without any."""
+    return max(_copies(spark, base, "/_SUCCESS"), default=0)
 
 
 def current_summary(spark: SparkSession, base: str) -> DataFrame:

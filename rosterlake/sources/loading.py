@@ -17,6 +17,7 @@ class Tables:
 
     def __init__(self, **frames: DataFrame | Callable[[], DataFrame]):
         self._frames = dict(frames)
+        self.folder: str | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

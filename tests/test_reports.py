@@ -148,6 +148,14 @@ def test_refresh_keeps_the_former_copy(spark, company):
     assert second.agg({"payroll_records": "sum"}).first()[0] == 3
     assert first.agg({"payroll_records": "sum"}).first()[0] == paid == 14
     assert views.current_summary(spark, base).count() == 1
+    # a copy without its commit marker is neither read nor overwritten
+    company.payroll.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{base}/refresh_no=3"
+    )
+    assert views.latest_refresh(spark, base) == 2
+    third = views.refresh(views.monthly_payroll(company, AS_OF), base, ("payroll_month",))
+    assert views.latest_refresh(spark, base) == 4
+    assert third.agg({"payroll_records": "sum"}).first()[0] == 14
 
 
 def test_views_are_usable_in_sql(spark, company):
