@@ -334,6 +334,8 @@ def _sql_view(t: Tables) -> DataFrame:
     )
 
 
+KEYS = q("SELECT leave_id, 2999 + row_number() OVER (ORDER BY leave_start DESC, leave_id) AS new_id FROM leave")
+
 CHECKS = {
     "n01_explode_multivalue": (
         lambda t: quality.explode_multivalue(t.raw_documents, "doc_id", "text").select(
@@ -424,7 +426,13 @@ CHECKS = {
     "n10_assign_keys": (
         lambda t: assign_keys(t.leave.select("leave_id", "leave_start"), ["-leave_start", "leave_id"], "new_id", 3000)
         .drop("leave_start"),
-        q("""SELECT leave_id, 2999 + row_number() OVER (ORDER BY leave_start DESC, leave_id) AS new_id FROM leave"""),
+        KEYS,
+    ),
+    "n10_assign_keys_sliced": (
+        lambda t: assign_keys(
+            t.leave.select("leave_id", "leave_start"), ["-leave_start", "leave_id"], "new_id", 3000, plain_rows=0
+        ).drop("leave_start"),
+        KEYS,
     ),
     "d01_apply_updates": (
         lambda t: changes.apply_updates(

@@ -101,14 +101,25 @@ def _rollup2(t: Tables) -> DataFrame:
     )
 
 
-def _running(t: Tables, frames) -> DataFrame:
+def _running(t: Tables, frames, **form) -> DataFrame:
     rows = t.payroll.select("payroll_id", "job_id", "payroll_date", "gross_amount")
-    # plain_rows=0: the form for groups of any size
-    return over_order(rows, ORDERED, frames, ["job_id"], plain_rows=0).drop(
+    return over_order(rows, ORDERED, frames, ["job_id"], **form).drop(
         "payroll_date", "gross_amount"
     )
 
 
+LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _numbered(t: Tables, **form) -> DataFrame:
+    lines = t.raw_lineitem.select(*LINES, "l_shipdate")
+    return over_order(lines, ["-l_shipdate", *LINES], {"row_num": position()}, **form).drop("l_shipdate")
+
+
+def _hour_ranks(t: Tables, **form) -> DataFrame:
+    return rank_rows(t.works_on, "hours", {"rank": "rank_no"}, ["pno"], **form)
+
+
 def _chain(t: Tables) -> DataFrame:
     """Staff of every reporting level below the top, to the fifth level."""
     seeds = t.employees.where("manager_id IS NULL").select(F.col("employee_id").alias("node"))
@@ -354,18 +365,12 @@ CHECKS = {
             (SELECT count(*) FROM qualification k WHERE k.emp_id = e.emp_id) AS courses,
             (SELECT count(*) FROM payroll p WHERE p.emp_id = e.emp_id) AS pays FROM employee e""")),
     "w01_row_number": (
-        lambda t: over_order(
-            t.raw_lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"),
-            ["-l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-            {"row_num": position()},
-        ).drop("l_shipdate"),
+        _numbered,
         """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, row_number() OVER
             (ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_num FROM lineitem""",
     ),
     "w02_rank": (
-        lambda t: rank_rows(
-            t.works_on, "hours", {"rank": "rank_no"}, ["pno"], plain_rows=0
-        ),
+        _hour_ranks,
         q("""SELECT essn, pno, hours::DOUBLE AS hours, rank() OVER (PARTITION BY pno ORDER BY works_on.hours DESC) AS rank_no
             FROM works_on"""),
     ),
@@ -506,3 +511,40 @@ CHECKS = {
             UNION ALL SELECT node, 2 FROM l2 UNION ALL SELECT node, 3 FROM l3
             UNION ALL SELECT node, 4 FROM l4 UNION ALL SELECT node, 5 FROM l5)""")),
 }
+
+# The same results from the forms for groups of any size, whatever the size of the tables.
+ANY_SIZE = {"plain_rows": 0, "block_rows": 1 << 12}
+CHECKS |= {
+    "w01_row_number_sliced": (lambda t: _numbered(t, **ANY_SIZE), CHECKS["w01_row_number"][1]),
+    "w02_rank_sliced": (lambda t: _hour_ranks(t, plain_rows=0), CHECKS["w02_rank"][1]),
+    "w03_dense_rank_sliced": (
+        lambda t: rank_rows(
+            t.works_on, "hours", {"dense_rank": "dense_no", "rank": "rank_no"}, plain_rows=0
+        ),
+        CHECKS["w03_dense_rank"][1],
+    ),
+    "w05_lag_lead_sliced": (
+        lambda t: _running(
+            t,
+            {"before": previous("gross_amount"), "two_after": following("gross_amount", 2)},
+            **ANY_SIZE,
+        ),
+        CHECKS["w05_lag_lead"][1],
+    ),
+    "w06_running_total_sliced": (
+        lambda t: _running(
+            t,
+            {"running": running_sum("gross_amount"), "highest": largest_before("gross_amount")},
+            **ANY_SIZE,
+        ),
+        CHECKS["w06_running_total"][1],
+    ),
+    "w07_moving_average_sliced": (
+        lambda t: _running(t, {"near": moving_mean("gross_amount", 2, 2)}, **ANY_SIZE),
+        CHECKS["w07_moving_average"][1],
+    ),
+    "w08_cumulative_count_sliced": (
+        lambda t: _running(t, {"so_far": position()}, **ANY_SIZE),
+        CHECKS["w08_cumulative_count"][1],
+    ),
+}

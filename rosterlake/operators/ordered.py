@@ -127,9 +127,11 @@ def _groups_are_small(
     df: DataFrame, keys: Sequence[str], bound: DataFrame | None, limit: int
 ) -> bool:
     """May a plain window be used? Counting groups reads the key columns only."""
-    if fits_one_task(bound):
+    if limit <= 0:
+        return False
+    if fits_one_task(df if bound is None else bound):
         return True
-    if not keys or limit <= 0:
+    if not keys:
         return False
     largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
     return (largest or 0) <= limit
@@ -147,8 +149,8 @@ def over_order(
     """Add calculations over the ordered rows (per group).
 
     ``order_by`` must end with a unique key. ``bound`` is a table that has at least as many
-    rows as ``df``. Plain windows are used when it is small or when no group has more than
-    ``plain_rows`` rows.
+    rows as ``df``, for inputs whose own size estimate is too high (joins). Plain windows are
+    used when it is small or when no group has more than ``plain_rows`` rows; with 0, never.
     """
     if _groups_are_small(df, partition_by, bound, plain_rows):
         return _plain(df, order_by, partition_by, frames)
@@ -222,10 +224,6 @@ def over_order(
     return result.select(*df.columns, *frames)
 
 
-def _if_small(bound: DataFrame | None) -> DataFrame | None:
-    return bound if fits_one_task(bound) else None
-
-
 def rank_rows(
     df: DataFrame,
     value: str,
@@ -242,9 +240,12 @@ def rank_rows(
     same counts.
     """
     keys = list(partition_by)
+    if bound is None and plain_rows > 0:
+        bound = df
+    small = fits_one_task(bound)
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
-    if not fits_one_task(bound):
-        counted = materialize(counted, "values")
+    if not small:
+        bound, counted = None, materialize(counted, "values")
     ranked = over_order(
         counted,
         [f"-{value}"],
@@ -260,7 +261,7 @@ def rank_rows(
         ranked = with_total(weighted, "_sum", "_total", keys, bound)
         columns[share] = percent(value, "_total")
     ranked = ranked.select(*keys, value, *[c.alias(n) for n, c in columns.items()])
-    return null_safe(df, small_side(ranked, _if_small(bound)), [*keys, value])
+    return null_safe(df, ranked if small else small_side(ranked), [*keys, value])
 
 
 def top_ranked(
@@ -296,13 +297,21 @@ def top_ranked(
     best = best.select(
         *keys, value, *[F.col(formula[kind]).cast("bigint").alias(n) for kind, n in names.items()]
     )
-    return null_safe(df, small_side(best) if keys else F.broadcast(best), [*keys, value])
+    if not keys:
+        best = F.broadcast(best)
+    elif not fits_one_task(df):
+        best = small_side(best)
+    return null_safe(df, best, [*keys, value])
 
 
 def assign_keys(
-    df: DataFrame, order_by: Sequence[str], key: str, start: int | Column = 1
+    df: DataFrame,
+    order_by: Sequence[str],
+    key: str,
+    start: int | Column = 1,
+    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """Add consecutive surrogate keys from ``start`` in the given order."""
-    numbered = number_rows(df, order_by, name="_n")
+    numbered = over_order(df, order_by, {"_n": position()}, plain_rows=plain_rows)
     first = F.lit(start) if isinstance(start, int) else start
     return numbered.withColumn(key, (first + F.col("_n") - 1).cast("bigint")).drop("_n")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
@@ -73,14 +74,19 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; for a Parquet scan this is the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate: file sizes of scans, products of joins, sums of unions.
+
+    It does not know how many rows an explode makes, so a plan with one counts as unbounded.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "Generate " in plan.toString():
+        return sys.maxsize
+    return int(str(plan.stats().sizeInBytes()))
 
 
-def fits_one_task(bound: DataFrame | None, limit: int | None = None) -> bool:
+def fits_one_task(bound: DataFrame | None) -> bool:
     """True when ``bound``, a table whose rows bound the work, is small enough for one task."""
-    limit = SINGLE_TASK_BYTES if limit is None else limit
-    return bound is not None and estimated_bytes(bound) <= limit
+    return bound is not None and estimated_bytes(bound) <= SINGLE_TASK_BYTES
 
 
 def small_side(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:

@@ -53,7 +53,7 @@ def test_several_changes_of_one_row(many_slices, company, sliced, monkeypatch):
     assert out.rows.where("salary_id = 103").first()["amount"] == Decimal("91000.50")
 
 
-def _sliced(df, order_by, frames, partition_by=(), bound=None):
+def _sliced(df, order_by, frames, partition_by=(), _bound=None):
     from rosterlake.operators.ordered import over_order
 
     return over_order(df, order_by, frames, partition_by, plain_rows=0, block_rows=2)

@@ -152,11 +152,21 @@ def test_share_of_group(many_slices):
 
 def test_assigned_keys_follow_each_other(many_slices):
     df = many_slices.range(200).repartition(6)
-    got = o.assign_keys(df, ["-id"], "key", 5000).collect()
-    assert sorted((r["key"], r["id"]) for r in got) == [(5000 + i, 199 - i) for i in range(200)]
+    for plain_rows in (0, 1000):
+        got = o.assign_keys(df, ["-id"], "key", 5000, plain_rows).collect()
+        assert sorted((r["key"], r["id"]) for r in got) == [(5000 + i, 199 - i) for i in range(200)]
+
+
+def test_size_estimate_of_an_explode_is_unbounded(spark):
+    from rosterlake.session import fits_one_task
+
+    df = spark.range(10)
+    assert fits_one_task(df)
+    assert not fits_one_task(df.selectExpr("explode(sequence(0, id))"))
+    assert not fits_one_task(None)
 
 
 def test_empty_input(many_slices):
     df = many_slices.createDataFrame([], SCHEMA)
     assert o.over_order(df, ["val", "id"], FRAMES, ["grp"], plain_rows=0).count() == 0
-    assert o.rank_rows(df, "val", {"rank": "r"}).count() == 0
+    assert o.rank_rows(df, "val", {"rank": "r"}, plain_rows=0).count() == 0

@@ -39,7 +39,8 @@ def test_windows_without_groups_are_bounded(plans):
         "ag05_top_paid", "ag06_pay_gaps", "ag07_running_totals",  # fewer rows than employee, checked small
         "ag08_payroll_expense",  # one row per department
         "o03_null_placement", "w01_row_number", "w03_dense_rank", "n10_assign_keys", "d08_hires",
-        "v11_run_audit",  # one row per slice or block
+        "v11_run_audit",  # inputs whose files are checked to be small
+        "w01_row_number_sliced", "w03_dense_rank_sliced", "n10_assign_keys_sliced",  # slice totals
     }
     assert single <= bounded
 
@@ -49,7 +50,9 @@ def test_large_inputs_use_slices(spark, monkeypatch):
     import rosterlake.session
 
     monkeypatch.setattr(rosterlake.session, "SINGLE_TASK_BYTES", 0)
-    for name in ("ag05_top_paid", "ag06_pay_gaps", "ag07_running_totals"):
+    names = ("ag05_top_paid", "ag06_pay_gaps", "ag07_running_totals", "o03_null_placement",
+             "w01_row_number", "w03_dense_rank", "n10_assign_keys")
+    for name in names:
         plan = plan_of(spark, name)
         for window in re.findall(r"Window \[[^\n]*", plan):
             assert "_slice" in window or "_block" in window, window

@@ -3,6 +3,9 @@
 from collections import Counter
 from decimal import Decimal
 
+import pytest
+
+import rosterlake.session
 from rosterlake.operators.hierarchy import approval_levels
 from rosterlake.operators.subqueries import average_of, greater_than_all, greater_than_any
 
@@ -34,7 +37,10 @@ def test_average_of_empty_table_is_null(spark):
     assert df.where(df.x > average_of(df.where("x > 5"), "x")).count() == 0
 
 
-def test_levels_count_every_path(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_levels_count_every_path(spark, few, monkeypatch):
+    if not few:
+        monkeypatch.setattr(rosterlake.session, "SINGLE_TASK_BYTES", 0)
     seeds = [1, 2, 3]
     links = [(1, 4), (1, 4), (2, 4), (4, 5), (4, 6), (6, 4), (3, None), (None, 5)]
     level = Counter(seeds)
