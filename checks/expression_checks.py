@@ -284,7 +284,7 @@ CHECKS = {
             "payroll_id",
             text.number_text("gross_amount").alias("gross"),
             text.number_text((F.col("payroll_id") % 300).cast("decimal(12,2)") / 100).alias("small"),
-        ).withColumn("small", F.regexp_replace("small", "^$", "0")),
+        ),
         q(f"""SELECT payroll_id, {num('gross_amount')} AS gross,
             {num('((payroll_id % 300)::DOUBLE / 100)::DECIMAL(12,2)')} AS small FROM payroll"""),
     ),

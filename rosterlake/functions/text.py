@@ -49,11 +49,13 @@ def money_text(amount: ColumnLike) -> Column:
 def number_text(value: ColumnLike) -> Column:
     """A decimal as text without trailing zeros and without a zero before the point."""
     text = _col(value).cast("string")
-    trimmed = F.when(
-        text.contains("."), F.regexp_replace(text, r"\.?0+$", "")
-    ).otherwise(text)
-    bare = F.regexp_replace(trimmed, r"^(-?)0\.", "$1.")
-    return F.when(bare.isin("-0", ""), F.lit("0")).otherwise(bare)
+    cut = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    cut = F.when(text.contains("."), cut).otherwise(text)
+    return (
+        F.when(cut.startswith("0."), F.substring(cut, 2, 40))
+        .when(cut.startswith("-0."), F.concat(F.lit("-"), F.substring(cut, 3, 40)))
+        .otherwise(cut)
+    )
 
 
 def indent(level: ColumnLike, width: int = 2) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -42,7 +43,7 @@ def checks_of(table: str) -> dict[str, Column]:
 
 def explode_multivalue(df: DataFrame, key: str, column: str, sep: str = ",") -> DataFrame:
     """First normal form: one row per value of a separated list, with its place from 1."""
-    values = F.split(F.col(column), "\\Q" + sep + "\\E", -1)
+    values = F.split(F.col(column), re.escape(sep), -1)
     return df.select(key, F.posexplode(values).alias("_at", column)).select(
         key, (F.col("_at") + 1).alias("place"), F.trim(F.col(column)).alias(column)
     )

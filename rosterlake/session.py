@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest estimated input (bytes) that may be handled by one task.
-SINGLE_TASK_BYTES = 32 * 1024 * 1024
+SINGLE_TASK_BYTES = 16 * 1024 * 1024
 # Largest size (bytes of Parquet files) of a join side that is sent to all executors.
 BROADCAST_BYTES = 8 * 1024 * 1024
 
