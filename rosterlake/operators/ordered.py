@@ -3,7 +3,7 @@
 A plain window moves each group, or the whole table when there is none, into one task.
 Here the rows are range-partitioned by group, order and a unique last key, so that a
 large group covers many partitions, and numbered from partition counts. All frames then
-work on blocks of consecutive numbers. A plain window is used only where its groups are
+work on blocks of consecutive rows, and the totals of earlier blocks are carried over. A plain window is used only where its groups are
 known to be small: the input is bounded by a small table, or the largest group was counted.
 """
 
@@ -26,6 +26,12 @@ BLOCK_ROWS = 1 << 18
 PLAIN_ROWS = 1 << 20
 _ALL_BEFORE = (Window.unboundedPreceding, -1)
 _TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
+# calculations over all earlier rows: aggregate and frame
+_TOTALS = {
+    "position": (F.count, _TO_CURRENT),
+    "running_sum": (F.sum, _TO_CURRENT),
+    "largest_before": (F.max, _ALL_BEFORE),
+}
 
 
 @dataclass(frozen=True)
@@ -91,38 +97,38 @@ def _plain(df: DataFrame, order_by, partition_by, frames: Mapping[str, Frame]) -
     return df.withColumns(made)
 
 
-def number_rows(
-    df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "row_num"
-) -> DataFrame:
-    """Number the rows 1, 2, 3, ... in order, per group, without gathering a group.
+def _positions(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Add ``_at``, the place of each row in the whole order, from 0.
 
-    ``order_by`` must end with a unique key. The range-partitioned rows are written once with
-    their partition number and place, so that both readers below see the same layout.
+    The range-partitioned rows are written once with their partition number and place, so
+    that all readers see the same layout. The partition counts are one row per partition,
+    few enough to be broadcast.
     """
-    keys = list(partition_by)
-    order = [F.col(k).asc_nulls_last() for k in keys] + sort_keys(order_by)
     stored = materialize(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slice", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id()),
-        "numbered",
+        "ordered",
     )
-    runs = stored.groupBy(*keys, "_slice").agg(
+    slices = stored.groupBy("_slice").agg(
         F.min("_place").alias("_first"), F.count("*").alias("_rows")
     )
-    # one row per group and partition it touches
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*_ALL_BEFORE)
-    starts = runs.select(
-        *keys,
-        "_slice",
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
+    earlier = Window.orderBy("_slice").rowsBetween(*_ALL_BEFORE)
+    starts = slices.select(
+        "_slice", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_start")
     )
-    return null_safe(stored, small_side(starts), [*keys, "_slice"]).select(
-        *df.columns, (F.col("_place") + F.col("_offset")).alias(name)
+    return stored.join(F.broadcast(starts), "_slice").select(
+        *df.columns, (F.col("_place") + F.col("_start")).alias("_at")
     )
 
 
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_num") -> DataFrame:
+    """Number the rows 1, 2, 3, ... in order; ``order_by`` must end with a unique key."""
+    placed = _positions(df, sort_keys(order_by))
+    return placed.select(*df.columns, (F.col("_at") + 1).alias(name))
+
+
 def _groups_are_small(
     df: DataFrame, keys: Sequence[str], bound: DataFrame | None, limit: int
 ) -> bool:
@@ -155,19 +161,18 @@ def over_order(
     if _groups_are_small(df, partition_by, bound, plain_rows):
         return _plain(df, order_by, partition_by, frames)
 
+    before = max(f.before for f in frames.values())
+    after = max(f.after for f in frames.values())
+    block_rows = max(block_rows, before, after)  # edge rows come from the next block only
     keys = list(partition_by)
-    numbered = number_rows(df, order_by, keys, "_n").withColumn(
-        "_block", F.floor((F.col("_n") - 1) / block_rows)
-    )
+    order = [F.col(k).asc_nulls_last() for k in keys] + sort_keys(order_by)
+    placed = _positions(df, order).withColumn("_block", F.floor(F.col("_at") / block_rows))
     blocks = [*keys, "_block"]
-    running = {n: f for n, f in frames.items() if f.kind in ("running_sum", "largest_before")}
 
-    rows = numbered
-    before = max(f.before for f in frames.values())
-    after = max(f.after for f in frames.values())
+    rows = placed
     if before or after:
         # copy the edge rows of each block into its neighbours
-        place = (F.col("_n") - 1) % block_rows
+        place = F.col("_at") % block_rows
         targets = F.array(
             F.col("_block"),
             F.when(place < after, F.col("_block") - 1),
@@ -183,47 +188,60 @@ def over_order(
         rows = rows.withColumn("_home", F.lit(True))
 
     made: dict[str, Column] = {}
-    window = Window.partitionBy(*blocks).orderBy("_n")
+    window = Window.partitionBy(*blocks).orderBy("_at")
     for name, frame in frames.items():
-        if frame.kind == "position":
-            made[name] = F.col("_n")
-        elif frame.kind == "running_sum":
-            own = F.when(F.col("_home"), F.col(frame.column))
-            made[name] = F.sum(own).over(window.rowsBetween(*_TO_CURRENT))
-        elif frame.kind == "largest_before":
-            own = F.when(F.col("_home"), F.col(frame.column))
-            made[name] = F.max(own).over(window.rowsBetween(*_ALL_BEFORE))
+        if frame.kind in _TOTALS:
+            total, reach = _TOTALS[frame.kind]
+            value = F.lit(1) if frame.column is None else F.col(frame.column)
+            made[name] = total(F.when(F.col("_home"), value)).over(window.rowsBetween(*reach))
         else:
             made[name] = _shift(frame, window)
     result = rows.withColumns(made).where("_home")
 
+    running = {n: f for n, f in frames.items() if f.kind in _TOTALS}
     if running:
-        per_block = numbered.groupBy(*blocks).agg(
-            *[
-                (F.sum if f.kind == "running_sum" else F.max)(f.column).alias(f"_of_{n}")
-                for n, f in running.items()
-            ]
-        )
-        # one row per group and block
-        earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(*_ALL_BEFORE)
-        carried = per_block.select(
-            *blocks,
-            *[
-                (F.sum if f.kind == "running_sum" else F.max)(f"_of_{n}").over(earlier).alias(f"_in_{n}")
-                for n, f in running.items()
-            ],
-        )
-        result = null_safe(result, small_side(carried), blocks)
-        for name, frame in running.items():
-            here, carry = F.col(name), F.col(f"_in_{name}")
-            if frame.kind == "running_sum":
-                both = F.coalesce(here + carry, here, carry)
-            else:
-                both = F.greatest(here, carry)
-            result = result.withColumn(name, both)
+        result = _carry_over(result, placed, running, keys, block_rows)
     return result.select(*df.columns, *frames)
 
 
+def _carry_over(
+    result: DataFrame,
+    placed: DataFrame,
+    running: Mapping[str, Frame],
+    keys: Sequence[str],
+    block_rows: int,
+) -> DataFrame:
+    """Add to each block the totals of the earlier blocks of its group.
+
+    Only a group that holds the first row of a later block can reach over a border, so no
+    more groups than blocks are totalled.
+    """
+    spanning = placed
+    if keys:
+        first_rows = placed.where((F.col("_at") % block_rows == 0) & (F.col("_block") > 0))
+        spanning = null_safe(placed, small_side(first_rows.select(*keys).distinct()), keys, "left_semi")
+    blocks = [*keys, "_block"]
+    per_block = spanning.groupBy(*blocks).agg(
+        *[
+            _TOTALS[f.kind][0](F.lit(1) if f.column is None else F.col(f.column)).alias(f"_of_{n}")
+            for n, f in running.items()
+        ]
+    )
+    merge = {n: F.max if f.kind == "largest_before" else F.sum for n, f in running.items()}
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(*_ALL_BEFORE)
+    carried = per_block.select(
+        *blocks, *[merge[n](f"_of_{n}").over(earlier).alias(f"_in_{n}") for n in running]
+    )
+    result = null_safe(result, small_side(carried), blocks, "left")
+    for name, frame in running.items():
+        here, carry = F.col(name), F.col(f"_in_{name}")
+        if frame.kind == "largest_before":
+            result = result.withColumn(name, F.greatest(here, carry))
+        else:
+            result = result.withColumn(name, F.coalesce(here + carry, here, carry))
+    return result
+
+
 def rank_rows(
     df: DataFrame,
     value: str,
