@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
+import os
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,15 +28,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, also where only the driver has it on its path."""
-    context = spark.sparkContext
-    if getattr(context, "_rosterlake_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    with tempfile.TemporaryDirectory() as folder:
-        target = Path(folder) / "rosterlake.zip"
-        with zipfile.ZipFile(target, "w") as archive:
-            for file in sorted(package.rglob("*.py")):
-                archive.write(file, file.relative_to(package.parent))
-        context.addPyFile(str(target))
-    context._rosterlake_shipped = True
+    """Let Python workers of this machine import this package from where the driver has it.
+
+    On a cluster whose workers do not see that folder, give the package with ``--py-files``.
+    """
+    environment, folder = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if folder not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([folder, *filter(None, paths)])
