@@ -9,8 +9,20 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .decontamination import contained_items
+from .language import identify_language
 from .quality import score_quality
 from .tables import in_fold, read_table, ship
+from .topk import top_k
+
+
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    found = identify_language(read_table(spark, folder, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +43,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op7_quality, op9_decontamination)
+_ALL = (op2_top_k, op4_language, op7_quality, op9_decontamination)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
-ORACLE_SQL = {"op9_decontamination": sql.CONTAINMENT}
+ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT}

@@ -25,3 +25,21 @@ CONTAINMENT = f"""
     FROM shared JOIN size USING (item_id)
     WHERE 100 * n_shared >= 80 * n_item
 """
+
+
+TOP_K = """
+    WITH base AS (
+        SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+               CAST(list_sum([x[1] * x[2] FOR x IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+        FROM base AS q JOIN base AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (
+        SELECT query_id, vec_id, score,
+               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+        FROM scored)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
