@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from . import sql
 from .decontamination import contained_items
 from .language import identify_language
+from .packing import pack
 from .quality import score_quality
 from .tables import in_fold, read_table, ship
 from .topk import top_k
@@ -19,6 +21,19 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def word_tokenizer(folder: str | None = None) -> str:
+    """The definition of the public word tokenizer, from ``folder`` or the installed files."""
+    if folder is None:
+        import public_tokenizers
+
+        return Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    return Path(folder, "word_bpe_49k.json").read_text()
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(read_table(spark, folder, "documents"), word_tokenizer())
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     held_out = in_fold(F.col("doc_id"), 4, 2)
     found = identify_language(read_table(spark, folder, "documents"), ~held_out)
@@ -43,6 +58,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op2_top_k, op4_language, op7_quality, op9_decontamination)
+_ALL = (op2_top_k, op3_packing, op4_language, op7_quality, op9_decontamination)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
 ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT}
