@@ -15,6 +15,7 @@ from .packing import pack
 from .quality import score_quality
 from .tables import in_fold, read_table, ship
 from .topk import top_k
+from .warc import archive_round_trip
 
 
 def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,6 +47,11 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", in_fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = archive_round_trip(read_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contained_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
@@ -58,6 +64,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op2_top_k, op3_packing, op4_language, op7_quality, op9_decontamination)
+_ALL = (op2_top_k, op3_packing, op4_language, op7_quality, op8_warc, op9_decontamination)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
 ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT}
