@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .decontamination import contained_items
+from .jaccard import near_duplicates
 from .language import identify_language
 from .packing import pack
 from .quality import score_quality
@@ -56,6 +57,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contained_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read_table(spark, folder, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -64,6 +69,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op2_top_k, op3_packing, op4_language, op7_quality, op8_warc, op9_decontamination)
+_ALL = (op2_top_k, op3_packing, op4_language, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
-ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT}
+ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT, "op10_jaccard_join": sql.COMPONENTS}

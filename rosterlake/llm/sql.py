@@ -43,3 +43,22 @@ TOP_K = """
         FROM scored)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+COMPONENTS = f"""
+    WITH RECURSIVE shingle AS ({_shingles("documents", "doc_id")}),
+    size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+        FROM shingle AS a JOIN shingle AS b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (
+        SELECT shared.a, shared.b FROM shared
+        JOIN size AS x ON x.doc_id = shared.a JOIN size AS y ON y.doc_id = shared.b
+        WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM documents LEFT JOIN size USING (doc_id)
+    JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
