@@ -12,6 +12,7 @@ from . import sql
 from .decontamination import contained_items
 from .jaccard import near_duplicates
 from .language import identify_language
+from .language_model import score_texts
 from .packing import pack
 from .quality import score_quality
 from .tables import in_fold, read_table, ship
@@ -19,6 +20,14 @@ from .topk import top_k
 from .warc import archive_round_trip
 
 
+def op1_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), 5, 1)
+    scored = score_texts(read_table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -69,6 +78,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op2_top_k, op3_packing, op4_language, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
+_ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
 ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT, "op10_jaccard_join": sql.COMPONENTS}
