@@ -14,6 +14,7 @@ from .jaccard import near_duplicates
 from .language import identify_language
 from .language_model import score_texts
 from .packing import pack
+from .page_text import main_text
 from .quality import score_quality
 from .tables import in_fold, read_table, ship
 from .topk import top_k
@@ -51,6 +52,10 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(read_table(spark, folder, "pages"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = (read_table(spark, folder, name) for name in ("documents", "labels"))
     scored = score_quality(docs, labels, ~in_fold(F.col("doc_id"), 3, 1))
@@ -78,6 +83,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
+_ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op5_page_text, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
 ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT, "op10_jaccard_join": sql.COMPONENTS}
