@@ -13,6 +13,7 @@ from .decontamination import contained_items
 from .jaccard import near_duplicates
 from .language import identify_language
 from .language_model import score_texts
+from .licenses import scan_licenses
 from .packing import pack
 from .page_text import main_text
 from .quality import score_quality
@@ -56,6 +57,13 @@ def op5_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(read_table(spark, folder, "pages"))
 
 
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: their source is the top directory, their language the one below."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang", "doc_id")]
+    docs = read_table(spark, folder, "documents").withColumn("path", F.concat_ws("/", *parts))
+    return scan_licenses(docs, "doc_id", "path", "text")
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = (read_table(spark, folder, name) for name in ("documents", "labels"))
     scored = score_quality(docs, labels, ~in_fold(F.col("doc_id"), 3, 1))
@@ -83,6 +91,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op5_page_text, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
+_ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op5_page_text, op6_licenses, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
 ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT, "op10_jaccard_join": sql.COMPONENTS}
