@@ -81,6 +81,17 @@ class ItemBlock:
                     yield int(d), int(i), shared
 
 
+def item_blocks(items: DataFrame, key: str, text: str, percent: int, n: int) -> Iterator[ItemBlock]:
+    """All items in blocks of about ``BLOCK_SHINGLES`` shingles, one small job for each."""
+    found = item_shingles(items, key, text, n)
+    total = found.agg(F.sum(F.size("hashes").cast("bigint"))).first()[0] or 0
+    blocks = -(-total // BLOCK_SHINGLES)
+    for b in range(blocks):
+        own = found.filter(F.pmod(F.xxhash64("hashes"), F.lit(blocks)) == b).collect()
+        if own:
+            yield ItemBlock(own, percent)
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -107,10 +118,6 @@ def contained_items(
     schema = f"`{doc_name}` {doc_kind}, `{item_name}` {item_kind}, n_item bigint, n_shared bigint"
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
-    found = item_shingles(items, item_key, item_text, n)
-    total = found.agg(F.sum(F.size("hashes").cast("bigint"))).first()[0] or 0
-    blocks = -(-total // BLOCK_SHINGLES)
-
     def search(block) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = block.value
@@ -129,16 +136,42 @@ def contained_items(
 
         return texts.mapInArrow(run, schema)
 
-    result = spark.createDataFrame([], schema)
-    for b in range(blocks):
-        own = found.filter(F.pmod(F.xxhash64("hashes"), F.lit(blocks)) == b).collect()
-        if own:
-            part = search(spark.sparkContext.broadcast(ItemBlock(own, percent)))
-            result = part if b == 0 else result.unionByName(part)
+    parts = [search(spark.sparkContext.broadcast(b)) for b in item_blocks(items, item_key, item_text, percent, n)]
+    result = parts[0] if parts else spark.createDataFrame([], schema)
+    for part in parts[1:]:
+        result = result.unionByName(part)
     return result
 
 
-def without_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents that contain no item; all their columns stay, rows without a key too."""
-    hit = contained_items(docs, items, key, **options).select(F.col(key).alias("_hit")).distinct()
-    return docs.join(hit, docs[key] == hit["_hit"], "left_anti")
+def without_items(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_text: str = "text",
+    percent: int = 80,
+    n: int = 5,
+) -> DataFrame:
+    """The rows of ``docs`` that contain no item (see ``contained_items``), with all their columns.
+
+    NULL and empty texts stay, as do all rows if there are no items. Nothing is shuffled.
+    """
+    spark = docs.sparkSession
+    for block in item_blocks(items.withColumn("_item", F.lit(0)), "_item", item_text, percent, n):
+        docs = docs.filter(~_has_item(spark.sparkContext.broadcast(block), n)(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return docs
+
+
+def _has_item(block, n: int):
+    @F.arrow_udf("boolean")
+    def has_item(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in texts:
+            found = [np.zeros(0, bool)]
+            for part in slices(iter([pa.RecordBatch.from_arrays([array], names=["text"])]), "text"):
+                values, first = distinct_by_document(*shingles(find_words(part.column(0)), n))
+                own = np.zeros(part.num_rows, bool)
+                if len(values):
+                    own[[d for d, *_ in block.value.search(values, first)]] = True
+                found.append(own)
+            yield pa.array(np.concatenate(found))
+
+    return has_item
