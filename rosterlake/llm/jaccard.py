@@ -303,7 +303,10 @@ def class_components(buckets: DataFrame, sets: DataFrame, percent: int) -> DataF
                 pairs = pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders")).filter(F.col("orders") == every)
                 return connected_components(links.unionByName(verified(pairs.select("a", "b"), sets, percent)))
             tried += 1
-            pick = F.array_min(F.transform("members", lambda m: F.struct(F.xxhash64(m["class"], F.lit(tried)).alias("h"), m.alias("m"))))
+            mixed = F.transform(
+                "members", lambda m: F.named_struct(F.lit("h"), F.xxhash64(m["class"], F.lit(tried)), F.lit("m"), m)
+            )
+            pick = F.array_min(mixed)
             spread = rooted.select("orders", pick["m"].alias("p"), F.explode("members").alias("m"))
             spread = spread.filter("p.root <> m.root").select("orders", F.col("m.class").alias("a"), F.col("p.class").alias("b"))
         stars = spread.groupBy("a", "b").agg(F.bit_or("orders").alias("orders"), F.count("*").alias("shared"))
