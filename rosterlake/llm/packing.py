@@ -4,11 +4,13 @@ Every document gives full windows and a tail. The tails' lengths form a histogra
 All combinations of up to three bins that fill a window are enumerated, and non-negative least
 squares says how often each is to be used so that the histogram is used up. The repeats are
 rounded down, what is then left over is first used greedily by further combinations, and the
-rest is laid end to end and cut at the window's border. So only the difference between a tail
-and its bin is padded.
+rest is laid end to end in cells of a bin's width and cut at the window's border. So only the
+difference between a tail and its bin is padded.
 
 Tails get their places from their rank within their bin: counts per partition and bin, summed
-up in order, give each tail its rank without sorting or gathering a bin anywhere.
+up in order, give each tail its rank without sorting or gathering a bin anywhere. Token ids do
+not leave the task that makes them: tails carry the checksums of their starts at every cell's
+border, and the checksum of what follows a cut is computed from them.
 """
 
 from __future__ import annotations
@@ -96,16 +98,55 @@ class WordEncoder:
 _encoders: dict[int, WordEncoder] = {}
 
 
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+def crc(ids: np.ndarray, running: int = 0) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes(), running)
+
+
+def start_crcs(ids: np.ndarray) -> list[int]:
+    """Checksums of the first BIN, 2 BIN, ... ids, short of all."""
+    raw, found, running = ids.astype("<u4").tobytes(), [], 0
+    for at in range(0, len(raw) - 4 * BIN, 4 * BIN):
+        running = zlib.crc32(raw[at : at + 4 * BIN], running)
+        found.append(running)
+    return found
+
+
+def _after_zeros() -> list[np.ndarray]:
+    """For each power of two, what 2^k zero bytes make of each bit of a CRC-32."""
+    bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
+    step = np.concatenate([[np.uint32(0xEDB88320)], bits[:-1]])  # one zero bit
+    tables = []
+    for k in range(3 + 40):
+        if k >= 3:
+            tables.append(step)
+        step = _apply(step, step)
+    return tables
+
+
+def _apply(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(values), np.uint32)
+    for bit in range(32):
+        out ^= np.where((values >> np.uint32(bit)) & np.uint32(1), table[bit], np.uint32(0)).astype(np.uint32)
+    return out
+
+
+_ZEROS = _after_zeros()
+
+
+def rest_crc(whole: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Checksums of what follows a start, from those of the whole and the start and the bytes that follow."""
+    moved = start.astype(np.uint32)
+    for k, table in enumerate(_ZEROS):
+        moved = np.where((length >> k) & 1, _apply(table, moved), moved) if (length >> k).any() else moved
+    return whole.astype(np.uint32) ^ moved
 
 
 def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, window: int) -> DataFrame:
-    """The token ids of every row, written once as compressed Parquet.
+    """What packing has to know of the token ids of every row, written once as compressed Parquet.
 
-    row (unique), part (the task), key, n, ids (little-endian unsigned 32-bit, empty for texts
-    that fill no cut window), full_crc (of each full window), before_full (full windows earlier
-    in the part), tail, tail_crc, bin (0: no tail), in_bin (tails of the bin earlier in the part).
+    row (unique), part (the task), key, n, full_crc (of each full window), before_full (full
+    windows earlier in the part), tail, tail_crc, starts (checksums of the tail's starts), bin (0:
+    no tail), in_bin (tails of the bin earlier in the part).
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(definition)
@@ -131,21 +172,17 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
             rank[order] = np.arange(len(n)) - run_start
             rank += in_bin[bins]
             in_bin += np.bincount(bins, minlength=len(in_bin))
-            small = ids.max(initial=0) < 1 << 16
-            packed = ids.astype("<u2" if small else "<u4")
-            offsets = pa.py_buffer((first * packed.itemsize).astype(np.int64))
-            blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, offsets, pa.py_buffer(packed)])
+            starts = [start_crcs(ids[b - t : b]) for b, t in zip(first[1:], tail)]
             columns = {
                 "row": pa.array((part << 40) + rows + np.arange(len(n)), pa.int64()),
                 "part": pa.array(np.full(len(n), part), pa.int32()),
                 "key": batch.column(0),
                 "n": pa.array(n, pa.int64()),
-                "width": pa.array(np.full(len(n), packed.itemsize), pa.int32()),
-                "ids": blob.cast(pa.binary()),
                 "full_crc": pa.array(crcs, pa.list_(pa.int64())),
                 "before_full": pa.array(full_before + np.cumsum(full) - full, pa.int64()),
                 "tail": pa.array(tail, pa.int64()),
                 "tail_crc": pa.array(tails, pa.int64()),
+                "starts": pa.array([np.array(x, np.uint32).view(np.int32) for x in starts], pa.list_(pa.int32())),
                 "bin": pa.array(bins, pa.int32()),
                 "in_bin": pa.array(rank, pa.int64()),
             }
@@ -155,13 +192,18 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
 
     kind = docs.schema[key].dataType.simpleString()
     schema = (
-        f"row bigint, part int, key {kind}, n bigint, width int, ids binary, full_crc array<bigint>, "
-        "before_full bigint, tail bigint, tail_crc bigint, bin int, in_bin bigint"
+        f"row bigint, part int, key {kind}, n bigint, full_crc array<bigint>, before_full bigint, "
+        "tail bigint, tail_crc bigint, starts array<int>, bin int, in_bin bigint"
     )
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    path = new_path(spark, "tokens")
-    texts.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return written(texts.mapInArrow(run, schema), "tokens")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once as compressed Parquet in shared storage."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def combinations(size: int) -> np.ndarray:
@@ -286,8 +328,11 @@ def pack(
     numbers), doc_tokens, sequence_id, offset. Offsets of a sequence have no gap; a sequence has
     at most ``window`` ids. Repeated rows and rows without a key are packed each; ties in length
     are placed in the order they are read in; other columns are ignored; an empty table has no
-    pieces. Tokens, counts and cut tails are written to shared storage while the plan is built.
+    pieces. Lengths and checksums are written to shared storage while the plan is built.
+    ``window`` is a multiple of ``BIN``.
     """
+    if window % BIN:
+        raise ValueError(f"the window must be a multiple of {BIN}")
     spark = docs.sparkSession
     tokens = tokenize(docs, key, text, tokenizer, end, window)
 
@@ -308,76 +353,66 @@ def pack(
 
     tails = (
         tokens.filter("bin > 0")
-        .select("row", "part", "key", "n", "tail", "tail_crc", "bin", "in_bin")
+        .select("row", "part", "key", "n", "tail", "tail_crc", "starts", "bin", "in_bin")
         .join(ranks, ["part", "bin"])
         .withColumn("place", find_place("bin", F.col("base") + F.col("in_bin")))
-        .select("row", "part", "key", "n", "tail", "tail_crc", "place.sequence", "place.slot")
+        .withColumn("starts", F.when(F.col("place.sequence") < 0, F.col("starts")))
+        .select("row", "part", "key", "n", "tail", "tail_crc", "starts", "bin", "place.sequence", "place.slot")
     )
-    path = new_path(spark, "tails")
-    tails.write.option("compression", "zstd").parquet(path)
-    tails = spark.read.schema(tails.schema).parquet(path)
+    tails = written(tails, "tails")
 
-    start = F.col("n") - F.col("tail")
-    in_sequence = Window.partitionBy("sequence").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    filled = tails.filter("sequence >= 0").select(
-        "key",
-        start.alias("start"),
-        F.col("tail").alias("length"),
-        F.col("tail_crc").alias("ids_crc32"),
-        F.col("n").alias("doc_tokens"),
-        F.col("sequence").alias("sequence_id"),
-        F.coalesce(F.sum("tail").over(in_sequence), F.lit(0)).alias("offset"),
-    )
-
-    # what is left over is laid end to end: totals per part, summed up, give each part its start
+    # what is left over is laid end to end in cells: totals per part, summed up, give each part its start
     left = tails.filter("sequence < 0")
+    cells = F.col("bin").cast("bigint") * BIN
     by_part = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    part_totals = left.groupBy("part").agg(F.sum("tail").alias("total"))
+    part_totals = left.groupBy("part").agg(F.sum(cells).alias("total"))
     part_begin = part_totals.select("part", F.coalesce(F.sum("total").over(by_part), F.lit(0)).alias("base"))
     inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    laid = (
-        left.withColumn("at", F.coalesce(F.sum("tail").over(inside), F.lit(0)))
-        .join(part_begin, "part")
-        .withColumn("at", F.col("at") + F.col("base"))
-        .withColumn("first", F.least("tail", window - F.col("at") % window))
-    )
-    path = new_path(spark, "laid")
-    laid.write.option("compression", "zstd").parquet(path)
-    laid = spark.read.schema(laid.schema).parquet(path)
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pydict()
-            crcs = []
-            for ids, width, tail, first in zip(rows["ids"], rows["width"], rows["tail"], rows["first"], strict=True):
-                own = np.frombuffer(ids, f"<u{width}")[-tail:]
-                crcs.append([crc(own[:first]), crc(own[first:])])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(crcs, pa.list_(pa.int64()))], names=["row", "crcs"])
-
-    cut = laid.filter("first < tail").select("row", "tail", "first")
-    cut_crcs = tokens.select("row", "width", "ids").join(cut, "row").select("row", "ids", "width", "tail", "first")
-    cut_crcs = cut_crcs.mapInArrow(split, "row bigint, crcs array<bigint>")
-    whole = F.struct(F.lit(0).cast("bigint").alias("skip"), F.col("tail").alias("length"), F.col("tail_crc").alias("c"))
+    at = F.coalesce(F.sum(cells).over(inside), F.lit(0))
+    laid = left.withColumn("at", at).join(part_begin, "part").withColumn("at", F.col("at") + F.col("base"))
+    laid = laid.withColumn("first", F.least(F.col("tail"), window - F.col("at") % window))
+
+    @F.arrow_udf("bigint")
+    def after_cut(whole: pa.Array, start: pa.Array, length: pa.Array) -> pa.Array:
+        found = rest_crc(whole.to_numpy(), start.to_numpy() & 0xFFFFFFFF, 4 * length.to_numpy())
+        return pa.array(found.astype(np.int64))
+
+    # tails in one piece and both halves of cut ones: how many ids precede, how many they have
+    none = F.lit(0).cast("bigint")
+    start_crc = F.col("starts")[(F.col("first") / BIN).cast("int") - 1].cast("bigint").bitwiseAND(0xFFFFFFFF)
+    whole = F.array(F.struct(none.alias("skip"), F.col("tail").alias("length"), F.col("tail_crc").alias("c")))
     halves = F.array(
-        F.struct(F.lit(0).cast("bigint").alias("skip"), F.col("first").alias("length"), F.col("crcs")[0].alias("c")),
-        F.struct(F.col("first").alias("skip"), (F.col("tail") - F.col("first")).alias("length"), F.col("crcs")[1].alias("c")),
+        F.struct(none.alias("skip"), F.col("first").alias("length"), F.col("start_crc").alias("c")),
+        F.struct(F.col("first").alias("skip"), (F.col("tail") - F.col("first")).alias("length"), F.col("rest_crc").alias("c")),
+    )
+    shared = ["key", "n", "tail"]
+    cut = laid.filter("first < tail").withColumn("start_crc", start_crc)
+    cut = cut.withColumn("rest_crc", after_cut("tail_crc", "start_crc", F.col("tail") - F.col("first")))
+    cut = cut.select(*shared, "at", halves.alias("pieces"))
+    rest = laid.filter("first = tail").select(*shared, "at", whole.alias("pieces")).unionByName(cut)
+    rest = rest.select(*shared, "at", F.explode("pieces").alias("p")).select(
+        *shared,
+        "p.*",
+        (planned + F.floor((F.col("at") + F.col("p.skip")) / window)).cast("bigint").alias("sequence"),
+        ((F.col("at") + F.col("p.skip")) % window).alias("slot"),
     )
-    pieces = laid.filter("first = tail").withColumn("piece", F.array(whole)).unionByName(
-        laid.filter("first < tail").join(cut_crcs, "row").withColumn("piece", halves).drop("crcs")
+    filled = tails.filter("sequence >= 0").select(
+        *shared, none.alias("skip"), F.col("tail").alias("length"), F.col("tail_crc").alias("c"), "sequence", "slot"
     )
-    rest = pieces.withColumn("piece", F.explode("piece")).select(
+    placed = written(filled.unionByName(rest), "placed")
+    in_sequence = Window.partitionBy("sequence").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = placed.select(
         "key",
-        (start + F.col("piece.skip")).alias("start"),
-        "piece.length",
-        F.col("piece.c").alias("ids_crc32"),
+        (F.col("n") - F.col("tail") + F.col("skip")).alias("start"),
+        "length",
+        F.col("c").alias("ids_crc32"),
         F.col("n").alias("doc_tokens"),
-        (planned + F.floor((F.col("at") + F.col("piece.skip")) / window)).cast("bigint").alias("sequence_id"),
-        ((F.col("at") + F.col("piece.skip")) % window).alias("offset"),
+        F.col("sequence").alias("sequence_id"),
+        F.coalesce(F.sum("length").over(in_sequence), F.lit(0)).alias("offset"),
     )
 
     # full windows are sequences of their own, numbered after all others
-    others = laid.agg(F.max(F.col("at") + F.col("tail"))).first()[0] or 0
-    after = planned + -(-others // window)
+    after = (placed.agg(F.max("sequence")).first()[0] or 0) + 1 if planned or histogram.any() else 0
     full_totals = tokens.groupBy("part").agg(F.sum(F.size("full_crc")).alias("total"))
     full_begin = full_totals.select("part", F.coalesce(F.sum("total").over(by_part), F.lit(0)).alias("base"))
     full = (
@@ -394,4 +429,4 @@ def pack(
             F.lit(0).cast("bigint").alias("offset"),
         )
     )
-    return full.unionByName(filled).unionByName(rest).withColumnRenamed("key", key)
+    return full.unionByName(pieces).withColumnRenamed("key", key)

@@ -71,8 +71,8 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(sums / np.maximum(counts, 1) + self.bias, -60, 60)))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: int = 8, rate: float = 0.5) -> Model:
-    """Gradient descent over (buckets, counts, label) rows, in a fixed random order.
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, steps: int = 16_000, rate: float = 0.5) -> Model:
+    """``steps`` of gradient descent over (buckets, counts, label) rows, in fixed random orders.
 
     Without rows of both labels the score is that of the label found, or 0.5 without any.
     """
@@ -82,7 +82,6 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs:
     random = np.random.default_rng(7)
     vectors = random.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     layer, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
-    steps = epochs * len(rows)
     for step in range(steps):
         if step % len(rows) == 0:
             order = random.permutation(len(rows))

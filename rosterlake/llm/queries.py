@@ -93,4 +93,9 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 _ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op5_page_text, op6_licenses, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
-ORACLE_SQL = {"op2_top_k": sql.TOP_K, "op9_decontamination": sql.CONTAINMENT, "op10_jaccard_join": sql.COMPONENTS}
+ORACLE_SQL = {
+    "op2_top_k": sql.TOP_K,
+    "op6_licenses": sql.LICENSES,
+    "op9_decontamination": sql.CONTAINMENT,
+    "op10_jaccard_join": sql.COMPONENTS,
+}

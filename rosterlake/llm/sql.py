@@ -1,5 +1,7 @@
 """DuckDB SQL that gives the rows of the registered queries which SQL can express."""
 
+from .licenses import LOWER, STEMS, TEMPLATES, TERM, UPPER
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
 
@@ -62,3 +64,68 @@ COMPONENTS = f"""
     FROM documents LEFT JOIN size USING (doc_id)
     JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+
+def _unit_licences(name: str, least: float) -> str:
+    """CTEs that end in ``<name>_best``: text, license, score of the texts of ``<name>``."""
+    return f"""
+    {name}_unit AS (SELECT text, {_terms("text")} AS words FROM (SELECT DISTINCT text FROM {name})),
+    {name}_total AS (SELECT count(*) AS n FROM {name}_unit),
+    {name}_count AS (
+        SELECT text, len(words) AS size, term, times
+        FROM {name}_unit, LATERAL (SELECT w AS term, count(*) AS times FROM (SELECT unnest(words) AS w) GROUP BY w)
+        WHERE term IN (SELECT term FROM template_term)),
+    {name}_idf AS (
+        SELECT t.term, ln((1.0 + n) / (1 + coalesce(df, 0))) + 1 AS idf
+        FROM (SELECT DISTINCT term FROM template_term) AS t CROSS JOIN {name}_total
+        LEFT JOIN (SELECT term, count(*) AS df FROM {name}_count GROUP BY term) USING (term)),
+    {name}_template AS (
+        SELECT template, license, term,
+               times * idf / sqrt(sum(times * idf * times * idf) OVER (PARTITION BY template)) AS tw
+        FROM template_term JOIN {name}_idf USING (term)),
+    {name}_length AS (
+        SELECT text, sqrt(sum(times * idf * times * idf)
+               + (any_value(size) - sum(times)) * (ln(1.0 + any_value(n)) + 1) * (ln(1.0 + any_value(n)) + 1)) AS length
+        FROM {name}_count JOIN {name}_idf USING (term) CROSS JOIN {name}_total GROUP BY text),
+    {name}_score AS (
+        SELECT text, license, round(sum(times * idf * tw) / any_value(length), 6) AS score
+        FROM {name}_count JOIN {name}_idf USING (term) JOIN {name}_template USING (term) JOIN {name}_length USING (text)
+        GROUP BY text, template, license),
+    {name}_best AS (
+        SELECT text, license, score FROM {name}_score WHERE score >= {least}
+        QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, license) = 1)"""
+
+
+def _terms(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, '{UPPER}', '{LOWER}'), '{TERM}')"
+
+
+_STEMMED = f"regexp_matches(translate(text, '{UPPER}', '{LOWER}'), '{STEMS}')"
+_VALUES = ", ".join(
+    "({}, '{}', '{}')".format(n, name, text.replace("'", "''")) for n, (name, text) in enumerate(TEMPLATES)
+)
+LICENSES = f"""
+    WITH template (template, license, text) AS (VALUES {_VALUES}),
+    template_term AS (
+        SELECT template, license, term, count(*) AS times
+        FROM (SELECT template, license, unnest({_terms("text")}) AS term FROM template) GROUP BY ALL),
+    file AS (
+        SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '_') || '/' || coalesce(lang, '_') AS directory,
+               coalesce(CAST(doc_id AS VARCHAR), '_') AS name
+        FROM documents),
+    line AS (
+        SELECT doc_id, text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM file) WHERE {_STEMMED}),
+    whole AS (SELECT directory, name, text FROM file WHERE {_STEMMED}),
+    {_unit_licences("line", 0.8)},
+    {_unit_licences("whole", 0.5)},
+    own AS (
+        SELECT doc_id, license, score FROM line JOIN line_best USING (text)
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+    holder AS (
+        SELECT directory, license, score FROM whole JOIN whole_best USING (text)
+        QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, license, name) = 1)
+    SELECT f.doc_id, f.directory || '/' || f.name AS path, coalesce(own.license, holder.license) AS license,
+           coalesce(own.score, holder.score) AS score,
+           CASE WHEN own.license IS NOT NULL THEN 'header' WHEN holder.license IS NOT NULL THEN 'directory' ELSE 'none' END AS source
+    FROM file AS f LEFT JOIN own ON own.doc_id = f.doc_id LEFT JOIN holder ON holder.directory = f.directory
+"""

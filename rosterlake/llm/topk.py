@@ -102,7 +102,7 @@ def top_k(
     Queries are the rows for which ``is_query`` holds, candidates all rows with another key; ties
     go to the smaller key. Vectors that are NULL or hold NULL or non-finite components, and rows
     without a key, take no part; a shorter vector is filled with zeros. Rows that repeat a key
-    are separate candidates and one query, that with the smallest vector. An empty table or one
+    are separate candidates and one query, that with the smallest vector. Scores must fit 64 bits. An empty table or one
     without queries gives no rows; other columns are ignored. The integer vectors are written
     once, and the queries read in groups of about ``GROUP``, while the plan is built.
     """
