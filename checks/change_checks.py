@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.functions import dates, money, text
-from rosterlake.operators import changes, quality
+from rosterlake.functions import money
+from rosterlake.operators import changes, lookups, quality
 from rosterlake.operators.ordered import assign_keys
 from rosterlake.plans import monitoring, views
 from rosterlake.session import new_path
@@ -48,6 +48,24 @@ RAISES = """raises AS (SELECT l_partkey AS salary_id, l_shipdate, l_orderkey, l_
         FROM raises INNER JOIN salary_bonus USING (salary_id))"""
 
 
+def odd_raises(t: Tables) -> DataFrame:
+    """Proposals of which some are for unknown pay rows and some have no amount."""
+    amount = F.col("o_totalprice").cast("decimal(12,2)")
+    return t.raw_orders.select(
+        (F.col("o_orderkey") % 400).alias("salary_id"),
+        F.when(F.col("o_orderpriority") != "5-LOW", amount).alias("new_amount"),
+        F.col("o_orderdate").alias("l_shipdate"),
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.lit(1).alias("l_linenumber"),
+        F.col("o_custkey").alias("l_suppkey"),
+    )
+
+
+ODD_RAISES = """odd_raises AS (SELECT o_orderkey % 400 AS salary_id,
+    CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice::DECIMAL(12,2) END AS new_amount,
+    o_orderkey % 400 IN (SELECT salary_id FROM salary_bonus) AS known FROM orders)"""
+
+
 def _guarded(t: Tables) -> changes.Outcome:
     return changes.guard_no_decrease(t.salary_bonus, raises(t), STEP, DAY, ADMIN)
 
@@ -55,20 +73,14 @@ def _guarded(t: Tables) -> changes.Outcome:
 def payroll_batch(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Payroll rows of which some lack the net amount or the deductions."""
     orders = t.raw_orders if orders is None else orders
-    priority = F.col("o_orderpriority")
-    marked = adapter.payroll(orders).withColumn("_key", F.col("payroll_id"))
-    flags = orders.select(
-        F.col("o_orderkey").alias("_key"),
-        (priority == "5-LOW").alias("_no_net"),
-        (priority == "1-URGENT").alias("_no_deductions"),
-    )
-    no_net = F.col("_no_net") | F.col("_no_deductions")
-    return (
-        marked.join(flags, "_key")
-        .withColumn("net_amount", F.when(~no_net, F.col("net_amount")))
-        .withColumn("deductions", F.when(~F.col("_no_deductions"), F.col("deductions")))
-        .drop("_key", "_no_net", "_no_deductions")
-    )
+    priority = F.col("_priority")
+    rows = orders.select(*adapter.payroll_columns(), F.col("o_orderpriority").alias("_priority"))
+    return rows.withColumns(
+        {
+            "net_amount": F.when(~priority.isin("1-URGENT", "5-LOW"), F.col("net_amount")),
+            "deductions": F.when(priority != "1-URGENT", F.col("deductions")),
+        }
+    ).drop("_priority")
 
 
 BATCH = """batch AS (SELECT payroll_id, payroll_date, gross_amount, emp_id, job_id, salary_id, payment_status,
@@ -131,6 +143,23 @@ DECISIONS = """decisions AS (SELECT o_orderkey AS leave_id, o_custkey AS approve
     WHEN 'O' THEN 'APPROVED' WHEN 'F' THEN 'REJECTED' ELSE 'MAYBE' END AS verdict FROM orders)"""
 
 
+def many_decisions(t: Tables) -> DataFrame:
+    """Several decisions for a leave, numbered; some have no status, some leaves are unknown."""
+    flag = F.col("l_returnflag")
+    return t.raw_lineitem.select(
+        F.col("l_orderkey").alias("leave_id"),
+        F.when(flag == "A", "APPROVED").when(flag == "R", "REJECTED").alias("status"),
+        F.col("l_suppkey").alias("approved_by"),
+        F.col("l_linenumber").alias("step"),
+    )
+
+
+MANY_DECISIONS = """many AS (SELECT leave_id, verdict, approver, row_number() OVER (PARTITION BY leave_id
+    ORDER BY step DESC, verdict DESC, approver DESC) AS age FROM (SELECT l_orderkey AS leave_id, l_linenumber AS step,
+    CASE l_returnflag WHEN 'A' THEN 'APPROVED' WHEN 'R' THEN 'REJECTED' ELSE 'PENDING' END AS verdict,
+    l_suppkey AS approver FROM lineitem))"""
+
+
 def requests(t: Tables) -> DataFrame:
     start = F.to_date("ts")
     return t.raw_events.select(
@@ -202,7 +231,7 @@ def _deleted(table: str):
 
 
 def _orphans(t: Tables) -> DataFrame:
-    keys = [k for k in FOREIGN_KEYS if k.parent in ("job_department", "salary_bonus", "employee")]
+    keys = [k for k in FOREIGN_KEYS if k.child not in ("books", "book_orders")]
     return quality.orphan_counts(t, keys)
 
 
@@ -282,49 +311,9 @@ def _stream_leave(part: str):
     return run
 
 
-def _net(t: Tables) -> DataFrame:
-    paid = t.employee.select("emp_id", "salary_id").join(
-        t.salary_bonus.select("salary_id", "amount", "bonus_amount"), "salary_id"
-    )
-    return paid.select("emp_id", money.net_of_total("amount", "bonus_amount").alias("net"))
-
-
-def _net_pkg(t: Tables) -> DataFrame:
-    """All employees; one without a pay row has 0."""
-    pay = t.salary_bonus.select("salary_id", "amount", "bonus_amount")
-    net = money.net_of_bonus("amount", "bonus_amount")
-    return t.employee.select("emp_id", "salary_id").join(pay, "salary_id", "left").select(
-        "emp_id", F.coalesce(net, F.lit(0)).alias("net")
-    )
-
-
-def _asked(t: Tables, found: str) -> DataFrame:
-    """Employees asked for by document key; some are unknown."""
-    people = t.employee.select("emp_id", "hire_date", text.full_name().alias("employee_name"))
-    return t.raw_documents.select((F.col("doc_id") * 3).alias("emp_id")).join(
-        people.withColumn(found, F.lit(True)), "emp_id", "left"
-    )
-
-
-def _days_employed(t: Tables) -> DataFrame:
-    days = dates.days_between("hire_date", dates.day(DAY))
-    return _asked(t, "known").select(
-        "emp_id", F.when(F.col("known"), days).otherwise(F.lit(0)).cast("bigint").alias("days")
-    )
-
-
-def _headcount(t: Tables) -> DataFrame:
-    per = t.employee.groupBy("job_id").agg(F.count("*").alias("n"))
-    return t.job_department.join(per, "job_id", "left").select(
-        "job_id", F.coalesce("n", F.lit(0)).alias("headcount")
-    )
-
-
-def _bonus(t: Tables) -> DataFrame:
-    rows = t.salary_bonus.select("salary_id", money.bonus_of("bonus_amount", "1.25").alias("bonus"))
-    return t.payroll.select("payroll_id", "salary_id").join(
-        rows.withColumn("known", F.lit(True)), "salary_id", "left"
-    ).select("payroll_id", F.when(F.col("known"), F.col("bonus")).otherwise(F.lit(0)).alias("bonus"))
+def asked(t: Tables) -> DataFrame:
+    """Keys of employees, of which some are unknown."""
+    return t.raw_documents.select((F.col("doc_id") * 3).alias("emp_id"))
 
 
 def _sql_view(t: Tables) -> DataFrame:
@@ -398,6 +387,7 @@ CHECKS = {
             WHERE emp_id NOT IN (SELECT emp_id FROM employee))
         UNION ALL SELECT 'payroll', 'emp_id', (SELECT count(*) FROM payroll
             WHERE emp_id NOT IN (SELECT emp_id FROM employee))
+        UNION ALL SELECT 'payroll', 'leave_id', 0 -- NULL in all rows of the view
         UNION ALL SELECT 'payroll', 'job_id', (SELECT count(*) FROM payroll
             WHERE job_id NOT IN (SELECT job_id FROM job_department))
         UNION ALL SELECT 'payroll', 'salary_id', (SELECT count(*) FROM payroll
@@ -430,18 +420,17 @@ CHECKS = {
     ),
     "n10_assign_keys_sliced": (
         lambda t: assign_keys(
-            t.leave.select("leave_id", "leave_start"), ["-leave_start", "leave_id"], "new_id", 3000, plain_rows=0
+            t.leave.select("leave_id", "leave_start"), ["-leave_start", "leave_id"], "new_id", 3000
         ).drop("leave_start"),
         KEYS,
     ),
     "d01_apply_updates": (
         lambda t: changes.apply_updates(
             t.salary_bonus.select("salary_id", "amount", "job_id"),
-            changes.latest_change(raises(t), "salary_id", STEP, ["new_amount"]).withColumnRenamed(
-                "new_amount", "amount"
-            ),
+            raises(t).withColumnRenamed("new_amount", "amount"),
             "salary_id",
             ["amount"],
+            STEP[:-1],
         ),
         q("""WITH raises AS (SELECT l_partkey AS salary_id, arg_max(((round(l_extendedprice * 100)::BIGINT % 20000
                 + 85000)::DOUBLE / 100)::DECIMAL(12,2), (l_shipdate, l_orderkey, l_linenumber, l_suppkey)) AS latest
@@ -457,8 +446,23 @@ CHECKS = {
         WITH {RAISES} SELECT salary_id, old_amount::DOUBLE AS old_amount, new_amount::DOUBLE AS new_amount,
             'SALARY CUT BLOCKED! Current: $' || {num('old_amount')} || ' Attempted: $' || {num('new_amount')}
             || ' Decrease of $' || {num('(old_amount - new_amount)')}
-            || '. Contact HR Department for override.' AS message
+            || '. Contact HR Department for override.' AS message, '-20100' AS reject_code
         FROM met WHERE new_amount < old_amount""")),
+    "d02_guard_odd_batch": (
+        lambda t: changes.guard_no_decrease(t.salary_bonus, odd_raises(t), STEP, DAY, ADMIN).rejected.where(
+            "reject_code <> '-20100'"
+        ).select("salary_id", "new_amount", "reject_code"),
+        q(f"""WITH {ODD_RAISES} SELECT salary_id, new_amount::DOUBLE AS new_amount,
+            CASE WHEN known THEN 'AMOUNT_MISSING' ELSE 'SALARY_NOT_FOUND' END AS reject_code
+            FROM odd_raises WHERE NOT known OR new_amount IS NULL"""),
+    ),
+    "d02_guard_odd_snapshot": (
+        lambda t: changes.guard_no_decrease(t.salary_bonus, odd_raises(t), STEP, DAY, ADMIN).rows.select(
+            "salary_id", "amount"
+        ),
+        q(f"""WITH {ODD_RAISES} SELECT salary_id, greatest(any_value(amount), max(new_amount))::DOUBLE AS amount
+            FROM salary_bonus LEFT OUTER JOIN odd_raises USING (salary_id) GROUP BY 1"""),
+    ),
     "d02_guard_snapshot": (
         lambda t: _guarded(t).rows.select("salary_id", "amount"),
         q(f"""WITH {RAISES} SELECT salary_id, greatest(any_value(amount), max(new_amount))::DOUBLE AS amount
@@ -500,6 +504,26 @@ CHECKS = {
             CASE WHEN s_suppkey IS NULL THEN phone ELSE '555-9999' END AS phone, job_id, salary_id
             FROM employee LEFT OUTER JOIN supplier ON s_suppkey = emp_id"""),
     ),
+    "d06_many_changes": (
+        lambda t: changes.update_directory(
+            t.employee,
+            t.raw_orders.select(
+                F.col("o_custkey").alias("emp_id"),
+                F.col("o_orderpriority").alias("first_name"),
+                F.lit("Renamed").alias("last_name"),
+                F.col("o_orderkey").cast("string").alias("email"),
+                F.lit("555-9999").alias("phone"),
+                "o_orderkey",
+            ),
+            ["o_orderkey"],
+        ).select("emp_id", "first_name", "last_name", "email", "phone"),
+        q("""SELECT emp_id, coalesce(priority, first_name) AS first_name,
+            CASE WHEN priority IS NULL THEN last_name ELSE 'Renamed' END AS last_name,
+            CASE WHEN priority IS NULL THEN email ELSE newest::VARCHAR END AS email,
+            CASE WHEN priority IS NULL THEN phone ELSE '555-9999' END AS phone
+            FROM employee LEFT OUTER JOIN (SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) AS priority,
+                max(o_orderkey) AS newest FROM orders GROUP BY 1) ON o_custkey = emp_id"""),
+    ),
     "d07_payroll_notices": (
         lambda t: changes.payroll_notices(t.payroll, t.employee),
         q(f"""SELECT payroll_id, emp_id, 'Notification: Payroll processed for ' || first_name || ' ' || last_name
@@ -542,6 +566,22 @@ CHECKS = {
         q(f"""WITH {DECISIONS} SELECT leave_id, CASE verdict WHEN 'MAYBE' THEN '-20020' ELSE 'LEAVE_NOT_FOUND' END
             AS reject_code FROM decisions WHERE verdict = 'MAYBE' OR leave_id NOT IN (SELECT leave_id FROM leave)"""),
     ),
+    "d10_many_decisions": (
+        lambda t: changes.decide_leave(t.leave, many_decisions(t), ["step"]).rows.select(
+            "leave_id", "status", "approved_by"
+        ),
+        q(f"""WITH {MANY_DECISIONS} SELECT leave_id, coalesce(verdict, status) AS status,
+            CASE WHEN verdict IS NULL THEN approved_by ELSE approver END AS approved_by
+            FROM leave LEFT OUTER JOIN (SELECT * FROM many WHERE age = 1) USING (leave_id)"""),
+    ),
+    "d10_many_rejected": (
+        lambda t: changes.decide_leave(t.leave, many_decisions(t), ["step"]).rejected.select(
+            "leave_id", "approved_by", "reject_code"
+        ),
+        q(f"""WITH {MANY_DECISIONS}, marked AS (SELECT *, leave_id IN (SELECT leave_id FROM leave) AS known FROM many)
+            SELECT leave_id, approver AS approved_by, CASE WHEN known THEN 'SUPERSEDED' ELSE 'LEAVE_NOT_FOUND' END
+            AS reject_code FROM marked WHERE NOT known OR age > 1"""),
+    ),
     "d11_leave_requested": (
         lambda t: changes.request_leave(requests(t)).rows.select(
             "request_no", "emp_id", "leave_end", "days", "status", "result"
@@ -576,27 +616,34 @@ CHECKS = {
             emp_id, e.job_id, e.salary_id, 'PROCESSED' AS payment_status
             FROM employee e INNER JOIN salary_bonus s ON s.salary_id = e.salary_id"""),
     ),
-    "v01_net_salary": (_net, q("""
+    "v01_net_salary": (lambda t: lookups.net_salary(asked(t), t.employee, t.salary_bonus).rows, q("""
         SELECT emp_id, ((amount + coalesce(bonus_amount, 0)) * 0.70)::DOUBLE AS net
-        FROM employee e INNER JOIN salary_bonus s ON s.salary_id = e.salary_id""")),
-    "v02_net_salary_pkg": (_net_pkg, q("""
-        SELECT emp_id, coalesce(amount + coalesce(bonus_amount, 0) * 0.70, 0)::DOUBLE AS net
-        FROM employee e LEFT OUTER JOIN salary_bonus s ON s.salary_id = e.salary_id""")),
-    "v03_days_employed": (_days_employed, q(f"""
+        FROM documents INNER JOIN employee e ON emp_id = doc_id * 3
+        INNER JOIN salary_bonus s ON s.salary_id = e.salary_id""")),
+    "v01_rejected": (lambda t: lookups.net_salary(asked(t), t.employee, t.salary_bonus).rejected, q("""
+        SELECT doc_id * 3 AS emp_id, '-20030' AS reject_code FROM documents WHERE doc_id * 3 NOT IN
+        (SELECT emp_id FROM employee e INNER JOIN salary_bonus s ON s.salary_id = e.salary_id)""")),
+    "v02_net_salary_pkg": (lambda t: lookups.net_salary_pkg(asked(t), t.employee, t.salary_bonus), q("""
+        SELECT doc_id * 3 AS emp_id, coalesce(amount + coalesce(bonus_amount, 0) * 0.70, 0)::DOUBLE AS net
+        FROM documents LEFT OUTER JOIN employee e ON emp_id = doc_id * 3
+        LEFT OUTER JOIN salary_bonus s ON s.salary_id = e.salary_id""")),
+    "v03_days_employed": (lambda t: lookups.days_employed(asked(t), t.employee, DAY), q(f"""
         SELECT doc_id * 3 AS emp_id, coalesce(DATE '{DAY}' - hire_date, 0) AS days
         FROM documents LEFT OUTER JOIN employee ON emp_id = doc_id * 3""")),
-    "v04_dept_headcount": (_headcount, q("""
-        SELECT job_id, (SELECT count(*) FROM employee e WHERE e.job_id = d.job_id) AS headcount FROM job_department d""")),
-    "v05_employee_name": (
-        lambda t: _asked(t, "known").select(
-            "emp_id", F.coalesce("employee_name", F.lit("Unknown")).alias("employee_name")
-        ),
-        q("""SELECT doc_id * 3 AS emp_id, coalesce(first_name || ' ' || last_name, 'Unknown') AS employee_name
-            FROM documents LEFT OUTER JOIN employee ON emp_id = doc_id * 3"""),
+    "v04_dept_headcount": (
+        lambda t: lookups.dept_headcount(t.raw_documents.select((F.col("doc_id") % 40).alias("job_id")), t.employee),
+        q("""SELECT doc_id % 40 AS job_id, coalesce(n, 0) AS headcount FROM documents
+            LEFT OUTER JOIN (SELECT job_id, count(*) AS n FROM employee GROUP BY 1) e ON e.job_id = doc_id % 40"""),
+    ),
+    "v05_employee_name": (lambda t: lookups.employee_name(asked(t), t.employee), q("""
+        SELECT doc_id * 3 AS emp_id, coalesce(first_name || ' ' || last_name, 'Unknown') AS employee_name
+        FROM documents LEFT OUTER JOIN employee ON emp_id = doc_id * 3""")),
+    "v06_bonus": (
+        lambda t: lookups.bonus(t.raw_documents.select((F.col("doc_id") * 3).alias("salary_id")), t.salary_bonus, "1.25"),
+        q(f"""SELECT doc_id * 3 AS salary_id, CASE WHEN s.salary_id IS NULL THEN 0
+            ELSE {div(cents('bonus_amount') + ' * 125', '100', 0)} / 100 END AS bonus
+            FROM documents LEFT OUTER JOIN salary_bonus s ON s.salary_id = doc_id * 3"""),
     ),
-    "v06_bonus": (_bonus, q(f"""
-        SELECT payroll_id, {div(cents('bonus_amount') + ' * 125', '100', 0)} / 100 AS bonus
-        FROM payroll p INNER JOIN salary_bonus s ON s.salary_id = p.salary_id""")),
     "v07_view_in_sql": (_sql_view, q("""
         SELECT dept_name, count(*) AS n, sum(amount)::DOUBLE AS pay FROM employee e
         INNER JOIN job_department d ON d.job_id = e.job_id INNER JOIN salary_bonus s ON s.salary_id = e.salary_id

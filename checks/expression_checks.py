@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlake import labels
 from rosterlake.functions import dates, money, text
+from rosterlake.operators.changes import archive_deleted
 from rosterlake.operators.joins import matching
 from rosterlake.operators.ordered import over_order, position
 from rosterlake.operators.sorting import sort_by, top
@@ -276,8 +277,10 @@ CHECKS = {
         "SELECT event_id, trunc(value)::BIGINT AS whole FROM events",
     ),
     "f19_changed_by": (
-        lambda t: t.salary_bonus.select("salary_id", F.lit("payroll_admin").alias("changed_by")),
-        q("SELECT salary_id, 'payroll_admin' AS changed_by FROM salary_bonus"),
+        lambda t: archive_deleted(t.employee, t.employee, "2024-01-15", "payroll_admin").audit.select(
+            "emp_id", F.col("archived_by").alias("changed_by")
+        ),
+        q("SELECT emp_id, 'payroll_admin' AS changed_by FROM employee"),
     ),
     "f20_number_text": (
         lambda t: t.payroll.select(

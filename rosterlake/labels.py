@@ -72,6 +72,8 @@ NOTICE_NET = " - Net: $"
 LEAVE_SUBMITTED = "SUCCESS: Leave request submitted ("
 LEAVE_SUBMITTED_DAYS = " days)"
 LEAVE_END_ERROR = "ERROR: End date must be after start date"
+CUT_REFUSED = "-20100"
+SALARY_MISSING = "-20030"
 NAMES_REQUIRED = "-20001"
 GENDER_INVALID = "-20002"
 AGE_INVALID = "-20003"

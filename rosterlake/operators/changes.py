@@ -21,6 +21,9 @@ from .quality import check_rows, checks_of
 
 # names of our own for refusals that have no code
 EMAIL_EXISTS = "EMAIL_EXISTS"
+SALARY_UNKNOWN = "SALARY_NOT_FOUND"
+AMOUNT_MISSING = "AMOUNT_MISSING"
+SUPERSEDED = "SUPERSEDED"
 LEAVE_UNKNOWN = "LEAVE_NOT_FOUND"
 DIRECTORY_COLUMNS = ("first_name", "last_name", "email", "phone")
 
@@ -46,10 +49,19 @@ def latest_change(
 
 
 def apply_updates(
-    current: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]
+    current: DataFrame,
+    changes: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Snapshot with ``columns`` replaced where ``changes`` (unique by key) has the row."""
-    new = changes.select(
+    """Snapshot with ``columns`` replaced where ``changes`` has the row.
+
+    Of several changes of a row the last one in ``order_by`` counts, and among equals the
+    largest, so the snapshot never gets more rows.
+    """
+    last = latest_change(changes, key, [*order_by, *columns], columns)
+    new = last.select(
         F.col(key), F.lit(True).alias("_hit"), *[F.col(n).alias(f"_to_{n}") for n in columns]
     )
     updated = {
@@ -58,20 +70,36 @@ def apply_updates(
     return current.join(new, key, "left").withColumns(updated).select(*current.columns)
 
 
+def split_latest(
+    changes: DataFrame, key: str, order_by: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(the last change of each key, the changes that it supersedes).
+
+    Every row of ``changes`` is in one of the two. Of rows that are equal in ``order_by`` the
+    largest is the last; of repeated rows all but one are superseded.
+    """
+    columns = changes.columns
+    times = changes.groupBy(*columns).agg(F.count("*").alias("_times"))
+    row = F.struct(*[F.col(n) for n in columns])
+    last = times.groupBy(F.col(key).alias("_key")).agg(
+        F.max_by(row, F.struct(*order_by, *columns)).alias("_last")
+    )
+    marked = times.join(last, F.col(key).eqNullSafe(F.col("_key")))
+    copies = F.col("_times") - F.col("_last").eqNullSafe(row).cast("bigint")
+    older = marked.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+    return last.select("_last.*"), older.select(*columns)
+
+
 # --- pay ----------------------------------------------------------------------------------
 
 
-def salary_steps(
-    current: DataFrame, changes: DataFrame, order_by: Sequence[str], bound: DataFrame | None = None
-) -> DataFrame:
+def salary_steps(current: DataFrame, changes: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Each proposed amount with the amount it meets (``old_amount``) and the difference.
 
     A batch may propose several amounts for one pay row. Cuts are refused, so the amount a
     proposal meets is the largest of the current one and all earlier proposals.
     """
-    seen = over_order(
-        changes, order_by, {"_highest": largest_before("new_amount")}, ["salary_id"], bound
-    )
+    seen = over_order(changes, order_by, {"_highest": largest_before("new_amount")}, ["salary_id"])
     known = seen.join(current.select("salary_id", "amount"), "salary_id")
     old = F.greatest(F.col("amount"), F.col("_highest"))
     return known.select(
@@ -87,10 +115,13 @@ def guard_no_decrease(
     order_by: Sequence[str],
     as_of: AsOf = None,
     changed_by: str | None = None,
-    bound: DataFrame | None = None,
 ) -> Outcome:
-    """Refuse lower amounts, log increases; equal amounts pass without a log row."""
-    steps = salary_steps(current, changes, order_by, bound)
+    """Refuse lower amounts, log increases; equal amounts pass without a log row.
+
+    Proposals for unknown pay rows and those without an amount are refused too, so each
+    proposal is logged, refused, or equal to what it meets. Refusals carry ``reject_code``.
+    """
+    steps = salary_steps(current, changes, order_by)
     highest = changes.groupBy("salary_id").agg(F.max("new_amount").alias("_top"))
     amount = F.greatest(F.col("amount"), F.col("_top")).cast(current.schema["amount"].dataType)
     snapshot = (
@@ -117,7 +148,18 @@ def guard_no_decrease(
         number_text(F.abs("change_amount")),
         F.lit(labels.CUT_ADVICE),
     )
-    rejected = refused.select("salary_id", "old_amount", "new_amount", message.alias("message"))
+    columns = ["salary_id", "old_amount", "new_amount"]
+    cuts = refused.select(
+        *columns, message.alias("message"), F.lit(labels.CUT_REFUSED).alias("reject_code")
+    )
+    missing = matching(changes.where("new_amount IS NULL"), current, "salary_id")
+    unknown = unknown_keys(current, changes, "salary_id")
+    rejected = cuts
+    for rows, code in ((missing, AMOUNT_MISSING), (unknown, SALARY_UNKNOWN)):
+        rejected = rejected.unionByName(
+            rows.select("salary_id", "new_amount", F.lit(code).alias("reject_code")),
+            allowMissingColumns=True,
+        )
     return Outcome(snapshot, audit, rejected)
 
 
@@ -237,9 +279,11 @@ def archive_deleted(
     return Outcome(without(current, keys, "emp_id"), archive, None)
 
 
-def update_directory(employee: DataFrame, changes: DataFrame) -> DataFrame:
-    """Directory changes reach only the name, e-mail and phone columns."""
-    return apply_updates(employee, changes, "emp_id", DIRECTORY_COLUMNS)
+def update_directory(
+    employee: DataFrame, changes: DataFrame, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Directory changes reach only the name, e-mail and phone columns; the last one counts."""
+    return apply_updates(employee, changes, "emp_id", DIRECTORY_COLUMNS, order_by)
 
 
 def hire_verdicts(current: DataFrame, batch: DataFrame, order: str) -> DataFrame:
@@ -314,21 +358,27 @@ def status_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def decide_leave(current: DataFrame, decisions: DataFrame) -> Outcome:
-    """Approve or reject leaves by (leave_id, status, approved_by), unique by leave_id.
+def decide_leave(
+    current: DataFrame, decisions: DataFrame, order_by: Sequence[str] = ()
+) -> Outcome:
+    """Approve or reject leaves by (leave_id, status, approved_by).
 
-    A NULL status passes the check, as it is not outside the list, and becomes PENDING.
+    A NULL status passes the check, as it is not outside the list, and becomes PENDING. Of
+    several valid decisions for a leave the last one in ``order_by`` counts (see
+    ``split_latest``); the others are rejected as superseded.
     """
     allowed = F.coalesce(F.col("status").isin(labels.APPROVED, labels.REJECTED), F.lit(True))
     valid = decisions.where(allowed).withColumn(
         "status", F.coalesce(F.col("status"), F.lit(labels.PENDING))
     )
-    snapshot = apply_updates(current, valid, "leave_id", ["status", "approved_by"])
+    known, older = split_latest(matching(valid, current, "leave_id"), "leave_id", order_by)
+    snapshot = apply_updates(current, known, "leave_id", ["status", "approved_by"])
     invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(labels.STATUS_INVALID))
     unknown = unknown_keys(current, valid, "leave_id").withColumn(
         "reject_code", F.lit(LEAVE_UNKNOWN)
     )
-    return Outcome(snapshot, None, invalid.unionByName(unknown))
+    older = older.withColumn("reject_code", F.lit(SUPERSEDED))
+    return Outcome(snapshot, None, invalid.unionByName(unknown).unionByName(older))
 
 
 def request_leave(batch: DataFrame) -> Outcome:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import percent
-from ..session import fits_one_task
+from ..session import small_side
 from .joins import null_safe
 
 
@@ -17,20 +17,17 @@ def with_total(
     value: str,
     name: str,
     per: Sequence[str] = (),
-    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Add the total of a column over all rows, or over the rows of each group.
 
-    A partial aggregate and a scalar subquery (or an equi-join) take the place of a window,
-    which would move all rows of a group into one task. The window is used where ``bound``,
-    a table with at least as many rows as ``df``, is small: it reads its input only once.
+    A partial aggregate and a scalar subquery (or a join to the groups' totals, which are
+    broadcast if counted to be few) take the place of a window, which would move all rows of a
+    group into one task.
     """
     total = F.sum(value)
-    if fits_one_task(bound):
-        return df.withColumn(name, total.over(Window.partitionBy(*per)))
     if not per:
         return df.withColumn(name, df.agg(total.alias(name)).scalar())
-    return null_safe(df, df.groupBy(*per).agg(total.alias(name)), per)
+    return null_safe(df, small_side(df.groupBy(*per).agg(total.alias(name))), per)
 
 
 def with_share(
@@ -39,10 +36,9 @@ def with_share(
     name: str,
     per: Sequence[str] = (),
     digits: int = 2,
-    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Add 100 * value / total, rounded; NULL when the total is zero."""
-    totalled = with_total(df, value, "_total", per, bound)
+    totalled = with_total(df, value, "_total", per)
     return totalled.withColumn(name, percent(value, "_total", digits)).drop("_total")
 
 

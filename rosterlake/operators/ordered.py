@@ -3,8 +3,8 @@
 A plain window moves each group, or the whole table when there is none, into one task.
 Here the rows are range-partitioned by group, order and a unique last key, so that a
 large group covers many partitions, and numbered from partition counts. All frames then
-work on blocks of consecutive rows, and the totals of earlier blocks are carried over. A plain window is used only where its groups are
-known to be small: the input is bounded by a small table, or the largest group was counted.
+work on blocks of consecutive rows, and the totals of earlier blocks are carried over. Building
+such a plan writes the ordered rows once.
 """
 
 from __future__ import annotations
@@ -16,14 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import percent, ratio
-from ..session import fits_one_task, materialize, small_side
+from ..session import materialize, small_side
 from .grouping import with_total
 from .joins import null_safe
 from .sorting import sort_keys
 
 BLOCK_ROWS = 1 << 18
-# largest group that a plain window may sort in one task
-PLAIN_ROWS = 1 << 20
 _ALL_BEFORE = (Window.unboundedPreceding, -1)
 _TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
 # calculations over all earlier rows: aggregate and frame
@@ -81,22 +79,6 @@ def _shift(frame: Frame, window) -> Column:
     return ratio(total, count, frame.digits)
 
 
-def _plain(df: DataFrame, order_by, partition_by, frames: Mapping[str, Frame]) -> DataFrame:
-    """The same calculations as ordinary windows, for small inputs."""
-    window = Window.partitionBy(*partition_by).orderBy(*sort_keys(order_by))
-    made = {}
-    for name, frame in frames.items():
-        if frame.kind == "position":
-            made[name] = F.row_number().over(window).cast("bigint")
-        elif frame.kind == "running_sum":
-            made[name] = F.sum(frame.column).over(window.rowsBetween(*_TO_CURRENT))
-        elif frame.kind == "largest_before":
-            made[name] = F.max(frame.column).over(window.rowsBetween(*_ALL_BEFORE))
-        else:
-            made[name] = _shift(frame, window)
-    return df.withColumns(made)
-
-
 def _positions(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Add ``_at``, the place of each row in the whole order, from 0.
 
@@ -129,38 +111,14 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_num") -
     return placed.select(*df.columns, (F.col("_at") + 1).alias(name))
 
 
-def _groups_are_small(
-    df: DataFrame, keys: Sequence[str], bound: DataFrame | None, limit: int
-) -> bool:
-    """May a plain window be used? Counting groups reads the key columns only."""
-    if limit <= 0:
-        return False
-    if fits_one_task(df if bound is None else bound):
-        return True
-    if not keys:
-        return False
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return (largest or 0) <= limit
-
-
 def over_order(
     df: DataFrame,
     order_by: Sequence[str],
     frames: Mapping[str, Frame],
     partition_by: Sequence[str] = (),
-    bound: DataFrame | None = None,
-    plain_rows: int = PLAIN_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add calculations over the ordered rows (per group).
-
-    ``order_by`` must end with a unique key. ``bound`` is a table that has at least as many
-    rows as ``df``, for inputs whose own size estimate is too high (joins). Plain windows are
-    used when it is small or when no group has more than ``plain_rows`` rows; with 0, never.
-    """
-    if _groups_are_small(df, partition_by, bound, plain_rows):
-        return _plain(df, order_by, partition_by, frames)
-
+    """Add calculations over the ordered rows (per group); ``order_by`` must end with a unique key."""
     before = max(f.before for f in frames.values())
     after = max(f.after for f in frames.values())
     block_rows = max(block_rows, before, after)  # edge rows come from the next block only
@@ -247,9 +205,8 @@ def rank_rows(
     value: str,
     names: Mapping[str, str],
     partition_by: Sequence[str] = (),
-    bound: DataFrame | None = None,
-    plain_rows: int = PLAIN_ROWS,
     share: str | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ranks by a value, largest first; ``names`` maps rank / dense_rank to a column.
 
@@ -258,28 +215,17 @@ def rank_rows(
     same counts.
     """
     keys = list(partition_by)
-    if bound is None and plain_rows > 0:
-        bound = df
-    small = fits_one_task(bound)
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
-    if not small:
-        bound, counted = None, materialize(counted, "values")
-    ranked = over_order(
-        counted,
-        [f"-{value}"],
-        {"_dense": position(), "_upto": running_sum("_ties")},
-        keys,
-        bound,
-        plain_rows,
-    )
+    frames = {"_dense": position(), "_upto": running_sum("_ties")}
+    ranked = over_order(counted, [f"-{value}"], frames, keys, block_rows)
     made = {"dense_rank": F.col("_dense"), "rank": F.col("_upto") - F.col("_ties") + 1}
     columns = {n: made[kind].cast("bigint") for kind, n in names.items()}
     if share is not None:
         weighted = ranked.withColumn("_sum", F.col(value) * F.col("_ties"))
-        ranked = with_total(weighted, "_sum", "_total", keys, bound)
+        ranked = with_total(weighted, "_sum", "_total", keys)
         columns[share] = percent(value, "_total")
     ranked = ranked.select(*keys, value, *[c.alias(n) for n, c in columns.items()])
-    return null_safe(df, ranked if small else small_side(ranked), [*keys, value])
+    return null_safe(df, small_side(ranked), [*keys, value])
 
 
 def top_ranked(
@@ -315,10 +261,7 @@ def top_ranked(
     best = best.select(
         *keys, value, *[F.col(formula[kind]).cast("bigint").alias(n) for kind, n in names.items()]
     )
-    if not keys:
-        best = F.broadcast(best)
-    elif not fits_one_task(df):
-        best = small_side(best)
+    best = small_side(best) if keys else F.broadcast(best)
     return null_safe(df, best, [*keys, value])
 
 
@@ -327,9 +270,8 @@ def assign_keys(
     order_by: Sequence[str],
     key: str,
     start: int | Column = 1,
-    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """Add consecutive surrogate keys from ``start`` in the given order."""
-    numbered = over_order(df, order_by, {"_n": position()}, plain_rows=plain_rows)
+    numbered = over_order(df, order_by, {"_n": position()})
     first = F.lit(start) if isinstance(start, int) else start
     return numbered.withColumn(key, (first + F.col("_n") - 1).cast("bigint")).drop("_n")

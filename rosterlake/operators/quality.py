@@ -104,13 +104,21 @@ def orphan_rows(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFr
 
 
 def orphan_counts(tables, keys: Iterable[ForeignKey]) -> DataFrame:
-    """Orphans per foreign key."""
-    counts = [
-        orphan_rows(tables[k.child], tables[k.parent], k.column, k.key)
-        .agg(F.count("*").alias("orphans"))
-        .select(F.lit(k.child).alias("child"), F.lit(k.column).alias("fk"), "orphans")
-        for k in keys
-    ]
+    """Orphans per foreign key; each child is read once for all of its keys."""
+    by_child: dict[str, list[ForeignKey]] = {}
+    for key in keys:
+        by_child.setdefault(key.child, []).append(key)
+    counts = []
+    for child, own in by_child.items():
+        rows = tables[child].select(*dict.fromkeys(k.column for k in own))
+        for i, key in enumerate(own):
+            rows = flag_existing(rows, tables[key.parent], key.column, f"_has_{i}", key.key)
+        found = [F.count_if(F.col(k.column).isNotNull() & ~F.col(f"_has_{i}")) for i, k in enumerate(own)]
+        named = [
+            F.struct(F.lit(child).alias("child"), F.lit(k.column).alias("fk"), n.alias("orphans"))
+            for k, n in zip(own, found, strict=True)
+        ]
+        counts.append(rows.agg(F.array(*named).alias("found")).select(F.inline("found")))
     return reduce(DataFrame.unionByName, counts)
 
 

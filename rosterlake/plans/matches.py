@@ -119,7 +119,7 @@ def department_payroll(t: Tables, per_payroll_row: bool = True) -> DataFrame:
         .withColumn("weight", weight if per_payroll_row else F.lit(1).cast("bigint"))
     )
     per = people.groupBy("job_id").agg(
-        F.count_distinct("emp_id").alias("headcount"),
+        F.count("emp_id").alias("headcount"),  # one row per employee
         F.count_distinct("pay_id").alias("distinct_salary_levels"),
         F.sum(F.col("amount") * F.col("weight")).alias("weighted"),
         F.sum(F.when(F.col("amount").isNotNull(), F.col("weight"))).alias("weights"),
@@ -128,7 +128,7 @@ def department_payroll(t: Tables, per_payroll_row: bool = True) -> DataFrame:
         F.sum("total_net").alias("net"),
     )
     kept = departments(t, "salary_range").join(per, "job_id", "left")
-    totalled = with_total(kept, "net", "dept_net_payroll", ["dept_name"], t.job_department)
+    totalled = with_total(kept, "net", "dept_net_payroll", ["dept_name"])
     return sort_by(totalled, "-dept_net_payroll", "job_id").select(
         "dept_name",
         "salary_range",

@@ -33,7 +33,7 @@ def pay_against_department(t: Tables) -> DataFrame:
     places = all_departments_pay(t).select("job_id", "dept_name", mean_pay.alias("mean_pay"))
     compared = (
         staff(t)
-        .join(small_side(places, t.job_department), "job_id")
+        .join(small_side(places), "job_id")
         .join(pay_rows(t), "salary_id")
         .withColumn("difference_from_avg", F.round(F.col("amount") - F.col("mean_pay"), 2))
     )
@@ -108,8 +108,8 @@ def pay_ranks_with_department(t: Tables) -> DataFrame:
         "job_id", F.col("headcount").alias("dept_size"), ratio("total", "paid").alias("avg_salary")
     )
     rows = paid_staff(t).select("emp_id", "job_id", "employee_name", "dept_name", "amount")
-    ranked = rank_rows(rows, "amount", {"rank": "salary_rank"}, ["dept_name"], bound=t.employee)
-    joined_rows = ranked.join(small_side(stats, t.job_department), "job_id")
+    ranked = rank_rows(rows, "amount", {"rank": "salary_rank"}, ["dept_name"])
+    joined_rows = ranked.join(small_side(stats), "job_id")
     return sort_by(joined_rows, "dept_name", "salary_rank", "emp_id").select(
         "employee_name",
         "dept_name",

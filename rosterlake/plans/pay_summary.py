@@ -92,7 +92,6 @@ def department_pay_ranks(t: Tables) -> DataFrame:
         "amount",
         {"dense_rank": "salary_rank"},
         ["dept_name"],
-        bound=t.employee,
         share="pct_of_dept_salary",
     )
     return sort_by(ranked, "dept_name", "salary_rank", "emp_id").select(
@@ -104,7 +103,7 @@ def top_paid(t: Tables, k: int = 5) -> DataFrame:
     """Staff with one of the k largest amounts, numbered and ranked with and without gaps."""
     rows = paid_staff(t).select("emp_id", "employee_name", "dept_name", "amount")
     best = top_ranked(rows, "amount", k, {"rank": "rank_no", "dense_rank": "dense_rank_no"})
-    numbered = over_order(best, ["-amount", "emp_id"], {"row_num": position()}, bound=t.employee)
+    numbered = over_order(best, ["-amount", "emp_id"], {"row_num": position()})
     return sort_by(numbered, "row_num").select(
         "employee_name", "dept_name", "amount", "row_num", "rank_no", "dense_rank_no"
     )
@@ -116,7 +115,6 @@ def pay_gaps(t: Tables) -> DataFrame:
         rows,
         ["-amount", "emp_id"],
         {"prev_higher": previous("amount"), "next_lower": following("amount")},
-        bound=t.employee,
     )
     return sort_by(placed, "-amount", "emp_id").select(
         "emp_id",
@@ -140,7 +138,6 @@ def pay_running_totals(t: Tables) -> DataFrame:
             "moving_avg": moving_mean("amount", 2, 2),
             "cumulative_count": position(),
         },
-        bound=t.employee,
     )
     return sort_by(framed, "cumulative_count")
 
@@ -160,7 +157,7 @@ def payroll_expense(t: Tables) -> DataFrame:
         mean("net_amount").alias("avg_net_payment"),
     )
     named = per.join(departments(t), "job_id")
-    shared = with_share(named, "total_gross", "pct_of_total_payroll", bound=t.job_department)
+    shared = with_share(named, "total_gross", "pct_of_total_payroll")
     return sort_by(shared, "-total_gross", "job_id").select(
         "dept_name",
         "employees_paid",
@@ -216,7 +213,6 @@ def key_metrics(t: Tables) -> DataFrame:
         t.employee.select("emp_id", "salary_id")
         .join(pay_rows(t), "salary_id")
         .select("emp_id", "amount")
-        .distinct()
     )
     totals = t.payroll.agg(
         F.struct(
@@ -224,7 +220,7 @@ def key_metrics(t: Tables) -> DataFrame:
         ).alias("totals")
     ).scalar()
     return pay.agg(
-        F.count_distinct("emp_id").alias("total_employees"),
+        F.count("emp_id").alias("total_employees"),  # one row per employee
         F.sum("amount").alias("total_salary"),
         mean("amount").alias("avg_salary"),
         F.max("amount").alias("max_salary"),

@@ -62,19 +62,20 @@ def employee_profile(t: Tables) -> DataFrame:
     """One row per employee with counts of three child tables.
 
     Each child is counted by its key before the join. Joining the children first would
-    multiply them with each other.
+    multiply them with each other. Keys of leave and payroll are unique and so are counted as
+    they are; those of qualification may repeat.
     """
     counts = {
-        "total_leave_requests": (t.leave, "leave_id"),
-        "qualification_count": (t.qualification, "qual_id"),
-        "payroll_records": (t.payroll, "payroll_id"),
+        "total_leave_requests": (t.leave, F.count("leave_id")),
+        "qualification_count": (t.qualification, F.count_distinct("qual_id")),
+        "payroll_records": (t.payroll, F.count("payroll_id")),
     }
     pay = pay_rows(t, "bonus_amount")
     profile = (
         staff(t).join(departments(t), "job_id", "left").join(pay, "salary_id", "left")
     )
-    for name, (child, key) in counts.items():
-        per = child.groupBy("emp_id").agg(F.count_distinct(key).alias(name))
+    for name, (child, count) in counts.items():
+        per = child.groupBy("emp_id").agg(count.alias(name))
         profile = profile.join(per, "emp_id", "left")
     known = matching_department(profile)
     return known.select(

@@ -1,19 +1,16 @@
-"""Session helpers: building a local session, shared scratch space, size checks."""
+"""Session helpers: building a local session, shared scratch space, counted sides."""
 
 from __future__ import annotations
 
 import os
-import sys
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest estimated input (bytes) that may be handled by one task.
-SINGLE_TASK_BYTES = 16 * 1024 * 1024
-# Largest size (bytes of Parquet files) of a join side that is sent to all executors.
-BROADCAST_BYTES = 8 * 1024 * 1024
+# Largest number of counted rows of a join side that is sent to all executors.
+BROADCAST_ROWS = 1 << 16
 
 _scratch_by_app: dict[str, str] = {}
 
@@ -73,29 +70,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: file sizes of scans, products of joins, sums of unions.
+def small_side(df: DataFrame) -> DataFrame:
+    """A join side, written once, counted, and marked for broadcast if it has few rows.
 
-    It does not know how many rows an explode makes, so a plan with one counts as unbounded.
+    For sides of keys with a few figures. A larger side is returned unmarked, for a shuffled
+    join. Where the side is small, the other one is not shuffled by a key that few values make
+    up. Writing and counting run while the plan is built.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString():
-        return sys.maxsize
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def fits_one_task(bound: DataFrame | None) -> bool:
-    """True when ``bound``, a table whose rows bound the work, is small enough for one task."""
-    return bound is not None and estimated_bytes(bound) <= SINGLE_TASK_BYTES
-
-
-def small_side(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
-    """A join side, marked for broadcast only if it is known to be small.
-
-    Known from the size of ``bound``, a table with at least as many rows, or else from the
-    files of the written side. A larger side is returned unmarked, for a shuffled join. This
-    keeps a large other side from being shuffled by a key that few values make up.
-    """
-    if bound is None:
-        df = bound = materialize(df, "side")
-    return F.broadcast(df) if estimated_bytes(bound) <= BROADCAST_BYTES else df
+    stored = materialize(df, "side")
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

@@ -61,12 +61,13 @@ def salary_bonus(part: DataFrame) -> DataFrame:
     )
 
 
-def payroll(orders: DataFrame) -> DataFrame:
+def payroll_columns() -> list[Column]:
+    """The payroll columns as expressions over orders."""
     gross = F.col("o_totalprice").cast(MONEY)
     deductions = F.round(gross * F.lit("0.20").cast("decimal(3,2)"), 2).cast(MONEY)
     job = F.col("o_custkey") % 25
     status = F.col("o_orderstatus")
-    return orders.select(
+    return [
         F.col("o_orderkey").alias("payroll_id"),
         F.col("o_orderdate").cast("date").alias("payroll_date"),
         gross.alias("gross_amount"),
@@ -79,7 +80,11 @@ def payroll(orders: DataFrame) -> DataFrame:
         F.when(status == "O", "PENDING").when(status == "F", "PROCESSED").otherwise("PAID").alias(
             "payment_status"
         ),
-    )
+    ]
+
+
+def payroll(orders: DataFrame) -> DataFrame:
+    return orders.select(*payroll_columns())
 
 
 def leave(events: DataFrame) -> DataFrame:

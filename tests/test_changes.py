@@ -14,7 +14,7 @@ STEP = "salary_id bigint, new_amount decimal(10,2), step int"
 
 
 def raises(spark, rows):
-    return spark.createDataFrame([(i, Decimal(a), s) for i, a, s in rows], STEP)
+    return spark.createDataFrame([(i, a and Decimal(a), s) for i, a, s in rows], STEP)
 
 
 def test_raise_passes_and_is_logged(spark, company):
@@ -53,10 +53,10 @@ def test_several_changes_of_one_row(many_slices, company, sliced, monkeypatch):
     assert out.rows.where("salary_id = 103").first()["amount"] == Decimal("91000.50")
 
 
-def _sliced(df, order_by, frames, partition_by=(), _bound=None):
+def _sliced(df, order_by, frames, partition_by=()):
     from rosterlake.operators.ordered import over_order
 
-    return over_order(df, order_by, frames, partition_by, plain_rows=0, block_rows=2)
+    return over_order(df, order_by, frames, partition_by, block_rows=2)
 
 
 def test_unknown_pay_rows_are_found(spark, company):
@@ -227,3 +227,32 @@ def test_notices_skip_unknown_employees(spark, company):
     batch = payroll_batch(spark, [(1, "95000", "1", "66500.50", 1001), (2, "1", "1", "1", 77)])
     got = ch.payroll_notices(batch, company.employee).collect()
     assert [r["notice"] for r in got] == ["Notification: Payroll processed for Jane Smith - Net: $66500.5"]
+
+
+def test_every_proposal_is_logged_refused_or_equal(spark, company):
+    batch = raises(spark, [(100, "99000", 1), (100, None, 2), (999, "5", 3), (100, "99000", 4), (101, "1", 5), (None, "7", 6)])
+    out = ch.guard_no_decrease(company.salary_bonus, batch, ["step"], AS_OF, "hr")
+    refused = sorted((r["salary_id"] or 0, r["reject_code"]) for r in out.rejected.collect())
+    assert refused == [(0, ch.SALARY_UNKNOWN), (100, ch.AMOUNT_MISSING), (101, labels.CUT_REFUSED), (999, ch.SALARY_UNKNOWN)]
+    equal = 1
+    assert out.audit.count() + len(refused) + equal == 6
+    assert out.rows.count() == company.salary_bonus.count()
+
+
+def test_repeated_changes_leave_a_snapshot_with_unique_keys(spark, company):
+    decisions = spark.createDataFrame(
+        [(3000, "APPROVED", 1, 2), (3000, "REJECTED", 5, 3), (3000, "APPROVED", 9, 1), (3000, "REJECTED", 5, 3), (9, None, 1, 1)],
+        "leave_id bigint, status string, approved_by bigint, step int",
+    )
+    out = ch.decide_leave(company.leave, decisions, ["step"])
+    row = out.rows.where("leave_id = 3000").collect()
+    assert [(r["status"], r["approved_by"]) for r in row] == [("REJECTED", 5)]
+    codes = sorted((r["approved_by"], r["reject_code"]) for r in out.rejected.collect())
+    assert codes == [(1, ch.LEAVE_UNKNOWN), (1, ch.SUPERSEDED), (5, ch.SUPERSEDED), (9, ch.SUPERSEDED)]
+    change = spark.createDataFrame(
+        [(1000, "Jon", "Doe", None, "1", 1), (1000, "Jo", "Doe", "e", "2", 2)],
+        "emp_id bigint, first_name string, last_name string, email string, phone string, step int",
+    )
+    got = ch.update_directory(company.employee, change, ["step"])
+    assert got.count() == company.employee.count()
+    assert got.where("emp_id = 1000").first()["first_name"] == "Jo"

@@ -80,7 +80,7 @@ def test_frames_over_slices_and_blocks(many_slices, grouped, descending):
     df = many_slices.createDataFrame(rows, SCHEMA).repartition(7)
     order = ["-val" if descending else "val", "id"]
     keys = ["grp"] if grouped else []
-    got = o.over_order(df, order, FRAMES, keys, plain_rows=0, block_rows=16)
+    got = o.over_order(df, order, FRAMES, keys, block_rows=16)
     assert got.columns == ["grp", "val", "id", *FRAMES]
     found = {r["id"]: tuple(r[n] for n in FRAMES) for r in got.collect()}
     assert found == brute(rows, descending, grouped)
@@ -90,18 +90,10 @@ def test_frames_over_slices_and_blocks(many_slices, grouped, descending):
 def test_block_size_does_not_matter(many_slices, block_rows):
     rows = sample(2, 60)
     df = many_slices.createDataFrame(rows, SCHEMA)
-    got = o.over_order(df, ["-val", "id"], FRAMES, ["grp"], plain_rows=0, block_rows=block_rows)
+    got = o.over_order(df, ["-val", "id"], FRAMES, ["grp"], block_rows=block_rows)
     assert {r["id"]: tuple(r[n] for n in FRAMES) for r in got.collect()} == brute(rows, True, True)
 
 
-def test_plain_form_gives_the_same(spark):
-    rows = sample(3)
-    df = spark.createDataFrame(rows, SCHEMA)
-    for kwargs in ({"bound": spark.range(10)}, {"plain_rows": 1000}):
-        got = o.over_order(df, ["-val", "id"], FRAMES, ["grp"], **kwargs)
-        assert {r["id"]: tuple(r[n] for n in FRAMES) for r in got.collect()} == brute(rows, True, True)
-
-
 def test_numbers_cover_several_partitions(many_slices):
     df = many_slices.range(1000).selectExpr("id", "'hot' AS grp")
     numbered = o.number_rows(df, ["grp", "-id"])
@@ -128,7 +120,7 @@ def test_ranks_with_ties_and_nulls(many_slices, grouped):
     rows = sample(4)
     df = many_slices.createDataFrame(rows, SCHEMA)
     keys = ["grp"] if grouped else []
-    got = o.rank_rows(df, "val", {"rank": "r", "dense_rank": "d"}, keys, plain_rows=0)
+    got = o.rank_rows(df, "val", {"rank": "r", "dense_rank": "d"}, keys)
     assert {x["id"]: (x["r"], x["d"]) for x in got.collect()} == ranks(rows, grouped)
 
 
@@ -146,27 +138,28 @@ def test_top_ranked_keeps_all_ties(many_slices, grouped, by):
 
 def test_share_of_group(many_slices):
     df = many_slices.createDataFrame([("a", Decimal(1), 1), ("a", Decimal(3), 2), ("b", Decimal(5), 3)], SCHEMA)
-    got = o.rank_rows(df, "val", {"rank": "r"}, ["grp"], plain_rows=0, share="pct")
+    got = o.rank_rows(df, "val", {"rank": "r"}, ["grp"], share="pct")
     assert {r["id"]: float(r["pct"]) for r in got.collect()} == {1: 25.0, 2: 75.0, 3: 100.0}
 
 
 def test_assigned_keys_follow_each_other(many_slices):
     df = many_slices.range(200).repartition(6)
-    for plain_rows in (0, 1000):
-        got = o.assign_keys(df, ["-id"], "key", 5000, plain_rows).collect()
-        assert sorted((r["key"], r["id"]) for r in got) == [(5000 + i, 199 - i) for i in range(200)]
+    got = o.assign_keys(df, ["-id"], "key", 5000).collect()
+    assert sorted((r["key"], r["id"]) for r in got) == [(5000 + i, 199 - i) for i in range(200)]
+
 
+def test_sides_are_broadcast_by_counted_rows(spark, monkeypatch):
+    from rosterlake import session
 
-def test_size_estimate_of_an_explode_is_unbounded(spark):
-    from rosterlake.session import fits_one_task
+    def plan(side):
+        return spark.range(10**6).join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
 
-    df = spark.range(10)
-    assert fits_one_task(df)
-    assert not fits_one_task(df.selectExpr("explode(sequence(0, id))"))
-    assert not fits_one_task(None)
+    assert "broadcast" in plan(session.small_side(spark.range(10)))
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 9)
+    assert "broadcast" not in plan(session.small_side(spark.range(10)))
 
 
 def test_empty_input(many_slices):
     df = many_slices.createDataFrame([], SCHEMA)
-    assert o.over_order(df, ["val", "id"], FRAMES, ["grp"], plain_rows=0).count() == 0
-    assert o.rank_rows(df, "val", {"rank": "r"}, plain_rows=0).count() == 0
+    assert o.over_order(df, ["val", "id"], FRAMES, ["grp"]).count() == 0
+    assert o.rank_rows(df, "val", {"rank": "r"}).count() == 0
