@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterlake.session import local_scratch
 from rosterlake.sources.adapter import star_tables
 from rosterlake.sources.loading import Tables
 
@@ -47,6 +48,7 @@ def all_checks() -> dict[str, Check]:
 
 def runner(check: Check) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        local_scratch(spark)
         return plain(check.query(star_tables(spark, folder)))
 
     return run

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Largest number of counted rows of a join side that is sent to all executors.
 BROADCAST_ROWS = 1 << 16
 
-_scratch_by_app: dict[str, str] = {}
+_scratch_by_app: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(app: str = "rosterlake", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -32,24 +32,29 @@ def local_session(app: str = "rosterlake", cores: str | int = "*", **conf: str)
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    local_scratch(spark)
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables, below the shared folder of spark.checkpoint.dir.
+def local_scratch(spark: SparkSession) -> None:
+    """Give a local session without ``spark.checkpoint.dir`` a folder until the process ends.
 
-    Only a local master without that setting gets a temporary folder of its own: there
-    the driver and the executors are one process, so the folder is shared by definition.
+    For tests, benchmarks and trials: there the driver and the executors are one process, so a
+    temporary folder is shared by definition. Sessions on a cluster are left as they are.
     """
     context = spark.sparkContext
+    if context.master.split("[")[0] == "local" and spark.conf.get("spark.checkpoint.dir", None) is None:
+        _scratch_by_app.setdefault(context.applicationId, tempfile.TemporaryDirectory(prefix="rosterlake-"))
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables, below the shared folder of spark.checkpoint.dir."""
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and context.applicationId in _scratch_by_app:
+        shared = _scratch_by_app[context.applicationId].name
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        shared = _scratch_by_app.get(context.applicationId)
-        if shared is None:
-            shared = tempfile.mkdtemp(prefix="rosterlake-")
-            _scratch_by_app[context.applicationId] = shared
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{shared.rstrip('/')}/rosterlake/{context.applicationId}"
 
 
