@@ -442,6 +442,15 @@ CHECKS = {
         WITH {RAISES} SELECT salary_id, old_amount::DOUBLE AS old_amount, new_amount::DOUBLE AS new_amount,
             (new_amount - old_amount)::DOUBLE AS change_amount, '{ADMIN}' AS changed_by, '{DAY}' AS changed_date,
             'Salary increase approved' AS reason FROM met WHERE new_amount > old_amount""")),
+    "d02_audit_log": (
+        lambda t: changes.audit_rows(
+            _guarded(t).audit, "salary_audit_log", ["salary_id", "new_amount"]
+        ).drop("changed_date"),
+        q(f"""WITH {RAISES} SELECT row_number() OVER (ORDER BY salary_id, new_amount) AS audit_id, salary_id,
+            old_amount::DOUBLE AS old_amount, new_amount::DOUBLE AS new_amount,
+            (new_amount - old_amount)::DOUBLE AS change_amount, '{ADMIN}' AS changed_by,
+            'Salary increase approved' AS reason FROM met WHERE new_amount > old_amount"""),
+    ),
     "d02_guard_rejected": (lambda t: _guarded(t).rejected, q(f"""
         WITH {RAISES} SELECT salary_id, old_amount::DOUBLE AS old_amount, new_amount::DOUBLE AS new_amount,
             'SALARY CUT BLOCKED! Current: $' || {num('old_amount')} || ' Attempted: $' || {num('new_amount')}
@@ -485,6 +494,12 @@ CHECKS = {
     "d04_payroll_audit": (_payroll_audit, q(f"""
         WITH {BATCH} SELECT payroll_id, emp_id, 'VARIANCE_WARNING' AS audit_type, {WARNING} AS message,
             '{PAY_DAY}' AS audit_date FROM checked WHERE 5 * abs(gross_amount - expected) > expected""")),
+    "d04_audit_log": (
+        lambda t: changes.audit_rows(_payroll_audit(t), "payroll_audit", ["payroll_id"]),
+        q(f"""WITH {BATCH} SELECT row_number() OVER (ORDER BY payroll_id) AS audit_id, payroll_id, emp_id,
+            'VARIANCE_WARNING' AS audit_type, {WARNING} AS message, '{PAY_DAY}' AS audit_date
+            FROM checked WHERE 5 * abs(gross_amount - expected) > expected"""),
+    ),
     "d05_leave_accepted": (lambda t: changes.validate_leave(leave_batch(t)).rows, q(f"""
         WITH {LEAVES} SELECT {LEAVE_COLUMNS} FROM arrived WHERE leave_end IS NULL OR leave_end >= leave_start""")),
     "d05_leave_rejected": (

@@ -15,6 +15,8 @@ from .. import labels
 from ..functions.dates import AsOf, day, days_between
 from ..functions.money import deduct, ratio
 from ..functions.text import full_name, joined, number_text
+from ..sources.loading import conform
+from ..sources.schemas import KEY_START, declared_schema
 from .joins import matching, without
 from .ordered import assign_keys, largest_before, over_order
 from .quality import check_rows, checks_of
@@ -70,6 +72,17 @@ def apply_updates(
     return current.join(new, key, "left").withColumns(updated).select(*current.columns)
 
 
+def audit_rows(rows: DataFrame, table: str, order_by: Sequence[str], log: DataFrame | None = None) -> DataFrame:
+    """Audit rows as the log declares them, with ids that follow those of ``log`` in the given order.
+
+    ``order_by`` must be unique. Without a log the ids begin at the declared start.
+    """
+    start: int | Column = KEY_START[table]
+    if log is not None:
+        start = log.agg((F.coalesce(F.max("audit_id"), F.lit(start - 1)) + 1).alias("k")).scalar()
+    return conform(assign_keys(rows, order_by, "audit_id", start), declared_schema(table))
+
+
 def split_latest(
     changes: DataFrame, key: str, order_by: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:

@@ -12,11 +12,11 @@ from ..functions.dates import AsOf, add_months, day, month_start
 from ..functions.money import percent, ratio
 from ..operators.changes import (
     process_payroll,
+    audit_rows,
     validate_payroll,
     variance_above,
 )
 from ..operators.joins import without
-from ..operators.ordered import assign_keys
 from ..operators.sorting import top
 from ..sources.loading import Tables, row_count_inventory
 from .views import monthly_payroll, refresh
@@ -164,7 +164,7 @@ def payroll_run(t: Tables, batch: DataFrame, as_of: AsOf, base: str) -> PayrollR
     """
     validated = validate_payroll(batch, t.employee, t.salary_bonus, as_of)
     processed = process_payroll(validated.rows)
-    audit = assign_keys(validated.audit, ["payroll_id"], "audit_id")
+    audit = audit_rows(validated.audit, "payroll_audit", ["payroll_id"])
     after = t.replacing(payroll=t.payroll.unionByName(processed.select(*t.payroll.columns)))
     checks = daily_audit(after, as_of)
     report = refresh(monthly_payroll(after, as_of), base, ("payroll_month",))

@@ -256,3 +256,12 @@ def test_repeated_changes_leave_a_snapshot_with_unique_keys(spark, company):
     got = ch.update_directory(company.employee, change, ["step"])
     assert got.count() == company.employee.count()
     assert got.where("emp_id = 1000").first()["first_name"] == "Jo"
+
+
+def test_audit_ids_follow_the_log(spark, company):
+    batch = raises(spark, [(100, "99000", 1), (101, "99000", 2)])
+    rows = ch.guard_no_decrease(company.salary_bonus, batch, ["step"], AS_OF, "hr").audit
+    log = ch.audit_rows(rows, "salary_audit_log", ["salary_id"])
+    assert [(r["audit_id"], r["salary_id"]) for r in log.orderBy("audit_id").collect()] == [(1, 100), (2, 101)]
+    more = ch.audit_rows(rows, "salary_audit_log", ["salary_id"], log)
+    assert sorted(r["audit_id"] for r in more.collect()) == [3, 4]
