@@ -7,8 +7,11 @@ frequency in an order of their own. Documents are candidates only if their prefi
 every order; candidates are verified on the whole sets.
 
 Equal sets are one class from the start. The classes that share a prefix shingle form a bucket.
-What is asked for is which classes hang together, so a bucket's classes are first compared with
-one of them, and pairs are made only of classes that are not yet known to be connected.
+What is asked for is which classes hang together, so a class is first compared with the nearest of
+a few others of its bucket, and pairs are made only of classes that are not yet known to be
+connected. Before whole sets are fetched, sizes and parity bitmaps rule pairs out: a bitmap has a
+bit for every hash slot, flipped by each member, so two bitmaps differ in no more bits than the
+sets differ in members.
 """
 
 from __future__ import annotations
@@ -20,17 +23,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.session import materialize
+from rosterlake.session import materialize, small_side
 
 from .components import connected_components
 from .tables import partitions
-from .words import distinct_by_document, find_words, mix, shingles, slices
+from .words import distinct_by_document, find_words, mix, shingles, slices, text_bytes
 
 ORDERS = (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
 RARE = 4  # shingles in fewer documents are of one frequency
 RANKED = 1 << 18  # frequent shingles whose frequency all tasks know; it only shapes the orders
 HELD = 1 << 21  # shingles that a task gathers before it hands them on
-PAIRS = 1 << 22  # pairs of unconnected classes that are always compared at once
+SLOTS = 2048  # bits of a parity bitmap
+PIVOTS = 16  # classes of a bucket that the others are first compared with
+PAIRS = 1 << 22  # pairs of unconnected classes whose bitmaps are compared without further rounds
+PER_ENTRY = 64  # or so many for each entry of a bucket
+TESTED = 1 << 16  # pairs of bitmaps compared at once
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -116,28 +123,38 @@ def _class_of(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64)
 
 
+def parity_bitmaps(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each document a row of bytes, of which every member has flipped one bit."""
+    document = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    slot = (mix(values) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(document * SLOTS + slot, minlength=(len(first) - 1) * SLOTS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, SLOTS), axis=1)
+
+
 def shingle_classes(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """key, text_hash, n_shingles, class (NULL for documents without words), written once."""
+    """key, text_hash, n_shingles, class, bitmap (NULL for documents without words), written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values, first = distinct_by_document(*shingles(find_words(batch.column(2)), n))
             size = np.diff(first)
+            bitmaps = [row.tobytes() if k else None for row, k in zip(parity_bitmaps(values, first), size)]
+            columns = [pa.array(size), pa.array(_class_of(values, first), mask=size == 0), pa.array(bitmaps, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(size), pa.array(_class_of(values, first), mask=size == 0)],
-                names=["key", "text_hash", "n_shingles", "class"],
+                [batch.column(0), batch.column(1), *columns], names=["key", "text_hash", "n_shingles", "class", "bitmap"]
             )
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    return materialize(rows.mapInArrow(run, f"key {kind}, text_hash bigint, n_shingles bigint, class bigint"), "classes")
+    schema = f"key {kind}, text_hash bigint, n_shingles bigint, class bigint, bitmap binary"
+    return materialize(rows.mapInArrow(run, schema), "classes")
 
 
 def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataFrame:
     """bucket, orders (bits), classes: classes that share a prefix shingle, two at least, written once.
 
     A task hands prefix shingles on in rows of packed arrays, one per shard of the shingles.
-    Buckets with the same classes are one, with the orders of all of them.
+    Buckets with the same classes, of which ``bucket`` is a hash, are one, with all their orders.
     """
     place, power = frequent_shingles(texts, n, shards)
     shared = texts.sparkSession.sparkContext.broadcast((place, power))
@@ -178,9 +195,12 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
             wanted = np.where(once, prefix_size(size, percent), 0)
             for o, seed in enumerate(ORDERS):
                 rank = (frequency << np.uint64(58)) | (mix(values ^ seed) >> np.uint64(6))
-                by = np.lexsort((rank, document))
-                inside = np.arange(len(values)) - np.repeat(first[:-1], size) < np.repeat(wanted, size)
-                chosen = by[inside]
+                chosen = [
+                    begin + np.argpartition(rank[begin:end], count - 1)[:count]
+                    for begin, end, count in zip(first[:-1].tolist(), first[1:].tolist(), wanted.tolist(), strict=True)
+                    if count
+                ]
+                chosen = np.concatenate([np.zeros(0, np.int64), *chosen])
                 held.append((mix(values[chosen]), owner[document[chosen]], o))
             if sum(len(t) for t, _, _ in held) >= HELD:
                 yield flush()
@@ -211,7 +231,7 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
         size = np.diff(np.append(first, len(token)))
         many = size > 1
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(owner.view(np.uint64)), dtype=np.uint64)])
-        same = (sums[first + size] - sums[first])[many]
+        same = mix(sums[first + size] - sums[first] + size.astype(np.uint64))[many]
         first, size = first[many], size[many]
         bits = np.uint8(1) << (token[first] >> np.uint64(63)).astype(np.uint8)
         _, kept, inverse = np.unique(same, return_index=True, return_inverse=True)
@@ -223,16 +243,21 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
             index = np.arange(lengths.sum()) + np.repeat(first[own] - np.cumsum(lengths) + lengths, lengths)
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(owner[index]))
-            columns = [pa.array(token[first[own]].view(np.int64)), pa.array(flags[at : at + (1 << 14)].astype(np.int32)), lists]
+            columns = [pa.array(same[own].view(np.int64)), pa.array(flags[at : at + (1 << 14)].astype(np.int32)), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "orders", "classes"])
 
     schema = "shard bigint, tokens binary, runs binary, classes binary, orders binary"
     dealt = texts.mapInArrow(prefixes, schema).repartition(shards, "shard")
-    return materialize(dealt.mapInArrow(meet, "bucket bigint, orders int, classes array<bigint>"), "buckets")
+    met = dealt.mapInArrow(meet, "bucket bigint, orders int, classes array<bigint>")
+    met = met.groupBy("bucket").agg(F.bit_or("orders").alias("orders"), F.first("classes").alias("classes"))
+    return materialize(met, "buckets")
+
 
+def verified(pairs: DataFrame, docs: DataFrame, text: str, known: DataFrame, percent: int, n: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar enough, counted on the whole sets.
 
-def class_sets(docs: DataFrame, text: str, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """class, members (sorted hashes) of the ``wanted`` classes, from one text of each, written once."""
+    The sets are made anew from one text of each class. Written once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -240,81 +265,140 @@ def class_sets(docs: DataFrame, text: str, classes: DataFrame, wanted: DataFrame
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(_class_of(values, first)), lists], names=["class", "members"])
 
-    one = classes.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("text_hash").alias("text_hash"))
+    pairs = materialize(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    hashes = small_side(known.join(wanted, "class", "left_semi").select("text_hash"))
     texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    picked = texts.join(one.select("text_hash"), "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    return materialize(picked.select("text").mapInArrow(run, "class bigint, members array<bigint>"), "sets")
-
+    picked = texts.join(hashes, "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    sets = materialize(picked.select("text").mapInArrow(run, "class bigint, members array<bigint>"), "sets")
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, counted on the whole sets."""
     left = sets.select(F.col("class").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("members").alias("y"))
-    least = F.least(F.size("x"), F.size("y"))
-    fits = 100 * least >= percent * F.greatest(F.size("x"), F.size("y"))
     shared = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - shared
-    return pairs.join(left, "a").join(right, "b").filter(fits).filter(100 * shared >= percent * union).select("a", "b")
+    similar = pairs.join(left, "a").join(right, "b").filter(100 * shared >= percent * union)
+    return materialize(similar.select("a", "b"), "similar")
+
+
+class Members:
+    """The classes of many buckets, those of a bucket next to each other, with their bitmaps."""
+
+    def __init__(self, buckets: pa.Array, orders: np.ndarray, percent: int) -> None:
+        ends = buckets.offsets.to_numpy().astype(np.int64)
+        rows = buckets.values
+        self.classes, self.roots, self.sizes = (
+            rows.field(name).to_numpy(zero_copy_only=False)[ends[0] : ends[-1]] for name in ("class", "root", "n")
+        )
+        raw, where = text_bytes(rows.field("bitmap").slice(ends[0], ends[-1] - ends[0]))
+        self.bits = raw.reshape(-1, SLOTS // 8).view(np.uint64) if len(where) > 1 else np.zeros((0, 1), np.uint64)
+        self.counts = np.diff(ends)
+        self.starts = ends[:-1] - ends[0]
+        self.bucket = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.orders, self.percent = orders, percent
+
+    def differences(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Differing bits of pairs of different roots, -1 where the sets can not be similar."""
+        out = np.full(len(i), -1)
+        both, least = self.sizes[i] + self.sizes[j], np.minimum(self.sizes[i], self.sizes[j])
+        near = np.flatnonzero((100 * least >= self.percent * (both - least)) & (self.roots[i] != self.roots[j]))
+        for at in range(0, len(near), TESTED):
+            own = near[at : at + TESTED]
+            differ = np.bitwise_count(self.bits[i[own]] ^ self.bits[j[own]]).sum(1, dtype=np.int64)
+            fits = (100 + self.percent) * differ <= (100 - self.percent) * both[own]
+            out[own[fits]] = differ[fits]
+        return out
+
+    def _sorted(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Members by bucket and key, and the place of each within its bucket."""
+        return np.lexsort((key, self.bucket)), np.arange(len(key)) - np.repeat(self.starts, self.counts)
+
+    def nearest(self, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each class the nearest of some pivots of its bucket, others in each turn.
+
+        A pivot is compared with earlier pivots only, so that two do not just name each other.
+        """
+        by, place = self._sorted(mix(self.classes.view(np.uint64) + np.uint64(turn)))
+        found, best = np.full(len(by), -1), np.full(len(by), SLOTS + 1)
+        for r in range(PIVOTS):
+            later = np.flatnonzero(place > r)
+            if not len(later):
+                break
+            pivot = by[later - place[later] + r]
+            differ = self.differences(by[later], pivot)
+            closer = (differ >= 0) & (differ < best[later])
+            found[later[closer]], best[later[closer]] = pivot[closer], differ[closer]
+        own = np.flatnonzero(found >= 0)
+        yield by[own], found[own]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of classes of a bucket that may be similar."""
+        by, place = self._sorted(self.sizes)
+        rest = self.counts[self.bucket] - place  # members from here to the bucket's end
+        live, step = np.arange(len(by)), 1
+        while len(live):
+            live = live[rest[live] > step]
+            # sizes rise: once one is too large for a class, all that follow are
+            i, j = by[live], by[live + step]
+            small_enough = self.percent * self.sizes[j] <= 100 * self.sizes[i]
+            live, i, j = live[small_enough], i[small_enough], j[small_enough]
+            fits = self.differences(i, j) >= 0
+            yield i[fits], j[fits]
+            step += 1
+
+
+def bucket_pairs(rooted: DataFrame, percent: int, turn: int | None) -> DataFrame:
+    """a < b, orders: pairs from each bucket that meet under every order, those with the nearest
+    pivot of the ``turn``, or all."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            orders = batch.column(1).to_numpy()
+            members = Members(batch.column(2), orders, percent)
+            for i, j in members.nearest(turn) if turn is not None else members.pairs():
+                if len(i):
+                    a, b = members.classes[i], members.classes[j]
+                    columns = [np.minimum(a, b), np.maximum(a, b), orders[members.bucket[i]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "orders"])
 
-def _unconnected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of classes with different roots in each bucket."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            members = sorted((m["class"], m["root"]) for m in row["members"])
-            own, root = (np.array(x, np.int64) for x in zip(*members, strict=True))
-            for i in range(len(own) - 1):
-                others = own[i + 1 :][root[i + 1 :] != root[i]]
-                if len(others):
-                    columns = [np.full(len(others), own[i]), others, np.full(len(others), row["orders"])]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.int32())], names=["a", "b", "orders"]
-                    )
+    every = (1 << len(ORDERS)) - 1
+    pairs = rooted.select("bucket", "orders", "members").mapInArrow(run, "a bigint, b bigint, orders int")
+    pairs = pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders"))
+    return pairs.filter(F.col("orders") == every).select("a", "b")
 
 
-def class_components(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def class_components(
+    buckets: DataFrame, known: DataFrame, docs: DataFrame, text: str, percent: int, n: int
+) -> DataFrame:
     """node, root: which classes are connected by similar pairs (classes without a link are absent).
 
-    Every class is compared with the one it shares most buckets with among the buckets' smallest
-    classes. Then all pairs that meet under every order and are not yet connected are compared;
-    while these are very many, each class is first compared with another pivot.
+    In turns, every class is compared with the nearest pivot of its buckets, until pairs of
+    unconnected classes in a bucket are few or no link is found. Then all these are compared.
     """
-    every = (1 << len(ORDERS)) - 1
-    links, tried = None, 0
-    roots = None
+    entries = buckets.select("bucket", "orders", F.explode("classes").alias("class"))
+    signed = materialize(entries.join(known.select("class", "n", "bitmap"), "class"), "entries")
+    roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
+    links, turn, gained = None, 0, 1
     while True:
-        if roots is None:
-            spread = buckets.select("orders", F.array_min("classes").alias("b"), F.explode("classes").alias("a"))
-            spread = spread.filter("a <> b")
-        else:
-            members = buckets.select("bucket", "orders", F.explode("classes").alias("class"))
-            rooted = members.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-                "bucket", "orders", F.struct("class", F.coalesce("root", "class").alias("root")).alias("m")
-            )
-            rooted = rooted.groupBy("bucket", "orders").agg(F.collect_list("m").alias("members"))
-            rooted = rooted.filter(F.size(F.array_distinct("members.root")) > 1)
-            rooted = materialize(rooted, "open")
-            size = F.size("members").cast("double")
-            total, entries = rooted.agg(F.sum(size * size), F.sum(size)).first()
-            if not total:
-                return roots
-            if total <= max(PAIRS, 4 * entries) or not gained:
-                pairs = rooted.mapInArrow(_unconnected, "a bigint, b bigint, orders int")
-                pairs = pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders")).filter(F.col("orders") == every)
-                return connected_components(links.unionByName(verified(pairs.select("a", "b"), sets, percent)))
-            tried += 1
-            mixed = F.transform(
-                "members", lambda m: F.named_struct(F.lit("h"), F.xxhash64(m["class"], F.lit(tried)), F.lit("m"), m)
-            )
-            pick = F.array_min(mixed)
-            spread = rooted.select("orders", pick["m"].alias("p"), F.explode("members").alias("m"))
-            spread = spread.filter("p.root <> m.root").select("orders", F.col("m.class").alias("a"), F.col("p.class").alias("b"))
-        stars = spread.groupBy("a", "b").agg(F.bit_or("orders").alias("orders"), F.count("*").alias("shared"))
-        stars = stars.filter(F.col("orders") == every).groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-        found = materialize(verified(stars, sets, percent), "similar")
+        rooted = signed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
+            "root", F.coalesce("root", "class")
+        )
+        counts = rooted.groupBy("bucket", "root").agg(F.count("*").cast("double").alias("c"))
+        sums = counts.groupBy("bucket").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
+        total, size = sums.agg(F.sum(F.col("m") * F.col("m") - F.col("s")), F.sum("m")).first()
+        if not total:
+            return roots
+        opened = sums.filter("m * m > s").select("bucket")
+        opened = rooted.join(opened, "bucket", "left_semi").groupBy("bucket", "orders").agg(
+            F.collect_list(F.struct("class", "root", "n", "bitmap")).alias("members")
+        )
+        last = turn > 0 and (total <= max(PAIRS, PER_ENTRY * size) or not gained)
+        found = verified(bucket_pairs(opened, percent, None if last else turn), docs, text, known, percent, n)
         gained = found.count()
         links = found if links is None else links.unionByName(found)
-        roots = materialize(connected_components(links), "roots")
+        roots = materialize(connected_components(links), "roots") if gained else roots
+        if last:
+            return roots
+        turn += 1
 
 
 def near_duplicates(
@@ -335,11 +419,15 @@ def near_duplicates(
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     classes = shingle_classes(rows, "key", "text", n)
     buckets = prefix_buckets(rows.select("text"), n, percent, shards)
-    wanted = buckets.select(F.explode("classes").alias("class")).distinct()
-    sets = class_sets(rows, "text", classes, wanted, n)
-    roots = class_components(buckets, sets, percent)
+    known = classes.filter("class is not null").groupBy("class").agg(
+        F.min("text_hash").alias("text_hash"),
+        F.min("key").alias("least"),
+        F.min("n_shingles").alias("n"),
+        F.min("bitmap").alias("bitmap"),
+    )
+    known = materialize(known, "known")
+    roots = class_components(buckets, known, rows, "text", percent, n)
 
-    known = classes.filter("class is not null").groupBy("class").agg(F.min("key").alias("least"))
     rooted = known.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     rooted = materialize(rooted.select("class", "root", "least"), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -59,7 +59,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and where each row begins in them; NULL is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts, "") if texts.null_count else texts
+    if texts.null_count:
+        texts = pc.fill_null(texts, b"" if pa.types.is_binary(texts.type) else "")
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     _, where, data = texts.buffers()
     offsets = np.frombuffer(where, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1]
@@ -153,9 +154,10 @@ def shingles(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct_by_document(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct values of each document, and the first one of each."""
-    document = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    order = np.lexsort((values, document))
-    values, document = values[order], document[order]
+    values = values.copy()
+    for begin, end in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        values[begin:end].sort()  # one document at a time is faster than all at once by two keys
     new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (document[1:] != document[:-1])
-    return values[new], np.searchsorted(document[new], np.arange(len(first)))
+    new[1:] = values[1:] != values[:-1]
+    new[first[:-1][first[:-1] < first[1:]]] = True
+    return values[new], np.concatenate([[0], np.cumsum(new)])[first]

@@ -73,6 +73,8 @@ def varied(source, words, edits):
 def test_groups_of_near_copies_and_shared_passages(spark, monkeypatch, pairs):
     """Chains around the threshold, a large group, a passage in many documents; also in small turns."""
     monkeypatch.setattr(jaccard, "PAIRS", pairs)
+    monkeypatch.setattr(jaccard, "PER_ENTRY", 64 if pairs else 0)
+    monkeypatch.setattr(jaccard, "TESTED", 50)
     monkeypatch.setattr(jaccard, "HELD", 3000)
     monkeypatch.setattr(jaccard, "RANKED", 300)
     source = random.Random(7)
