@@ -32,7 +32,7 @@ from .elias_fano import Trie
 from .tables import partitions
 from .words import find_words, mix, slices, word_hashes
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 21
 BLOCK_DOCUMENTS = 60_000  # numbers of documents in a block take 16 bits
 END = mix(np.array([0xD6E8FEB86659FD93], np.uint64))[0]  # stands for the end in place of a word's hash
 DISCOUNT = 0.75
@@ -79,7 +79,7 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def token_blocks(docs: DataFrame, key: str, text: str, training: Column) -> DataFrame:
-    """block, keys, trained, words (packed hashes, training counts), tokens (packed; see below).
+    """block, keys, trained, n_words, words (packed hashes, training counts), tokens (see below).
 
     ``tokens`` has the number of tokens of each document and the tokens as numbers of ``words``;
     every document ends with the end token, also if it has no word. Written once.
@@ -105,10 +105,11 @@ def token_blocks(docs: DataFrame, key: str, text: str, training: Column) -> Data
                     pa.array([(part << 32) + number - 1], pa.int64()),
                     pa.ListArray.from_arrays(ends, keys),
                     pa.ListArray.from_arrays(ends, trained),
+                    pa.array([len(words)], pa.int64()),
                     pa.array([pack_arrays(words, narrow(seen))], pa.binary()),
                     pa.array([pack_arrays(narrow(counts), narrow(tokens))], pa.binary()),
                 ],
-                names=["block", "keys", "trained", "words", "tokens"],
+                names=["block", "keys", "trained", "n_words", "words", "tokens"],
             )
 
         for batch in slices(batches, "text"):
@@ -126,7 +127,7 @@ def token_blocks(docs: DataFrame, key: str, text: str, training: Column) -> Data
         F.coalesce(training, F.lit(False)).alias("trained"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    schema = f"block bigint, keys array<{kind}>, trained array<boolean>, words binary, tokens binary"
+    schema = f"block bigint, keys array<{kind}>, trained array<boolean>, n_words bigint, words binary, tokens binary"
     return materialize(rows.mapInArrow(run, schema), "blocks")
 
 
@@ -204,8 +205,8 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
     def pairs(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         """The pairs of a block, per shard of their contexts, and a row with its documents."""
         row = blocks.to_pylist()[0]
-        _, seen = unpack_arrays(row["words"])
-        number, total = np.zeros(len(seen), np.int64), np.zeros(len(seen), np.int64)
+        size = row["n_words"]
+        number, total = np.zeros(size, np.int64), np.zeros(size, np.int64)
         at = 0
         for answer in sorted(answers.to_pylist(), key=lambda r: r["shard"]):
             own, counts = unpack_arrays(answer["numbers"])
@@ -213,8 +214,8 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
             number[at : at + len(own)] = np.where(own > 0, own.astype(np.int64) * shards + answer["shard"], 0)
             total[at : at + len(own)] = counts
             at += len(own)
-        if at != len(seen):
-            raise RuntimeError(f"block {row['block']} got {at} word numbers for {len(seen)} words")
+        if at != size:
+            raise RuntimeError(f"block {row['block']} got {at} word numbers for {size} words")
         counts, tokens = unpack_arrays(row["tokens"])
         counts, tokens = counts.astype(np.int64), tokens.astype(np.int64)
         document = np.repeat(np.arange(len(counts)), counts)
@@ -226,10 +227,10 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
         before[1:] = tokens[:-1]
         before[first] = tokens[first + counts - 1]  # a text begins after an end
 
-        both, inverse, occurrences = np.unique(before * len(seen) + tokens, return_inverse=True, return_counts=True)
+        both, inverse, occurrences = np.unique(before * size + tokens, return_inverse=True, return_counts=True)
         trained = np.bincount(inverse, learned, len(both)).astype(np.int64)
         by_pair = document[np.argsort(inverse, kind="stable")]
-        context, word = both // len(seen), both % len(seen)
+        context, word = both // size, both % size
         split = total[context] > hot
         part = number[word] % shards
         place = number[context] * (shards + 1) + np.where(split, part + 1, 0)
@@ -244,12 +245,16 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
                 continue
             new = np.flatnonzero(np.diff(place[own], prepend=-1))
             owners = by_pair[np.repeat(begin[own], occurrences[own]) + ragged(occurrences[own])]
+            followers, index = np.unique(number[word[own]], return_inverse=True)
+            totals = np.zeros(len(followers), np.int64)
+            totals[index] = total[word[own]]
             data = pack_arrays(
                 narrow(np.diff(place[own][new], prepend=0)),
                 narrow(np.diff(np.append(new, len(own)))),
                 narrow(total[context[own][new]]),
-                narrow(number[word[own]]),
-                narrow(total[word[own]]),
+                narrow(np.diff(followers, prepend=0)),
+                narrow(totals),
+                narrow(index),
                 narrow(trained[own]),
                 narrow(occurrences[own]),
                 owners.astype(np.uint16),
@@ -265,10 +270,31 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
     }
 
     def read(blob: bytes) -> tuple[np.ndarray, ...]:
-        place, size, total, word, word_total, trained, occurrences, owners = unpack_arrays(blob)
+        """context, its total, word, its total, training count, occurrences, documents of the pairs."""
+        place, size, total, followers, totals, index, trained, occurrences, owners = unpack_arrays(blob)
         size = size.astype(np.int64)
-        context = np.repeat(np.cumsum(place.astype(np.uint64)).astype(np.int64), size)
-        return context, np.repeat(total.astype(np.int64), size), word.astype(np.int64), word_total, trained, occurrences, owners
+        context = np.repeat(np.cumsum(place.astype(np.int64)), size)
+        word, word_total = np.cumsum(followers.astype(np.int64))[index], totals.astype(np.int64)[index]
+        return context, np.repeat(total.astype(np.int64), size), word, word_total, trained.astype(np.int64), occurrences, owners
+
+    def chances(context, total, word, word_total, trained) -> np.ndarray:
+        """Probabilities of the pairs of a shard, from the trie of its training pairs."""
+        order = np.lexsort((word, context))
+        context, word = context[order], word[order]
+        first = np.flatnonzero((np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
+        context, word = context[first], word[first]
+        count = np.add.reduceat(trained[order], first) if len(first) else np.zeros(0, np.int64)
+        total, lower = total[order[first]], (word_total[order[first]] + 0.5) / norm
+        chance, kept = lower, count > 0
+        if kept.any():
+            trie = Trie(context[kept].astype(np.uint64), word[kept], count[kept], total[kept], DISCOUNT)
+            known, share, left = trie.lookup(context.astype(np.uint64), word)
+            part = context % (shards + 1)
+            within = np.where(part > 0, mass[part - 1], 1.0)
+            chance = np.where(known, share + left * lower / within, lower)
+        out = np.empty(len(order))
+        out[order] = np.repeat(chance, np.diff(np.append(first, len(order))))
+        return out
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums of log10 probabilities per document of every block; document rows pass through."""
@@ -281,29 +307,13 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
                 if row["data"] is not None:
                     by_shard.setdefault(row["shard"], []).append((row["block"], row["size"], row["data"]))
         for shard, rows in by_shard.items():
-            gathered = []
-            for _, _, blob in rows:
-                context, total, word, _, trained, _, _ = read(blob)
-                kept = trained > 0
-                gathered.append((context[kept], total[kept], word[kept], trained[kept].astype(np.int64)))
-            context, total, word, count = (np.concatenate([g[i] for g in gathered]) for i in range(4))
-            del gathered
-            trie = None
-            if len(context):
-                order = np.lexsort((word, context))
-                context, total, word, count = context[order], total[order], word[order], count[order]
-                new = np.flatnonzero((np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
-                trie = Trie(context[new].astype(np.uint64), word[new], np.add.reduceat(count, new), total[new], DISCOUNT)
-            for block, size, blob in rows:
-                context, _, word, word_total, _, occurrences, owners = read(blob)
-                lower = (word_total + 0.5) / norm
-                chance = lower
-                if trie is not None:
-                    known, share, left = trie.lookup(context.astype(np.uint64), word)
-                    part = context % (shards + 1)
-                    within = np.where(part > 0, mass[part - 1], 1.0)
-                    chance = np.where(known, share + left * lower / within, lower)
-                sums = np.bincount(owners, np.repeat(np.log10(chance), occurrences), size)
+            parts = [read(blob)[:5] for *_, blob in rows]
+            ends = np.cumsum([len(p[0]) for p in parts])
+            logs = np.split(np.log10(chances(*(np.concatenate(c) for c in zip(*parts, strict=True)))), ends[:-1])
+            del parts
+            for (block, size, blob), log in zip(rows, logs, strict=True):
+                *_, occurrences, owners = read(blob)
+                sums = np.bincount(owners, np.repeat(log, occurrences), size)
                 out = (shard, block, size, sums.astype(np.float32).tobytes(), None, None, None, None)
                 columns = [pa.array([v], batch.schema.field(n).type) for n, v in zip(names, out, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -318,7 +328,7 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
 
     blocks_types["keys"] = pa.list_(_arrow_type(docs, key))
     answers = words.filter("block >= 0").select("block", "shard", "numbers")
-    sent_rows = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(pairs, sent)
+    sent_rows = blocks.drop("words").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(pairs, sent)
     summed = sent_rows.repartition(shards, "shard").mapInArrow(score, sent)
     scored = summed.groupBy("block").applyInArrow(
         combine, f"`{key}` {kind}, n_tokens bigint, n_known bigint, base_score double, score double"
