@@ -26,8 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlake.session import new_path
-
+from .tables import written
 from .words import find_words, hash_spans, slices, text_bytes
 
 BIN = 16  # tokens
@@ -102,15 +101,6 @@ def crc(ids: np.ndarray, running: int = 0) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes(), running)
 
 
-def start_crcs(ids: np.ndarray) -> list[int]:
-    """Checksums of the first BIN, 2 BIN, ... ids, short of all."""
-    raw, found, running = ids.astype("<u4").tobytes(), [], 0
-    for at in range(0, len(raw) - 4 * BIN, 4 * BIN):
-        running = zlib.crc32(raw[at : at + 4 * BIN], running)
-        found.append(running)
-    return found
-
-
 def _after_zeros() -> list[np.ndarray]:
     """For each power of two, what 2^k zero bytes make of each bit of a CRC-32."""
     bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
@@ -133,6 +123,40 @@ def _apply(table: np.ndarray, values: np.ndarray) -> np.ndarray:
 _ZEROS = _after_zeros()
 
 
+def _halves(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A linear map of 32 bits as look-ups of its lower and upper half."""
+    half = np.arange(1 << 16, dtype=np.uint32)
+    return _apply(table, half), _apply(table, half << np.uint32(16))
+
+
+_WORD = _halves(_ZEROS[2])  # four bytes on
+_CELL = _halves(_ZEROS[(4 * BIN).bit_length() - 1])  # a cell on
+_LOW, _SIXTEEN = np.uint32(0xFFFF), np.uint32(16)
+
+
+def start_crcs(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of ids: checksums of their first BIN, 2 BIN, ... ids short of all, and how many.
+
+    The cells of all runs are summed up together, id by id; then a run's starts follow from its
+    cells, cell by cell in all runs at once.
+    """
+    cells = np.maximum(-(-size // BIN) - 1, 0)
+    first = np.cumsum(cells) - cells
+    place = np.repeat(begin - first * BIN, cells) + np.arange(cells.sum()) * BIN
+    value = np.full(len(place), 0xFFFFFFFF, np.uint32)
+    for k in range(BIN):
+        value ^= ids[place + k]
+        value = _WORD[0][value & _LOW] ^ _WORD[1][value >> _SIXTEEN]
+    value ^= np.uint32(0xFFFFFFFF)
+    longest = np.argsort(-cells, kind="stable")
+    live = np.searchsorted(-cells[longest], -np.arange(1, int(cells.max(initial=0)) + 1), "right")
+    for k in range(1, len(live)):
+        at = first[longest[: live[k]]] + k
+        before = value[at - 1]
+        value[at] ^= _CELL[0][before & _LOW] ^ _CELL[1][before >> _SIXTEEN]
+    return value, cells
+
+
 def rest_crc(whole: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Checksums of what follows a start, from those of the whole and the start and the bytes that follow."""
     moved = start.astype(np.uint32)
@@ -172,7 +196,8 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
             rank[order] = np.arange(len(n)) - run_start
             rank += in_bin[bins]
             in_bin += np.bincount(bins, minlength=len(in_bin))
-            starts = [start_crcs(ids[b - t : b]) for b, t in zip(first[1:], tail)]
+            starts, cells = start_crcs(ids, first[1:] - tail, tail)
+            cell_ends = pa.array(np.concatenate([[0], np.cumsum(cells)]), pa.int32())
             columns = {
                 "row": pa.array((part << 40) + rows + np.arange(len(n)), pa.int64()),
                 "part": pa.array(np.full(len(n), part), pa.int32()),
@@ -182,7 +207,7 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
                 "before_full": pa.array(full_before + np.cumsum(full) - full, pa.int64()),
                 "tail": pa.array(tail, pa.int64()),
                 "tail_crc": pa.array(tails, pa.int64()),
-                "starts": pa.array([np.array(x, np.uint32).view(np.int32) for x in starts], pa.list_(pa.int32())),
+                "starts": pa.ListArray.from_arrays(cell_ends, pa.array(starts.view(np.int32))),
                 "bin": pa.array(bins, pa.int32()),
                 "in_bin": pa.array(rank, pa.int64()),
             }
@@ -199,13 +224,6 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
     return written(texts.mapInArrow(run, schema), "tokens")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once as compressed Parquet in shared storage."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def combinations(size: int) -> np.ndarray:
     """All multisets of up to three positive numbers with the sum ``size``, as rows (0: unused)."""
     found = [(size, 0, 0)] + [(a, size - a, 0) for a in range(-(-size // 2), size)]

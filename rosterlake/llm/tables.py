@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterlake.session import local_scratch, new_path
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -23,15 +25,24 @@ def in_fold(key: Column, folds: int, which: int) -> Column:
     return F.coalesce(fold(key, folds) == which, F.lit(False))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once as compressed Parquet in shared storage."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers of this machine import this package from where the driver has it.
+    """Let Python workers of this machine import this package from where the driver has it, and
+    give a local session a folder for intermediate tables.
 
     On a cluster whose workers do not see that folder, give the package with ``--py-files``.
     """
+    local_scratch(spark)
     environment, folder = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if folder not in paths:

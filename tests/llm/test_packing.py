@@ -102,4 +102,8 @@ def test_checksum_of_what_follows_a_cut(size, cut):
     ids = np.random.default_rng(size).integers(0, 49_000, size).astype("<u4")
     whole, start = (np.array([packing.crc(x)], np.uint64) for x in (ids, ids[:cut]))
     assert packing.rest_crc(whole, start, np.array([4 * (size - cut)])).tolist() == [packing.crc(ids[cut:])]
-    assert packing.start_crcs(ids) == [packing.crc(ids[:i]) for i in range(16, size, 16)]
+    begin, length = np.array([0, 3, size, 1]), np.array([size, size - 5, 0, 2])
+    found, cells = packing.start_crcs(ids.astype(np.uint32), begin, length)
+    runs = [ids[b : b + n] for b, n in zip(begin, length)]
+    assert found.tolist() == [packing.crc(r[:i]) for r in runs for i in range(16, len(r), 16)]
+    assert cells.sum() == len(found)
