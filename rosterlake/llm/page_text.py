@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,8 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.session import materialize
+from rosterlake.session import small_side
 
+from .tables import written
 from .words import slices
 
 PAGES = 8  # distinct pages that a host needs for a template
@@ -192,44 +194,44 @@ def parse_page(page: str) -> tuple[list[int], list[Block]]:
     return paths, blocks
 
 
-def page_tokens(paths: list[int], blocks: list[Block]) -> dict[int, list[int]]:
-    """Per token of a page: how often it occurs, and for elements the characters in it and those in links."""
-    found: dict[int, list[int]] = {}
-    for path in paths:
-        found.setdefault(path, [0, 0, 0])[0] += 1
+def page_tokens(paths: list[int], blocks: list[Block]) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Tokens of a page, elements first: how often each occurs, and for elements the characters in
+    them and those in links. Text that is outside of articles anyway is not counted as a token."""
+    times, chars, linked = Counter(paths), Counter(), Counter()
     for block in blocks:
-        found.setdefault(block.token, [0, 0, 0])[0] += 1
         for path in set(block.chain):
-            if path in found:
-                found[path][1] += len(block.text)
-                found[path][2] += block.linked
-    return found
+            chars[path] += len(block.text)
+            linked[path] += block.linked
+    elements = list(times)
+    texts = Counter(b.token for b in blocks if not b.outside)
+    counts = [*times.values(), *texts.values()]
+    return [*elements, *texts], counts, [chars[p] for p in elements], [linked[p] for p in elements]
 
 
-_TOKEN_TYPE = pa.struct([(n, pa.int64()) for n in ("token", "times", "chars", "linked")])
 _BLOCK_TYPE = pa.struct(
-    [("token", pa.int64()), ("chain", pa.list_(pa.int64())), ("text", pa.string()), ("outside", pa.bool_()), ("inside", pa.bool_())]
+    [("token", pa.int64()), ("chain", pa.list_(pa.int64())), ("text", pa.string()), ("inside", pa.bool_())]
 )
 _PARSED = (
-    "tokens array<struct<token:bigint,times:bigint,chars:bigint,linked:bigint>>, "
-    "blocks array<struct<token:bigint,chain:array<bigint>,text:string,outside:boolean,inside:boolean>>"
+    "tokens array<bigint>, times array<bigint>, chars array<bigint>, linked array<bigint>, "
+    "blocks array<struct<token:bigint,chain:array<bigint>,text:string,inside:boolean>>"
 )
 
 
 def parsed_pages(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
-    """key, url, host, page_hash, tokens, blocks of every page, written once."""
+    """key, url, host, page_hash, tokens with their figures, and blocks that are not outside, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "page"):
-            tokens, blocks = [], []
+            figures, blocks = [], []
             for value in batch.column(4).to_pylist():
                 paths, found = parse_page(value)
-                counted = page_tokens(paths, found).items()
-                tokens.append([{"token": t, "times": n, "chars": c, "linked": k} for t, (n, c, k) in counted])
-                blocks.append([{n: getattr(b, n) for n in ("token", "chain", "text", "outside", "inside")} for b in found])
-            columns = [pa.array(tokens, pa.list_(_TOKEN_TYPE)), pa.array(blocks, pa.list_(_BLOCK_TYPE))]
-            names = ["key", "url", "host", "page_hash", "tokens", "blocks"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *columns], names=names)
+                figures.append(page_tokens(paths, found))
+                own = [b for b in found if not b.outside]
+                blocks.append([{"token": b.token, "chain": b.chain, "text": b.text, "inside": b.inside} for b in own])
+            columns = [pa.array(c, pa.list_(pa.int64())) for c in zip(*figures, strict=True)]
+            names = ["key", "url", "host", "page_hash", "tokens", "times", "chars", "linked", "blocks"]
+            columns = [*(batch.column(i) for i in range(4)), *columns, pa.array(blocks, pa.list_(_BLOCK_TYPE))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     text = F.coalesce(F.col(page).cast("string"), F.lit(""))
@@ -238,29 +240,31 @@ def parsed_pages(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
     )
     kinds = {n: pages.schema[c].dataType.simpleString() for n, c in (("key", key), ("url", url))}
     schema = f"key {kinds['key']}, url {kinds['url']}, host string, page_hash bigint, {_PARSED}"
-    return materialize(rows.mapInArrow(run, schema), "pages")
+    return written(rows.mapInArrow(run, schema), "pages")
 
 
 def templates(parsed: DataFrame) -> DataFrame:
-    """Per host: skeleton (elements once on nearly every page), menus (those of them that hold
+    """Per site (hash of the host): skeleton (elements once on nearly every page), menus (those of them that hold
     mostly links), and fixed (text blocks in valid classes).
 
     Copies of a page count once; hosts with fewer than ``PAGES`` pages have no template. A host
     keeps only tokens of valid classes, which are no more than a page has.
     """
-    once = parsed.filter("host <> ''").select("host", "page_hash", "tokens").dropDuplicates(["host", "page_hash"])
-    sizes = once.groupBy("host").agg(F.count("*").alias("all_pages")).filter(F.col("all_pages") >= PAGES)
-    each = once.select("host", "page_hash", F.explode("tokens").alias("t")).select("host", "page_hash", "t.*")
-    counted = each.groupBy("host", "token").agg(
+    figures = ["tokens", "times", "chars", "linked"]
+    site = F.xxhash64("host").alias("site")
+    once = parsed.filter("host <> ''").select(site, "page_hash", *figures).dropDuplicates(["site", "page_hash"])
+    sizes = once.groupBy("site").agg(F.count("*").alias("all_pages")).filter(F.col("all_pages") >= PAGES)
+    each = once.select("site", "page_hash", F.explode(F.arrays_zip(*figures)).alias("t")).select("site", "page_hash", "t.*")
+    counted = each.groupBy("site", F.col("tokens").alias("token")).agg(
         F.count("*").alias("pages"),
         F.sum("times").alias("times"),
         F.sum("chars").alias("chars"),
         F.sum("linked").alias("linked"),
         # the occurrence vector: one hash per page, as often as the token occurs there
-        F.sum(F.col("times") * F.xxhash64("page_hash").cast("decimal(24,0)")).alias("vector"),
+        F.sum(F.col("times") * F.shiftright(F.xxhash64("page_hash"), 24)).alias("vector"),
     )
-    frequent = counted.join(sizes, "host").filter(F.col("pages") >= SHARE * F.col("all_pages"))
-    classes = frequent.groupBy("host", "vector", "pages", "times").agg(
+    frequent = counted.join(sizes, "site").filter(F.col("pages") >= SHARE * F.col("all_pages"))
+    classes = frequent.groupBy("site", "vector", "pages", "times").agg(
         F.collect_list(F.struct("token", "chars", "linked")).alias("members")
     )
     valid = classes.filter(F.size("members") > 1)  # tokens of a template come in company
@@ -269,7 +273,7 @@ def templates(parsed: DataFrame) -> DataFrame:
         F.filter("members", lambda m: m["linked"] > LINKED * m["chars"]), lambda m: m["token"]
     )
     once_each = F.col("times") == F.col("pages")
-    return valid.groupBy("host").agg(
+    return valid.groupBy("site").agg(
         F.flatten(F.collect_list(F.when(once_each, token))).alias("skeleton"),
         F.flatten(F.collect_list(F.when(once_each, menus))).alias("menus"),
         F.flatten(F.collect_list(token)).alias("fixed"),
@@ -288,7 +292,8 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     parsed pages are written to shared storage while the plan is built.
     """
     parsed = parsed_pages(pages, key, url, page)
-    joined = parsed.drop("tokens", "page_hash").join(templates(parsed), "host", "left")
+    rows = parsed.select("key", "url", "blocks", F.when(F.col("host") != "", F.xxhash64("host")).alias("site"))
+    joined = rows.join(small_side(templates(parsed)), "site", "left")
     empty = F.array().cast("array<bigint>")
     for name in ("skeleton", "menus", "fixed"):
         joined = joined.withColumn(name, F.coalesce(name, empty))
@@ -296,7 +301,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     def kept(block: Column) -> Column:
         slot = F.try_element_at(F.filter(block["chain"], lambda p: F.array_contains("skeleton", p)), F.lit(-1))
         menu = ~block["inside"] & slot.isNotNull() & F.array_contains("menus", slot)
-        return ~block["outside"] & ~F.array_contains("fixed", block["token"]) & ~F.coalesce(menu, F.lit(False))
+        return ~F.array_contains("fixed", block["token"]) & ~F.coalesce(menu, F.lit(False))
 
     blocks = joined.withColumn("blocks", F.filter("blocks", kept))
     inside = F.exists("blocks", lambda b: b["inside"])
