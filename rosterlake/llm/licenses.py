@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlake.session import materialize
+from rosterlake.session import materialize, small_side
+
+from .tables import written
 
 # Wording of licence notices, by SPDX identifier.
 TEMPLATES = (
@@ -63,7 +65,7 @@ def template_terms(spark: SparkSession) -> DataFrame:
 
 
 def unit_licences(units: DataFrame, least: float) -> DataFrame:
-    """text, license, score of each distinct unit text whose best cosine is ``least`` or more.
+    """unit (hash of the text), license, score of the distinct unit texts with a cosine of ``least`` or more.
 
     The inverse frequency of a term is log((1 + units) / (1 + units with it)) + 1 over the
     distinct units; ties go to the first identifier. Compared are units that share a term with a
@@ -71,11 +73,11 @@ def unit_licences(units: DataFrame, least: float) -> DataFrame:
     """
     spark = units.sparkSession
     known = F.broadcast(template_terms(spark).select("term").distinct())  # the terms of the fixed templates
-    units = materialize(units.select("text", terms(F.col("text")).alias("words")).distinct(), "units")
-    total = units.count()
-    words = units.select("text", F.size("words").alias("size"), F.explode("words").alias("term")).join(known, "term", "left_semi")
-    counted = words.groupBy("text", "size", "term").agg(F.count("*").alias("times"))
-    counted = materialize(counted, "terms")
+    units = units.select(F.xxhash64("text").alias("unit"), "text").dropDuplicates(["unit"])
+    total = units.select("unit").count()
+    words = units.select("unit", terms(F.col("text")).alias("words"))
+    words = words.select("unit", F.size("words").alias("size"), F.explode("words").alias("term")).join(known, "term", "left_semi")
+    counted = materialize(words.groupBy("unit", "size", "term").agg(F.count("*").alias("times")), "terms")
     unseen = F.log(F.lit(1.0 + total)) + 1
     found = counted.groupBy("term").agg(F.count("*").alias("n"))
     idf = known.join(found, "term", "left").select(
@@ -87,11 +89,11 @@ def unit_licences(units: DataFrame, least: float) -> DataFrame:
     weighed = F.broadcast(weighed.join(norms, "template").select("template", "license", "term", (F.col("w") / F.col("norm")).alias("tw")))
     own = counted.join(idf, "term").withColumn("w", F.col("times") * F.col("idf"))
     others = F.col("size") - F.sum("times")
-    lengths = own.groupBy("text", "size").agg(F.sqrt(F.sum(F.col("w") * F.col("w")) + others * unseen * unseen).alias("length"))
-    scores = own.join(weighed, "term").groupBy("text", "template", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scores = scores.join(lengths, "text").withColumn("score", F.round(F.col("dot") / F.col("length"), 6))
-    best = scores.groupBy("text").agg(F.min(F.struct((-F.col("score")).alias("order"), "license", "score")).alias("b"))
-    return best.select("text", "b.license", "b.score").filter(F.col("score") >= least)
+    lengths = own.groupBy("unit", "size").agg(F.sqrt(F.sum(F.col("w") * F.col("w")) + others * unseen * unseen).alias("length"))
+    scores = own.join(weighed, "term").groupBy("unit", "template", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scores = scores.join(lengths, "unit").withColumn("score", F.round(F.col("dot") / F.col("length"), 6))
+    best = scores.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("order"), "license", "score")).alias("b"))
+    return best.select("unit", "b.license", "b.score").filter(F.col("score") >= least)
 
 
 def directory(path: Column) -> Column:
@@ -128,25 +130,27 @@ def scan_licenses(
         F.col(key).alias("key"), F.coalesce(F.col(path), F.lit("")).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     trigger = F.translate("text", UPPER, LOWER).rlike(STEMS)
-    # lines of texts without a stem need not be parted; a hit is a path with one text, kept once
-    hits = base.filter(trigger).select("path", "text").distinct()
-    line = F.explode(F.split("text", "\n")).alias("text")
-    lines = materialize(hits.select("path", F.xxhash64("text").alias("file"), line).filter(trigger), "lines")
-    line_licences = unit_licences(lines.select("text"), header)
-    of_file = lines.select("path", "file", "text").distinct().join(line_licences, "text")
+    # texts without a stem have no header line; of the others each text is kept once per path
+    hits = base.filter(trigger).select("path", F.xxhash64("text").alias("file"), "text")
+    hits = written(hits.dropDuplicates(["path", "file"]), "hits")
+    lines = hits.select("path", "file", F.explode(F.split("text", "\n")).alias("text")).filter(trigger)
+    units = lines.select("path", "file", F.xxhash64("text").alias("unit")).distinct()
+    of_file = units.join(unit_licences(lines.select("text"), header), "unit")
     of_file = of_file.groupBy("path", "file").agg(F.min(F.struct((-F.col("score")).alias("order"), "license", "score")).alias("own"))
     of_file = materialize(of_file.select("path", "file", "own.license", "own.score"), "headers")
 
-    whole_licences = unit_licences(hits.select("text"), whole)
-    holders = hits.join(whole_licences, "text").select(directory(F.col("path")).alias("directory"), "path", "license", "score")
-    holders = holders.groupBy("directory").agg(F.min(F.struct((-F.col("score")).alias("order"), "license", "path", "score")).alias("h"))
+    whole_licences = unit_licences(hits.select("text"), whole).withColumnRenamed("unit", "file")
+    holders = hits.select("path", "file").join(whole_licences, "file")
+    holders = holders.groupBy(directory(F.col("path")).alias("directory")).agg(
+        F.min(F.struct((-F.col("score")).alias("order"), "license", "path", "score")).alias("h")
+    )
     holders = materialize(holders.select("directory", F.struct("h.license", "h.score").alias("license")), "holders")
 
-    slim = base.select("key", "path", directory(F.col("path")).alias("directory"), F.when(trigger, F.xxhash64("text")).alias("file"))
+    slim = base.select("key", "path", directory(F.col("path")).alias("directory"), F.xxhash64("text").alias("file"))
     own = of_file.select("path", "file", F.col("license").alias("own"), F.col("score").alias("own_score"))
     joined = slim.join(own, ["path", "file"], "left")
-    above = materialize(inherited(slim, holders), "inherited")
-    joined = joined.join(above.select("directory", F.col("license").alias("up")), "directory", "left")
+    above = inherited(slim, holders).select("directory", F.col("license").alias("up"))
+    joined = joined.join(small_side(above), "directory", "left")
     source = F.when(F.col("own").isNotNull(), "header").when(F.col("up").isNotNull(), "directory").otherwise("none")
     return joined.select(
         F.col("key").alias(key),
