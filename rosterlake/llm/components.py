@@ -22,7 +22,8 @@ def _step(edges: DataFrame, small: bool) -> DataFrame:
         found = tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lowest.select("a", F.col("m").alias("b")))
     else:
         found = tied.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return found.filter("a <> b").distinct()
+    found = found.filter("a <> b")
+    return found.distinct() if small else found
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def frequent_shingles(texts: DataFrame, n: int, shards: int) -> tuple[np.ndarray
             yield pa.RecordBatch.from_arrays([pa.array(place[first][kept].astype(np.int64)), pa.array(power)], names=["place", "power"])
 
     counted = texts.mapInArrow(count, "shard bigint, size bigint, steps binary, times binary")
-    counted = counted.repartition(shards, "shard").mapInArrow(total, "place bigint, power int")
+    counted = counted.repartition("shard").mapInArrow(total, "place bigint, power int")
     counted = materialize(counted, "frequent")
     sizes = {r["power"]: r["count"] for r in counted.groupBy("power").count().collect()}
     least, size = 64, 0
@@ -247,7 +247,7 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "orders", "classes"])
 
     schema = "shard bigint, tokens binary, runs binary, classes binary, orders binary"
-    dealt = texts.mapInArrow(prefixes, schema).repartition(shards, "shard")
+    dealt = texts.mapInArrow(prefixes, schema).repartition("shard")
     met = dealt.mapInArrow(meet, "bucket bigint, orders int, classes array<bigint>")
     met = met.groupBy("bucket").agg(F.bit_or("orders").alias("orders"), F.first("classes").alias("classes"))
     return materialize(met, "buckets")
@@ -376,28 +376,29 @@ def class_components(
     """
     entries = buckets.select("bucket", "orders", F.explode("classes").alias("class"))
     signed = materialize(entries.join(known.select("class", "n", "bitmap"), "class"), "entries")
-    roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
-    links, turn, gained = None, 0, 1
+    members = F.collect_list(F.struct("class", "root", "n", "bitmap")).alias("members")
+    rooted = signed.withColumn("root", F.col("class"))  # at first nothing is connected
+    links, roots, turn, last = None, None, 0, False
     while True:
+        opened = rooted.groupBy("bucket", "orders").agg(members)
+        found = verified(bucket_pairs(opened, percent, None if last else turn), docs, text, known, percent, n)
+        gained = found.count()
+        links = found if links is None else links.unionByName(found)
+        if gained or roots is None:
+            roots = materialize(connected_components(links), "roots")
+        if last:
+            return roots
         rooted = signed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")
         )
         counts = rooted.groupBy("bucket", "root").agg(F.count("*").cast("double").alias("c"))
         sums = counts.groupBy("bucket").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
+        sums = materialize(sums.filter("m * m > s"), "sums")
         total, size = sums.agg(F.sum(F.col("m") * F.col("m") - F.col("s")), F.sum("m")).first()
         if not total:
             return roots
-        opened = sums.filter("m * m > s").select("bucket")
-        opened = rooted.join(opened, "bucket", "left_semi").groupBy("bucket", "orders").agg(
-            F.collect_list(F.struct("class", "root", "n", "bitmap")).alias("members")
-        )
-        last = turn > 0 and (total <= max(PAIRS, PER_ENTRY * size) or not gained)
-        found = verified(bucket_pairs(opened, percent, None if last else turn), docs, text, known, percent, n)
-        gained = found.count()
-        links = found if links is None else links.unionByName(found)
-        roots = materialize(connected_components(links), "roots") if gained else roots
-        if last:
-            return roots
+        rooted = rooted.join(sums.select("bucket"), "bucket", "left_semi")
+        last = total <= max(PAIRS, PER_ENTRY * size) or not gained
         turn += 1
 
 
