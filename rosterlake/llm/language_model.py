@@ -1,10 +1,11 @@
 """Scores of texts under a bigram model whose tries are dealt over the cluster.
 
 Texts are cut into blocks of documents; a block has its distinct words, and its tokens as
-numbers of those words. Three exchanges follow, all of packed arrays:
+numbers of those words. These exchanges follow, all of packed arrays:
 
 1. Blocks send their words with training counts to the words' shards, which sum them up, number
-   the words, and answer each block.
+   the words, and answer each block. The distinct training followers of the few contexts that
+   are too frequent for one shard are then counted in an exchange of those pairs alone.
 2. Blocks send their distinct pairs of neighbouring tokens, with training counts and the
    documents they occur in, to the shards of the first word.
 3. A shard sums the pairs up, builds an Elias-Fano trie of smoothed probabilities, looks up the
@@ -12,8 +13,8 @@ numbers of those words. Three exchanges follow, all of packed arrays:
 
 Smoothing is by absolute discounting, interpolated with the smoothed word frequencies. A context
 that makes up much of the corpus would overfill its shard. Its pairs are dealt by the second
-word's shard, and what the discount leaves is shared out within that part: the probabilities
-still sum to one, and no part is larger than a shard.
+word's shard; every part takes what the discount leaves from the followers counted over all
+parts, so splitting changes no probability and those of a context sum to one.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.session import materialize
 
-from .elias_fano import Trie
+from .elias_fano import Trie, dequantise, quantise
 from .tables import partitions
 from .words import find_words, mix, slices, word_hashes
 
@@ -70,6 +71,15 @@ def ragged(size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
 
 
+def previous(counts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The token before each one; a text begins after an end."""
+    first = np.cumsum(counts) - counts
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[first] = tokens[first + counts - 1]
+    return before
+
+
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     kinds = {"bigint": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
@@ -133,7 +143,8 @@ def token_blocks(docs: DataFrame, key: str, text: str, training: Column) -> Data
 
 def word_numbers(blocks: DataFrame, shards: int) -> DataFrame:
     """block, shard, numbers, n_tokens, n_words: per block and shard the packed numbers (0: not in
-    training) and training counts of the block's words; rows with block -1 have a shard's totals."""
+    training) and training counts of the block's words; rows with block -1 have a shard's totals
+    and, packed, the hashes, counts and numbers of the words that may be frequent contexts."""
     schema = "shard bigint, block bigint, words binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +170,9 @@ def word_numbers(blocks: DataFrame, shards: int) -> DataFrame:
             total = np.zeros(len(distinct), np.int64)
             np.add.at(total, inverse, np.concatenate([p[1].astype(np.int64) for p in parts]))
             number = np.where(total > 0, np.cumsum(total > 0), 0)
-            yield _batch(answer, [(-1, shard, b"", int(total.sum()), int((total > 0).sum()))])
+            often = np.flatnonzero(total > total.sum() / (4 * shards))  # the limit over all shards is no lower
+            frequent = pack_arrays(distinct[often], total[often], number[often])
+            yield _batch(answer, [(-1, shard, frequent, int(total.sum()), int((total > 0).sum()))])
             at = 0
             for block, part in zip((b for b, _ in rows), parts, strict=True):
                 own = inverse[at : at + len(part[0])]
@@ -170,6 +183,67 @@ def word_numbers(blocks: DataFrame, shards: int) -> DataFrame:
     return materialize(dealt.mapInArrow(count, answer), "words")
 
 
+def hot_followers(blocks: DataFrame, words: DataFrame, shards: int, hot: float) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the contexts with more than ``hot`` training tokens (fewer than 4 shards), sorted,
+    and how many distinct words follow each in training."""
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hashes, total, number = unpack_arrays(blob)
+                own = total > hot
+                columns = [pa.array(hashes[own].view(np.int64)), pa.array(number[own].astype(np.int64) * shards + shard)]
+                yield pa.RecordBatch.from_arrays(columns, names=["hash", "number"])
+
+    found = words.filter("block < 0").select("shard", "numbers").mapInArrow(select, "hash bigint, number bigint").collect()
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes = np.array([r["hash"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, number = hashes[order], np.array([r["number"] for r in found], np.int64)[order]
+    sent = "shard bigint, data binary"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                trained = batch.column(0)[i].values.to_numpy(zero_copy_only=False).astype(bool)
+                own = unpack_arrays(batch.column(1)[i].as_py())[0]
+                counts, tokens = unpack_arrays(batch.column(2)[i].as_py())
+                counts, tokens = counts.astype(np.int64), tokens.astype(np.int32)
+                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                context = np.where(hashes[at] == own, at, -1).astype(np.int32)[previous(counts, tokens)]
+                chosen = np.flatnonzero((context >= 0) & np.repeat(trained, counts))
+                both = np.unique(context[chosen] * np.int64(len(own)) + tokens[chosen])
+                context, word = both // len(own), own[both % len(own)]
+                spread = mix(word ^ mix(context.astype(np.uint64)))
+                shard = ((spread >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+                order = np.argsort(shard, kind="stable")
+                parts = np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+                rows = [(s, pack_arrays(narrow(context[p]), word[p])) for s, p in enumerate(parts) if len(p)]
+                if rows:
+                    yield _batch(sent, rows)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack_arrays(blob) for batch in batches for blob in batch.column(1).to_pylist()]
+        if parts:
+            context = np.concatenate([p[0].astype(np.int64) for p in parts])
+            word = np.concatenate([p[1] for p in parts])
+            order = np.lexsort((word, context))
+            context, word = context[order], word[order]
+            new = (np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=word[:1]) != 0)
+            kinds = np.bincount(context[new], minlength=len(hashes))
+            some = np.flatnonzero(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(kinds[some])], names=["context", "kinds"])
+
+    dealt = blocks.select("trained", "words", "tokens").mapInArrow(deal, sent).repartition(shards, "shard")
+    counted = dealt.mapInArrow(count, "context bigint, kinds bigint").groupBy("context").agg(F.sum("kinds").alias("kinds"))
+    kinds = np.zeros(len(hashes), np.int64)
+    for row in counted.collect():
+        kinds[row["context"]] = row["kinds"]
+    order = np.argsort(number)
+    return number[order], kinds[order]
+
+
 def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -180,7 +254,8 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
     the bigram model, in which all words unknown in training are one. Without training rows both
     treat every token as unknown. Repeated rows count each; rows without a key are scored;
     other columns are ignored; an empty table gives no rows. Blocks and word counts are written
-    to shared storage while the plan is built, the rest is one job with two exchanges.
+    to shared storage and the followers of frequent contexts counted while the plan is built, the
+    rest is one job with two exchanges.
     """
     spark = docs.sparkSession
     shards = 2 * partitions(spark)
@@ -190,11 +265,8 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
     totals = sorted(words.filter("block < 0").select("shard", "n_tokens", "n_words").collect())  # one row per shard
     train_tokens, distinct = sum(t[1] for t in totals), sum(t[2] for t in totals)
     norm = train_tokens + 0.5 * (distinct + 1)
-    mass = np.zeros(shards)
-    for shard, tokens, size in totals:
-        mass[shard] = (tokens + 0.5 * size) / norm
-    mass[0] += 0.5 / norm  # the unknown word
     hot = train_tokens / (4 * shards)
+    hot_numbers, hot_kinds = hot_followers(blocks, words, shards, hot)
 
     sent = (
         f"shard bigint, block bigint, size bigint, data binary, keys array<{kind}>, "
@@ -217,19 +289,23 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
         if at != size:
             raise RuntimeError(f"block {row['block']} got {at} word numbers for {size} words")
         counts, tokens = unpack_arrays(row["tokens"])
-        counts, tokens = counts.astype(np.int64), tokens.astype(np.int64)
-        document = np.repeat(np.arange(len(counts)), counts)
-        learned = np.repeat(np.array(row["trained"], bool), counts)
-        base = np.log10((total + 0.5) / norm)
+        counts, tokens = counts.astype(np.int64), tokens.astype(np.int32)
+        document = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        base = np.bincount(document, np.log10((total + 0.5) / norm)[tokens], len(counts))
         n_known = np.bincount(document, total[tokens] > 0, len(counts)).astype(np.int64)
-        first = np.cumsum(counts) - counts
-        before = np.empty(len(tokens), np.int64)
-        before[1:] = tokens[:-1]
-        before[first] = tokens[first + counts - 1]  # a text begins after an end
-
-        both, inverse, occurrences = np.unique(before * size + tokens, return_inverse=True, return_counts=True)
-        trained = np.bincount(inverse, learned, len(both)).astype(np.int64)
-        by_pair = document[np.argsort(inverse, kind="stable")]
+
+        # arrays of all tokens are the largest here: each goes as soon as it is not needed
+        both = previous(counts, tokens) * np.int64(size) + tokens
+        del tokens
+        by_token = np.argsort(both, kind="stable")
+        by_pair = document[by_token]
+        learned = np.repeat(np.array(row["trained"], bool), counts)[by_token]
+        both = both[by_token]
+        del by_token, document
+        begin = np.flatnonzero(np.diff(both, prepend=-1))
+        occurrences = np.diff(np.append(begin, len(both)))
+        trained = np.add.reduceat(learned, begin, dtype=np.int64)
+        both = both[begin]
         context, word = both // size, both % size
         split = total[context] > hot
         part = number[word] % shards
@@ -237,7 +313,6 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
         spread = mix(np.where(split, place, number[context]).astype(np.uint64))
         shard = ((spread >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((number[word], place, shard))
-        begin = np.cumsum(occurrences) - occurrences
         ends = np.searchsorted(shard[order], np.arange(1, shards))
         out = []
         for s, own in enumerate(np.split(order, ends)):
@@ -260,7 +335,7 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
                 owners.astype(np.uint16),
             )
             out.append((s, row["block"], len(counts), data, None, None, None, None))
-        figures = (counts.tolist(), n_known.tolist(), np.bincount(document, base[tokens], len(counts)).tolist())
+        figures = (counts.tolist(), n_known.tolist(), base.tolist())
         out.append((row["block"] % shards, row["block"], len(counts), None, row["keys"], *figures))
         return pa.Table.from_arrays([pa.array(c, blocks_types[n]) for n, c in zip(names, zip(*out, strict=True), strict=True)], names)
 
@@ -285,13 +360,14 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
         context, word = context[first], word[first]
         count = np.add.reduceat(trained[order], first) if len(first) else np.zeros(0, np.int64)
         total, lower = total[order[first]], (word_total[order[first]] + 0.5) / norm
-        chance, kept = lower, count > 0
+        kept, share, left = count > 0, np.zeros(len(first)), np.ones(len(first))
         if kept.any():
             trie = Trie(context[kept].astype(np.uint64), word[kept], count[kept], total[kept], DISCOUNT)
-            known, share, left = trie.lookup(context.astype(np.uint64), word)
-            part = context % (shards + 1)
-            within = np.where(part > 0, mass[part - 1], 1.0)
-            chance = np.where(known, share + left * lower / within, lower)
+            _, share, left = trie.lookup(context.astype(np.uint64), word)
+        split = np.flatnonzero(context % (shards + 1))  # a part does not see all followers of its context
+        kinds = hot_kinds[np.searchsorted(hot_numbers, context[split] // (shards + 1))]
+        left[split] = dequantise(quantise(np.minimum(DISCOUNT * kinds / total[split], 1)))
+        chance = share + left * lower
         out = np.empty(len(order))
         out[order] = np.repeat(chance, np.diff(np.append(first, len(order))))
         return out

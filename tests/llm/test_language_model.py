@@ -117,6 +117,18 @@ def test_scores_of_documents(spark):
     assert held_out[1] > held_out[0]
 
 
+@pytest.mark.parametrize("tasks", [1, 9])
+def test_splitting_contexts_changes_no_score(spark, monkeypatch, tasks):
+    """A context with a third of the tokens and few followers, dealt over many parts."""
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(language_model, "partitions", lambda spark: tasks)
+    texts = [f"hot {'abc'[i % 3]} w{i % 90} w{i % 7} hot a hot" for i in range(300)] + ["hot w5 unseen hot w80", "hot hot"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.score for r in score_texts(docs, F.col("doc_id") < 300).collect()}
+    for row, (*_, score) in zip(docs.collect(), brute(docs.collect(), [i < 300 for i in range(len(texts))])):
+        assert found[row.doc_id] == pytest.approx(score, rel=1e-3)
+
+
 def test_no_training_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
     found = {r.doc_id: r for r in score_texts(docs, F.lit(False)).collect()}
