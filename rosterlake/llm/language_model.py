@@ -34,7 +34,7 @@ from .tables import partitions
 from .words import find_words, mix, slices, word_hashes
 
 BLOCK_TOKENS = 1 << 21
-BLOCK_DOCUMENTS = 60_000  # numbers of documents in a block take 16 bits
+BLOCK_DOCUMENTS = 60_000  # numbers of documents take 16 bits, more in a block that a last long slice makes larger
 END = mix(np.array([0xD6E8FEB86659FD93], np.uint64))[0]  # stands for the end in place of a word's hash
 DISCOUNT = 0.75
 
@@ -332,7 +332,7 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
                 narrow(index),
                 narrow(trained[own]),
                 narrow(occurrences[own]),
-                owners.astype(np.uint16),
+                narrow(owners),
             )
             out.append((s, row["block"], len(counts), data, None, None, None, None))
         figures = (counts.tolist(), n_known.tolist(), base.tolist())

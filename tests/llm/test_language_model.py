@@ -129,6 +129,21 @@ def test_splitting_contexts_changes_no_score(spark, monkeypatch, tasks):
         assert found[row.doc_id] == pytest.approx(score, rel=1e-3)
 
 
+def test_blocks_of_many_documents(spark):
+    """One Arrow batch, and so one block, of more documents than 16 bits number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100000")
+    try:
+        docs = spark.range(0, 70_000, 1, 1).selectExpr("id AS doc_id", "elt(id % 3 + 1, 'a', 'b c', '') AS text")
+        scored = score_texts(docs, F.lit(True)).groupBy((F.col("doc_id") % 3).alias("kind"))
+        found = scored.agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r.n for r in found) == 70_000
+    assert all(r.low == pytest.approx(r.high) and r.high < 0 for r in found)
+
+
 def test_no_training_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
     found = {r.doc_id: r for r in score_texts(docs, F.lit(False)).collect()}
