@@ -6,8 +6,9 @@ values at least one belongs to the document. Those values are an item's sketch:
 has none of them, or fewer shingles than the partition needs, can not contain the item, and no
 contained item is missed. Candidates are verified by counting shingles.
 
-Items are taken in blocks of bounded size, one pass over the documents each; within a pass the
-documents stay where they are read, nothing is shuffled.
+Items with equal shingles are searched once, and the keys of all of them joined to what is found.
+The distinct ones are taken in blocks of bounded size, one pass over the documents each; within a
+pass the documents stay where they are read, nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterlake.session import materialize, small_side
+
 from .words import distinct_by_document, find_words, mix, shingles, slices
 
 BLOCK_SHINGLES = 1 << 20  # item shingles (8 bytes each, and their owners) sent to all tasks at once
@@ -81,13 +84,14 @@ class ItemBlock:
                     yield int(d), int(i), shared
 
 
-def item_blocks(items: DataFrame, key: str, text: str, percent: int, n: int) -> Iterator[ItemBlock]:
-    """All items in blocks of about ``BLOCK_SHINGLES`` shingles, one small job for each."""
-    found = item_shingles(items, key, text, n)
-    total = found.agg(F.sum(F.size("hashes").cast("bigint"))).first()[0] or 0
+def item_blocks(found: DataFrame, percent: int) -> Iterator[ItemBlock]:
+    """The distinct sets of ``item_shingles``, each with its hash as ``item``, in blocks of about
+    ``BLOCK_SHINGLES`` shingles, one small job for each. The sets are written once."""
+    sets = materialize(found.select(F.xxhash64("hashes").alias("item"), "hashes").distinct(), "items")
+    total = sets.agg(F.sum(F.size("hashes").cast("bigint"))).first()[0] or 0
     blocks = -(-total // BLOCK_SHINGLES)
     for b in range(blocks):
-        own = found.filter(F.pmod(F.xxhash64("hashes"), F.lit(blocks)) == b).collect()
+        own = sets.filter(F.pmod("item", F.lit(blocks)) == b).collect()
         if own:
             yield ItemBlock(own, percent)
 
@@ -108,14 +112,13 @@ def contained_items(
     document, key of the item, n_item (its shingles), n_shared. NULL and empty texts contain
     nothing and are contained in nothing; an item shorter than ``n`` words is one shingle, found
     only in a document of exactly its words. Rows with the same or a NULL key each count, other
-    columns are ignored, empty tables give no rows. Runs one small job per block of items while
-    the plan is built.
+    columns are ignored, empty tables give no rows. Items are written to shared storage and one
+    small job per block of them runs while the plan is built.
     """
     spark = docs.sparkSession
     doc_name, item_name = (key, item_key) if key != item_key else (key, f"item_{item_key}")
     doc_kind = docs.schema[key].dataType.simpleString()
-    item_kind = items.schema[item_key].dataType.simpleString()
-    schema = f"`{doc_name}` {doc_kind}, `{item_name}` {item_kind}, n_item bigint, n_shared bigint"
+    schema = f"key {doc_kind}, item bigint, n_item bigint, n_shared bigint"
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
     def search(block) -> DataFrame:
@@ -128,19 +131,21 @@ def contained_items(
                     rows, item, shared = zip(*pairs, strict=True)
                     columns = [
                         batch.column(0).take(pa.array(rows, pa.int64())),
-                        pa.array([own.keys[i] for i in item]),
+                        pa.array([own.keys[i] for i in item], pa.int64()),
                         pa.array(own.sizes[list(item)]),
                         pa.array(shared, pa.int64()),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, names=[doc_name, item_name, "n_item", "n_shared"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "item", "n_item", "n_shared"])
 
         return texts.mapInArrow(run, schema)
 
-    parts = [search(spark.sparkContext.broadcast(b)) for b in item_blocks(items, item_key, item_text, percent, n)]
+    found = item_shingles(items, item_key, item_text, n)
+    parts = [search(spark.sparkContext.broadcast(b)) for b in item_blocks(found, percent)]
     result = parts[0] if parts else spark.createDataFrame([], schema)
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result
+    keys = small_side(found.select(F.xxhash64("hashes").alias("item"), F.col("item").alias("item_key")))
+    return result.join(keys, "item").select(F.col("key").alias(doc_name), F.col("item_key").alias(item_name), "n_item", "n_shared")
 
 
 def without_items(
@@ -153,10 +158,10 @@ def without_items(
 ) -> DataFrame:
     """The rows of ``docs`` that contain no item (see ``contained_items``), with all their columns.
 
-    NULL and empty texts stay, as do all rows if there are no items. Nothing is shuffled.
+    NULL and empty texts stay, as do all rows if there are no items. No document is shuffled.
     """
     spark = docs.sparkSession
-    for block in item_blocks(items.withColumn("_item", F.lit(0)), "_item", item_text, percent, n):
+    for block in item_blocks(item_shingles(items.withColumn("_item", F.lit(0)), "_item", item_text, n), percent):
         docs = docs.filter(~_has_item(spark.sparkContext.broadcast(block), n)(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     return docs
 

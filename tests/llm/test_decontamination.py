@@ -50,6 +50,26 @@ def test_equals_comparing_all_pairs(spark, odd_docs, items, monkeypatch, block):
     assert sorted(str(r) for r in kept.collect()) == sorted(str(r) for r in docs.collect() if r.text not in hits)
 
 
+def test_equal_items_fill_no_block(spark, monkeypatch):
+    """Half of the items are equal: they are searched as one and all found."""
+    sizes, plain = [], decontamination.ItemBlock.__init__
+
+    def seen(self, rows, percent):
+        sizes.append(sum(len(row["hashes"]) for row in rows))
+        plain(self, rows, percent)
+
+    monkeypatch.setattr(decontamination.ItemBlock, "__init__", seen)
+    monkeypatch.setattr(decontamination, "BLOCK_SHINGLES", 100)
+    items = [(i, "a b c d e f g h") for i in range(300)] + [(i, f"i{i} b c d e f") for i in range(300, 600)]
+    docs = [(1, "x a b c d e f g h y"), (2, "i400 b c d e f"), (3, "nothing of it")]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    found = sorted((tuple(r) for r in contained_items(docs, items).collect()), key=str)
+    assert found == sorted([(1, i, 4, 4) for i in range(300)] + [(2, 400, 2, 2)], key=str)
+    assert [r.doc_id for r in without_items(docs, items).collect()] == [3]
+    assert max(sizes) <= 200
+
+
 def test_empty_tables(spark, odd_docs, items):
     assert contained_items(odd_docs.limit(0), items).count() == 0
     assert contained_items(odd_docs, items.limit(0)).count() == 0
