@@ -19,6 +19,7 @@ from .page_text import main_text
 from .quality import score_quality
 from .tables import in_fold, read_table, ship
 from .topk import top_k
+from .toxicity import score_toxicity
 from .warc import archive_round_trip
 
 
@@ -83,6 +84,14 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (read_table(spark, folder, name) for name in ("documents", "labels"))
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    return score_toxicity(docs, labels, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "toxic_spans"
+    )
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -91,7 +100,19 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-_ALL = (op1_language_model, op2_top_k, op3_packing, op4_language, op5_page_text, op6_licenses, op7_quality, op8_warc, op9_decontamination, op10_jaccard_join)
+_ALL = (
+    op1_language_model,
+    op2_top_k,
+    op3_packing,
+    op4_language,
+    op5_page_text,
+    op6_licenses,
+    op7_quality,
+    op8_warc,
+    op9_decontamination,
+    op10_jaccard_join,
+    op13_toxicity,
+)
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
 ORACLE_SQL = {
     "op2_top_k": sql.TOP_K,

@@ -32,6 +32,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with more underscores if a column has it already."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,6 +24,8 @@ _powers = {}
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+IS_TERM = np.zeros(256, bool)  # ASCII letters and digits, and all bytes of other characters
+IS_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -84,11 +86,55 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
             at = to
 
 
+def byte_runs(texts: pa.Array, size: int, stops: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The texts in runs of at most ``size`` bytes: first row, bytes, offsets of the run's rows.
+
+    Short texts are taken whole, several at once. A longer one comes alone, in parts that end
+    behind one of the bytes that ``stops`` marks, so that memory does not grow with its length;
+    only a stretch without such a byte can make a part longer.
+    """
+    raw, offsets = text_bytes(texts)
+    row = 0
+    while row < len(texts):
+        to = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
+        if to > row:
+            yield row, raw[offsets[row] : offsets[to]], offsets[row : to + 1] - offsets[row]
+            row = to
+            continue
+        begin, end = int(offsets[row]), int(offsets[row + 1])
+        while begin < end:
+            to = min(begin + size, end)
+            if to < end:
+                found = np.flatnonzero(stops[raw[begin:to]])
+                if len(found):
+                    to = begin + int(found[-1]) + 1
+                else:
+                    to = next_stop(raw, to, end, stops)
+            yield row, raw[begin:to], np.array([0, to - begin])
+            begin = to
+        row += 1
+
+
+def next_stop(raw: np.ndarray, at: int, end: int, stops: np.ndarray) -> int:
+    """Behind the first byte from ``at`` on that ``stops`` marks, or ``end``."""
+    while at < end:
+        found = np.flatnonzero(stops[raw[at : min(at + 4096, end)]])
+        if len(found):
+            return at + int(found[0]) + 1
+        at += 4096
+    return end
+
+
 def find_words(texts: pa.Array, lower: bool = True) -> Words:
     """All words of a string column, A-Z lower-cased if ``lower``."""
-    raw, offsets = text_bytes(texts)
+    return words_in(*text_bytes(texts), lower)
+
+
+def words_in(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, table: np.ndarray = IS_WORD) -> Words:
+    """All words of texts given by their bytes and where each text begins; ``table`` marks the
+    bytes that words are made of."""
     data = LOWER[raw] if lower else raw
-    inside = IS_WORD[raw]
+    inside = table[raw]
     begins, finishes = inside.copy(), inside.copy()
     if len(raw):
         cut = np.zeros(len(raw) + 1, bool)  # a document's border parts words too

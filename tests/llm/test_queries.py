@@ -33,7 +33,7 @@ def test_registered(spark, database, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == sorted(set(numbers)) and set(numbers) >= set(range(1, 11))
 
 
 def test_pipeline_stages(spark):
