@@ -13,6 +13,7 @@ from .decontamination import contained_items
 from .jaccard import near_duplicates
 from .language import identify_language
 from .language_model import score_texts
+from .lexical import ranked_search
 from .licenses import scan_licenses
 from .packing import pack
 from .page_text import main_text
@@ -84,6 +85,10 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = (read_table(spark, folder, name) for name in ("documents", "labels"))
     held_out = in_fold(F.col("doc_id"), 5, 0)
@@ -111,6 +116,7 @@ _ALL = (
     op8_warc,
     op9_decontamination,
     op10_jaccard_join,
+    op11_ranked_search,
     op13_toxicity,
 )
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
@@ -119,4 +125,5 @@ ORACLE_SQL = {
     "op6_licenses": sql.LICENSES,
     "op9_decontamination": sql.CONTAINMENT,
     "op10_jaccard_join": sql.COMPONENTS,
+    "op11_ranked_search": sql.RANKED,
 }

@@ -47,6 +47,38 @@ TOP_K = """
 """
 
 
+def _terms(table: str, key: str) -> str:
+    """One row per term and row of a table: key, term, how often."""
+    found = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+        SELECT {key}, term, count(*) AS times
+        FROM (SELECT {key}, unnest({found}) AS term FROM {table} WHERE text IS NOT NULL)
+        GROUP BY {key}, term"""
+
+
+RANKED = f"""
+    WITH doc AS ({_terms("documents", "doc_id")}),
+    item AS ({_terms("benchmark", "item_id")}),
+    size AS (SELECT doc_id, CAST(sum(times) AS BIGINT) AS n FROM doc GROUP BY doc_id),
+    total AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM size),
+    weight AS (
+        SELECT term,
+               CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM doc, total GROUP BY term, documents),
+    norm AS (SELECT doc_id, 25 + (75 * n * documents) // terms AS m FROM size, total),
+    scored AS (
+        SELECT item_id, doc_id,
+               CAST(sum(item.times * w * ((1000000000 * doc.times) // (1000 * doc.times + 8 * m))) AS BIGINT) AS score
+        FROM item JOIN doc USING (term) JOIN weight USING (term) JOIN norm USING (doc_id)
+        GROUP BY item_id, doc_id),
+    ranked AS (
+        SELECT item_id, doc_id, score,
+               row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+        FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 COMPONENTS = f"""
     WITH RECURSIVE shingle AS ({_shingles("documents", "doc_id")}),
     size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
