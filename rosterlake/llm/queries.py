@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
+from .collocations import collocations
 from .decontamination import contained_items
 from .jaccard import near_duplicates
 from .language import identify_language
@@ -89,6 +90,10 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(read_table(spark, folder, "documents"))
+
+
 def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = (read_table(spark, folder, name) for name in ("documents", "labels"))
     held_out = in_fold(F.col("doc_id"), 5, 0)
@@ -117,6 +122,7 @@ _ALL = (
     op9_decontamination,
     op10_jaccard_join,
     op11_ranked_search,
+    op12_collocations,
     op13_toxicity,
 )
 QUERIES = {query.__name__: _shipped(query) for query in _ALL}
@@ -126,4 +132,5 @@ ORACLE_SQL = {
     "op9_decontamination": sql.CONTAINMENT,
     "op10_jaccard_join": sql.COMPONENTS,
     "op11_ranked_search": sql.RANKED,
+    "op12_collocations": sql.COLLOCATIONS,
 }

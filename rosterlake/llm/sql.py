@@ -79,6 +79,41 @@ RANKED = f"""
 """
 
 
+COLLOCATIONS = f"""
+    WITH piece AS (
+        SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+        FROM (SELECT lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+              FROM documents WHERE text IS NOT NULL)),
+    grams AS (
+        SELECT lang, size, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+        FROM piece, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size),
+    f AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+    candidate AS (SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 30),
+    cut AS (
+        SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+        FROM candidate, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+               CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.a + y.a) AS BIGINT) AS score
+        FROM cut AS c JOIN f AS x ON x.lang = c.lang AND x.phrase = c.head
+        JOIN f AS y ON y.lang = c.lang AND y.phrase = c.rest),
+    lowest AS (
+        SELECT * FROM scored
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_phrase AS (
+        SELECT lang, unnest([array_to_string(w[b:b + n - 1], ' ') FOR b IN range(1, size - n + 2)]) AS phrase, a
+        FROM candidate, (SELECT unnest([2, 3]) AS n) WHERE n < size),
+    around AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrase GROUP BY lang, phrase),
+    ranked AS (
+        SELECT lang, phrase, a, l, r, n, score,
+               row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM lowest JOIN total USING (lang) LEFT JOIN around USING (lang, phrase)
+        WHERE longer IS NULL OR 100 * longer < 80 * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 COMPONENTS = f"""
     WITH RECURSIVE shingle AS ({_shingles("documents", "doc_id")}),
     size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
