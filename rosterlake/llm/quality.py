@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import IS_WORD, find_words, slices, word_hashes
+from .words import IS_WORD, byte_runs, find_words, slices, word_hashes, words_in
 
 BUCKETS = 1 << 18
+RUN_BYTES = 256 << 10  # text scored at once
+PAIR_BITS = 24  # word pairs of a text of several runs are remembered in 2^24 bits
 REPEATED = 0  # the bucket of the mark for repeated word pairs
 _GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -58,6 +60,35 @@ def features(texts: pa.Array, sizes: tuple[int, ...] = (3, 4)) -> tuple[np.ndarr
     return np.concatenate(found).astype(np.int64), np.concatenate(owner)
 
 
+def part_features(raw: np.ndarray, offsets: np.ndarray, lead: int, sizes: tuple[int, ...] = (3, 4)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Kind after kind, buckets and text of each feature, but for marks of repeated pairs.
+
+    The first ``lead`` bytes are the end of an earlier part of the same text: features that lie
+    in them wholly are left out. The pairs, as 64-bit values, come last.
+    """
+    words = words_in(raw, offsets, lower=False)
+    shift = np.uint64(64 - BUCKETS.bit_length() + 1)
+    hashes, document = word_hashes(words), words.documents().astype(np.int32)
+    fresh = words.starts >= lead
+    with np.errstate(over="ignore"):
+        yield ((hashes[fresh] * _PAIR) >> shift).astype(np.int32), document[fresh]
+        plain = np.where(IS_WORD[words.data], words.data, 32).astype(np.uint32)
+        byte_owner = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+        for size in sizes:
+            count = max(len(plain) - size + 1, 0)
+            grams = np.full(count, size, np.uint32)
+            for k in range(size):
+                grams = (grams + plain[k : k + count]) * _GRAM[k]
+                grams ^= grams >> np.uint32(15)
+            inside = byte_owner[:count] == byte_owner[size - 1 : size - 1 + count]
+            inside[: max(lead - size + 1, 0)] = False
+            yield (grams * _GRAM[0] >> np.uint32(33 - BUCKETS.bit_length()))[inside].astype(np.int32), byte_owner[:count][inside]
+        paired = (document[1:] == document[:-1]) & fresh[1:]
+        pairs = ((hashes[:-1] * _PAIR + hashes[1:]) * _PAIR)[paired]
+        yield (pairs >> shift).astype(np.int32), document[1:][paired]
+        yield pairs, document[1:][paired]
+
+
 class Model(NamedTuple):
     """Per bucket the weight of label 1 against label 0, and what a text without features has."""
 
@@ -65,12 +96,51 @@ class Model(NamedTuple):
     bias: float
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        bucket, owner = features(texts)
-        sums = np.bincount(owner, self.weight[bucket], len(texts))
-        counts = np.bincount(owner, minlength=len(texts))
+        """Scores of whole texts, taken apart in runs of ``RUN_BYTES``.
+
+        Of a text that is longer, parts overlap by a word, so that every feature is met once. Its
+        pairs are remembered in a bitmap of ``PAIR_BITS`` bits, whose rare collisions count as
+        repeated pairs: memory does not depend on the length of a text.
+        """
+        sums, counts = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        before, tail, seen = -1, np.zeros(0, np.uint8), None
+        for row, raw, offsets in byte_runs(texts, RUN_BYTES, ~IS_WORD):
+            lead = 0
+            if row == before:  # the next part of a long text
+                lead, raw = len(tail), np.concatenate([tail, raw])
+                offsets = np.array([0, len(raw)])
+            elif len(raw) > RUN_BYTES // 2 and len(offsets) == 2:
+                seen = np.zeros(1 << PAIR_BITS - 3, np.uint8)
+            else:
+                seen = None
+            texts_here = slice(row, row + len(offsets) - 1)
+            *kinds, (pairs, owner) = part_features(raw, offsets, lead)
+            for bucket, of in kinds:
+                sums[texts_here] += np.bincount(of, self.weight[bucket], len(offsets) - 1)
+                counts[texts_here] += np.bincount(of, minlength=len(offsets) - 1)
+            again = np.bincount(repeated(pairs, owner), minlength=len(offsets) - 1)
+            if seen is not None:
+                slot = np.unique(pairs) >> np.uint64(64 - PAIR_BITS)
+                bit = np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8)
+                at = (slot >> np.uint64(3)).astype(np.int64)
+                again = again + int((seen[at] & bit != 0).sum())
+                np.bitwise_or.at(seen, at, bit)
+            sums[texts_here] += again * float(self.weight[REPEATED])
+            counts[texts_here] += again
+            before, tail = row + len(offsets) - 2, _tail(raw)
         return 1 / (1 + np.exp(-np.clip(sums / np.maximum(counts, 1) + self.bias, -60, 60)))
 
 
+def _tail(raw: np.ndarray) -> np.ndarray:
+    """The last word, what follows it, and three bytes at least."""
+    last = len(raw)
+    while last and not IS_WORD[raw[last - 1]]:
+        last -= 1
+    found = np.flatnonzero(~IS_WORD[raw[:last]])
+    begin = int(found[-1]) + 1 if len(found) else 0
+    return raw[max(min(begin, len(raw) - 3), 0) :].copy()
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, steps: int = 16_000, rate: float = 0.5) -> Model:
     """``steps`` of gradient descent over (buckets, counts, label) rows, in fixed random orders.
 
@@ -146,7 +216,7 @@ def score_quality(
     """``docs`` with score (0 to 1, the chance of label 1) and predicted (1 from 0.5 on).
 
     ``chosen`` says which rows of ``labels`` may be learned from; at most ``sample`` documents are.
-    All texts are scored whole. NULL and empty texts have no feature, so their score follows from
+    All texts are scored whole, in runs of bounded size. NULL and empty texts have no feature, so their score follows from
     the layer's bias alone. Repeated rows get the same score; columns named score and predicted
     are replaced. Without usable labels all scores are 0.5. Training runs while the plan is built.
     """
@@ -157,9 +227,7 @@ def score_quality(
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
-            batch = pa.RecordBatch.from_arrays([array], names=["text"])
-            parts = [shared.value.score(part.column(0)) for part in slices(iter([batch]), "text")]
-            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
+            yield pa.array(shared.value.score(array))
 
     scored = docs.withColumn("score", score(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

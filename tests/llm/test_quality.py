@@ -1,8 +1,11 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rosterlake.llm.quality import BUCKETS, REPEATED, features, score_quality, train
+from rosterlake.llm import quality
+from rosterlake.llm.quality import BUCKETS, REPEATED, Model, features, score_quality, train
 from rosterlake.llm.tables import in_fold, read_table
 
 
@@ -15,6 +18,34 @@ def test_features_belong_to_their_document():
     assert len(bags[0]) == 4 + 3 + 9 + 8 + 1
 
 
+def test_scores_are_means_over_all_features(monkeypatch):
+    """Against the plain mean of the features' weights, with runs of any size."""
+    random = np.random.default_rng(1)
+    names = ["ab", "cd", "été", "x" * 30, "a,b", "c"]
+    texts = [" ".join(random.choice(names, n)) + " \n" * (n % 3) for n in (0, 1, 2, 5, 40, 3000, 7, 900)] + [None, "", " ", "z" * 3000]
+    model = Model(random.normal(size=BUCKETS).astype(np.float32), 0.25)
+    bucket, owner = features(pa.array(texts))
+    sums, counts = np.bincount(owner, model.weight[bucket], len(texts)), np.bincount(owner, minlength=len(texts))
+    expected = 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + 0.25)))
+    for size in (64, 1000, 1 << 20):
+        monkeypatch.setattr(quality, "RUN_BYTES", size)
+        assert np.allclose(model.score(pa.array(texts)), expected, atol=1e-6), size
+
+
+def test_memory_does_not_follow_the_text():
+    """Eight times the text takes about as much memory."""
+    model, peaks = Model(np.zeros(BUCKETS, np.float32), 0.0), []
+    for size in (1 << 20, 8 << 20):
+        words = np.random.default_rng(1).integers(97, 123, size, dtype=np.uint8)
+        words[::6] = 32
+        text = pa.array([words.tobytes().decode()])
+        tracemalloc.start()
+        model.score(text)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0] and peaks[1] < 60 << 20
+
+
 def test_training_without_both_labels():
     assert train([]).score(pa.array(["a"])).tolist() == [0.5]
     one = (np.array([3]), np.array([1.0]), 1)
