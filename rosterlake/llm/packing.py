@@ -15,6 +15,7 @@ border, and the checksum of what follows a cut is computed from them.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -27,16 +28,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import written
-from .words import find_words, hash_spans, slices, text_bytes
+from .words import Words, find_words, hash_spans, slices, text_bytes
 
 BIN = 16  # tokens
-CACHED_WORDS = 1 << 20  # per worker process; the cache starts afresh beyond that
+CACHED_WORDS = 1 << 19  # per worker process; the cache starts afresh beyond that
+TOGETHER = 64  # words of letters that are encoded as one text
+# Fixed value: how a definition says that letters, single digits and other signs are parted.
+LETTERS_APART = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_SIGN = np.zeros(256, bool)  # ASCII signs but the apostrophe, which begins endings like 's
+_SIGN[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
 
 class WordEncoder:
     """Token ids of texts whose tokenizer never joins words over white space.
 
-    Each distinct word is encoded once, and its ids are looked up by the hash of its bytes.
+    Each distinct word is encoded once, and its ids are looked up by the hash of its bytes. Where
+    the definition parts letters from other signs, a word and the signs after it are two words.
     """
 
     def __init__(self, definition: str) -> None:
@@ -44,6 +53,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        stated = json.loads(definition)
+        normalizer = stated.get("normalizer") or {}
+        self.lower = any(n.get("type") == "Lowercase" for n in [normalizer, *normalizer.get("normalizers", [])])
+        self.apart = LETTERS_APART in json.dumps(stated.get("pre_tokenizer"))
+        suffix = stated["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -53,19 +71,57 @@ class WordEncoder:
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
         if len(self.hashes) + len(hashes) > CACHED_WORDS:
             self.clear()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
-        begin = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
+        letters = [i for i, w in enumerate(words) if w.isalpha()] if self.ends.any() else []
+        size, parts = np.zeros(len(words), np.int64), [None] * len(words)
+        for at, found in self._together(letters, words):
+            ends = np.flatnonzero(self.ends[found]) + 1
+            if len(ends) == len(at):  # one word each, as white space parts them
+                size[at] = np.diff(ends, prepend=0)
+                parts[at[0]] = found
+        single = [i for i, n in enumerate(size.tolist()) if not n]
+        for i, e in zip(single, self._encoded([words[i] for i in single]), strict=True):
+            size[i], parts[i] = len(e), e
+        # the ids of words that were encoded together are where the first of them is
+        order = np.array([i for i in letters if size[i]], np.int64)
+        known = np.zeros(len(words), bool)
+        known[order] = True
+        known[single] = False
+        order = np.concatenate([order[known[order]], np.array(single, np.int64)])
+        begin = np.empty(len(words), np.int64)
+        begin[order] = len(self.ids) + np.cumsum(size[order]) - size[order]
+        self.ids = np.concatenate([self.ids, *[parts[i] for i in order.tolist() if parts[i] is not None]])
         at = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, at, hashes)
         self.begin, self.size = np.insert(self.begin, at, begin), np.insert(self.size, at, size)
 
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(e.ids, np.uint32)
+
+    def _together(self, places: list[int], words: list[str]) -> Iterator[tuple[list[int], np.ndarray]]:
+        """Places of words and the ids of all of them, ``TOGETHER`` words at a time."""
+        groups = [places[i : i + TOGETHER] for i in range(0, len(places), TOGETHER)]
+        yield from zip(groups, self._encoded([" ".join([words[i] for i in g]) for g in groups]), strict=True)
+
+    def parted(self, words: Words) -> Words:
+        """The words, those that end with other ASCII signs after a letter or digit as two."""
+        if not len(words.starts):
+            return words
+        plain = np.where(_SIGN[words.data], -1, np.arange(len(words.data)))
+        head = np.maximum.accumulate(plain)[words.ends - 1] + 1
+        cut = (head > words.starts) & (head < words.ends)
+        cut[cut] = _ALNUM[words.data[head[cut] - 1]]
+        starts, ends = np.sort(np.concatenate([words.starts, head[cut]])), np.sort(np.concatenate([words.ends, head[cut]]))
+        return words._replace(starts=starts, ends=ends, first=np.searchsorted(starts, words.offsets))
+
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end``, and where each text's ids begin."""
         raw, _ = text_bytes(texts)
-        # words of either case have the same ids, but special tokens, which contain "<|", have not
-        words = find_words(texts, lower=b"<|" not in raw.tobytes())
+        special = b"<|" in raw.tobytes()
+        # words of either case may have the same ids, but special tokens, which contain "<|", have not
+        words = find_words(texts, lower=self.lower and not special)
+        if self.apart and not special:
+            words = self.parted(words)
         hashes, first, inverse = np.unique(
             hash_spans(words.data, words.starts, words.ends), return_index=True, return_inverse=True
         )
@@ -80,8 +136,9 @@ class WordEncoder:
             self.clear()
             new = unknown()
         if new.any():
-            spans = zip(words.starts[first[new]], words.ends[first[new]], strict=True)
-            self.learn(hashes[new], [raw[a:b].tobytes().decode() for a, b in spans])
+            spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)
+            text = raw.tobytes()
+            self.learn(hashes[new], [text[a:b].decode() for a, b in spans])
         place = np.searchsorted(self.hashes, hashes)[inverse]
         size, begin = self.size[place], self.begin[place]
         before = np.cumsum(size) - size

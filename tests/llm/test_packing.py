@@ -1,7 +1,9 @@
+import json
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +109,37 @@ def test_checksum_of_what_follows_a_cut(size, cut):
     runs = [ids[b : b + n] for b, n in zip(begin, length)]
     assert found.tolist() == [packing.crc(r[:i]) for r in runs for i in range(16, len(r), 16)]
     assert cells.sum() == len(found)
+
+
+def plain(definition, texts, end=2):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(definition)
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
+
+
+def encoded(definition, texts):
+    ids, first = packing.WordEncoder(definition).encode(pa.array(texts), 2)
+    return [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+
+
+ODD = ["it's, dogs' 'tis!?", "Ünïcode… İstanbul, ſt ½% a≮ é, x́.", "w1, 12.5% (a) [b]; c: d​. 한국어, ß», a_b_ --x--"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab1é,.'!<| \ńİ½", max_size=30), max_size=4))
+def test_ids_are_those_of_whole_texts(texts):
+    texts = [*texts, *ODD, None, ""]
+    assert encoded(word_tokenizer(), texts) == plain(word_tokenizer(), texts)
+
+
+def test_other_definitions():
+    """A definition that keeps capitals, and one that does not part letters from signs."""
+    stated = json.loads(word_tokenizer())
+    stated["normalizer"]["normalizers"].pop()
+    kept = json.dumps(stated)
+    stated["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+    joined = json.dumps(stated)
+    texts = ["Hello World, Hello; hello", *ODD, "a, b."]
+    for definition in (kept, joined):
+        assert encoded(definition, texts) == plain(definition, texts)
