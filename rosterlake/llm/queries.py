@@ -74,7 +74,8 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
-    found = archive_round_trip(read_table(spark, folder, "pages"))
+    # most pages are a few KB long: chunks of 8 KB give every tenth record several of them
+    found = archive_round_trip(read_table(spark, folder, "pages"), chunk=8 << 10)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

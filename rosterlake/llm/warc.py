@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.session import new_path
+from rosterlake.session import new_path, small_side
 
-CHUNK = 1 << 20  # bytes of a payload in a row
+CHUNK = 64 << 10  # bytes of a payload in a row, if not said otherwise
 BATCH = 4 << 20  # bytes of chunks that are handed over at once
 RECORD_FIELDS = "archive int, record bigint, chunk int, chunks int, data binary, payload_crc32 bigint"
 # Fixed values of the WARC format and of the messages in it.
@@ -46,11 +46,14 @@ def _header(fields: dict[str, str], length: int) -> bytes:
     return VERSION + lines.encode() + f"Content-Length: {length}\r\n\r\n".encode()
 
 
-def record_chunks(key: str | None, url: str, payload: memoryview, refers_to: str | None) -> Iterator[tuple[bytes, int]]:
-    """The bytes of one record in chunks, each with the payload's CRC up to its end."""
+def record_chunks(
+    key: str | None, url: str, payload: memoryview, refers_to: str | None, chunk: int = CHUNK
+) -> Iterator[tuple[bytes, int]]:
+    """The bytes of one record, with ``chunk`` bytes of the payload at a time, each with the
+    payload's CRC up to its end. The payload is hashed and copied in such pieces, never whole."""
     sha1 = hashlib.sha1()
-    for at in range(0, len(payload), CHUNK):
-        sha1.update(payload[at : at + CHUNK])
+    for at in range(0, len(payload), chunk):
+        sha1.update(payload[at : at + chunk])
     fields = {
         "WARC-Type": "response" if refers_to is None else "revisit",
         "WARC-Record-ID": _id(key or ""),
@@ -67,10 +70,10 @@ def record_chunks(key: str | None, url: str, payload: memoryview, refers_to: str
         payload = payload[:0]
     begin = _header(fields, len(HTTP) + len(payload)) + HTTP
     running = 0
-    for at in range(0, max(len(payload), 1), CHUNK):
-        part = payload[at : at + CHUNK]
+    for at in range(0, max(len(payload), 1), chunk):
+        part = payload[at : at + chunk]
         running = zlib.crc32(part, running)
-        last = at + CHUNK >= len(payload)
+        last = at + chunk >= len(payload)
         yield b"".join([begin if at == 0 else b"", part, b"\r\n\r\n" if last else b""]), running
 
 
@@ -80,6 +83,7 @@ class RecordReader:
     def __init__(self) -> None:
         self.kept = b""
         self.fields: dict[str, str] | None = None
+        self.crc = 0  # of the last record's payload so far
 
     def feed(self, data: bytes) -> Iterator[dict[str, str]]:
         """The fields of each record that ends in ``data``, with the payload's figures.
@@ -101,7 +105,7 @@ class RecordReader:
                     raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
                 self.fields = dict(line.split(": ", 1) for line in lines[1:])
                 self.left, self.http = int(self.fields["Content-Length"]), b""
-                self.sha1, self.size = hashlib.sha1(), 0
+                self.sha1, self.size, self.crc = hashlib.sha1(), 0, 0
                 self.body = self.fields["WARC-Type"] == "warcinfo"
                 view = view[end + 4 :]
                 continue
@@ -114,6 +118,7 @@ class RecordReader:
                     part, self.body = memoryview(self.http)[end + 4 :], True
             if self.body:
                 self.sha1.update(part)
+                self.crc = zlib.crc32(part, self.crc)
                 self.size += len(part)
             if self.left:
                 continue
@@ -135,9 +140,13 @@ class RecordReader:
         return fields | {"payload_bytes": size, "payload_digest": digest}
 
 
-def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> str:
+def write_archives(
+    pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, chunk: int = CHUNK
+) -> str:
     """Write one record per row to a new chunk table in shared storage and return its path.
 
+    A row of the table has at most ``chunk`` bytes of a payload.
+
     Of rows with equal payloads of at least ``least`` bytes the one with the largest key is a
     response, the others are revisits of it without a payload; rows that repeat that key are
     responses too. Smaller payloads are responses. A NULL payload is empty, a NULL key is
@@ -148,10 +157,10 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", pay
     body = F.coalesce(F.encode(F.col(payload).cast("string"), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col(key).alias("key"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), body.alias("body"))
     rows = rows.withColumns({"sha": F.sha1("body"), "size": F.octet_length("body")})
-    # copies are counted before anything is moved; only payloads that occur again are joined to
+    # copies are counted before anything is moved; if few payloads occur again, none is moved
     copies = rows.filter(F.col("size") >= least).groupBy("sha", "size").agg(F.count("*").alias("n"), F.max("key").alias("top"))
     copies = copies.filter((F.col("n") > 1) & F.col("top").isNotNull()).drop("n")
-    joined = rows.join(copies, ["sha", "size"], "left").select(
+    joined = rows.join(small_side(copies), ["sha", "size"], "left").select(
         F.col("key").cast("string").alias("key"),
         "url",
         "body",
@@ -175,12 +184,12 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", pay
                     about = b"format: WARC File Format 1.1\r\n"
                     fields = {"WARC-Type": "warcinfo", "WARC-Record-ID": _id(f"archive {part}"), "WARC-Date": "1970-01-01T00:00:00Z"}
                     head = _header(fields | {"Content-Type": "application/warc-fields"}, len(about))
-                    out.append((part, 0, 0, 1, head + about + b"\r\n\r\n", 0))
+                    out.append((part, 0, 0, 1, head + about + b"\r\n\r\n", zlib.crc32(about)))
                     record = 1
                 value = batch.column(2)[i].as_buffer()
                 view = memoryview(value) if value is not None else memoryview(b"")
-                count = 1 if targets[i] is not None else max(1, -(-len(view) // CHUNK))
-                for number, (data, running) in enumerate(record_chunks(keys[i], urls[i], view, targets[i])):
+                count = 1 if targets[i] is not None else max(1, -(-len(view) // chunk))
+                for number, (data, running) in enumerate(record_chunks(keys[i], urls[i], view, targets[i], chunk)):
                     out.append((part, record, number, count, data, running))
                     size += len(data)
                     if size >= BATCH:
@@ -200,7 +209,8 @@ def read_archives(spark: SparkSession, path: str, key_type: str = "bigint") -> D
     or without, information records aside.
 
     Records of one chunk are read where they lie. Those of several are brought together by
-    record and read in the order of their chunks, one chunk at a time.
+    record and read in the order of their chunks, one chunk at a time. Every chunk is held
+    against its checksum, every record against its digest and length.
     """
     names = ["key", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
@@ -210,12 +220,16 @@ def read_archives(spark: SparkSession, path: str, key_type: str = "bigint") -> D
         for batch in batches:
             found = []
             places = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            crcs = batch.column(3).to_pylist()
             for i, place in enumerate(places):
                 if place != now:
                     if reader.kept or reader.fields is not None:
                         raise ValueError(f"record {now} is not whole")
                     now = place
-                for fields in reader.feed(batch.column(2)[i].as_py()):
+                ended = list(reader.feed(batch.column(2)[i].as_py()))
+                if reader.crc != crcs[i]:
+                    raise ValueError(f"a chunk of record {place} differs from its checksum")
+                for fields in ended:
                     if fields["WARC-Type"] != "warcinfo":
                         key, target = (fields.get(f) for f in ("X-Key", "X-Refers-To-Key"))
                         found.append(
@@ -236,22 +250,25 @@ def read_archives(spark: SparkSession, path: str, key_type: str = "bigint") -> D
 
     schema = "key string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string"
     chunks = spark.read.schema(RECORD_FIELDS).parquet(path)
-    short = chunks.filter("chunks = 1").select("archive", "record", "data")
+    columns = ["archive", "record", "data", "payload_crc32"]
+    short = chunks.filter("chunks = 1").select(*columns)
     long = (
         chunks.filter("chunks > 1")
         .repartition("archive", "record")
         .sortWithinPartitions("archive", "record", "chunk")
-        .select("archive", "record", "data")
+        .select(*columns)
     )
     found = short.mapInArrow(run, schema).unionByName(long.mapInArrow(run, schema))
     return found.withColumn("key", F.col("key").cast(key_type)).withColumn("refers_to", F.col("refers_to").cast(key_type))
 
 
-def archive_round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> DataFrame:
+def archive_round_trip(
+    pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, chunk: int = CHUNK
+) -> DataFrame:
     """Write the rows to archives (see ``write_archives``) and read them back, one row per record.
 
     key, url, payload_bytes, payload_digest (bare upper-case base32 SHA-1 of the full payload),
     record_type, refers_to (the response's key for revisits). Other columns are not archived.
     """
     kind = pages.schema[key].dataType.simpleString()
-    return read_archives(pages.sparkSession, write_archives(pages, key, url, payload, least), kind).withColumnRenamed("key", key)
+    return read_archives(pages.sparkSession, write_archives(pages, key, url, payload, least, chunk), kind).withColumnRenamed("key", key)
