@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import kept, written
 from .words import Words, find_words, hash_spans, slices, text_bytes
 
 BIN = 16  # tokens
@@ -151,9 +151,6 @@ class WordEncoder:
         return out, sums[words.first] + np.arange(len(texts) + 1)
 
 
-_encoders: dict[int, WordEncoder] = {}
-
-
 def crc(ids: np.ndarray, running: int = 0) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes(), running)
 
@@ -234,14 +231,12 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
     token = hash(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _encoders:
-            _encoders.clear()
-            _encoders[token] = WordEncoder(shared.value)
+        encoder = kept(("tokenizer", token), lambda: WordEncoder(shared.value))
         part = TaskContext.get().partitionId()
         rows, full_before = 0, 0
         in_bin = np.zeros(-(-window // BIN) + 1, np.int64)
         for batch in slices(batches, "text"):
-            ids, first = _encoders[token].encode(batch.column(1), end)
+            ids, first = encoder.encode(batch.column(1), end)
             n = np.diff(first)
             full, tail = n // window, n % window
             bins = -(-tail // BIN)

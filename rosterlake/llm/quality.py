@@ -10,6 +10,7 @@ the vector's part in the difference of the two classes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import kept
 from .words import IS_WORD, byte_runs, find_words, slices, word_hashes, words_in
 
 BUCKETS = 1 << 18
@@ -223,11 +225,13 @@ def score_quality(
     spark = docs.sparkSession
     model = train_on(docs, labels, F.lit(True) if chosen is None else chosen, key, text, label, sample)
     shared = spark.sparkContext.broadcast(model)
+    token = ("quality", uuid.uuid4().hex)
 
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = kept(token, lambda: shared.value)
         for array in texts:
-            yield pa.array(shared.value.score(array))
+            yield pa.array(model.score(array))
 
     scored = docs.withColumn("score", score(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

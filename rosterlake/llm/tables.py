@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.session import local_scratch, new_path
 
+T = TypeVar("T")
+
+
+_kept: dict[object, object] = {}
+
+
+def kept(token: object, make: Callable[[], T]) -> T:
+    """What a worker process keeps for its next tasks: one thing at a time, so that a later
+    stage does not find the tables of an earlier one beside its own."""
+    if token not in _kept:
+        _kept.clear()
+        _kept[token] = make()
+    return _kept[token]
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

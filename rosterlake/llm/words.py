@@ -86,12 +86,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
             at = to
 
 
-def byte_runs(texts: pa.Array, size: int, stops: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def byte_runs(texts: pa.Array, size: int, stops: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The texts in runs of at most ``size`` bytes: first row, bytes, offsets of the run's rows.
 
     Short texts are taken whole, several at once. A longer one comes alone, in parts that end
     behind one of the bytes that ``stops`` marks, so that memory does not grow with its length;
-    only a stretch without such a byte can make a part longer.
+    only a stretch without such a byte can make a part longer. Without ``stops`` all parts but the
+    last have ``size`` bytes.
     """
     raw, offsets = text_bytes(texts)
     row = 0
@@ -104,7 +105,7 @@ def byte_runs(texts: pa.Array, size: int, stops: np.ndarray) -> Iterator[tuple[i
         begin, end = int(offsets[row]), int(offsets[row + 1])
         while begin < end:
             to = min(begin + size, end)
-            if to < end:
+            if to < end and stops is not None:
                 found = np.flatnonzero(stops[raw[begin:to]])
                 if len(found):
                     to = begin + int(found[-1]) + 1

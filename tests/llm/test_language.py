@@ -5,8 +5,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rosterlake.llm import language
-from rosterlake.llm.language import Model, identify_language, suffix_automaton
+from rosterlake.llm.language import Model, has_language, identify_language, suffix_automaton
 from rosterlake.llm.tables import in_fold, read_table
+from rosterlake.llm.words import text_bytes
 
 
 @settings(max_examples=60, deadline=None)
@@ -49,7 +50,7 @@ def test_phrases_are_longest_matches(monkeypatch):
     samples = [(name, bytes(random.choice(list(alphabet.encode()), 60))) for name, alphabet in (("a", "abc"), ("b", "bcd"))]
     model = Model(samples)
     texts = ["".join(random.choice(list("abcd"), size)) for size in (0, 1, 5, 16, 17, 50)]
-    found = model.phrases(pa.array(texts)) / model.bits[:, None] - 1
+    found = model.counts(*text_bytes(pa.array(texts)))
     for row, (_, sample) in zip(found, samples):
         for value, text in zip(row, texts):
             total = 0
@@ -70,6 +71,33 @@ def test_phrases_are_longest_matches(monkeypatch):
             assert (value == 0) == (total == 0)
 
 
+def test_long_texts_are_parsed_in_parts(monkeypatch):
+    model = Model([("a", b"the cat sat on the mat, a cat"), ("b", b"le chat est sur le tapis")])
+    texts = pa.array(["the cat " * 500, None, "", "le chat!! " * 300, "sur " * 2000])
+    whole = model.predict(texts)
+    monkeypatch.setattr(language, "RUN_BYTES", 2 * language.SEGMENT)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, model.predict(texts), strict=True))
+    assert whole[0][0] == "a" and whole[0][3] == whole[0][4] == "b" and whole[2].tolist()[:3] == [3000, 0, 0]
+
+
+def test_texts_without_a_language(spark):
+    """Codes and random letters are told from the languages of the table and from other prose."""
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    random = np.random.default_rng(3)
+
+    def letters(alphabet):
+        return "".join(random.choice(list(alphabet), 1500))
+
+    junk = [letters("0123456789abcdef "), letters("abcdefghijklmnopqrstuvwxyz "), letters("ABCDEFxyz0123456789+/"), "§ß¬" * 200]
+    prose = ["The quick brown fox jumps over the lazy dog and many other things of no interest to anybody. " * 2, "Ok"]
+    more = [(5000 + i, t) for i, t in enumerate(junk)] + [(6000 + i, t) for i, t in enumerate(prose)]
+    both = docs.unionByName(spark.createDataFrame(more, "doc_id bigint, text string"), True)
+    found = identify_language(both).select("doc_id", has_language().alias("kept")).collect()
+    gone = {r.doc_id for r in found if not r.kept}
+    assert {k for k in gone if k >= 5000} == {5000 + i for i in range(len(junk))}
+    assert {k for k in gone if k < 5000} <= {r.doc_id for r in docs.collect() if not any(c.isalpha() for c in r.text or "")}
+
+
 def test_held_out_accuracy(spark):
     docs = read_table(spark, "/root/testdata/sf0.01", "documents")
     found = identify_language(docs, ~in_fold(F.col("doc_id"), 4, 2)).filter(in_fold(F.col("doc_id"), 4, 2))
