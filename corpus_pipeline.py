@@ -7,26 +7,33 @@ from pyspark.sql import functions as F
 
 from rosterlake.llm.decontamination import without_items
 from rosterlake.llm.jaccard import near_duplicates
-from rosterlake.llm.language import UNKNOWN, identify_language
+from rosterlake.llm.language import has_language, identify_language
 from rosterlake.llm.packing import pack
 from rosterlake.llm.quality import score_quality
 from rosterlake.llm.queries import word_tokenizer
-from rosterlake.llm.tables import read_table, ship
+from rosterlake.llm.tables import read_table, ship, unused
 from rosterlake.session import materialize
 
 
+def _rows_beside(docs: DataFrame) -> tuple[DataFrame, str]:
+    """What the classifiers read, and the whole rows as one column that they do not touch."""
+    whole = unused("_row", docs.columns)
+    return docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)), whole
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled ones, takes for good."""
     ship(spark)
-    scored = score_quality(docs, read_table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 1").select(*docs.columns)
+    rows, whole = _rows_beside(docs)
+    return score_quality(rows, read_table(spark, sf_dir, "labels")).filter("predicted = 1").select(f"{whole}.*")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified: all but those without text or letters."""
+    """Documents in one of the learned languages: those without text or letters go, and those whose
+    parse needs a new phrase every other letter (see ``has_language``)."""
     ship(spark)
-    found = identify_language(docs)
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    rows, whole = _rows_beside(docs)
+    return identify_language(rows).filter(has_language()).select(f"{whole}.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +42,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows with the same id and text are one document.
     """
     ship(spark)
-    named = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("hash")))
-    kept = near_duplicates(named, "_key").filter(F.col("_key").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("_key").alias("_kept")).distinct()
-    joined = named.join(kept, F.col("_key").eqNullSafe(F.col("_kept")), "left_semi")
-    return joined.dropDuplicates(["_key"]).select(*docs.columns)
+    key = unused("_key", docs.columns)
+    named = docs.withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("hash")))
+    kept = near_duplicates(named.select(key, "text"), key).filter(F.col(key).eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col(key).alias("component_id")).distinct()
+    joined = named.join(kept, F.col(key).eqNullSafe(F.col("component_id")), "left_semi")
+    return joined.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
