@@ -41,6 +41,7 @@ def test_pipeline_stages(spark):
     more = [
         (None, "  \n", None, "x", 3), (9001, "12 34", None, "x", 5), (9002, None, "en", "x", None),
         (None, docs.first().text, "en", "x", 1), (9003, docs.first().text, "en", "x", 1), (9003, docs.first().text, "en", "x", 1),
+        (9004, " ".join(f"{i * 2654435761 % 2**32:08x}" for i in range(300)), "en", "x", 1),
     ]
     docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
     stages = dict(corpus_pipeline.STAGES)
@@ -55,8 +56,12 @@ def test_pipeline_stages(spark):
     assert sum(k in kept for k in bad) <= 0.1 * len(bad)
 
     spoken = stages["language ID"](spark, docs, FOLDER)
-    expected = [str(r) for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    expected = [str(r) for r in docs.collect() if any(c.isalpha() for c in r.text or "") and r.doc_id != 9004]
     assert sorted(str(r) for r in spoken.collect()) == sorted(expected)
+    clashing = docs.withColumns({"score": F.lit("s"), "letters": F.lit("l"), "_row": F.lit(1), "_key": F.lit(2), "predicted": F.lit(3)})
+    for name in ("quality classifier", "language ID", "n-gram Jaccard join"):
+        found = stages[name](spark, clashing, FOLDER)
+        assert found.columns == clashing.columns and found.filter("score <> 's' OR letters <> 'l' OR _row <> 1 OR _key <> 2").count() == 0
 
     rows = spoken.collect()
     single = stages["n-gram Jaccard join"](spark, spoken, FOLDER)
