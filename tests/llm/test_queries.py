@@ -41,7 +41,7 @@ def test_pipeline_stages(spark):
     more = [
         (None, "  \n", None, "x", 3), (9001, "12 34", None, "x", 5), (9002, None, "en", "x", None),
         (None, docs.first().text, "en", "x", 1), (9003, docs.first().text, "en", "x", 1), (9003, docs.first().text, "en", "x", 1),
-        (9004, " ".join(f"{i * 2654435761 % 2**32:08x}" for i in range(300)), "en", "x", 1),
+        (9004, " ".join(f"{i * 2654435761 % 2**32:08x}" for i in range(300)), None, "x", 1),
     ]
     docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
     stages = dict(corpus_pipeline.STAGES)
