@@ -1,8 +1,8 @@
 """Frequent phrases whose words belong together, counted by sorting suffixes.
 
-Every word occurrence is a suffix: the word and up to three that follow it in its piece. Words that
-are too rare for any phrase end the suffixes before them. Equal suffixes of a run of text
-are one pointer with a weight. Pointers are routed by their leading word (by two or three words
+Every word occurrence is a suffix: the word and up to three that follow it in its piece. Words and
+pairs of words that are too rare for any phrase are found first; suffixes end before them. Equal
+suffixes of a share of the text are one pointer with a weight. Pointers are routed by their leading word (by two or three words
 where the shorter beginning is hot), so all occurrences of a phrase meet in one shard. A shard
 sorts its pointers with multikey three-way quicksort, word by word: the weight of an equal
 partition is the count of the phrase so far, and a partition whose weight is below the least
@@ -14,7 +14,7 @@ that are returned are read from the texts in a last pass.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,8 @@ from .tables import partitions, written
 from .words import byte_runs, mix, word_hashes, words_in
 
 RUN_BYTES = 2 << 20  # text taken apart at once
-MERGED = 1 << 20  # distinct words that a task holds before it sends their counts
-FILTER_BITS = 25  # the filter of frequent words has 2^25 bits, 4 MB
+MERGED = 1 << 20  # words or pairs that a task holds before it sends their counts
+FILTER_BITS = 25  # the filters of frequent words and pairs have 2^25 bits, 4 MB
 SMALL = 2048  # partitions of so many pointers are sorted at once
 EVERY = 16  # every so many positions are counted to find hot beginnings (work only)
 _SEPARATES = np.zeros(256, bool)
@@ -60,17 +60,21 @@ class Tokens:
         self.linked = np.zeros(len(self.keys), bool)
         self.linked[:-1] = (document[1:] == document[:-1]) & (piece[1:] == piece[:-1])
 
-    def suffixes(self, longest: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word keys (0: none) of all suffixes with two frequent words or more, and their languages."""
-        follows = self.linked.copy()
-        follows[:-1] &= frequent[1:]
-        at = np.flatnonzero(frequent & follows)
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where a word is followed by another of its piece, and the keys of these pairs."""
+        at = np.flatnonzero(self.linked)
+        return at, phrase_key(np.stack([self.keys[at], self.keys[at + 1]], 1))
+
+    def suffixes(self, longest: int, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word keys (0: none) of all suffixes of two words or more, and their languages; a word
+        goes on to the next one where ``follows`` says so."""
+        at = np.flatnonzero(follows)
         columns = np.zeros((len(at), longest), np.uint64)
         runs = np.ones(len(at), bool)
         for k in range(longest):
             place = np.minimum(at + k, len(self.keys) - 1)
             columns[runs, k] = self.keys[place[runs]]
-            runs = runs & follows[place] & (at + k + 1 < len(self.keys))
+            runs = runs & follows[place]
         return columns, self.language[at]
 
 
@@ -175,35 +179,101 @@ def _shards_of(columns: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
     return (mix(route) % np.uint64(shards)).astype(np.int32)
 
 
+def _by_shard(routed: DataFrame, shards: int, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``run`` on all rows of each shard; shard i is partition i, so that none gets two of them."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            yield from run(pa.Table.from_batches(parts)).to_batches()
+
+    return routed.repartitionById(shards, "shard").mapInArrow(whole, schema)
+
+
+def _frequent_pairs(texts: DataFrame, shared, shards: int, least: int) -> DataFrame:
+    """key, n of the pairs of words that occur ``least`` times or more.
+
+    Only pairs of words that the filter takes for frequent are counted. Every task sends sorted keys
+    with counts, cut into the shards' ranges of keys.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def packed() -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+            begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            ends = np.append(begin[1:], len(keys))
+            parts = [[x[a:b].tobytes() for a, b in zip(begin, ends, strict=True)] for x in (keys, counts.astype(np.uint32))]
+            columns = [pa.array(shard[begin].astype(np.int32)), *[pa.array(p, pa.binary()) for p in parts]]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "counts"])
+
+        for tokens in _runs(batches):
+            at, keys = tokens.pairs()
+            often = _in_bitmap(shared.value, tokens.keys, FILTER_BITS)
+            keys = keys[often[at] & often[at + 1]]
+            if len(keys):
+                held.append(keys)
+            if sum(map(len, held)) > MERGED:
+                yield packed()
+        if held:
+            yield packed()
+
+    def add(table: pa.Table) -> pa.Table:
+        keys, counts = (np.concatenate([np.frombuffer(x, kind) for x in table.column(k).to_pylist()]) for k, kind in ((1, np.uint64), (2, np.uint32)))
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order].astype(np.int64)
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sums = np.add.reduceat(counts, begin)
+        return pa.table({"key": pa.array(keys[begin][sums >= least].view(np.int64)), "n": pa.array(sums[sums >= least])})
+
+    routed = texts.mapInArrow(run, "shard int, keys binary, counts binary")
+    return _by_shard(routed, shards, add, "key bigint, n bigint")
+
+
 def _routed(texts: DataFrame, shared, longest: int, shards: int) -> DataFrame:
-    """Packed pointers: per run and shard the words met, and rows of places in them with weights."""
+    """Packed pointers: for a share of the text and a shard the words met, their languages, and
+    rows of places in them with weights. A suffix ends before a pair that is not frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, hot = shared.value
-        for tokens in _runs(batches):
-            if not len(tokens.keys):
-                continue
-            columns, language = tokens.suffixes(longest, _in_bitmap(bitmap, tokens.keys, FILTER_BITS))
-            if not len(columns):
-                continue
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def packed() -> pa.RecordBatch:
+            columns, language = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             _, first, weight = np.unique(phrase_key(columns), return_index=True, return_counts=True)
             columns, language = columns[first], language[first]
             shard = _shards_of(columns, hot, shards)
             order = np.lexsort((columns[:, 0], shard))
             columns, language, weight, shard = columns[order], language[order], weight[order], shard[order]
             begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-            packed = []
+            rows = []
             for low, high in zip(begin, np.append(begin[1:], len(shard)), strict=True):
                 words, place = np.unique(columns[low:high], return_inverse=True)
-                of = np.zeros(len(words), np.int64)
                 place = place.reshape(-1, longest)
-                of[place[:, 0]] = language[low:high]  # every leading word has its language
+                names, number = np.unique(language[low:high], return_inverse=True)
+                of = np.zeros(len(words), np.uint32)
+                of[place[:, 0]] = number + 1  # every leading word has its language
                 kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
-                packed.append([x.tobytes() for x in (words, of, place.T.astype(kind), weight[low:high].astype(np.uint32))])
-            arrays = [pa.array(shard[begin])] + [pa.array(x, pa.binary()) for x in zip(*packed, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "words", "languages", "places", "weights"])
+                rows.append([x.tobytes() for x in (words, names, of, place.T.astype(kind), weight[low:high].astype(np.uint32))])
+            arrays = [pa.array(shard[begin])] + [pa.array(x, pa.binary()) for x in zip(*rows, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names=["shard", "words", "names", "languages", "places", "weights"])
+
+        for tokens in _runs(batches):
+            at, keys = tokens.pairs()
+            follows = np.zeros(len(tokens.keys), bool)
+            follows[at[_in_bitmap(bitmap, keys, FILTER_BITS)]] = True
+            if follows.any():
+                held.append(tokens.suffixes(longest, follows))
+            if sum(len(c) for c, _ in held) > MERGED // 2:
+                yield packed()
+        if held:
+            yield packed()
 
-    return texts.mapInArrow(run, "shard int, words binary, languages binary, places binary, weights binary")
+    return texts.mapInArrow(run, "shard int, words binary, names binary, languages binary, places binary, weights binary")
 
 
 def frequent_prefixes(columns: np.ndarray, weight: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -254,12 +324,14 @@ def frequent_prefixes(columns: np.ndarray, weight: np.ndarray, least: int) -> tu
 def _phrases_of(table: pa.Table, hot: np.ndarray, least: int, longest: int) -> pa.Table:
     """The frequent phrases of a shard, and the shard's part of the hot beginnings' counts."""
     parts = [[], [], [], []]
-    for words, languages, places, weights in zip(*[table.column(k).to_pylist() for k in (1, 2, 3, 4)], strict=True):
+    for row in range(table.num_rows):
+        words, names, languages, places, weights = (table.column(k)[row].as_py() for k in range(1, 6))
         weight = np.frombuffer(weights, np.uint32).astype(np.int64)
         words = np.frombuffer(words, np.uint64)
+        languages = np.concatenate([[0], np.frombuffer(names, np.int64)])[np.frombuffer(languages, np.uint32)]
         place = np.frombuffer(places, np.uint16 if len(words) <= 1 << 16 else np.uint32).reshape(longest, -1)
         parts[0].append(words)
-        parts[1].append(np.frombuffer(languages, np.int64))
+        parts[1].append(languages)
         parts[2].append(place)
         parts[3].append(weight)
     words, first, place = np.unique(np.concatenate(parts[0]), return_index=True, return_inverse=True)
@@ -373,7 +445,9 @@ def collocations(
     # of beginnings that take more than a quarter of a shard there are at most 4 per shard and length
     hot = counted.filter((F.col("kind") != _LANGUAGE) & (F.col("n") * 4 * shards > total)).select("key").collect()
     hot = np.sort(np.array([r["key"] for r in hot], np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast((_bitmap(words, FILTER_BITS), hot))
+    filter_ = spark.sparkContext.broadcast(_bitmap(words, FILTER_BITS))
+    pairs = materialize(_frequent_pairs(texts, filter_, shards, least), "pairs")
+    shared = spark.sparkContext.broadcast((_bitmap(pairs, FILTER_BITS), hot))
 
     def sort(table: pa.Table) -> pa.Table:
         return _phrases_of(table, shared.value[1], least, longest)
@@ -382,7 +456,7 @@ def collocations(
         "language bigint, key bigint, a bigint, part boolean, words array<bigint>, lefts array<bigint>, "
         "rights array<bigint>, inner array<bigint>"
     )
-    sorted_ = written(_routed(texts, shared, longest, shards).groupBy("shard").applyInArrow(sort, schema), "phrases")
+    sorted_ = written(_by_shard(_routed(texts, shared, longest, shards), shards, sort, schema), "phrases")
     split = (
         sorted_.filter("part")
         .groupBy("key")
