@@ -15,9 +15,11 @@ from rosterlake.operators.ordered import assign_keys
 from rosterlake.plans import monitoring, views
 from rosterlake.session import new_path
 from rosterlake.sources import adapter
+from rosterlake.sources.ledger import KeyLedger
 from rosterlake.sources.loading import Tables
+from rosterlake.sources.snapshots import BucketedSnapshot
 from rosterlake.sources.schemas import FOREIGN_KEYS
-from rosterlake.streaming.validation import stream_validate_leave, stream_validate_payroll
+from rosterlake.streaming.validation import read_committed, stream_validate_leave, stream_validate_payroll
 
 from .sql import cents, div, num, q
 
@@ -83,7 +85,7 @@ def payroll_batch(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     ).drop("_priority")
 
 
-BATCH = """batch AS (SELECT payroll_id, payroll_date, gross_amount, emp_id, job_id, salary_id, payment_status,
+BATCH = """batch AS (SELECT payroll_id, payroll_date, gross_amount, emp_id, job_id, salary_id, leave_id, payment_status,
     CASE WHEN priority <> '1-URGENT' THEN deductions END AS deductions,
     CASE WHEN priority NOT IN ('1-URGENT', '5-LOW') THEN net_amount END AS net_amount FROM payroll),
     pay AS (SELECT emp_id, amount FROM employee e INNER JOIN salary_bonus s ON s.salary_id = e.salary_id),
@@ -92,7 +94,7 @@ BATCH = """batch AS (SELECT payroll_id, payroll_date, gross_amount, emp_id, job_
         FROM batch LEFT OUTER JOIN pay USING (emp_id))"""
 CHECKED = """payroll_id, payroll_date::VARCHAR AS payroll_date, gross_amount::DOUBLE AS gross_amount,
     deductions::DOUBLE AS deductions, net_amount::DOUBLE AS net_amount, emp_id, job_id, salary_id,
-    NULL::BIGINT AS leave_id, payment_status"""
+    leave_id, payment_status"""
 GAP = div(f"100 * abs({cents('gross_amount - expected')})", cents("expected"))
 WARNING = f"""'Payroll variance: ' || {num(f'({GAP})::DECIMAL(18,2)')} || '% (Expected: $' || {num('expected')}
     || ', Actual: $' || {num('gross_amount')} || ')'"""
@@ -230,9 +232,40 @@ def _deleted(table: str):
     return run
 
 
+def _deleted_staff(table: str):
+    def run(t: Tables) -> DataFrame:
+        """Key columns of a table after deleting employees: their leaves and pay rows go, too."""
+        rows = quality.delete_with_references(t, "employee", toxic(t))[table]
+        return rows.select(*[c for c in rows.columns if c.endswith("_id")])
+
+    return run
+
+
+def bad_leave(t: Tables) -> DataFrame:
+    """Leave rows of which some end before they start and some have a status out of the list."""
+    status = F.when(F.col("leave_id") % 13 != 0, F.col("status")).otherwise("MAYBE")
+    return leave_batch(t).withColumn("status", F.when(F.col("leave_id") % 4 != 0, status))
+
+
+def bad_payroll(t: Tables) -> DataFrame:
+    """Payroll rows that break each of the table's rules in some rows."""
+    key = F.col("payroll_id")
+    return t.payroll.withColumns(
+        {
+            "gross_amount": F.when(key % 7 == 0, -F.col("gross_amount")).otherwise(F.col("gross_amount")),
+            "deductions": F.when(key % 11 == 0, F.lit(-1)).when(key % 5 != 1, F.col("deductions")),
+            "payment_status": F.when(key % 5 == 0, "PROCESSING").when(key % 9 != 0, F.col("payment_status")),
+        }
+    )
+
+
+def _rule_counts(rows: DataFrame, table: str) -> DataFrame:
+    failed = F.array_join("failed_rules", ",").alias("failed")
+    return quality.with_failed_rules(rows, quality.checks_of(table)).groupBy(failed).agg(F.count("*").alias("n"))
+
+
 def _orphans(t: Tables) -> DataFrame:
-    keys = [k for k in FOREIGN_KEYS if k.child not in ("books", "book_orders")]
-    return quality.orphan_counts(t, keys)
+    return quality.orphan_counts(t, FOREIGN_KEYS)
 
 
 def _valid_and_rejected(table: str):
@@ -286,7 +319,7 @@ def _run_part(part: str):
     return run
 
 
-def _stream_payroll(part: str):
+def _stream_payroll(part: str, ids: bool = False):
     def run(t: Tables) -> DataFrame:
         spark = t.employee.sparkSession
         out = new_path(spark, "stream")
@@ -295,7 +328,8 @@ def _stream_payroll(part: str):
             adapter.payroll(arriving), t.employee, t.salary_bonus, out, new_path(spark, "progress"), PAY_DAY
         )
         query.awaitTermination()
-        return spark.read.parquet(f"{out}/{part}").drop("batch_id")
+        found = read_committed(spark, out, part).drop("batch_id")
+        return found.drop("audit_id") if part == "audit" and not ids else found
 
     return run
 
@@ -306,11 +340,38 @@ def _stream_leave(part: str):
         out = new_path(spark, "stream")
         arriving = spark.readStream.schema(t.raw_events.schema).parquet(f"{t.folder}/event[s].parquet")
         stream_validate_leave(leave_batch(t, arriving), out, new_path(spark, "progress")).awaitTermination()
-        return spark.read.parquet(f"{out}/{part}").drop("batch_id", "failed_rules")
+        return read_committed(spark, out, part).drop("batch_id", "failed_rules")
 
     return run
 
 
+def _stream_missing_net(t: Tables) -> DataFrame:
+    """Arriving rows without a net amount or deductions get what the batch job gives them."""
+    spark = t.employee.sparkSession
+    out = new_path(spark, "stream")
+    arriving = spark.readStream.schema(t.raw_orders.schema).parquet(f"{t.folder}/order[s].parquet")
+    stream_validate_payroll(
+        payroll_batch(t, arriving), t.employee, t.salary_bonus, out, new_path(spark, "progress"), PAY_DAY
+    ).awaitTermination()
+    return read_committed(spark, out, "accepted").drop("batch_id")
+
+
+def _ledger_keys(t: Tables) -> DataFrame:
+    """Keys of three batches of leaves; the second one is asked for twice."""
+    spark = t.employee.sparkSession
+    ledger = KeyLedger(spark, new_path(spark, "keys"))
+    parts = [t.leave.where(F.col("leave_id") % 3 == k).select("leave_id") for k in range(3)]
+    keyed = [ledger.assign(parts[k], ["leave_id"], "new_id", "leave", f"batch {k}") for k in (0, 1, 1, 2)]
+    return keyed[0].union(keyed[2]).union(keyed[3])
+
+
+def _bucketed(current: DataFrame, key: str, batch: DataFrame, apply) -> DataFrame:
+    """The rows after ``apply`` has changed the buckets of a stored snapshot that ``batch`` falls into."""
+    stored = BucketedSnapshot.create(current, new_path(current.sparkSession, "snapshot"), key, 16)
+    stored.change(batch, apply)
+    return stored.read()
+
+
 def asked(t: Tables) -> DataFrame:
     """Keys of employees, of which some are unknown."""
     return t.raw_documents.select((F.col("doc_id") * 3).alias("emp_id"))
@@ -354,6 +415,26 @@ CHECKS = {
         q("""SELECT salary_id, salary::DOUBLE AS amount, 'salary_positive' AS failed
             FROM salary_bonus INNER JOIN employees ON employee_id = salary_id WHERE salary <= 0"""),
     ),
+    "n04_check_leave": (lambda t: _rule_counts(bad_leave(t), "leave"), q("""
+        WITH bad AS (SELECT leave_start, leave_end - CASE WHEN leave_id % 8 = 1 THEN 9 ELSE 0 END AS leave_end,
+            CASE WHEN leave_id % 4 = 0 THEN NULL WHEN leave_id % 13 = 0 THEN 'MAYBE' ELSE status END AS status FROM leave)
+        SELECT concat_ws(',', CASE WHEN status NOT IN ('PENDING', 'APPROVED', 'REJECTED') THEN 'leave_status' END,
+            CASE WHEN leave_end < leave_start THEN 'leave_dates' END) AS failed, count(*) AS n FROM bad GROUP BY 1""")),
+    "n04_rejected_leave": (
+        lambda t: quality.check_rows(bad_leave(t), quality.checks_of("leave"))[1].select("leave_id", "status"),
+        q("""WITH bad AS (SELECT leave_id, leave_start, leave_end - CASE WHEN leave_id % 8 = 1 THEN 9 ELSE 0 END AS leave_end,
+            CASE WHEN leave_id % 4 = 0 THEN NULL WHEN leave_id % 13 = 0 THEN 'MAYBE' ELSE status END AS status FROM leave)
+            SELECT leave_id, status FROM bad WHERE status = 'MAYBE' OR leave_end < leave_start"""),
+    ),
+    "n04_check_payroll": (lambda t: _rule_counts(bad_payroll(t), "payroll"), q("""
+        WITH bad AS (SELECT CASE WHEN payroll_id % 7 = 0 THEN -gross_amount ELSE gross_amount END AS gross,
+            CASE WHEN payroll_id % 11 = 0 THEN -1 WHEN payroll_id % 5 <> 1 THEN deductions END AS ded,
+            CASE WHEN payroll_id % 5 = 0 THEN 'PROCESSING' WHEN payroll_id % 9 <> 0 THEN payment_status END AS status
+            FROM payroll)
+        SELECT concat_ws(',', CASE WHEN gross <= 0 THEN 'payroll_gross' END,
+            CASE WHEN ded < 0 THEN 'payroll_deductions' END,
+            CASE WHEN status NOT IN ('PENDING', 'PROCESSED', 'PAID') THEN 'payroll_status' END) AS failed,
+            count(*) AS n FROM bad GROUP BY 1""")),
     "n05_not_null_violations": (
         lambda t: quality.not_null_violations(t.employee, ["gender", "email", "job_id"]).select(
             "emp_id", F.array_join("failed_rules", ",").alias("failed")
@@ -387,7 +468,12 @@ CHECKS = {
             WHERE emp_id NOT IN (SELECT emp_id FROM employee))
         UNION ALL SELECT 'payroll', 'emp_id', (SELECT count(*) FROM payroll
             WHERE emp_id NOT IN (SELECT emp_id FROM employee))
-        UNION ALL SELECT 'payroll', 'leave_id', 0 -- NULL in all rows of the view
+        UNION ALL SELECT 'payroll', 'leave_id', (SELECT count(*) FROM payroll
+            WHERE leave_id NOT IN (SELECT leave_id FROM leave))
+        UNION ALL SELECT 'books', 'author_id', (SELECT count(*) FROM books
+            WHERE author_id NOT IN (SELECT author_id FROM authors))
+        UNION ALL SELECT 'book_orders', 'book_id', (SELECT count(*) FROM book_orders
+            WHERE book_id NOT IN (SELECT book_id FROM books))
         UNION ALL SELECT 'payroll', 'job_id', (SELECT count(*) FROM payroll
             WHERE job_id NOT IN (SELECT job_id FROM job_department))
         UNION ALL SELECT 'payroll', 'salary_id', (SELECT count(*) FROM payroll
@@ -411,8 +497,14 @@ CHECKS = {
     "n09_deleted_departments_payroll": (_deleted("payroll"), q("""
         SELECT payroll_id, emp_id, CASE WHEN job_id > 4 THEN job_id END AS job_id,
             CASE WHEN salary_id NOT IN (SELECT salary_id FROM salary_bonus WHERE job_id <= 4) THEN salary_id END AS salary_id,
-            NULL::BIGINT AS leave_id
+            leave_id
         FROM payroll""")),
+    "n09_deleted_staff_payroll": (_deleted_staff("payroll"), q(f"""
+        SELECT payroll_id, emp_id, job_id, salary_id,
+            CASE WHEN leave_id NOT IN (SELECT leave_id FROM leave WHERE emp_id IN {GONE}) THEN leave_id END AS leave_id
+        FROM payroll WHERE emp_id NOT IN {GONE}""")),
+    "n09_deleted_staff_leave": (_deleted_staff("leave"), q(f"""
+        SELECT leave_id, emp_id FROM leave WHERE emp_id NOT IN {GONE}""")),
     "n10_assign_keys": (
         lambda t: assign_keys(t.leave.select("leave_id", "leave_start"), ["-leave_start", "leave_id"], "new_id", 3000)
         .drop("leave_start"),
@@ -438,6 +530,21 @@ CHECKS = {
             SELECT salary_id, coalesce(latest, amount)::DOUBLE AS amount, job_id
             FROM salary_bonus LEFT OUTER JOIN raises USING (salary_id)"""),
     ),
+    "n10_ledger_keys": (_ledger_keys, q("""
+        SELECT leave_id, 2999 + row_number() OVER (ORDER BY leave_id % 3, leave_id) AS new_id FROM leave""")),
+    "d01_bucketed_updates": (
+        lambda t: _bucketed(
+            t.salary_bonus.select("salary_id", "amount", "job_id"),
+            "salary_id",
+            raises(t).withColumnRenamed("new_amount", "amount"),
+            lambda rows, batch: changes.apply_updates(rows, batch, "salary_id", ["amount"], STEP[:-1]),
+        ),
+        q("""WITH raises AS (SELECT l_partkey AS salary_id, arg_max(((round(l_extendedprice * 100)::BIGINT % 20000
+                + 85000)::DOUBLE / 100)::DECIMAL(12,2), (l_shipdate, l_orderkey, l_linenumber, l_suppkey)) AS latest
+            FROM lineitem GROUP BY 1)
+            SELECT salary_id, coalesce(latest, amount)::DOUBLE AS amount, job_id
+            FROM salary_bonus LEFT OUTER JOIN raises USING (salary_id)"""),
+    ),
     "d02_guard_audit": (lambda t: _guarded(t).audit, q(f"""
         WITH {RAISES} SELECT salary_id, old_amount::DOUBLE AS old_amount, new_amount::DOUBLE AS new_amount,
             (new_amount - old_amount)::DOUBLE AS change_amount, '{ADMIN}' AS changed_by, '{DAY}' AS changed_date,
@@ -539,6 +646,14 @@ CHECKS = {
             FROM employee LEFT OUTER JOIN (SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) AS priority,
                 max(o_orderkey) AS newest FROM orders GROUP BY 1) ON o_custkey = emp_id"""),
     ),
+    "d06_bucketed_directory": (
+        lambda t: _bucketed(t.employee, "emp_id", contacts(t), changes.update_directory).drop("hire_date", "age", "gender"),
+        q("""SELECT emp_id, coalesce(s_name, first_name) AS first_name,
+            CASE WHEN s_suppkey IS NULL THEN last_name ELSE 'Renamed' END AS last_name,
+            CASE WHEN s_suppkey IS NULL THEN email END AS email,
+            CASE WHEN s_suppkey IS NULL THEN phone ELSE '555-9999' END AS phone, job_id, salary_id
+            FROM employee LEFT OUTER JOIN supplier ON s_suppkey = emp_id"""),
+    ),
     "d07_payroll_notices": (
         lambda t: changes.payroll_notices(t.payroll, t.employee),
         q(f"""SELECT payroll_id, emp_id, 'Notification: Payroll processed for ' || first_name || ' ' || last_name
@@ -576,6 +691,14 @@ CHECKS = {
             CASE WHEN verdict <> 'MAYBE' THEN approver ELSE approved_by END AS approved_by
             FROM leave LEFT OUTER JOIN decisions USING (leave_id)"""),
     ),
+    "d10_bucketed_decisions": (
+        lambda t: _bucketed(
+            t.leave, "leave_id", decisions(t), lambda rows, batch: changes.decide_leave(rows, batch).rows
+        ).select("leave_id", "status", "approved_by"),
+        q(f"""WITH {DECISIONS} SELECT leave_id, CASE WHEN verdict <> 'MAYBE' THEN verdict ELSE status END AS status,
+            CASE WHEN verdict <> 'MAYBE' THEN approver ELSE approved_by END AS approved_by
+            FROM leave LEFT OUTER JOIN decisions USING (leave_id)"""),
+    ),
     "d10_rejected": (
         lambda t: changes.decide_leave(t.leave, decisions(t)).rejected.select("leave_id", "reject_code"),
         q(f"""WITH {DECISIONS} SELECT leave_id, CASE verdict WHEN 'MAYBE' THEN '-20020' ELSE 'LEAVE_NOT_FOUND' END
@@ -672,6 +795,17 @@ CHECKS = {
             FROM payroll INNER JOIN job_department USING (job_id) WHERE payroll_date >= DATE '2000-07-01'
             GROUP BY 1, 2"""),
     ),
+    "v08_refreshed_department_summary": (
+        lambda t: _refreshed(views.department_summary)(t).select(
+            "job_id", "dept_name", "headcount", "total_salary_budget", "total_payroll_records", "last_refreshed"
+        ),
+        q(f"""WITH per AS (SELECT e.job_id, count(*) AS headcount, sum(amount) AS budget, count(payroll_id) AS records
+            FROM employee e LEFT OUTER JOIN salary_bonus s ON s.salary_id = e.salary_id
+            LEFT OUTER JOIN payroll p ON p.emp_id = e.emp_id GROUP BY 1)
+            SELECT d.job_id, dept_name, coalesce(headcount, 0) AS headcount, budget::DOUBLE AS total_salary_budget,
+            coalesce(records, 0) AS total_payroll_records, '{PAY_DAY}' AS last_refreshed
+            FROM job_department d LEFT OUTER JOIN per ON per.job_id = d.job_id"""),
+    ),
     "v08_refreshed_leave_statistics": (
         lambda t: _refreshed(views.leave_statistics)(t).select("dept_name", "total_leave_requests"),
         q("""SELECT dept_name, count(*) AS total_leave_requests
@@ -710,6 +844,16 @@ CHECKS = {
             2 * count(*) AS payroll_records FROM payroll INNER JOIN job_department USING (job_id)
             WHERE payroll_date >= DATE '2000-07-01' GROUP BY 1, 2"""),
     ),
+    "v11_run_checks": (
+        lambda t: _run_part("checks")(t),
+        q(f"""SELECT *, missing + warnings AS records_affected, CASE WHEN missing > 0 THEN 'FAILED'
+            WHEN warnings > 0 THEN 'WARNING' ELSE 'SUCCESS' END AS status
+            FROM (SELECT (SELECT count(*) FROM employee WHERE emp_id NOT IN (SELECT emp_id FROM payroll
+                WHERE payroll_date BETWEEN DATE '2001-07-01' AND DATE '2001-07-31')) AS missing,
+            (SELECT 2 * count(*) FROM payroll p INNER JOIN employee e USING (emp_id)
+                INNER JOIN salary_bonus s ON s.salary_id = e.salary_id WHERE payroll_date = DATE '{PAY_DAY}'
+                AND abs(gross_amount - amount) * 2 > amount) AS warnings)"""),
+    ),
     "au01_audit_counts": (_audit_counts, q(f"""
         WITH {RAISES}, {BATCH}
         SELECT 'Salary Changes' AS audit_type, (SELECT count(*) FROM met WHERE new_amount > old_amount) AS total
@@ -722,6 +866,13 @@ CHECKS = {
             INNER JOIN employee e USING (emp_id) INNER JOIN salary_bonus s ON s.salary_id = e.salary_id)
         SELECT payroll_id, emp_id, 'VARIANCE_WARNING' AS audit_type, {WARNING} AS message, '{PAY_DAY}' AS audit_date
         FROM checked WHERE 5 * abs(gross_amount - expected) > expected""")),
+    "t01_stream_audit_ids": (
+        lambda t: _stream_payroll("audit", ids=True)(t).select("audit_id", "payroll_id"),
+        q("""SELECT row_number() OVER (ORDER BY payroll_id) AS audit_id, payroll_id FROM payroll p
+            INNER JOIN employee e USING (emp_id) INNER JOIN salary_bonus s ON s.salary_id = e.salary_id
+            WHERE 5 * abs(gross_amount - amount) > amount"""),
+    ),
+    "t01_stream_missing_net": (_stream_missing_net, q(f"WITH {BATCH} SELECT {CHECKED} FROM checked")),
     "t02_stream_leave": (_stream_leave("accepted"), q(f"""
         WITH {LEAVES} SELECT {LEAVE_COLUMNS} FROM arrived WHERE leave_end IS NULL OR leave_end >= leave_start""")),
     "t02_stream_leave_rejected": (_stream_leave("rejected"), q(f"""

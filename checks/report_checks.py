@@ -382,11 +382,9 @@ CHECKS = {
         SELECT * FROM (SELECT job_id, emp_id, {NAME} AS employee_name, amount::DOUBLE AS amount,
             rank() OVER (PARTITION BY job_id ORDER BY amount DESC) AS rank_no FROM {PAID}) WHERE rank_no <= 5""")),
     "bk01_bookstore_counts": (
-        lambda t: row_count_inventory(
-            {"AUTHORS": t.raw_supplier, "BOOKS": t.raw_part, "ORDERS": t.raw_orders}
-        ),
-        """SELECT 'AUTHORS' AS tbl, (SELECT count(*) FROM supplier) AS total UNION ALL
-        SELECT 'BOOKS', (SELECT count(*) FROM part) UNION ALL SELECT 'ORDERS', (SELECT count(*) FROM orders)""",
+        lambda t: row_count_inventory({"AUTHORS": t.authors, "BOOKS": t.books, "ORDERS": t.book_orders}),
+        q("""SELECT 'AUTHORS' AS tbl, (SELECT count(*) FROM authors) AS total UNION ALL
+        SELECT 'BOOKS', (SELECT count(*) FROM books) UNION ALL SELECT 'ORDERS', (SELECT count(*) FROM book_orders)"""),
     ),
     "au02_approved_from": (lambda t: monitoring.approved_from(t, LEAVE_DAY), q(f"""
         SELECT count(*) AS upcoming_approved FROM leave

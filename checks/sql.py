@@ -27,6 +27,7 @@ VIEWS = {
     "payroll": """SELECT o_orderkey AS payroll_id, o_orderdate::DATE AS payroll_date, g AS gross_amount,
         ded AS deductions, (g - ded)::DECIMAL(12,2) AS net_amount, o_custkey AS emp_id,
         CASE WHEN o_custkey % 25 <> 24 THEN o_custkey % 25 END AS job_id, o_custkey AS salary_id,
+        CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS leave_id,
         CASE o_orderstatus WHEN 'O' THEN 'PENDING' WHEN 'F' THEN 'PROCESSED' ELSE 'PAID' END AS payment_status,
         o_orderpriority AS priority
         FROM (SELECT *, o_totalprice::DECIMAL(12,2) AS g,
@@ -64,6 +65,9 @@ VIEWS = {
     "project": "SELECT p_partkey AS pnumber, p_name AS pname, (p_size % 25)::BIGINT AS dno FROM part",
     "works_on": """SELECT l_suppkey AS essn, l_partkey AS pno, l_quantity::DECIMAL(4,1) AS hours
         FROM lineitem""",
+    "authors": "SELECT s_suppkey AS author_id, s_name AS first_name FROM supplier",
+    "books": "SELECT p_partkey AS book_id, p_name AS title, p_partkey // 10 AS author_id FROM part",
+    "book_orders": "SELECT o_orderkey AS order_id, o_custkey AS book_id FROM orders",
     "dependent": """SELECT doc_id AS essn, 'Dependent ' || doc_id AS dependent_name,
         CASE WHEN toxic = 0 THEN CASE quality WHEN 1 THEN 'Child' ELSE 'Spouse' END END AS relationship
         FROM labels""",

@@ -72,12 +72,15 @@ def apply_updates(
     return current.join(new, key, "left").withColumns(updated).select(*current.columns)
 
 
-def audit_rows(rows: DataFrame, table: str, order_by: Sequence[str], log: DataFrame | None = None) -> DataFrame:
-    """Audit rows as the log declares them, with ids that follow those of ``log`` in the given order.
+def audit_rows(
+    rows: DataFrame, table: str, order_by: Sequence[str], log: DataFrame | None = None, first: int | None = None
+) -> DataFrame:
+    """Audit rows as the log declares them, with ids in the given order, which must be unique.
 
-    ``order_by`` must be unique. Without a log the ids begin at the declared start.
+    The ids follow those of ``log``, or begin at ``first``, a key that a ledger has reserved for
+    as many rows (see ``sources.ledger``). Without either they begin at the declared start.
     """
-    start: int | Column = KEY_START[table]
+    start: int | Column = KEY_START[table] if first is None else first
     if log is not None:
         start = log.agg((F.coalesce(F.max("audit_id"), F.lit(start - 1)) + 1).alias("k")).scalar()
     return conform(assign_keys(rows, order_by, "audit_id", start), declared_schema(table))

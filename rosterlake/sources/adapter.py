@@ -76,7 +76,7 @@ def payroll_columns() -> list[Column]:
         F.col("o_custkey").alias("emp_id"),
         _when_not(job == 24, job).alias("job_id"),
         F.col("o_custkey").alias("salary_id"),
-        F.lit(None).cast("bigint").alias("leave_id"),
+        _when_not(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("leave_id"),
         F.when(status == "O", "PENDING").when(status == "F", "PROCESSED").otherwise("PAID").alias(
             "payment_status"
         ),
@@ -235,6 +235,38 @@ def dependent(labels: DataFrame) -> DataFrame:
     )
 
 
+def authors(supplier: DataFrame) -> DataFrame:
+    return supplier.select(
+        F.col("s_suppkey").alias("author_id"),
+        F.col("s_name").alias("first_name"),
+        F.concat(F.lit("Writer "), F.col("s_suppkey")).alias("last_name"),
+        F.col("s_nationkey").cast("string").alias("country"),
+        (1900 + F.col("s_suppkey") % 100).cast("int").alias("birth_year"),
+    )
+
+
+def books(part: DataFrame) -> DataFrame:
+    return part.select(
+        F.col("p_partkey").alias("book_id"),
+        F.col("p_name").alias("title"),
+        F.floor(F.col("p_partkey") / 10).cast("bigint").alias("author_id"),
+        F.col("p_retailprice").cast("decimal(8,2)").alias("price"),
+        F.col("p_type").alias("genre"),
+        (1950 + F.col("p_size")).cast("int").alias("publish_year"),
+    )
+
+
+def book_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("book_id"),
+        F.concat(F.lit("Reader "), F.col("o_custkey")).alias("customer_name"),
+        (1 + F.col("o_orderkey") % 9).cast("int").alias("quantity"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("total_price"),
+    )
+
+
 # view -> (benchmark table, mapping)
 _VIEWS = {
     "employee": ("customer", employee),
@@ -255,6 +287,9 @@ _VIEWS = {
     "project": ("part", project),
     "works_on": ("lineitem", works_on),
     "dependent": ("labels", dependent),
+    "authors": ("supplier", authors),
+    "books": ("part", books),
+    "book_orders": ("orders", book_orders),
 }
 
 # Columns of the benchmark tables; reading with a known schema opens no footers.

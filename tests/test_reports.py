@@ -6,7 +6,7 @@ from decimal import Decimal
 from rosterlake import labels
 from rosterlake.plans import matches, monitoring, nested, pay_summary, views
 from rosterlake.session import new_path
-from rosterlake.streaming.validation import stream_validate_leave, stream_validate_payroll
+from rosterlake.streaming.validation import read_committed, stream_validate_leave, stream_validate_payroll
 
 from .fixtures import AS_OF
 
@@ -192,16 +192,17 @@ def test_stream_of_payroll_files(spark, company):
 
     arrive(batch.where("emp_id <= 1005"))
     arrive(batch.where("emp_id > 1005"))
-    accepted = spark.read.parquet(f"{out}/accepted")
+    accepted = read_committed(spark, out, "accepted")
     assert accepted.count() == 14 and accepted.select("batch_id").distinct().count() == 2
     assert accepted.where("net_amount IS NULL").count() == 0
-    assert {r["emp_id"] for r in spark.read.parquet(f"{out}/audit").collect()} == {1000}
+    audit = read_committed(spark, out, "audit").collect()
+    assert {r["emp_id"] for r in audit} == {1000} and sorted(r["audit_id"] for r in audit) == list(range(1, len(audit) + 1))
     # nothing new arrives: nothing is stored again
     query = stream_validate_payroll(
         spark.readStream.schema(batch.schema).parquet(source), company.employee, company.salary_bonus, out, progress, AS_OF
     )
     query.awaitTermination()
-    assert spark.read.parquet(f"{out}/accepted").count() == 14
+    assert read_committed(spark, out, "accepted").count() == 14
 
 
 def test_stream_of_leave_files(spark, company):
@@ -212,6 +213,6 @@ def test_stream_of_leave_files(spark, company):
     ).write.parquet(source)
     stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     stream_validate_leave(stream, out, progress).awaitTermination()
-    accepted = spark.read.parquet(f"{out}/accepted")
+    accepted = read_committed(spark, out, "accepted")
     assert {r["status"] for r in accepted.collect()} == {"PENDING"} and accepted.count() == 3
-    assert [r["leave_id"] for r in spark.read.parquet(f"{out}/rejected").collect()] == [3001]
+    assert [r["leave_id"] for r in read_committed(spark, out, "rejected").collect()] == [3001]
