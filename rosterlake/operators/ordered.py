@@ -200,32 +200,114 @@ def _carry_over(
     return result
 
 
+def _runs_of(df: DataFrame, value: str, keys: Sequence[str], slices: int | None) -> DataFrame:
+    """The rows in slices of the order by group and value, largest first, written once.
+
+    Range partitions of the order, with a random last key that splits ties, are the slices. Added
+    are, as places in the slice: ``_place``, ``_group`` and ``_run`` (where the row's group and its
+    run of equal values begin there), ``_values`` (how many values of the group came so far in the
+    slice) and ``_last`` (the slice ends here).
+    """
+    order = [F.col(k).asc_nulls_last() for k in keys] + [F.col(value).desc_nulls_first(), F.col("_tie").asc()]
+    tied = df.withColumn("_tie", F.rand(17))
+    ranged = tied.repartitionByRange(*order) if slices is None else tied.repartitionByRange(slices, *order)
+    placed = ranged.sortWithinPartitions(*order).select(
+        *df.columns,
+        F.spark_partition_id().alias("_slice"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
+    )
+    here = Window.partitionBy("_slice").orderBy("_place")
+    so_far = here.rowsBetween(*_TO_CURRENT)
+    first = F.col("_place") == 0
+    new_group, new_value = first, ~F.lag(value).over(here).eqNullSafe(F.col(value))
+    for k in keys:
+        new_group = new_group | ~F.lag(k).over(here).eqNullSafe(F.col(k))
+    marked = placed.withColumns({"_g": new_group, "_v": new_group | new_value, "_last": F.lead("_place").over(here).isNull()})
+    counted = marked.withColumns(
+        {
+            "_group": F.max(F.when(F.col("_g"), F.col("_place"))).over(so_far),
+            "_run": F.max(F.when(F.col("_v"), F.col("_place"))).over(so_far),
+            "_seen": F.count_if("_v").over(so_far),
+        }
+    )
+    before = F.max(F.when(F.col("_g"), F.col("_seen"))).over(so_far)
+    return materialize(counted.withColumn("_values", F.col("_seen") - before + 1).drop("_g", "_v", "_seen"), "ranked")
+
+
+def _carried(runs: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """What the first group of each slice has in earlier ones: rows, values, rows of its first value.
+
+    Read from the first and last row of every slice, two small rows per range partition.
+    """
+    firsts = runs.where("_place = 0").select("_slice", *[F.col(k).alias(f"_first_{k}") for k in keys], F.col(value).alias("_first_value"))
+    lasts = runs.where("_last").select(
+        "_slice",
+        *[F.col(k).alias(f"_last_{k}") for k in keys],
+        F.col(value).alias("_last_value"),
+        (F.col("_place") - F.col("_group") + 1).alias("_tail"),
+        (F.col("_place") - F.col("_run") + 1).alias("_same"),
+        "_values",
+        (F.col("_group") == 0).alias("_single"),
+    )
+    along = Window.orderBy("_slice")
+    goes_on = F.lag("_slice").over(along).isNotNull()
+    for k in keys:
+        goes_on = goes_on & F.lag(f"_last_{k}").over(along).eqNullSafe(F.col(f"_first_{k}"))
+    equal = goes_on & F.lag("_last_value").over(along).eqNullSafe(F.col("_first_value"))
+    ends = firsts.join(lasts, "_slice").withColumns({"_goes_on": goes_on, "_equal": equal.cast("bigint")})
+    # a value that goes on from the slice before is not counted again
+    new_values = F.col("_values") - F.when(F.col("_single"), F.col("_equal")).otherwise(0)
+    group = [f"_last_{k}" for k in keys]
+    in_group = Window.partitionBy(*group).orderBy("_slice").rowsBetween(*_TO_CURRENT)
+    in_value = Window.partitionBy(*group, "_last_value").orderBy("_slice").rowsBetween(*_TO_CURRENT)
+    summed = ends.withColumns(
+        {
+            "_rows_to": F.sum("_tail").over(in_group),
+            "_values_to": F.sum(new_values).over(in_group),
+            "_same_to": F.sum("_same").over(in_value),
+        }
+    )
+
+    def carried(name: str, condition: Column) -> Column:
+        return F.when(condition, F.lag(name).over(along)).otherwise(0)
+
+    return summed.select(
+        "_slice",
+        carried("_rows_to", F.col("_goes_on")).alias("_rows_before"),
+        (carried("_values_to", F.col("_goes_on")) - F.col("_equal")).alias("_values_before"),
+        carried("_same_to", F.col("_equal") == 1).alias("_same_before"),
+    )
+
+
 def rank_rows(
     df: DataFrame,
     value: str,
     names: Mapping[str, str],
     partition_by: Sequence[str] = (),
     share: str | None = None,
-    block_rows: int = BLOCK_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ranks by a value, largest first; ``names`` maps rank / dense_rank to a column.
 
-    Ranks depend on the value only, so the values are counted first (a hot value becomes one
-    row), ranked, and joined back. ``share`` adds 100 * value / sum of the group from the
-    same counts.
+    Rows get their ranks where they lie in the order: within a slice of it from the places where
+    groups and values begin, and for the first group of a slice from the totals of the earlier
+    ones. A hot group or value covers many slices; nothing is joined by value. ``share`` adds
+    100 * value / sum of the group. ``slices`` sets the number of range partitions.
     """
     keys = list(partition_by)
-    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
-    frames = {"_dense": position(), "_upto": running_sum("_ties")}
-    ranked = over_order(counted, [f"-{value}"], frames, keys, block_rows)
-    made = {"dense_rank": F.col("_dense"), "rank": F.col("_upto") - F.col("_ties") + 1}
+    runs = _runs_of(df, value, keys, slices)
+    rows = runs.join(F.broadcast(_carried(runs, value, keys)), "_slice")
+    lead, run = F.col("_group") == 0, F.col("_run") == 0
+    inside = F.col("_run") - F.col("_group") + 1
+    made = {
+        "rank": F.when(lead, F.col("_rows_before") + F.when(run, 1 - F.col("_same_before")).otherwise(inside)).otherwise(inside),
+        "dense_rank": F.col("_values") + F.when(lead, F.col("_values_before")).otherwise(0),
+    }
     columns = {n: made[kind].cast("bigint") for kind, n in names.items()}
     if share is not None:
-        weighted = ranked.withColumn("_sum", F.col(value) * F.col("_ties"))
-        ranked = with_total(weighted, "_sum", "_total", keys)
+        rows = with_total(rows, value, "_total", keys)
         columns[share] = percent(value, "_total")
-    ranked = ranked.select(*keys, value, *[c.alias(n) for n, c in columns.items()])
-    return null_safe(df, small_side(ranked), [*keys, value])
+    return rows.select(*df.columns, *[c.alias(n) for n, c in columns.items()])
 
 
 def top_ranked(

@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, small_side
 from ..sources.schemas import FOREIGN_KEYS, ForeignKey
-from .joins import flag_existing, matching, without
+from .joins import flag_existing, matching, null_safe, without
 
 c = F.col
 
@@ -57,14 +58,43 @@ def extract_dimension(
     return dimension, df.drop(*dependents)
 
 
+def _broken(dependent: str) -> Column:
+    """Does a group have more than one value of a column? NULL counts as a value.
+
+    Smallest, largest and whether there is a NULL: figures that tasks combine before the shuffle.
+    """
+    value = F.col(dependent)
+    mixed = F.bool_or(value.isNull()) & F.bool_or(value.isNotNull())
+    return F.coalesce(F.min(value) != F.max(value), F.lit(False)) | mixed
+
+
 def fd_violations(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
-    """Determinant values with more than one dependent value; NULL counts as a value."""
-    has_null = F.max(F.col(dependent).isNull().cast("bigint"))
-    return (
-        df.groupBy(*determinant)
-        .agg((F.count_distinct(F.col(dependent)) + has_null).alias("distinct_values"))
-        .where(F.col("distinct_values") > 1)
-    )
+    """Determinant values with more than one dependent value; NULL counts as a value.
+
+    The determinants that break the dependency are found first, from figures of fixed size per
+    determinant; only their rows are then brought together by value.
+    """
+    keys = list(determinant)
+    broken = df.groupBy(*keys).agg(_broken(dependent).alias("_broken")).where("_broken").select(*keys)
+    values = null_safe(df.select(*keys, dependent), small_side(broken), keys, "left_semi").distinct()
+    return values.groupBy(*keys).agg(F.count("*").alias("distinct_values"))
+
+
+def dependency_report(df: DataFrame, dependencies: Mapping[Sequence[str], Sequence[str]]) -> DataFrame:
+    """(determinant, dependent, violations) for several dependencies.
+
+    ``dependencies`` maps determinant columns to the columns that should follow from them; the
+    table is read once for each determinant, whatever the number of its dependents.
+    """
+    parts = []
+    for determinant, dependents in dependencies.items():
+        groups = df.groupBy(*determinant).agg(*[_broken(d).alias(f"_broken_{i}") for i, d in enumerate(dependents)])
+        found = [
+            F.struct(F.lit(",".join(determinant)).alias("determinant"), F.lit(d).alias("dependent"), F.count_if(f"_broken_{i}").alias("violations"))
+            for i, d in enumerate(dependents)
+        ]
+        parts.append(groups.agg(F.array(*found).alias("found")).select(F.inline("found")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- row rules --------------------------------------------------------------------------
@@ -89,10 +119,17 @@ def not_null_violations(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once; keys with a NULL are exempt."""
+    """Key values that occur more than once; keys with a NULL are exempt.
+
+    Nearly all keys occur once, so only their 64-bit hashes are counted first; the keys of
+    hashes met again are then counted themselves, which makes the result exact.
+    """
+    names = list(columns)
+    keyed = df.select(*names).dropna().withColumn("_hash", F.xxhash64(*names))
+    again = keyed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
     return (
-        df.dropna(subset=list(columns))
-        .groupBy(*columns)
+        keyed.join(small_side(again), "_hash", "left_semi")
+        .groupBy(*names)
         .agg(F.count("*").alias("occurrences"))
         .where(F.col("occurrences") > 1)
     )
@@ -136,33 +173,103 @@ def set_null_on_delete(child: DataFrame, fk: str, deleted: DataFrame, key: str)
     return flagged.withColumn(fk, F.when(~F.col("_gone"), F.col(fk))).select(*child.columns)
 
 
+# Primary keys of the declared tables that no other table refers to.
 _PRIMARY_KEY = {k.parent: k.key for k in FOREIGN_KEYS} | {
     "qualification": "qual_id",
     "payroll": "payroll_id",
+    "book_orders": "order_id",
 }
-# parents come before their children
-_DELETE_ORDER = ("job_department", "salary_bonus", "employee", "qualification", "leave", "payroll")
 
 
-def delete_with_references(tables, table: str, keys: DataFrame) -> dict[str, DataFrame]:
-    """New snapshot of all declared tables after deleting keys of one of them.
+def delete_order(table: str, links: Sequence[ForeignKey]) -> list[list[str]]:
+    """Tables that a delete in ``table`` can reach, parents before children.
+
+    Tables that delete in each other in a ring, or in themselves, form one entry together.
+    """
+    children: dict[str, list[str]] = {}
+    for link in links:
+        children.setdefault(link.parent, []).append(link.child)
+
+    def reach(start: str) -> set[str]:
+        seen, todo = {start}, [start]
+        while todo:
+            for child in children.get(todo.pop(), []):
+                if child not in seen:
+                    seen.add(child)
+                    todo.append(child)
+        return seen
+
+    reached = {t: reach(t) for t in reach(table)}
+    rings = {frozenset(u for u in reached if u in reached[t] and t in reached[u]) for t in reached}
+    # a ring that reaches another one reaches more tables than it
+    return [sorted(ring) for ring in sorted(rings, key=lambda ring: (-len(reached[min(ring)]), min(ring)))]
+
+
+def _deleted_keys(tables, ring: Sequence[str], links: Sequence[ForeignKey], primary: Mapping[str, str], gone: dict[str, DataFrame]) -> None:
+    """Add to ``gone`` the keys that cascading deletes remove in the tables of a ring.
+
+    What earlier tables delete comes first. Within the ring, the keys found last are followed
+    until there are none; each round is written, and reads only rows of children of its keys.
+    """
 
-    Cascading deletes are passed on parent-first, references are set to NULL after them.
+    def lost(link: ForeignKey, parents: DataFrame) -> DataFrame:
+        key = primary[link.child]
+        found = matching(tables[link.child].select(*{key, link.column}), parents, link.column, primary[link.parent])
+        return found.select(F.col(key))
+
+    found: dict[str, DataFrame] = {t: gone[t] for t in ring if t in gone}
+    for link in links:
+        if link.child in ring and link.parent not in ring and link.parent in gone:
+            more = lost(link, gone[link.parent])
+            found[link.child] = found[link.child].union(more) if link.child in found else more
+    inner = [k for k in links if k.child in ring and k.parent in ring]
+    if not inner:
+        gone |= found
+        return
+    gone |= {t: materialize(keys.distinct(), "deleted") for t, keys in found.items()}
+    last = {t: gone[t] for t in found}
+    while last:
+        new: dict[str, DataFrame] = {}
+        for link in inner:
+            if link.parent in last:
+                more = lost(link, last[link.parent])
+                new[link.child] = new[link.child].union(more) if link.child in new else more
+        last = {}
+        for child, keys in new.items():
+            fresh = keys.distinct() if child not in gone else without(keys.distinct(), gone[child], primary[child])
+            fresh = materialize(fresh, "deleted")
+            if not fresh.isEmpty():
+                last[child] = fresh
+                gone[child] = gone[child].union(fresh) if child in gone else fresh
+
+
+def delete_with_references(
+    tables,
+    table: str,
+    keys: DataFrame,
+    foreign_keys: Sequence[ForeignKey] = FOREIGN_KEYS,
+    primary_keys: Mapping[str, str] = _PRIMARY_KEY,
+) -> dict[str, DataFrame]:
+    """New snapshots of ``table`` and of all tables that refer to it, directly or not, after
+    deleting keys.
+
+    The order follows from ``foreign_keys``: cascading deletes are passed on from parents to
+    children, in rings (a table that refers to itself, say) until no further key is
+    found; then references to deleted keys are set to NULL. Children of other keys restrict
+    nothing here: see ``orphan_rows``.
     """
-    snapshot = {name: tables[name] for name in _DELETE_ORDER}
-    gone = {table: keys.select(_PRIMARY_KEY[table])}
-    snapshot[table] = without(snapshot[table], keys, _PRIMARY_KEY[table])
-    for child in _DELETE_ORDER[_DELETE_ORDER.index(table) + 1 :]:
-        links = [k for k in FOREIGN_KEYS if k.child == child and k.parent in gone]
-        for link in (k for k in links if k.on_delete == "cascade"):
-            key = _PRIMARY_KEY[child]
-            lost = matching(snapshot[child], gone[link.parent], link.column, link.key).select(key)
-            gone[child] = gone[child].union(lost) if child in gone else lost
-            snapshot[child] = cascade_delete(
-                snapshot[child], link.column, gone[link.parent], link.key
-            )
-        for link in (k for k in links if k.on_delete == "set null"):
-            snapshot[child] = set_null_on_delete(
-                snapshot[child], link.column, gone[link.parent], link.key
-            )
+    cascading = [k for k in foreign_keys if k.on_delete == "cascade"]
+    gone = {table: keys.select(F.col(primary_keys[table]))}
+    for ring in delete_order(table, cascading):
+        _deleted_keys(tables, ring, cascading, primary_keys, gone)
+    touched = {k.child for k in foreign_keys if k.parent in gone and k.on_delete != "restrict"} | set(gone)
+    snapshot = {}
+    for name in sorted(touched):
+        rows = tables[name]
+        if name in gone:
+            rows = without(rows, gone[name], primary_keys[name])
+        for link in foreign_keys:
+            if link.child == name and link.parent in gone and link.on_delete == "set null":
+                rows = set_null_on_delete(rows, link.column, gone[link.parent], primary_keys[link.parent])
+        snapshot[name] = rows
     return snapshot

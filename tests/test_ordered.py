@@ -124,6 +124,24 @@ def test_ranks_with_ties_and_nulls(many_slices, grouped):
     assert {x["id"]: (x["r"], x["d"]) for x in got.collect()} == ranks(rows, grouped)
 
 
+@pytest.mark.parametrize("slices", [1, 7, 60])
+@pytest.mark.parametrize("grouped", [False, True])
+def test_ranks_over_many_slices(many_slices, grouped, slices):
+    """Groups and values that cover several slices, slices of one row, and empty ones."""
+    rows = [("hot", Decimal(5), i) for i in range(60)] + [("hot", Decimal(i % 3), 100 + i) for i in range(30)]
+    rows += [(None, None, 200 + i) for i in range(20)] + [("z", Decimal(i), 300 + i) for i in range(25)]
+    df = many_slices.createDataFrame(rows, SCHEMA)
+    got = o.rank_rows(df, "val", {"rank": "r", "dense_rank": "d"}, ["grp"] if grouped else [], slices=slices)
+    assert {x["id"]: (x["r"], x["d"]) for x in got.collect()} == ranks(rows, grouped)
+
+
+def test_ranks_are_not_joined_by_value(many_slices):
+    df = many_slices.range(1000).selectExpr("id % 10 AS grp", "id % 7 AS val", "id")
+    plan = o.rank_rows(df, "val", {"rank": "r"}, ["grp"])._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("val" not in line and "grp" not in line and "_slice" in line or "Join Inner, (_slice" in line for line in joins)
+
+
 @pytest.mark.parametrize("grouped", [False, True])
 @pytest.mark.parametrize("by", ["rank", "dense_rank"])
 def test_top_ranked_keeps_all_ties(many_slices, grouped, by):
