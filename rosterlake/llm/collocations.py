@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.session import materialize, small_side
 
-from .tables import partitions, written
+from .tables import giving_back, partitions, written
 from .words import byte_runs, mix, word_hashes, words_in
 
 RUN_BYTES = 2 << 20  # text taken apart at once
@@ -94,6 +94,8 @@ def _word_counts(texts: DataFrame, shards: int, longest: int) -> DataFrame:
         columns = [np.full(len(key), kind, np.int32), language, key.view(np.int64), n]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "language", "key", "n"])
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
@@ -182,6 +184,8 @@ def _shards_of(columns: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
 def _by_shard(routed: DataFrame, shards: int, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """``run`` on all rows of each shard; shard i is partition i, so that none gets two of them."""
 
+    @giving_back
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if parts:
@@ -197,6 +201,8 @@ def _frequent_pairs(texts: DataFrame, shared, shards: int, least: int) -> DataFr
     with counts, cut into the shards' ranges of keys.
     """
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -237,6 +243,8 @@ def _routed(texts: DataFrame, shared, longest: int, shards: int) -> DataFrame:
     """Packed pointers: for a share of the text and a shard the words met, their languages, and
     rows of places in them with weights. A suffix ends before a pair that is not frequent."""
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, hot = shared.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -389,6 +397,8 @@ def _spelled(texts: DataFrame, needed: DataFrame) -> DataFrame:
     bits = 22
     shared = spark.sparkContext.broadcast(_bitmap(needed, bits))
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = np.zeros(0, np.uint64)
         for tokens in _runs(batches):

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.session import materialize, small_side
 
+from .tables import giving_back
 from .words import distinct_by_document, find_words, mix, shingles, slices
 
 BLOCK_SHINGLES = 1 << 20  # item shingles (8 bytes each, and their owners) sent to all tasks at once
@@ -36,6 +37,8 @@ def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
 def item_shingles(items: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """Per row of ``items``: key and the sorted distinct shingle hashes; rows without words go."""
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values, first = distinct_by_document(*shingles(find_words(batch.column(1)), n))
@@ -122,6 +125,7 @@ def contained_items(
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
     def search(block) -> DataFrame:
+        @giving_back
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = block.value
             for batch in slices(batches, "text"):
@@ -168,6 +172,7 @@ def without_items(
 
 def _has_item(block, n: int):
     @F.arrow_udf("boolean")
+    @giving_back
     def has_item(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
             found = [np.zeros(0, bool)]

@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from rosterlake.session import materialize, small_side
 
 from .components import connected_components
-from .tables import partitions
+from .tables import giving_back, partitions
 from .words import distinct_by_document, find_words, mix, shingles, slices, text_bytes
 
 ORDERS = (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
 RARE = 4  # shingles in fewer documents are of one frequency
 RANKED = 1 << 18  # frequent shingles whose frequency all tasks know; it only shapes the orders
-HELD = 1 << 21  # shingles that a task gathers before it hands them on
+HELD = 1 << 20  # shingles that a task gathers before it hands them on
 SLOTS = 2048  # bits of a parity bitmap
 PIVOTS = 16  # classes of a bucket that the others are first compared with
 PAIRS = 1 << 22  # pairs of unconnected classes whose bitmaps are compared without further rounds
@@ -61,6 +61,8 @@ def frequent_shingles(texts: DataFrame, n: int, shards: int) -> tuple[np.ndarray
     are left out, which makes the orders coarser and changes no result.
     """
 
+    @giving_back
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -82,6 +84,8 @@ def frequent_shingles(texts: DataFrame, n: int, shards: int) -> tuple[np.ndarray
         if sum(map(len, held)):
             yield flush()
 
+    @giving_back
+
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, times = [], []
         for batch in batches:
@@ -134,6 +138,8 @@ def parity_bitmaps(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 def shingle_classes(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """key, text_hash, n_shingles, class, bitmap (NULL for documents without words), written once."""
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values, first = distinct_by_document(*shingles(find_words(batch.column(2)), n))
@@ -159,6 +165,8 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
     place, power = frequent_shingles(texts, n, shards)
     shared = texts.sparkSession.sparkContext.broadcast((place, power))
 
+    @giving_back
+
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, power = shared.value
         held: list[tuple[np.ndarray, np.ndarray, int]] = []
@@ -207,6 +215,8 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
         if sum(len(t) for t, _, _ in held):
             yield flush()
 
+    @giving_back
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, owners = [], []
         for batch in batches:
@@ -259,6 +269,8 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str, known: DataFrame, per
     The sets are made anew from one text of each class. Written once.
     """
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values, first = distinct_by_document(*shingles(find_words(batch.column(0)), n))
@@ -350,6 +362,8 @@ def bucket_pairs(rooted: DataFrame, percent: int, turn: int | None) -> DataFrame
     """a < b, orders: pairs from each bucket that meet under every order, those with the nearest
     pivot of the ``turn``, or all."""
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             orders = batch.column(1).to_numpy()

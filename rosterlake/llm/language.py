@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import kept, unused
+from .tables import giving_back, kept, unused
 from .words import LOWER, byte_runs
 
 SEGMENT = 512  # bytes; a phrase ends where its segment ends
@@ -197,6 +197,7 @@ def identify_language(
     shared = spark.sparkContext.broadcast(samples)
 
     @F.arrow_udf("lang string, score double, letters bigint, phrases double")
+    @giving_back
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = kept(("language", token), lambda: Model(shared.value))
         for array in texts:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import kept, written
+from .tables import giving_back, kept, written
 from .words import Words, find_words, hash_spans, slices, text_bytes
 
 BIN = 16  # tokens
@@ -230,6 +230,8 @@ def tokenize(docs: DataFrame, key: str, text: str, definition: str, end: int, wi
     shared = spark.sparkContext.broadcast(definition)
     token = hash(definition)
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("tokenizer", token), lambda: WordEncoder(shared.value))
         part = TaskContext.get().partitionId()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import kept
+from .tables import giving_back, kept
 from .words import IS_WORD, byte_runs, find_words, slices, word_hashes, words_in
 
 BUCKETS = 1 << 18
@@ -189,6 +189,8 @@ def train_on(
         .limit(sample)
     )
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             bucket, owner = features(batch.column(1))
@@ -228,6 +230,7 @@ def score_quality(
     token = ("quality", uuid.uuid4().hex)
 
     @F.arrow_udf("double")
+    @giving_back
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = kept(token, lambda: shared.value)
         for array in texts:

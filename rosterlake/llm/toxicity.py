@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.session import materialize
 
-from .tables import unused
+from .tables import giving_back, unused
 from .words import IS_TERM, Words, byte_runs, mix, shingles, word_hashes, words_in
 
 RUN_BYTES = 256 << 10  # text scored at once
@@ -178,6 +178,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, chosen: Column, key: str, text
     order = (F.xxhash64("_key"), F.col("_key"))
     picked = known.filter("label = 1").orderBy(*order).limit(sample).union(known.filter("label = 0").orderBy(*order).limit(sample))
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             least = np.full(batch.num_rows, 2**64 - 1, np.uint64)
@@ -201,6 +203,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, chosen: Column, key: str, text
 def _markers(sample: DataFrame) -> np.ndarray:
     """Hashes of the features that toxic documents have far more often than clean ones, sorted."""
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy()
@@ -239,6 +243,8 @@ def _markers(sample: DataFrame) -> np.ndarray:
 def _examples(sample: DataFrame, markers) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """At most ``PER_DOCUMENT`` windows of each document: around marked tokens, or anywhere."""
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = markers.value
         for batch in batches:
@@ -327,6 +333,8 @@ def _calibrated(field: Field, sample: DataFrame) -> Field:
     """The field with the shift that parts the documents of the sample best."""
     shared = sample.sparkSession.sparkContext.broadcast(field)
 
+    @giving_back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, _ = tag(shared.value, batch.column(0))
@@ -382,6 +390,7 @@ def score_toxicity(
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
     @F.arrow_udf("score double, spans array<struct<start:bigint,end:bigint,score:double>>")
+    @giving_back
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
             scores, found = tag(shared.value, array)
