@@ -28,8 +28,11 @@ from rosterlake.session import small_side
 from .tables import written
 from .words import slices
 
-PAGES = 8  # distinct pages that a host needs for a template
-SHARE = 0.9  # of a host's distinct pages on which a valid class occurs
+PAGES = 2  # distinct pages that a host needs for a template
+SURE = 8  # from so many pages on a valid class may miss some, and may hold long texts and those of articles
+SHARE = 0.9  # of a sure host's distinct pages on which a valid class occurs; of others it is on all
+SHORT = 200  # characters of a text that the template of a host with few pages may hold
+LONG = 500  # characters from which on an element is kept although its name has a doubtful word
 LINKED = 0.5  # share of a slot's characters in links beyond which it is navigation
 
 # Element names and attribute words of HTML pages.
@@ -48,6 +51,12 @@ OUTSIDE_WORDS = set(
     "reply respond share sharing social related recommended recommendations teaser widget toolbar pagination pager search "
     "complementary contentinfo dialog form".split()
 )
+# words that say where or how a part of a page is shown, beside a word that says what it is
+BESIDE = set(
+    "list lists link links bar box block blocks area section container wrapper wrap inner outer content top bottom left "
+    "right main site page global primary secondary first last item items title text icon icons button buttons btn fixed "
+    "sticky mobile desktop js region column col row unit slot post posts article entry small large open close group holder".split()
+)
 ARTICLE_OUTSIDE = set("comment comments reply ad ads advert sponsored promo related recommended teaser".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
@@ -64,6 +73,7 @@ class Element(NamedTuple):
     outside: bool
     inside: bool
     link: bool
+    doubt: int = -1  # number of the doubtful element that it is or stands in
 
 
 class Block(NamedTuple):
@@ -75,32 +85,39 @@ class Block(NamedTuple):
     linked: int
     outside: bool
     inside: bool
+    doubt: int = -1
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _is_outside(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is not part of an article, from its name and attribute words."""
+def _outside(name: str, attributes: str, inside: bool) -> float:
+    """How surely an element is not part of an article, from its name and attribute words.
+
+    1 for elements and names that say so; 0.5 for a name in which such a word stands beside words
+    that mean something else (``social-science``); 0 else.
+    """
     if name in OUTSIDE or name == "header" and not inside:
-        return True
+        return 1.0
     if not attributes or name in ("html", "body", "main"):
-        return False
-    words = OUTSIDE_WORDS if name != "article" else ARTICLE_OUTSIDE
+        return 0.0
+    words, most = OUTSIDE_WORDS if name != "article" else ARTICLE_OUTSIDE, 0.0
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values)
         key = key.lower()
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return 1.0
         if key == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
+            return 1.0
         if key in ("class", "id", "role"):
-            found = _WORD.findall(_CAMEL.sub(" ", value).lower())
-            for before, word in zip(["", *found], found):
-                if word in words and before not in ("with", "has", "no", "without"):
-                    return True
-    return False
+            for one in value.split():
+                found = _WORD.findall(_CAMEL.sub(" ", one).lower())
+                telling = [w in words and b not in ("with", "has", "no", "without") for b, w in zip(["", *found], found)]
+                if any(telling):
+                    known = all(t or w in BESIDE or w[0].isdigit() for t, w in zip(telling, found, strict=True))
+                    most = max(most, 1.0 if known else 0.5)
+    return most
 
 
 def parse_page(page: str) -> tuple[list[int], list[Block]]:
@@ -110,6 +127,7 @@ def parse_page(page: str) -> tuple[list[int], list[Block]]:
     paths: list[int] = []
     blocks: list[Block] = []
     parts: list[str] = []
+    doubtful: list[list[int]] = []  # per doubtful element its characters, and those in links
     linked = 0
 
     def add(text: str) -> None:
@@ -129,7 +147,11 @@ def parse_page(page: str) -> tuple[list[int], list[Block]]:
                 chain = [_signed(e.path) for e in stack if e.name in BLOCK]
                 token = _signed(xxhash.xxh3_64_intdigest(text, holder.path))
                 top = stack[-1]
-                blocks.append(Block(token, chain, text, min(linked, len(text)), top.outside, top.inside))
+                in_links = min(linked, len(text))
+                if top.doubt >= 0:
+                    doubtful[top.doubt][0] += len(text)
+                    doubtful[top.doubt][1] += in_links
+                blocks.append(Block(token, chain, text, in_links, top.outside, top.inside, top.doubt))
             parts.clear()
         linked = 0
 
@@ -137,9 +159,12 @@ def parse_page(page: str) -> tuple[list[int], list[Block]]:
         top = stack[-1]
         words = " ".join(sorted("".join(v) for k, *v in _ATTRIBUTE.findall(attributes) if k.lower() in ("class", "id")))
         path = xxhash.xxh3_64_intdigest(f"{name} {words}", top.path)
-        outside = top.outside or _is_outside(name, attributes, top.inside)
+        surely, doubt = _outside(name, attributes, top.inside), top.doubt
+        if surely == 0.5 and doubt < 0:
+            doubt = len(doubtful)
+            doubtful.append([0, 0])
         inside = top.inside or name in ("article", "main") or 'role="main"' in attributes
-        stack.append(Element(name, path, outside, inside, name == "a"))
+        stack.append(Element(name, path, top.outside or surely == 1, inside, name == "a", doubt))
         paths.append(_signed(path))
 
     def close_element(index: int) -> None:
@@ -191,7 +216,9 @@ def parse_page(page: str) -> tuple[list[int], list[Block]]:
         if name not in VOID and not attributes.endswith("/"):
             open_element(name, attributes)
     close_block()
-    return paths, blocks
+    # a doubtful element is an article if it has much text of its own
+    gone = {i for i, (chars, in_links) in enumerate(doubtful) if chars < LONG or in_links > LINKED * chars}
+    return paths, [b._replace(outside=True) if b.doubt in gone else b for b in blocks]
 
 
 def page_tokens(paths: list[int], blocks: list[Block]) -> tuple[list[int], list[int], list[int], list[int]]:
@@ -245,10 +272,11 @@ def parsed_pages(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
 
 def templates(parsed: DataFrame) -> DataFrame:
     """Per site (hash of the host): skeleton (elements once on nearly every page), menus (those of them that hold
-    mostly links), and fixed (text blocks in valid classes).
+    mostly links), fixed (text blocks in valid classes), and sure (``SURE`` pages or more).
 
-    Copies of a page count once; hosts with fewer than ``PAGES`` pages have no template. A host
-    keeps only tokens of valid classes, which are no more than a page has.
+    Copies of a page count once; a host of one page has no template. On a host with few pages a class
+    is valid if it is on all of them. A host keeps only tokens of valid classes, which are no
+    more than a page has; tokens of fewer than ``PAGES`` pages go before anything is joined.
     """
     figures = ["tokens", "times", "chars", "linked"]
     site = F.xxhash64("host").alias("site")
@@ -263,8 +291,9 @@ def templates(parsed: DataFrame) -> DataFrame:
         # the occurrence vector: one hash per page, as often as the token occurs there
         F.sum(F.col("times") * F.shiftright(F.xxhash64("page_hash"), 24)).alias("vector"),
     )
-    frequent = counted.join(sizes, "site").filter(F.col("pages") >= SHARE * F.col("all_pages"))
-    classes = frequent.groupBy("site", "vector", "pages", "times").agg(
+    least = F.when(F.col("all_pages") >= SURE, SHARE * F.col("all_pages")).otherwise(F.col("all_pages"))
+    frequent = counted.filter(F.col("pages") >= PAGES).join(small_side(sizes), "site").filter(F.col("pages") >= least)
+    classes = frequent.groupBy("site", "all_pages", "vector", "pages", "times").agg(
         F.collect_list(F.struct("token", "chars", "linked")).alias("members")
     )
     valid = classes.filter(F.size("members") > 1)  # tokens of a template come in company
@@ -274,6 +303,7 @@ def templates(parsed: DataFrame) -> DataFrame:
     )
     once_each = F.col("times") == F.col("pages")
     return valid.groupBy("site").agg(
+        (F.max("all_pages") >= SURE).alias("sure"),
         F.flatten(F.collect_list(F.when(once_each, token))).alias("skeleton"),
         F.flatten(F.collect_list(F.when(once_each, menus))).alias("menus"),
         F.flatten(F.collect_list(token)).alias("fixed"),
@@ -284,8 +314,11 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     """key, url, text, n_chars: the main text of every page, its blocks joined by an empty line.
 
     Kept are blocks outside of elements for navigation, forms, adverts, notices, comments and the
-    like, outside of slots that are mostly links, and not part of the host's template. If any of
-    them stand in an article or main element, only those are kept. Character references are
+    like, outside of slots that are mostly links, and not part of the host's template. A name in
+    which a telling word stands beside others only counts against elements of little text or
+    mostly links. The template of a host with two to seven distinct pages holds only what is on
+    all of them, and of texts only short ones outside of articles. If any block
+    that is kept stands in an article or main element, only such blocks are. Character references are
     decoded, white space within a block is one space. NULL or empty pages, and those without
     such a block, have the text ''; a NULL url or one without host has no template. Repeated rows
     give repeated rows, columns other than the three are ignored, an empty table gives no rows. The
@@ -301,7 +334,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     def kept(block: Column) -> Column:
         slot = F.try_element_at(F.filter(block["chain"], lambda p: F.array_contains("skeleton", p)), F.lit(-1))
         menu = ~block["inside"] & slot.isNotNull() & F.array_contains("menus", slot)
-        return ~F.array_contains("fixed", block["token"]) & ~F.coalesce(menu, F.lit(False))
+        holds = F.col("sure") | (~block["inside"] & (F.length(block["text"]) < SHORT))
+        fixed = F.array_contains("fixed", block["token"]) & F.coalesce(holds, F.lit(False))
+        return ~fixed & ~F.coalesce(menu, F.lit(False))
 
     blocks = joined.withColumn("blocks", F.filter("blocks", kept))
     inside = F.exists("blocks", lambda b: b["inside"])
