@@ -9,7 +9,8 @@ every order; candidates are verified on the whole sets.
 Equal sets are one class from the start. The classes that share a prefix shingle form a bucket.
 What is asked for is which classes hang together, so a class is first compared with the nearest of
 a few others of its bucket, and pairs are made only of classes that are not yet known to be
-connected. Before whole sets are fetched, sizes and parity bitmaps rule pairs out: a bitmap has a
+connected. A large bucket is dealt over rows of bounded size: each of them meets the few, and in
+the end the rows meet pair by pair. Before whole sets are fetched, sizes and parity bitmaps rule pairs out: a bitmap has a
 bit for every hash slot, flipped by each member, so two bitmaps differ in no more bits than the
 sets differ in members.
 """
@@ -34,9 +35,10 @@ RARE = 4  # shingles in fewer documents are of one frequency
 RANKED = 1 << 18  # frequent shingles whose frequency all tasks know; it only shapes the orders
 HELD = 1 << 20  # shingles that a task gathers before it hands them on
 SLOTS = 2048  # bits of a parity bitmap
-PIVOTS = 16  # classes of a bucket that the others are first compared with
-PAIRS = 1 << 22  # pairs of unconnected classes whose bitmaps are compared without further rounds
-PER_ENTRY = 64  # or so many for each entry of a bucket
+PIVOTS = 64  # classes of a bucket that the others are first compared with
+PART = 2048  # classes of a bucket in one row; a larger bucket covers several rows
+PAIRS = 1 << 26  # pairs of unconnected classes whose bitmaps are compared without further rounds
+PER_ENTRY = 256  # or so many for each entry of a bucket
 TESTED = 1 << 16  # pairs of bitmaps compared at once
 
 
@@ -156,11 +158,12 @@ def shingle_classes(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return materialize(rows.mapInArrow(run, schema), "classes")
 
 
-def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataFrame:
-    """bucket, orders (bits), classes: classes that share a prefix shingle, two at least, written once.
+def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int, part: int = PART) -> DataFrame:
+    """bucket, part, parts, orders (bits), classes: classes that share a prefix shingle, two at least.
 
     A task hands prefix shingles on in rows of packed arrays, one per shard of the shingles.
-    Buckets with the same classes, of which ``bucket`` is a hash, are one, with all their orders.
+    Buckets with the same classes, of which ``bucket`` is a hash, are one, with all their orders. A
+    bucket's sorted classes are cut into ``parts`` rows of at most ``part``. Written once.
     """
     place, power = frequent_shingles(texts, n, shards)
     shared = texts.sparkSession.sparkContext.broadcast((place, power))
@@ -247,19 +250,24 @@ def prefix_buckets(texts: DataFrame, n: int, percent: int, shards: int) -> DataF
         _, kept, inverse = np.unique(same, return_index=True, return_inverse=True)
         flags = np.zeros(len(kept), np.uint8)
         np.bitwise_or.at(flags, inverse, bits)
-        for at in range(0, len(kept), 1 << 14):
-            own = kept[at : at + (1 << 14)]
-            lengths = size[own]
-            index = np.arange(lengths.sum()) + np.repeat(first[own] - np.cumsum(lengths) + lengths, lengths)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        first, size, same = first[kept], size[kept], same[kept]
+        parts = -(-size // part)
+        of = np.repeat(np.arange(len(kept)), parts)
+        number = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = first[of] + number * part
+        lengths = np.minimum(size[of] - number * part, part)
+        for at in range(0, len(of), 1 << 14):
+            own = slice(at, at + (1 << 14))
+            index = np.arange(lengths[own].sum()) + np.repeat(begin[own] - np.cumsum(lengths[own]) + lengths[own], lengths[own])
+            offsets = np.concatenate([[0], np.cumsum(lengths[own])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(owner[index]))
-            columns = [pa.array(same[own].view(np.int64)), pa.array(flags[at : at + (1 << 14)].astype(np.int32)), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "orders", "classes"])
+            columns = [same[of[own]].view(np.int64), number[own].astype(np.int32), parts[of[own]].astype(np.int32), flags[of[own]].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=["bucket", "part", "parts", "orders", "classes"])
 
     schema = "shard bigint, tokens binary, runs binary, classes binary, orders binary"
     dealt = texts.mapInArrow(prefixes, schema).repartition("shard")
-    met = dealt.mapInArrow(meet, "bucket bigint, orders int, classes array<bigint>")
-    met = met.groupBy("bucket").agg(F.bit_or("orders").alias("orders"), F.first("classes").alias("classes"))
+    met = dealt.mapInArrow(meet, "bucket bigint, part int, parts int, orders int, classes array<bigint>")
+    met = met.groupBy("bucket", "part", "parts").agg(F.bit_or("orders").alias("orders"), F.first("classes").alias("classes"))
     return materialize(met, "buckets")
 
 
@@ -358,48 +366,127 @@ class Members:
             step += 1
 
 
+def nearest_pivots(part: pa.ListArray, pivots: pa.ListArray, orders: int, percent: int, turn: int) -> tuple[pa.Array, pa.Array]:
+    """For each class of a part of a bucket the nearest of the bucket's pivots, as pairs of classes."""
+    own = len(part.values)
+    both = pa.ListArray.from_arrays(pa.array([0, own + len(pivots.values)], pa.int32()), pa.concat_arrays([part.values, pivots.values]))
+    members = Members(both, np.array([orders]), percent)
+    rank = np.full(own, PIVOTS)  # of the part's own pivots, which meet earlier ones only
+    order = own + np.argsort(mix(members.classes[own:].view(np.uint64) + np.uint64(turn)), kind="stable")[:PIVOTS]
+    place = {c: r for r, c in enumerate(members.classes[order].tolist())}
+    for i in np.flatnonzero(np.isin(members.classes[:own], members.classes[order])):
+        rank[i] = place[int(members.classes[i])]
+    found, best = np.full(own, -1), np.full(own, SLOTS + 1)
+    for r, pivot in enumerate(order):
+        i = np.flatnonzero(rank > r)
+        differ = members.differences(i, np.full(len(i), pivot))
+        closer = (differ >= 0) & (differ < best[i])
+        found[i[closer]], best[i[closer]] = pivot, differ[closer]
+    i = np.flatnonzero(found >= 0)
+    return members.classes[i], members.classes[found[i]]
+
+
+def crossing_pairs(left: pa.ListArray, right: pa.ListArray, orders: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a class of one part of a bucket and a class of another that may be similar."""
+    own = len(left.values)
+    both = pa.ListArray.from_arrays(pa.array([0, own + len(right.values)], pa.int32()), pa.concat_arrays([left.values, right.values]))
+    members = Members(both, np.array([orders]), percent)
+    step = max(TESTED // max(own, 1), 1)
+    for at in range(own, len(members.classes), step):
+        others = np.arange(at, min(at + step, len(members.classes)))
+        i, j = np.tile(np.arange(own), len(others)), np.repeat(others, own)
+        fits = members.differences(i, j) >= 0
+        yield members.classes[i[fits]], members.classes[j[fits]]
+
+
 def bucket_pairs(rooted: DataFrame, percent: int, turn: int | None) -> DataFrame:
     """a < b, orders: pairs from each bucket that meet under every order, those with the nearest
-    pivot of the ``turn``, or all."""
+    pivot of the ``turn``, or all.
 
-    @giving_back
+    ``rooted`` has bucket, part, parts, orders, m (classes of the bucket now), class, root, n, bitmap.
+    Buckets of one part stay in their row. The parts of others are joined to the bucket's pivots, a
+    bounded number of its classes with small hashes, or to each other, two parts to a row.
+    """
+    sending = ["a", "b", "orders"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(a: np.ndarray, b: np.ndarray, orders: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.minimum(a, b), np.maximum(a, b), orders)], names=sending)
+
+    @giving_back
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            orders = batch.column(1).to_numpy()
-            members = Members(batch.column(2), orders, percent)
+            orders = batch.column(0).to_numpy()
+            members = Members(batch.column(1), orders, percent)
             for i, j in members.nearest(turn) if turn is not None else members.pairs():
                 if len(i):
-                    a, b = members.classes[i], members.classes[j]
-                    columns = [np.minimum(a, b), np.maximum(a, b), orders[members.bucket[i]]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "orders"])
+                    yield rows(members.classes[i], members.classes[j], orders[members.bucket[i]])
 
-    every = (1 << len(ORDERS)) - 1
-    pairs = rooted.select("bucket", "orders", "members").mapInArrow(run, "a bigint, b bigint, orders int")
+    @giving_back
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                orders, left, right = batch.column(0)[r].as_py(), batch.column(1).slice(r, 1), batch.column(2).slice(r, 1)
+                left, right = (pa.ListArray.from_arrays(pa.array([0, len(x.flatten())], pa.int32()), x.flatten()) for x in (left, right))
+                made = crossing_pairs(left, right, orders, percent) if turn is None else [nearest_pivots(left, right, orders, percent, turn)]
+                for a, b in made:
+                    if len(a):
+                        yield rows(a, b, np.full(len(a), orders, np.int32))
+
+    schema, every = "a bigint, b bigint, orders int", (1 << len(ORDERS)) - 1
+    entry = F.struct("class", "root", "n", "bitmap")
+    parts = rooted.groupBy("bucket", "part", "parts", "orders").agg(F.collect_list(entry).alias("members"))
+    one = parts.filter("parts = 1") if turn is not None else parts  # all pairs: also those within each part
+    pairs = one.select("orders", "members").mapInArrow(alone, schema)
+    many = parts.filter("parts > 1")
+    if turn is not None:
+        # about twice as many as are needed, so that there are enough
+        share = F.least(F.lit(1.0), F.lit(2.0 * PIVOTS) / F.col("m"))
+        small = F.shiftrightunsigned(F.xxhash64("class", F.lit(turn)), 34).cast("double") < share * float(1 << 30)
+        pivots = rooted.filter((F.col("parts") > 1) & small).groupBy("bucket").agg(F.collect_list(entry).alias("others"))
+        met = many.join(pivots, "bucket").select("orders", "members", "others")
+    else:
+        later = F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1))
+        waiting = many.filter("part + 1 < parts").select("bucket", "orders", "members", later.alias("part"))
+        met = waiting.join(many.select("bucket", "part", F.col("members").alias("others")), ["bucket", "part"])
+        met = met.select("orders", "members", "others")
+    pairs = pairs.unionByName(met.mapInArrow(together, schema))
     pairs = pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders"))
     return pairs.filter(F.col("orders") == every).select("a", "b")
 
 
+def _rerooted(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, root after further links (a, b), which are first taken to the roots known so far."""
+    if roots is None:
+        return materialize(connected_components(links), "roots")
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    found = small_side(connected_components(links))
+    moved = roots.join(found.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left")
+    moved = moved.select("node", F.coalesce("_to", "root").alias("root"))
+    new = found.join(roots.select("node"), "node", "left_anti")
+    return materialize(moved.unionByName(new.select("node", "root")), "roots")
+
+
 def class_components(
     buckets: DataFrame, known: DataFrame, docs: DataFrame, text: str, percent: int, n: int
 ) -> DataFrame:
     """node, root: which classes are connected by similar pairs (classes without a link are absent).
 
     In turns, every class is compared with the nearest pivot of its buckets, until pairs of
-    unconnected classes in a bucket are few or no link is found. Then all these are compared.
+    unconnected classes in a bucket are few or no link is found. Then all these are compared. The
+    links of a turn join what earlier turns have connected.
     """
-    entries = buckets.select("bucket", "orders", F.explode("classes").alias("class"))
+    entries = buckets.select("bucket", "part", "parts", "orders", F.explode("classes").alias("class"))
     signed = materialize(entries.join(known.select("class", "n", "bitmap"), "class"), "entries")
-    members = F.collect_list(F.struct("class", "root", "n", "bitmap")).alias("members")
-    rooted = signed.withColumn("root", F.col("class"))  # at first nothing is connected
-    links, roots, turn, last = None, None, 0, False
+    # at first nothing is connected; m is only asked for in buckets of several parts
+    rooted = signed.withColumn("root", F.col("class")).withColumn("m", F.col("parts").cast("double") * PART)
+    roots, turn, last = None, 0, False
     while True:
-        opened = rooted.groupBy("bucket", "orders").agg(members)
-        found = verified(bucket_pairs(opened, percent, None if last else turn), docs, text, known, percent, n)
-        gained = found.count()
-        links = found if links is None else links.unionByName(found)
+        found = verified(bucket_pairs(rooted, percent, None if last else turn), docs, text, known, percent, n)
+        gained = not found.isEmpty()
         if gained or roots is None:
-            roots = materialize(connected_components(links), "roots")
+            roots = _rerooted(roots, found)
         if last:
             return roots
         rooted = signed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
@@ -411,13 +498,13 @@ def class_components(
         total, size = sums.agg(F.sum(F.col("m") * F.col("m") - F.col("s")), F.sum("m")).first()
         if not total:
             return roots
-        rooted = rooted.join(sums.select("bucket"), "bucket", "left_semi")
+        rooted = rooted.join(sums.select("bucket", "m"), "bucket")
         last = total <= max(PAIRS, PER_ENTRY * size) or not gained
         turn += 1
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, n: int = 5
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, n: int = 5, part: int = PART
 ) -> DataFrame:
     """key, n_shingles, component_id: which documents hang together by similar shingle sets.
 
@@ -426,14 +513,14 @@ def near_duplicates(
     component_id is the smallest key that is reachable by links. NULL and empty texts have no
     shingle, no link, and their own key. Repeated rows stay and are linked with each other; rows
     without a key take part, and a component of them alone has a NULL id. Other columns are
-    ignored, an empty table gives no rows. All steps are written to shared storage while the plan
+    ignored, an empty table gives no rows. No row holds more than ``part`` sets of a bucket. All steps are written to shared storage while the plan
     is built.
     """
     spark = docs.sparkSession
     shards = 4 * partitions(spark)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     classes = shingle_classes(rows, "key", "text", n)
-    buckets = prefix_buckets(rows.select("text"), n, percent, shards)
+    buckets = prefix_buckets(rows.select("text"), n, percent, shards, part)
     known = classes.filter("class is not null").groupBy("class").agg(
         F.min("text_hash").alias("text_hash"),
         F.min("key").alias("least"),

@@ -40,8 +40,8 @@ def brute(rows, percent=80):
     return sorted(((row.doc_id, len(sets[i]), least[roots[i]]) for i, row in enumerate(rows)), key=str)
 
 
-def found(docs):
-    return sorted((tuple(r) for r in near_duplicates(docs).collect()), key=str)
+def found(docs, **form):
+    return sorted((tuple(r) for r in near_duplicates(docs, **form).collect()), key=str)
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -94,6 +94,37 @@ def test_groups_of_near_copies_and_shared_passages(spark, monkeypatch, pairs):
     assert found(docs) == brute(docs.collect())
 
 
+@pytest.mark.parametrize("pairs", [1 << 22, 0])
+def test_large_buckets_cover_many_rows(spark, monkeypatch, pairs):
+    """A family of near copies, chains in it, and a passage, in buckets of many parts."""
+    monkeypatch.setattr(jaccard, "PAIRS", pairs)
+    monkeypatch.setattr(jaccard, "PER_ENTRY", 0)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4)
+    source = random.Random(11)
+    base = [f"b{i}" for i in range(60)]
+    texts = [varied(source, base, source.randrange(1, 4)) for _ in range(150)]
+    for _ in range(60):
+        texts.append(varied(source, source.choice(texts).split(), 2))
+    passage = [f"p{i}" for i in range(30)]
+    texts += [" ".join([*(f"u{n}x{i}" for i in range(source.randrange(3, 12))), *passage]) for n in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    assert found(docs, part=9) == brute(docs.collect())
+
+
+def test_no_row_holds_more_than_a_part(spark):
+    source = random.Random(2)
+    base = [f"b{i}" for i in range(60)]
+    texts = [varied(source, base, 1) for _ in range(100)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    buckets = jaccard.prefix_buckets(frame, 5, 80, 8, part=7).collect()
+    assert max(r.parts for r in buckets) > 5 and all(1 <= len(r.classes) <= 7 for r in buckets)
+    for name in {r.bucket for r in buckets}:
+        own = [r for r in buckets if r.bucket == name]
+        assert sorted(r.part for r in own) == list(range(own[0].parts))
+        classes = [c for r in own for c in r.classes]
+        assert len(set(classes)) == len(classes) > 1
+
+
 def test_prefixes_meet_under_every_order():
     import numpy as np
 
