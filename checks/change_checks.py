@@ -402,6 +402,18 @@ CHECKS = {
     "n03_fd_violations": (_fd, q("""
         SELECT last_name, age::BIGINT AS age, count(DISTINCT coalesce(job_id, -1)) AS distinct_values
         FROM employee GROUP BY 1, 2 HAVING count(DISTINCT coalesce(job_id, -1)) > 1""")),
+    "n03_dependency_report": (
+        lambda t: quality.dependency_report(
+            t.employee, {("last_name", "age"): ("job_id", "gender", "hire_date"), ("emp_id",): ("first_name", "email")}
+        ),
+        q("""WITH by_name AS (SELECT count(DISTINCT job_id) + max((job_id IS NULL)::INTEGER) AS j,
+                count(DISTINCT gender) + max((gender IS NULL)::INTEGER) AS g, count(DISTINCT hire_date) AS h
+                FROM employee GROUP BY last_name, age)
+            SELECT 'last_name,age' AS determinant, 'job_id' AS dependent, count(*) FILTER (j > 1) AS violations FROM by_name
+            UNION ALL SELECT 'last_name,age', 'gender', count(*) FILTER (g > 1) FROM by_name
+            UNION ALL SELECT 'last_name,age', 'hire_date', count(*) FILTER (h > 1) FROM by_name
+            UNION ALL SELECT 'emp_id', 'first_name', 0 UNION ALL SELECT 'emp_id', 'email', 0"""),
+    ),
     "n04_check_employee": (_valid_and_rejected("employee"), q("""
         SELECT concat_ws(',', CASE WHEN gender NOT IN ('M', 'F') THEN 'gender' END,
             CASE WHEN age NOT BETWEEN 18 AND 75 THEN 'age' END) AS failed, count(*) AS n FROM employee GROUP BY 1""")),
@@ -844,6 +856,15 @@ CHECKS = {
             2 * count(*) AS payroll_records FROM payroll INNER JOIN job_department USING (job_id)
             WHERE payroll_date >= DATE '2000-07-01' GROUP BY 1, 2"""),
     ),
+    "v11_run_steps": (
+        lambda t: _run_part("steps")(t).where("step <> 'report'"),
+        q("""SELECT 'validated' AS step, (SELECT count(*) FROM payroll) AS rows, 0::BIGINT AS position
+            UNION ALL SELECT 'processed', (SELECT count(*) FROM payroll), 1
+            UNION ALL SELECT 'audit', (SELECT count(*) FROM payroll p INNER JOIN employee e USING (emp_id)
+                INNER JOIN salary_bonus s ON s.salary_id = e.salary_id
+                WHERE 5 * abs(gross_amount - amount) > amount), 2
+            UNION ALL SELECT 'checks', 1, 3"""),
+    ),
     "v11_run_checks": (
         lambda t: _run_part("checks")(t),
         q(f"""SELECT *, missing + warnings AS records_affected, CASE WHEN missing > 0 THEN 'FAILED'

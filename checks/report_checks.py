@@ -386,6 +386,14 @@ CHECKS = {
         q("""SELECT 'AUTHORS' AS tbl, (SELECT count(*) FROM authors) AS total UNION ALL
         SELECT 'BOOKS', (SELECT count(*) FROM books) UNION ALL SELECT 'ORDERS', (SELECT count(*) FROM book_orders)"""),
     ),
+    "v09_leave_figures": (lambda t: monitoring.leave_figures(t, LEAVE_DAY), q(f"""
+        SELECT count(*) FILTER (status = 'APPROVED' AND leave_start >= DATE '{LEAVE_DAY}'
+                AND leave_start < DATE '{LEAVE_DAY}' + 7) AS approved_leaves,
+            count(*) FILTER (status = 'PENDING' AND leave_start <= DATE '{LEAVE_DAY}') AS pending_leaves,
+            count(*) FILTER (status = 'REJECTED'
+                AND leave_start < DATE '{LEAVE_DAY}' - INTERVAL 6 MONTH) AS rejected_leaves,
+            count(*) FILTER (status = 'APPROVED' AND leave_start >= DATE '{LEAVE_DAY}') AS upcoming_approved
+        FROM leave""")),
     "au02_approved_from": (lambda t: monitoring.approved_from(t, LEAVE_DAY), q(f"""
         SELECT count(*) AS upcoming_approved FROM leave
         WHERE status = 'APPROVED' AND leave_start >= DATE '{LEAVE_DAY}'""")),

@@ -210,15 +210,8 @@ def variance_above(limit: int | str) -> Column:
     return (F.col("expected") > 0) & (gap * 100 > allowed)
 
 
-def validate_payroll(
-    batch: DataFrame,
-    employee: DataFrame,
-    salary_bonus: DataFrame,
-    as_of: AsOf = None,
-    limit: int = labels.VARIANCE_LIMIT,
-) -> Outcome:
-    """Fill missing net amounts and warn about unusual gross amounts; the payment is kept."""
-    checked = check_variance(batch, expected_pay(employee, salary_bonus))
+def variance_warnings_of(checked: DataFrame, as_of: AsOf = None, limit: int = labels.VARIANCE_LIMIT) -> DataFrame:
+    """A warning per row of ``check_variance`` whose gross amount is unusual."""
     variance = ratio(F.abs(F.col("gross_amount") - F.col("expected")) * 100, "expected")
     message = joined(
         F.lit(labels.VARIANCE_TEXT),
@@ -229,14 +222,25 @@ def validate_payroll(
         number_text("gross_amount"),
         F.lit(")"),
     )
-    audit = checked.where(variance_above(limit)).select(
+    return checked.where(variance_above(limit)).select(
         "payroll_id",
         "emp_id",
         F.lit(labels.VARIANCE_WARNING).alias("audit_type"),
         message.alias("message"),
         day(as_of).alias("audit_date"),
     )
-    return Outcome(checked.select(*batch.columns), audit, None)
+
+
+def validate_payroll(
+    batch: DataFrame,
+    employee: DataFrame,
+    salary_bonus: DataFrame,
+    as_of: AsOf = None,
+    limit: int = labels.VARIANCE_LIMIT,
+) -> Outcome:
+    """Fill missing net amounts and warn about unusual gross amounts; the payment is kept."""
+    checked = check_variance(batch, expected_pay(employee, salary_bonus))
+    return Outcome(checked.select(*batch.columns), variance_warnings_of(checked, as_of, limit), None)
 
 
 def payroll_notices(batch: DataFrame, employee: DataFrame) -> DataFrame:

@@ -250,8 +250,7 @@ def delete_with_references(
     foreign_keys: Sequence[ForeignKey] = FOREIGN_KEYS,
     primary_keys: Mapping[str, str] = _PRIMARY_KEY,
 ) -> dict[str, DataFrame]:
-    """New snapshots of ``table`` and of all tables that refer to it, directly or not, after
-    deleting keys.
+    """New snapshots of ``table`` and all tables that keys tie to it, after deleting keys.
 
     The order follows from ``foreign_keys``: cascading deletes are passed on from parents to
     children, in rings (a table that refers to itself, say) until no further key is
@@ -262,9 +261,12 @@ def delete_with_references(
     gone = {table: keys.select(F.col(primary_keys[table]))}
     for ring in delete_order(table, cascading):
         _deleted_keys(tables, ring, cascading, primary_keys, gone)
-    touched = {k.child for k in foreign_keys if k.parent in gone and k.on_delete != "restrict"} | set(gone)
+    tied, before = {table}, set()
+    while tied != before:
+        before = set(tied)
+        tied |= {n for k in foreign_keys if {k.parent, k.child} & before for n in (k.parent, k.child)}
     snapshot = {}
-    for name in sorted(touched):
+    for name in sorted(tied):
         rows = tables[name]
         if name in gone:
             rows = without(rows, gone[name], primary_keys[name])

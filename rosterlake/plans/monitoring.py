@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions.dates import AsOf, add_months, day, month_start
 from ..functions.money import percent, ratio
 from ..operators.changes import (
-    process_payroll,
     audit_rows,
-    validate_payroll,
+    check_variance,
+    expected_pay,
+    process_payroll,
     variance_above,
+    variance_warnings_of,
 )
 from ..operators.joins import without
 from ..operators.sorting import top
 from ..sources.loading import Tables, row_count_inventory
+from .runs import Run
 from .views import monthly_payroll, refresh
 
+
 def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count("*").alias(name))
 
@@ -46,31 +53,54 @@ def unusual_payroll(t: Tables, as_of: AsOf = None, limit: int = labels.AUDIT_LIM
     return _count(checked.where(variance_above(limit)), "variance_warnings")
 
 
-def upcoming_leave(t: Tables, as_of: AsOf = None, days: int = 7) -> DataFrame:
+def figures(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """How many rows meet each condition, from one scan that reads rows of any of them only."""
+    return df.where(reduce(or_, conditions.values())).agg(
+        *[F.count_if(condition).alias(name) for name, condition in conditions.items()]
+    )
+
+
+def _upcoming(as_of: AsOf, days: int) -> Column:
     start = F.col("leave_start")
-    return _count(
-        t.leave.where(
-            (F.col("status") == labels.APPROVED)
-            & (start >= day(as_of))
-            & (start < F.date_add(day(as_of), days))
-        ),
-        "approved_leaves",
+    return _approved_from(as_of) & (start < F.date_add(day(as_of), days))
+
+
+def _approved_from(as_of: AsOf) -> Column:
+    return (F.col("status") == labels.APPROVED) & (F.col("leave_start") >= day(as_of))
+
+
+def _overdue(as_of: AsOf) -> Column:
+    return (F.col("status") == labels.PENDING) & (F.col("leave_start") <= day(as_of))
+
+
+def _old_rejected(as_of: AsOf, months: int) -> Column:
+    return (F.col("status") == labels.REJECTED) & (F.col("leave_start") < add_months(day(as_of), -months))
+
+
+def leave_figures(t: Tables, as_of: AsOf = None, days: int = 7, months: int = 6) -> DataFrame:
+    """The four counters of leaves in one row and one scan: approved for the next days, overdue,
+    rejected long ago, approved from now on."""
+    return figures(
+        t.leave,
+        {
+            "approved_leaves": _upcoming(as_of, days),
+            "pending_leaves": _overdue(as_of),
+            "rejected_leaves": _old_rejected(as_of, months),
+            "upcoming_approved": _approved_from(as_of),
+        },
     )
 
 
+def upcoming_leave(t: Tables, as_of: AsOf = None, days: int = 7) -> DataFrame:
+    return _count(t.leave.where(_upcoming(as_of, days)), "approved_leaves")
+
+
 def overdue_leave(t: Tables, as_of: AsOf = None) -> DataFrame:
-    return _count(
-        t.leave.where((F.col("status") == labels.PENDING) & (F.col("leave_start") <= day(as_of))),
-        "pending_leaves",
-    )
+    return _count(t.leave.where(_overdue(as_of)), "pending_leaves")
 
 
 def old_rejected_leave(t: Tables, as_of: AsOf = None, months: int = 6) -> DataFrame:
-    limit = add_months(day(as_of), -months)
-    return _count(
-        t.leave.where((F.col("status") == labels.REJECTED) & (F.col("leave_start") < limit)),
-        "rejected_leaves",
-    )
+    return _count(t.leave.where(_old_rejected(as_of, months)), "rejected_leaves")
 
 
 def variance_warnings(payroll_audit: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -83,10 +113,7 @@ def variance_warnings(payroll_audit: DataFrame, as_of: AsOf = None) -> DataFrame
 
 
 def approved_from(t: Tables, as_of: AsOf = None) -> DataFrame:
-    return _count(
-        t.leave.where((F.col("status") == labels.APPROVED) & (F.col("leave_start") >= day(as_of))),
-        "upcoming_approved",
-    )
+    return _count(t.leave.where(_approved_from(as_of)), "upcoming_approved")
 
 
 def daily_audit(t: Tables, as_of: AsOf = None) -> DataFrame:
@@ -154,18 +181,22 @@ class PayrollRun(NamedTuple):
     audit: DataFrame
     checks: DataFrame
     report: DataFrame
+    steps: DataFrame
 
 
-def payroll_run(t: Tables, batch: DataFrame, as_of: AsOf, base: str) -> PayrollRun:
+def payroll_run(t: Tables, batch: DataFrame, as_of: AsOf, base: str, run_id: str | None = None) -> PayrollRun:
     """Validate, process, audit, report: the four steps of the payroll chain in order.
 
     ``batch`` has payroll columns; the processed rows join the snapshot that the audit and
-    the refreshed monthly report below ``base`` read.
+    the refreshed monthly report below ``base`` read. Every step is stored once under ``run_id``;
+    the validated rows are read by the two steps after them. A run that is called again by its
+    name goes on behind its last finished step.
     """
-    validated = validate_payroll(batch, t.employee, t.salary_bonus, as_of)
-    processed = process_payroll(validated.rows)
-    audit = audit_rows(validated.audit, "payroll_audit", ["payroll_id"])
+    run = Run(batch.sparkSession, f"{base}-runs", run_id)
+    validated = run.step("validated", lambda: check_variance(batch, expected_pay(t.employee, t.salary_bonus)))
+    processed = run.step("processed", lambda: process_payroll(validated.select(*batch.columns)))
+    audit = run.step("audit", lambda: audit_rows(variance_warnings_of(validated, as_of), "payroll_audit", ["payroll_id"]))
     after = t.replacing(payroll=t.payroll.unionByName(processed.select(*t.payroll.columns)))
-    checks = daily_audit(after, as_of)
-    report = refresh(monthly_payroll(after, as_of), base, ("payroll_month",))
-    return PayrollRun(processed, audit, checks, report)
+    checks = run.step("checks", lambda: daily_audit(after, as_of))
+    report = run.step("report", lambda: refresh(monthly_payroll(after, as_of), base, ("payroll_month",)))
+    return PayrollRun(processed, audit, checks, report, run.steps())

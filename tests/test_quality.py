@@ -107,3 +107,51 @@ def test_delete_leave_nulls_the_payroll_reference(spark, company):
     after = qy.delete_with_references(company.replacing(payroll=linked), "employee", gone)
     assert {r["leave_id"] for r in after["payroll"].where("emp_id = 1001").collect()} == {3001}
     assert after["payroll"].where("emp_id = 1000").count() == 0
+
+
+def test_order_of_deletes_follows_from_the_keys():
+    key = qy.ForeignKey
+    links = [key("c", "b", "b", "b", "cascade"), key("b", "a", "a", "a", "cascade"), key("c", "a", "a", "a", "cascade"), key("x", "y", "y", "y")]
+    assert qy.delete_order("a", links) == [["a"], ["b"], ["c"]] and qy.delete_order("b", links) == [["b"], ["c"]]
+    ring = [*links, key("a", "c", "c", "c", "cascade"), key("d", "c", "c", "c", "cascade"), key("d", "d", "d", "d", "cascade")]
+    assert qy.delete_order("b", ring) == [["a", "b", "c"], ["d"]]
+
+
+def test_delete_in_a_table_that_refers_to_itself(spark):
+    """Staff below a deleted person go at every level, also in a ring; approvals become NULL."""
+    staff = [(1, None), (2, 1), (3, 2), (4, 3), (5, None), (6, 5), (7, 8), (8, 9), (9, 7), (10, 4), (10, 4)]
+    tables = {
+        "staff": spark.createDataFrame(staff, "id bigint, boss bigint"),
+        "leave": spark.createDataFrame([(100, 3, 5), (101, 5, 3), (102, 6, 10), (103, 6, None), (104, None, 2)], "leave bigint, id bigint, approver bigint"),
+    }
+    links = (
+        qy.ForeignKey("staff", "boss", "staff", "id", "cascade"),
+        qy.ForeignKey("leave", "id", "staff", "id", "cascade"),
+        qy.ForeignKey("leave", "approver", "staff", "id", "set null"),
+    )
+    keys = {"staff": "id", "leave": "leave"}
+
+    def after(*gone):
+        rows = qy.delete_with_references(tables, "staff", spark.createDataFrame([(g,) for g in gone], "id bigint"), links, keys)
+        return {r["id"] for r in rows["staff"].collect()}, {r["leave"]: r["approver"] for r in rows["leave"].collect()}
+
+    assert after(2) == ({1, 5, 6, 7, 8, 9}, {101: None, 102: None, 103: None, 104: None})
+    assert after(8) == ({1, 2, 3, 4, 5, 6, 10}, {100: 5, 101: 3, 102: 10, 103: None, 104: 2})
+    assert after(99)[0] == {r[0] for r in staff}
+
+
+def test_dependencies_with_nulls_and_a_hot_group(spark):
+    rows = [("a", 1, None)] * 50 + [("a", 2, None), ("b", 1, "x"), ("b", 1, "x"), ("c", None, "y"), ("c", 3, "y"), (None, 4, "z"), (None, 5, "z"), ("d", None, None)]
+    df = spark.createDataFrame(rows, "k string, v int, w string")
+    found = {r["k"]: r["distinct_values"] for r in qy.fd_violations(df, ["k"], "v").collect()}
+    assert found == {"a": 2, "c": 2, None: 2}
+    report = {(r["determinant"], r["dependent"]): r["violations"] for r in qy.dependency_report(df, {("k",): ("v", "w"), ("w",): ("k",)}).collect()}
+    assert report == {("k", "v"): 3, ("k", "w"): 0, ("w", "k"): 1}
+    plan = qy.dependency_report(df, {("k",): ("v", "w")})._jdf.queryExecution().executedPlan().toString()
+    assert "distinct" not in plan.lower()
+
+
+def test_unique_over_several_columns(spark):
+    df = spark.createDataFrame([(1, "a", 0), (1, "a", 1), (1, "b", 0), (None, "a", 0), (None, "a", 1)], "x int, y string, _hash int")
+    assert [tuple(r) for r in qy.unique_violations(df, ["x", "y"]).collect()] == [(1, "a", 2)]
+    assert qy.unique_violations(df.limit(0), ["x"]).count() == 0

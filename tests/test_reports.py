@@ -3,6 +3,8 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
+
 from rosterlake import labels
 from rosterlake.plans import matches, monitoring, nested, pay_summary, views
 from rosterlake.session import new_path
@@ -216,3 +218,36 @@ def test_stream_of_leave_files(spark, company):
     accepted = read_committed(spark, out, "accepted")
     assert {r["status"] for r in accepted.collect()} == {"PENDING"} and accepted.count() == 3
     assert [r["leave_id"] for r in read_committed(spark, out, "rejected").collect()] == [3001]
+
+
+def test_a_stopped_run_goes_on(spark, company, monkeypatch):
+    """Finished steps are not made again; the run ends with the rows of one without a stop."""
+    from rosterlake.plans import monitoring, runs
+
+    base, made = new_path(spark, "monthly"), []
+    check, audit = monitoring.check_variance, monitoring.daily_audit
+    monkeypatch.setattr(monitoring, "check_variance", lambda *a: made.append("validated") or check(*a))
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(monitoring, "daily_audit", lost)
+    with pytest.raises(RuntimeError):
+        monitoring.payroll_run(company, company.payroll, AS_OF, base, "june")
+    assert {r["step"] for r in runs.Run(spark, f"{base}-runs", "june").steps().collect()} == {"validated", "processed", "audit"}
+    monkeypatch.setattr(monitoring, "daily_audit", audit)
+    run = monitoring.payroll_run(company, company.payroll, AS_OF, base, "june")
+    again = monitoring.payroll_run(company, company.payroll, AS_OF, base, "june")
+    assert made == ["validated"] and run.processed.count() == again.processed.count() == 14
+    assert [r["step"] for r in again.steps.collect()] == ["validated", "processed", "audit", "checks", "report"]
+    other = monitoring.payroll_run(company, company.payroll, AS_OF, base)
+    assert other.checks.collect() == run.checks.collect() and len(made) == 2
+    assert runs.remove_old_runs(spark, f"{base}-runs", keep=1) == ["june"] and len(runs.runs_of(spark, f"{base}-runs")) == 1
+    assert other.audit.count() >= 0
+
+
+def test_figures_come_from_one_scan(company):
+    from rosterlake.plans import monitoring
+
+    plan = monitoring.leave_figures(company, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("leave_start#") and plan.count("Aggregate") == 1 and plan.count("Filter") == 1
