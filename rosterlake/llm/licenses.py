@@ -20,7 +20,7 @@ from rosterlake.session import materialize, small_side
 from .tables import written
 
 # Wording of licence notices, by SPDX identifier.
-TEMPLATES = (
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
         "Apache-2.0",
@@ -47,6 +47,9 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("All-Rights-Reserved", "All rights reserved."),
 )
+NO_TAG = "All-Rights-Reserved"  # the one name that is no SPDX identifier
+TAGS = tuple((name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in NOTICES} - {NO_TAG}))
+TEMPLATES = NOTICES + TAGS
 STEMS = "licen[sc]|copyright|spdx|rights reserved|public domain|permission|redistribut|cc0|cc by"
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -47,7 +47,7 @@ TOP_K = """
 """
 
 
-def _terms(table: str, key: str) -> str:
+def _term_counts(table: str, key: str) -> str:
     """One row per term and row of a table: key, term, how often."""
     found = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
     return f"""
@@ -57,8 +57,8 @@ def _terms(table: str, key: str) -> str:
 
 
 RANKED = f"""
-    WITH doc AS ({_terms("documents", "doc_id")}),
-    item AS ({_terms("benchmark", "item_id")}),
+    WITH doc AS ({_term_counts("documents", "doc_id")}),
+    item AS ({_term_counts("benchmark", "item_id")}),
     size AS (SELECT doc_id, CAST(sum(times) AS BIGINT) AS n FROM doc GROUP BY doc_id),
     total AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM size),
     weight AS (

@@ -54,6 +54,14 @@ def test_every_template_finds_itself(spark):
     assert found == {i: (name, 1.0) for i, (name, _) in enumerate(TEMPLATES)}
 
 
+def test_tags_are_told_apart(spark):
+    """SPDX tags behind any comment sign, several identifiers in one table, unknown ones."""
+    tags = ["MIT", "Apache-2.0", "GPL-3.0", "GPL-2.0", "BSD-3-Clause", "Unknown-1.0"] * 3
+    rows = [(i, f"d{i}/f", f"{sign} SPDX-License-Identifier: {tag}\ncode of {i}") for i, (tag, sign) in enumerate(zip(tags, "#/;%*-" * 3))]
+    found = {r.id: r.license for r in scan_licenses(spark.createDataFrame(rows, "id int, path string, text string"), "id", "path", "text").collect()}
+    assert found == {i: None if tag.startswith("Unknown") else tag for i, tag in enumerate(tags)}
+
+
 def test_empty_table(files):
     assert scan_licenses(files.limit(0), "id", "path", "text").count() == 0
     assert {r.source for r in scan_licenses(files.filter("id in (2, 6)"), "id", "path", "text").collect()} == {"none"}
