@@ -50,7 +50,7 @@ class Run:
 def runs_of(spark: SparkSession, base: str) -> list[str]:
     """The names of all runs below ``base`` that have a finished step, the newest last."""
     folder = Records(spark, f"{base.rstrip('/')}/runs")
-    found = folder._files().globStatus(folder._path("*")) or []
+    found = folder.files().globStatus(folder.path("*")) or []
     ordered = sorted((int(s.getModificationTime()), str(s.getPath().getName())) for s in found)
     return [name for _, name in ordered]
 

@@ -20,21 +20,21 @@ class Records:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _path(self, name: str):
+    def path(self, name: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
 
-    def _files(self):
-        return self._path("x").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def files(self):
+        return self.path("x").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def names(self) -> list[str]:
         """Names of all records, sorted."""
-        found = self._files().globStatus(self._path("*.json")) or []
+        found = self.files().globStatus(self.path("*.json")) or []
         return sorted(str(status.getPath().getName()).removesuffix(".json") for status in found)
 
     def put(self, name: str, record: dict) -> bool:
         """Write a record; False if there is one of that name already."""
-        jvm, files = self.spark.sparkContext._jvm, self._files()
-        hidden, final = self._path(f".{uuid.uuid4().hex}"), self._path(f"{name}.json")
+        jvm, files = self.spark.sparkContext._jvm, self.files()
+        hidden, final = self.path(f".{uuid.uuid4().hex}"), self.path(f"{name}.json")
         stream = files.create(hidden, False)
         stream.write(json.dumps(record | {"name": name}).encode())
         stream.close()
@@ -62,4 +62,4 @@ class Records:
     def remove(self, path: str) -> None:
         """Delete a folder below this one's parent that no record names any more."""
         target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        self._files().delete(target, True)
+        self.files().delete(target, True)

@@ -66,7 +66,7 @@ class BucketedSnapshot:
         placed = rows.withColumn(BUCKET, bucket).repartition(BUCKET)
         placed.write.partitionBy(BUCKET).parquet(f"{self.base}/{folder}")
         written = Records(self.spark, f"{self.base}/{folder}")
-        found = written._files().globStatus(written._path(f"{BUCKET}=*")) or []
+        found = written.files().globStatus(written.path(f"{BUCKET}=*")) or []
         filled = {str(status.getPath().getName()).split("=")[1] for status in found}
         rewritten = sorted(filled if touched is None else {str(b) for b in touched}, key=int)
         buckets = {b: f for b, f in manifest["buckets"].items() if b not in rewritten}
@@ -119,7 +119,7 @@ class BucketedSnapshot:
         last = self.manifests.names()[-keep:]
         named = {f for n in last for f in self.manifest(int(n))["buckets"].values()}
         folder = Records(self.spark, self.base)
-        found = folder._files().globStatus(folder._path("copy-*")) or []
+        found = folder.files().globStatus(folder.path("copy-*")) or []
         old = [str(s.getPath().toString()) for s in found if str(s.getPath().getName()) not in named]
         for path in old:
             folder.remove(path)
