@@ -8,13 +8,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions.dates import AsOf, day, days_between
 from ..functions.money import deduct, ratio
 from ..functions.text import full_name, joined, number_text
+from ..session import BROADCAST_ROWS, tasks_for
 from ..sources.loading import conform
 from ..sources.schemas import KEY_START, declared_schema
 from .joins import matching, without
@@ -94,16 +95,21 @@ def split_latest(
     Every row of ``changes`` is in one of the two. Of rows that are equal in ``order_by`` the
     largest is the last; of repeated rows all but one are superseded.
     """
-    columns = changes.columns
-    times = changes.groupBy(*columns).agg(F.count("*").alias("_times"))
-    row = F.struct(*[F.col(n) for n in columns])
-    last = times.groupBy(F.col(key).alias("_key")).agg(
-        F.max_by(row, F.struct(*order_by, *columns)).alias("_last")
-    )
-    marked = times.join(last, F.col(key).eqNullSafe(F.col("_key")))
-    copies = F.col("_times") - F.col("_last").eqNullSafe(row).cast("bigint")
-    older = marked.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-    return last.select("_last.*"), older.select(*columns)
+    newest = [F.col(n).desc_nulls_last() for n in (*order_by, *changes.columns)]
+    ranked = changes.withColumn("_age", F.row_number().over(Window.partitionBy(key).orderBy(*newest)))
+    return ranked.where("_age = 1").drop("_age"), ranked.where("_age > 1").drop("_age")
+
+
+def _dealt(current: DataFrame, changes: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Snapshot and batch dealt alike by key to tasks of bounded size, where the batch is large.
+
+    All that follows by this key stays in those tasks. A small batch is left as it is, so that
+    it may be broadcast and the snapshot is not shuffled.
+    """
+    if changes.count() <= BROADCAST_ROWS:
+        return current, changes
+    tasks = tasks_for(current, changes)
+    return current.repartition(tasks, key), changes.repartition(tasks, key)
 
 
 # --- pay ----------------------------------------------------------------------------------
@@ -391,13 +397,14 @@ def decide_leave(
     valid = decisions.where(allowed).withColumn(
         "status", F.coalesce(F.col("status"), F.lit(labels.PENDING))
     )
-    known, older = split_latest(matching(valid, current, "leave_id"), "leave_id", order_by)
-    snapshot = apply_updates(current, known, "leave_id", ["status", "approved_by"])
+    current, valid = _dealt(current, valid, "leave_id")
+    last, older = split_latest(valid, "leave_id", order_by)
+    snapshot = apply_updates(current, last, "leave_id", ["status", "approved_by"])
     invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(labels.STATUS_INVALID))
     unknown = unknown_keys(current, valid, "leave_id").withColumn(
         "reject_code", F.lit(LEAVE_UNKNOWN)
     )
-    older = older.withColumn("reject_code", F.lit(SUPERSEDED))
+    older = matching(older, current, "leave_id").withColumn("reject_code", F.lit(SUPERSEDED))
     return Outcome(snapshot, None, invalid.unionByName(unknown).unionByName(older))
 
 

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from rosterlake import labels
+from rosterlake import labels, session
 from rosterlake.operators import changes as ch
 
 from .fixtures import AS_OF
@@ -265,3 +265,39 @@ def test_audit_ids_follow_the_log(spark, company):
     assert [(r["audit_id"], r["salary_id"]) for r in log.orderBy("audit_id").collect()] == [(1, 100), (2, 101)]
     more = ch.audit_rows(rows, "salary_audit_log", ["salary_id"], log)
     assert sorted(r["audit_id"] for r in more.collect()) == [3, 4]
+
+
+def many_rows_a_leave(spark):
+    leave = spark.range(4000).selectExpr("id AS leave_id", "'PENDING' AS status", "CAST(NULL AS BIGINT) AS approved_by")
+    decisions = spark.range(20000).selectExpr(
+        "IF(id % 500 = 7, NULL, id % 5000) AS leave_id",
+        "IF(id % 3 = 0, 'APPROVED', 'REJECTED') AS status",
+        "id AS approved_by",
+        "IF(id < 5000, NULL, CAST(id / 10000 AS INT)) AS step",
+    )
+    return leave, decisions
+
+
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 2000, raising=False)
+    monkeypatch.setattr(ch, "BROADCAST_ROWS", 1000, raising=False)
+
+
+def test_a_large_batch_of_decisions_is_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
+    small_tasks(monkeypatch)
+    leave, decisions = many_rows_a_leave(spark)
+    rows = ch.decide_leave(leave, decisions, ["step"]).rows
+    assert rows.rdd.getNumPartitions() == 12
+    want = {}
+    for r in decisions.where("leave_id < 4000").collect():
+        rank = (-1 if r["step"] is None else r["step"], r["status"], r["approved_by"])
+        want[r["leave_id"]] = max(want.get(r["leave_id"], rank), rank)
+    got = {r["leave_id"]: (r["status"], r["approved_by"]) for r in rows.collect()}
+    assert rows.count() == len(got) == 4000
+    assert got == {k: want[k][1:] if k in want else ("PENDING", None) for k in range(4000)}
+
+
+def test_a_small_batch_of_decisions_leaves_the_snapshot_where_it_is(spark):
+    leave, decisions = many_rows_a_leave(spark)
+    plan = ch.decide_leave(leave, decisions.limit(3), ["step"]).rows._jdf.queryExecution().toString()
+    assert "RepartitionByExpression" not in plan
