@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..session import materialize, small_side
 from ..sources.schemas import FOREIGN_KEYS, ForeignKey
@@ -140,23 +141,64 @@ def orphan_rows(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFr
     return without(child.where(F.col(fk).isNotNull()), parent, fk, pk)
 
 
+def _links_by_type(tables, keys: Iterable[ForeignKey]) -> dict[DataType, list[ForeignKey]]:
+    """Foreign keys by the type in which child and parent are compared."""
+    found: dict[DataType, list[ForeignKey]] = {}
+    for link in keys:
+        both = tables[link.child].select(link.column).union(tables[link.parent].select(link.key))
+        found.setdefault(both.schema[0].dataType, []).append(link)
+    return found
+
+
+def _places(entries: Sequence[tuple[int, str, int | None]], kind: DataType) -> Column:
+    """(domain, key, slot) of a row for each of its columns that hold (no slot) or use a key."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(domain).alias("domain"),
+                F.col(column).cast(kind).alias("key"),
+                F.lit(slot).cast("int").alias("slot"),
+            )
+            for domain, column, slot in entries
+        ]
+    )
+
+
 def orphan_counts(tables, keys: Iterable[ForeignKey]) -> DataFrame:
-    """Orphans per foreign key; each child is read once for all of its keys."""
-    by_child: dict[str, list[ForeignKey]] = {}
-    for key in keys:
-        by_child.setdefault(key.child, []).append(key)
-    counts = []
-    for child, own in by_child.items():
-        rows = tables[child].select(*dict.fromkeys(k.column for k in own))
-        for i, key in enumerate(own):
-            rows = flag_existing(rows, tables[key.parent], key.column, f"_has_{i}", key.key)
-        found = [F.count_if(F.col(k.column).isNotNull() & ~F.col(f"_has_{i}")) for i, k in enumerate(own)]
+    """Orphans per foreign key.
+
+    Keys of parents and children are brought together in one aggregate, which is combined before
+    the shuffle: a hot key is one row per task, and no parent is held whole in memory, as a
+    broadcast would be. The links of a parent key share its rows and are counted side by side.
+    Each table is read once as a child and once as a parent.
+    """
+    results = []
+    for kind, links in _links_by_type(tables, keys).items():
+        domains = {p: i for i, p in enumerate(dict.fromkeys((k.parent, k.key) for k in links))}
+        read: dict[tuple[str, bool], list[tuple[int, str, int | None]]] = {}
+        for (parent, column), domain in domains.items():
+            read.setdefault((parent, True), []).append((domain, column, None))
+        slots = dict.fromkeys(domains.values(), 0)
+        placed = []
+        for link in links:
+            domain = domains[link.parent, link.key]
+            read.setdefault((link.child, False), []).append((domain, link.column, slots[domain]))
+            placed.append((link, domain, slots[domain]))
+            slots[domain] += 1
+        parts = [tables[table].select(F.inline(_places(own, kind))) for (table, _), own in read.items()]
+        uses = [F.count_if(F.col("slot") == s).alias(f"uses_{s}") for s in range(max(slots.values()))]
+        met = reduce(DataFrame.unionAll, parts).dropna(subset=["key"]).groupBy("domain", "key")
+        orphans = met.agg(F.bool_or(F.col("slot").isNull()).alias("held"), *uses).where("NOT held")
         named = [
-            F.struct(F.lit(child).alias("child"), F.lit(k.column).alias("fk"), n.alias("orphans"))
-            for k, n in zip(own, found, strict=True)
+            F.struct(
+                F.lit(link.child).alias("child"),
+                F.lit(link.column).alias("fk"),
+                F.coalesce(F.sum(F.when(F.col("domain") == domain, F.col(f"uses_{s}"))), F.lit(0)).alias("orphans"),
+            )
+            for link, domain, s in placed
         ]
-        counts.append(rows.agg(F.array(*named).alias("found")).select(F.inline("found")))
-    return reduce(DataFrame.unionByName, counts)
+        results.append(orphans.agg(F.array(*named).alias("found")).select(F.inline("found")))
+    return reduce(DataFrame.unionByName, results)
 
 
 # --- deletes along foreign keys -----------------------------------------------------------

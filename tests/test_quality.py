@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 from rosterlake.operators import quality as qy
-from rosterlake.sources.schemas import FOREIGN_KEYS
+from rosterlake.sources.schemas import FOREIGN_KEYS, ForeignKey
 
 
 def test_first_normal_form(spark):
@@ -78,6 +78,30 @@ def test_no_orphans_in_the_fixture(company):
     assert {r["orphans"] for r in qy.orphan_counts(company, keys).collect()} == {0}
 
 
+def test_orphans_are_counted_without_joins(spark):
+    tables = {
+        "team": spark.createDataFrame([(1,), (1,), (2,), (None,)], "id bigint"),
+        "person": spark.createDataFrame(
+            [(1, 1, 10), (2, 3, 11), (3, None, None)] + [(k, 3, 99) for k in range(4, 40)], "id int, team int, boss bigint"
+        ),
+        "badge": spark.createDataFrame([(1, "a"), (77, "b"), (None, None)], "owner bigint, kind string"),
+        "kind": spark.createDataFrame([("a",)], "name string"),
+        "empty": spark.createDataFrame([], "team bigint"),
+    }
+    keys = [
+        ForeignKey("person", "team", "team", "id"),
+        ForeignKey("person", "boss", "person", "id"),
+        ForeignKey("badge", "owner", "person", "id"),
+        ForeignKey("badge", "kind", "kind", "name"),
+        ForeignKey("empty", "team", "team", "id"),
+    ]
+    counts = qy.orphan_counts(tables, keys)
+    assert {tuple(r) for r in counts.collect()} == {
+        ("person", "team", 37), ("person", "boss", 36), ("badge", "owner", 1), ("badge", "kind", 1), ("empty", "team", 0),
+    }
+    assert "Join" not in counts._jdf.queryExecution().optimizedPlan().toString()  # no parent is broadcast
+
+
 def test_delete_department_reaches_all_levels(spark, company):
     gone = spark.createDataFrame([(3,)], "job_id bigint")
     after = qy.delete_with_references(company, "job_department", gone)
