@@ -1,5 +1,6 @@
 """Change jobs on the fixture, with the five trigger cases."""
 
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
@@ -301,3 +302,20 @@ def test_a_small_batch_of_decisions_leaves_the_snapshot_where_it_is(spark):
     leave, decisions = many_rows_a_leave(spark)
     plan = ch.decide_leave(leave, decisions.limit(3), ["step"]).rows._jdf.queryExecution().toString()
     assert "RepartitionByExpression" not in plan
+
+
+def test_rejects_of_a_large_batch_are_whole_and_dealt(spark, monkeypatch):
+    small_tasks(monkeypatch)
+    leave, decisions = many_rows_a_leave(spark)
+    batch = decisions.union(decisions.where("approved_by IN (2, 17345)"))
+    rejected = ch.decide_leave(leave, batch, ["step"]).rejected
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [leave_id" in plan and "Aggregate [leave_id#" in plan and "_times" not in plan
+    codes = Counter(r["reject_code"] for r in rejected.collect())
+    known = batch.where("leave_id < 4000")
+    assert codes == {
+        ch.SUPERSEDED: known.count() - known.select("leave_id").distinct().count(),
+        ch.LEAVE_UNKNOWN: batch.where("leave_id >= 4000 OR leave_id IS NULL").count(),
+    }
+    again = rejected.where("approved_by IN (2, 17345)").groupBy("approved_by", "reject_code").count().collect()
+    assert {tuple(r) for r in again} == {(2, ch.SUPERSEDED, 2), (17345, ch.SUPERSEDED, 1)}
