@@ -5,8 +5,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import all_checks, runner
+from rosterlake import session
 from rosterlake.operators import joins as j
-from rosterlake.operators.grouping import margin, with_share, with_total
+from rosterlake.operators.grouping import margin, rollup_sums, with_share, with_total
 
 
 def rows(df):
@@ -68,3 +70,21 @@ def test_margin_keeps_null_of_the_data(spark):
     df = spark.createDataFrame([("M",), ("M",), (None,)], "gender string")
     got = df.rollup("gender").agg(margin("gender", "BOTH").alias("label"), F.count("*").alias("n"))
     assert rows(got.select("label", "n")) == Counter({("M", 2): 1, (None, 1): 1, ("BOTH", 3): 1})
+
+
+def test_rollup_sums_are_those_of_rollup(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    df = spark.range(1000).selectExpr(
+        "IF(id % 10 = 3, NULL, id % 7) AS a", "IF(id % 9 = 1, NULL, id % 11) AS b", "CAST(id % 50 AS DECIMAL(4,1)) AS v"
+    )
+    got = rollup_sums(df, ["a", "b"], "v")
+    want = df.rollup("a", "b").agg(F.grouping_id().cast("bigint").alias("level"), F.sum("v").alias("v"))
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert rows(rollup_sums(df.where("a > 99"), ["a", "b"], "v")) == Counter()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "RepartitionByExpression [a" in plan and ", 10" in plan
+
+
+def test_registered_rollup_groups_its_details_once(spark):
+    plan = runner(all_checks()["a07_rollup_two"])(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    assert "Expand" not in plan.toString()
