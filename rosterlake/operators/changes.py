@@ -103,8 +103,9 @@ def split_latest(
 def _dealt(current: DataFrame, changes: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Snapshot and batch dealt alike by key to tasks of bounded size, where the batch is large.
 
-    All that follows by this key stays in those tasks. A small batch is left as it is, so that
-    it may be broadcast and the snapshot is not shuffled.
+    All that follows by this key stays in those tasks; the rows of one key meet in one of them,
+    where sorts can spill. A small batch is left as it is, so that it may be broadcast and the
+    snapshot is not shuffled.
     """
     if changes.count() <= BROADCAST_ROWS:
         return current, changes
