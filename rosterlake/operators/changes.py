@@ -18,7 +18,7 @@ from ..functions.text import full_name, joined, number_text
 from ..session import BROADCAST_ROWS, tasks_for
 from ..sources.loading import conform
 from ..sources.schemas import KEY_START, declared_schema
-from .joins import matching, without
+from .joins import flag_existing, matching, without
 from .ordered import assign_keys, largest_before, over_order
 from .quality import check_rows, checks_of
 
@@ -87,17 +87,14 @@ def audit_rows(
     return conform(assign_keys(rows, order_by, "audit_id", start), declared_schema(table))
 
 
-def split_latest(
-    changes: DataFrame, key: str, order_by: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """(the last change of each key, the changes that it supersedes).
+def with_age(changes: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """Each change with its ``_age``: 1 is the last of its key, the others are superseded by it.
 
-    Every row of ``changes`` is in one of the two. Of rows that are equal in ``order_by`` the
-    largest is the last; of repeated rows all but one are superseded.
+    Of rows that are equal in ``order_by`` the largest is the last; of repeated rows all but one
+    are superseded.
     """
     newest = [F.col(n).desc_nulls_last() for n in (*order_by, *changes.columns)]
-    ranked = changes.withColumn("_age", F.row_number().over(Window.partitionBy(key).orderBy(*newest)))
-    return ranked.where("_age = 1").drop("_age"), ranked.where("_age > 1").drop("_age")
+    return changes.withColumn("_age", F.row_number().over(Window.partitionBy(key).orderBy(*newest)))
 
 
 def _dealt(current: DataFrame, changes: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -392,21 +389,22 @@ def decide_leave(
 
     A NULL status passes the check, as it is not outside the list, and becomes PENDING. Of
     several valid decisions for a leave the last one in ``order_by`` counts (see
-    ``split_latest``); the others are rejected as superseded.
+    ``with_age``); the others are rejected as superseded. Rejected rows come from one pass over
+    the dealt batch, where each decision gets its age and whether its leave is known.
     """
     allowed = F.coalesce(F.col("status").isin(labels.APPROVED, labels.REJECTED), F.lit(True))
     valid = decisions.where(allowed).withColumn(
         "status", F.coalesce(F.col("status"), F.lit(labels.PENDING))
     )
     current, valid = _dealt(current, valid, "leave_id")
-    last, older = split_latest(valid, "leave_id", order_by)
+    aged = with_age(valid, "leave_id", order_by)
+    last = aged.where("_age = 1").drop("_age")
     snapshot = apply_updates(current, last, "leave_id", ["status", "approved_by"])
     invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(labels.STATUS_INVALID))
-    unknown = unknown_keys(current, valid, "leave_id").withColumn(
-        "reject_code", F.lit(LEAVE_UNKNOWN)
-    )
-    older = matching(older, current, "leave_id").withColumn("reject_code", F.lit(SUPERSEDED))
-    return Outcome(snapshot, None, invalid.unionByName(unknown).unionByName(older))
+    code = F.when(~F.col("_known"), LEAVE_UNKNOWN).when(F.col("_age") > 1, SUPERSEDED)
+    coded = flag_existing(aged, current, "leave_id", "_known").withColumn("reject_code", code)
+    refused = coded.where("reject_code IS NOT NULL").drop("_age", "_known")
+    return Outcome(snapshot, None, invalid.unionByName(refused))
 
 
 def request_leave(batch: DataFrame) -> Outcome:

@@ -5,6 +5,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterlake import labels, session
 from rosterlake.operators import changes as ch
@@ -319,3 +320,26 @@ def test_rejects_of_a_large_batch_are_whole_and_dealt(spark, monkeypatch):
     }
     again = rejected.where("approved_by IN (2, 17345)").groupBy("approved_by", "reject_code").count().collect()
     assert {tuple(r) for r in again} == {(2, ch.SUPERSEDED, 2), (17345, ch.SUPERSEDED, 1)}
+
+
+def test_rejects_of_a_large_batch_come_from_one_pass(spark, monkeypatch):
+    small_tasks(monkeypatch)
+    leave, decisions = many_rows_a_leave(spark)
+    batch = decisions.withColumn("status", F.expr("IF(approved_by % 50 = 3, 'MAYBE', status)"))
+    rejected = ch.decide_leave(leave, batch, ["step"]).rejected
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and plan.count("Window [") == 1  # snapshot and batch
+    last = {}
+    for r in batch.where("status <> 'MAYBE' AND leave_id < 4000").collect():
+        rank = (-1 if r["step"] is None else r["step"], r["status"], r["approved_by"])
+        last[r["leave_id"]] = max(last.get(r["leave_id"], rank), rank)
+    want = []
+    for r in batch.collect():
+        if r["status"] == "MAYBE":
+            want.append((*r, labels.STATUS_INVALID))
+        elif r["leave_id"] is None or r["leave_id"] >= 4000:
+            want.append((*r, ch.LEAVE_UNKNOWN))
+        elif last[r["leave_id"]][2] != r["approved_by"]:
+            want.append((*r, ch.SUPERSEDED))
+    assert rejected.columns == [*batch.columns, "reject_code"]
+    assert Counter(map(tuple, rejected.collect())) == Counter(want)
