@@ -390,17 +390,19 @@ def decide_leave(
     A NULL status passes the check, as it is not outside the list, and becomes PENDING. Of
     several valid decisions for a leave the last one in ``order_by`` counts (see
     ``with_age``); the others are rejected as superseded. Rejected rows come from one pass over
-    the dealt batch, where each decision gets its age and whether its leave is known.
+    the dealt batch, where each decision gets its age and whether its leave is known; those
+    without a leave are not dealt, as they would meet in one task.
     """
     allowed = F.coalesce(F.col("status").isin(labels.APPROVED, labels.REJECTED), F.lit(True))
-    valid = decisions.where(allowed).withColumn(
-        "status", F.coalesce(F.col("status"), F.lit(labels.PENDING))
-    )
+    status = F.coalesce(F.col("status"), F.lit(labels.PENDING))
+    nowhere = F.col("leave_id").isNull()
+    at_once = F.when(~allowed, labels.STATUS_INVALID).otherwise(LEAVE_UNKNOWN)
+    invalid = decisions.where(~allowed | nowhere).withColumns({"status": status, "reject_code": at_once})
+    valid = decisions.where(allowed & ~nowhere).withColumn("status", status)
     current, valid = _dealt(current, valid, "leave_id")
     aged = with_age(valid, "leave_id", order_by)
     last = aged.where("_age = 1").drop("_age")
     snapshot = apply_updates(current, last, "leave_id", ["status", "approved_by"])
-    invalid = decisions.where(~allowed).withColumn("reject_code", F.lit(labels.STATUS_INVALID))
     code = F.when(~F.col("_known"), LEAVE_UNKNOWN).when(F.col("_age") > 1, SUPERSEDED)
     coded = flag_existing(aged, current, "leave_id", "_known").withColumn("reject_code", code)
     refused = coded.where("reject_code IS NOT NULL").drop("_age", "_known")

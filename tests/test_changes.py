@@ -343,3 +343,19 @@ def test_rejects_of_a_large_batch_come_from_one_pass(spark, monkeypatch):
             want.append((*r, ch.SUPERSEDED))
     assert rejected.columns == [*batch.columns, "reject_code"]
     assert Counter(map(tuple, rejected.collect())) == Counter(want)
+
+
+def test_decisions_without_a_leave_do_not_meet_in_one_task(spark, monkeypatch):
+    small_tasks(monkeypatch)
+    leave, decisions = many_rows_a_leave(spark)
+    nowhere = decisions.withColumn("leave_id", F.expr("IF(approved_by % 3 > 0, NULL, leave_id)"))
+    status = F.expr("CASE approved_by % 7 WHEN 1 THEN 'PENDING' WHEN 2 THEN NULL ELSE status END")
+    batch = nowhere.withColumn("status", status)
+    rejected = ch.decide_leave(leave, batch, ["step"]).rejected
+    unknown = rejected.where("leave_id IS NULL AND reject_code = 'LEAVE_NOT_FOUND'")
+    assert unknown.select(F.spark_partition_id()).distinct().count() == batch.rdd.getNumPartitions() > 1
+    got = Counter((r["status"], r["approved_by"]) for r in unknown.collect())
+    want = batch.where("leave_id IS NULL AND (status IS NULL OR status <> 'PENDING')").collect()
+    assert got == Counter((r["status"] or labels.PENDING, r["approved_by"]) for r in want)
+    invalid = rejected.where(F.col("reject_code") == labels.STATUS_INVALID)
+    assert invalid.count() == batch.where("status = 'PENDING'").count()
